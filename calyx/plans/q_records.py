@@ -214,3 +214,12 @@ def filter_agg_by_date(spark, sf):
 register("sort_export_raw", WA + f"select {RAW_COLS} from attempts where {rng(WS, WE)}")(
     lambda spark, sf: raw(flt.filter_calendar_week(att(spark, sf), DS)).orderBy("created_at",
                                                                                 "event_id"))
+
+
+@register("src_synthetic_orders")
+def src_synthetic_orders(spark, sf):
+    """SRC6 (rows only: the seed hash has no DuckDB twin): the fixed branch ×
+    menu list expanded for every distinct ship date of lineitem."""
+    days = (T.read_table(spark, sf, "lineitem")
+            .select(F.col("l_shipdate").cast("date").alias("report_date")).distinct())
+    return R.synthetic_orders(days)

@@ -53,7 +53,11 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``lesson_id`` comes from the JSON ``props`` column; it is only parsed when
     a query selects it (column pruning drops the expression otherwise).
     """
-    ev = read_table(spark, sf_dir, "events")
+    return attempts_from_events(read_table(spark, sf_dir, "events"))
+
+
+def attempts_from_events(ev: DataFrame) -> DataFrame:
+    """The attempts projection of an events frame (batch or streaming)."""
     lesson = F.get_json_object("props", "$.k")
     return ev.select(
         F.col("event_id"),
