@@ -91,3 +91,42 @@ def has_key(text: Column, key: str) -> Column:
 def py_bool(s: Column) -> Column:
     """JSON text of a Python bool/None -> BOOLEAN."""
     return F.when(s == "true", True).when(s == "false", False)
+
+
+def with_parsed_params(df, text_col: str = "passback_params", out: str = "_params",
+                       keys=LTI_KEYS + LESSON_KEYS + ("graded",), strict: bool = True,
+                       json_col: str | None = "_params_json"):
+    """Add the parsed dict as STRUCT column ``out`` (P3a strict / P3b lenient).
+
+    Unlike ``parse_params`` (a single Column, fine when used once), this
+    evaluates the rewrite and ``from_json`` once per row however many
+    fields are read afterwards: each step is its own projection, and
+    Catalyst does not merge a projection whose expensive expression the next
+    one references several times.  ``json_col`` keeps the JSON text (for
+    key-presence tests); pass None to drop it.
+    """
+    keys = tuple(keys)
+    text = F.col(text_col)
+    blank = text.isNull() | (F.trim(text) == "")
+    js = json_col or "_params_json"
+    step = df.withColumn(js, F.when(~blank, dict_literal_to_json(text)))
+    step = step.withColumn("_params_raw", F.from_json(F.col(js), params_schema(keys),
+                                                      PARAMS_JSON_OPTIONS))
+    raw = F.col("_params_raw")
+    bad = F.col(js).isNotNull() & (raw.isNull() | raw["_corrupt"].isNotNull()
+                                   | text.rlike(r"\\x[0-9A-Fa-f]{2}"))
+    empty = F.struct(*[F.lit(None).cast("string").alias(k) for k in keys])
+    good = F.struct(*[raw[k].alias(k) for k in keys])
+    if strict:
+        fail = F.raise_error(F.concat(F.lit("corrupt passback_params: "), text)).cast("string")
+        val = (F.when(F.col(js).isNull(), empty)
+                .when(bad, F.struct(*[fail.alias(k) for k in keys])).otherwise(good))
+    else:
+        val = F.when(F.col(js).isNull() | bad, empty).otherwise(good)
+    step = step.withColumn(out, val).drop("_params_raw")
+    return step if json_col else step.drop(js)
+
+
+def has_key_json(json_text, key: str):
+    """Key presence on the already rewritten JSON text (see ``with_parsed_params``)."""
+    return F.array_contains(F.json_object_keys(json_text), key)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import correctness as ok
-from ..functions.params import has_key, parse_params, py_bool
+from ..functions.params import has_key, has_key_json, py_bool, with_parsed_params
 from ..sources.records import CREATED_AT_FORMAT
 
 CANONICAL = ("lti_user_id", "is_correct", "attempt_type", "created_at",
@@ -28,7 +28,8 @@ def normalize_attempts(records: DataFrame, strict: bool = True, correct: str = "
     ``correct`` picks the P2 convention; ``lesson`` adds lesson_id,
     lesson_name and score (P4a) for the lesson variant.
     """
-    p = parse_params(F.col("passback_params"), strict=strict)
+    records = with_parsed_params(records, strict=strict, json_col=None)
+    p = F.col("_params")
     cols = [F.col(c) for c in keep if c in records.columns]
     cols += [
         F.col("lti_user_id"),
@@ -48,7 +49,8 @@ def normalize_attempts(records: DataFrame, strict: bool = True, correct: str = "
 
 def parsed_params(records: DataFrame, strict: bool = True, keep=("event_id",)) -> DataFrame:
     """P3a / P3b — the parsed dict as typed columns."""
-    p = parse_params(F.col("passback_params"), strict=strict)
+    records = with_parsed_params(records, strict=strict, json_col=None)
+    p = F.col("_params")
     return records.select(
         *[F.col(c) for c in keep if c in records.columns],
         p["oauth_consumer_key"].alias("oauth_consumer_key"),
@@ -65,9 +67,13 @@ def score_falsy_fallback(inner, outer):
     return F.coalesce(F.nullif(inner, F.lit(0).cast("decimal(10,2)")), outer.cast("decimal(10,2)"))
 
 
-def score_key_presence(params_text, inner, outer):
-    """P4b — the inner score when the key exists (even if None), else the outer one if truthy."""
-    return (F.when(has_key(params_text, "score"), inner.cast("decimal(10,2)"))
+def score_key_presence(params_json, inner, outer):
+    """P4b — the inner score when the key exists (even if None), else the outer one if truthy.
+
+    ``params_json`` is the rewritten JSON text (``with_parsed_params``'s
+    ``json_col``), so the dict text is not rewritten a second time.
+    """
+    return (F.when(has_key_json(params_json, "score"), inner.cast("decimal(10,2)"))
              .otherwise(F.nullif(outer.cast("decimal(10,2)"), F.lit(0).cast("decimal(10,2)"))))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.params import parse_params
+from ..functions.params import with_parsed_params
 from ..operators import aggregates as A
 from ..operators import filters as flt
 from ..operators import normalize as N
@@ -96,9 +96,8 @@ from (select *, event_type = 'error' and value < 1 bad from records)""")(
 
 
 def _scores(spark, sf, fn):
-    r = R.api_records(spark, sf)
-    p = parse_params(F.col("passback_params"))
-    return r.select("event_id", fn(p["score"], F.col("score"), F.col("passback_params"))
+    r = with_parsed_params(R.api_records(spark, sf))
+    return r.select("event_id", fn(F.col("_params.score"), F.col("score"), F.col("_params_json"))
                     .alias("score"))
 
 
