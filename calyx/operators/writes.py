@@ -41,12 +41,55 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """J7 — a table exists when its folder holds at least one data file or a commit marker."""
+    """J7 — a table exists when its folder holds data files or its schema file."""
     if not path_exists(spark, path):
         return False
+    fs, _ = _fs(spark, path)
+    return bool(fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, SCHEMA_FILE))) or \
+        _data_files(spark, path)
+
+
+SCHEMA_FILE = "_calyx_schema.json"
+
+
+def _save_schema(spark: SparkSession, path: str, schema: T.StructType, partition_by=None) -> None:
+    """Keep the table schema next to the data (``_``-files are skipped by readers),
+    so a table whose partitions were all dropped still reads as empty."""
+    import json
+    fs, _ = _fs(spark, path)
+    meta = {"schema": json.loads(schema.json()), "partition_by": list(partition_by or [])}
+    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(path, SCHEMA_FILE), True)
+    out.write(bytearray(json.dumps(meta).encode("utf-8")))
+    out.close()
+
+
+def _data_files(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
-    return bool(fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))) or any(
-        not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        f = it.next().getPath()
+        name = f.getName()
+        if not name.startswith(("_", ".")) and "/_" not in f.toUri().getPath()[len(path):]:
+            return True
+    return False
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a table written by these modes; an emptied table reads as 0 rows."""
+    import json
+    if path_exists(spark, path) and _data_files(spark, path):
+        return spark.read.parquet(path)
+    fs, _ = _fs(spark, path)
+    meta_path = spark._jvm.org.apache.hadoop.fs.Path(path, SCHEMA_FILE)
+    if not fs.exists(meta_path):
+        raise FileNotFoundError(f"no table at {path}")
+    stream = fs.open(meta_path)
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream))
+    text = "".join(iter(reader.readLine, None))
+    reader.close()
+    meta = json.loads(text)
+    schema = T.StructType.fromJson(meta["schema"])
+    return spark.createDataFrame([], schema)
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
@@ -73,6 +116,11 @@ def write_append(df: DataFrame, path: str, partition_by=None) -> None:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    _save_schema(spark_of(df), path, df.schema, partition_by)
+
+
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession
 
 
 def write_full_refresh(df: DataFrame, path: str, partition_by=None) -> None:
@@ -81,6 +129,7 @@ def write_full_refresh(df: DataFrame, path: str, partition_by=None) -> None:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    _save_schema(spark_of(df), path, df.schema, partition_by)
 
 
 def create_if_missing(spark: SparkSession, path: str, schema: T.StructType,
@@ -137,6 +186,8 @@ def replace_periods(spark: SparkSession, df: DataFrame, path: str, partition_by,
     if present:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*partition_by).parquet(path))
+    if present or path_exists(spark, path):
+        _save_schema(spark, path, df.schema, partition_by)
 
 
 def _norm(v):
@@ -158,7 +209,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys,
     if not table_exists(spark, path):
         write_append(source, path, partition_by or None)
         return
-    target = spark.read.parquet(path)
+    target = read_table(spark, path)
     source = source.select(*target.columns)
     if partition_by:
         touched = source.select(*partition_by).distinct()
@@ -168,6 +219,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys,
     if partition_by:
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*partition_by).parquet(path))
+        _save_schema(spark, path, merged.schema, partition_by)
     else:
         write_full_refresh(merged, path)
 
@@ -183,7 +235,7 @@ def insert_ignore(spark: SparkSession, batch: DataFrame, path: str, keys, order_
     """W5 / J4 — ``ON CONFLICT DO NOTHING``: first row per key wins, existing keys are kept."""
     new = dedup_first_wins(batch, keys, order_by)
     if table_exists(spark, path):
-        target = spark.read.parquet(path)
+        target = read_table(spark, path)
         new = stage(spark, new.join(target.select(*keys), list(keys), "left_anti"),
                     "insert_ignore")
         new = new.select(*target.columns)
@@ -194,7 +246,7 @@ def insert_if_period_absent(spark: SparkSession, df: DataFrame, path: str, perio
                             period_value, partition_by=None) -> bool:
     """W6 / J6 — append the period only if the table has no row for it. True if written."""
     if table_exists(spark, path):
-        t = spark.read.parquet(path)
+        t = read_table(spark, path)
         if not t.filter(F.col(period_col) == F.lit(period_value).cast(
                 t.schema[period_col].dataType)).isEmpty():
             return False
@@ -207,7 +259,7 @@ def load_if_partition_empty(spark: SparkSession, df: DataFrame, path: str,
     """W7 — append only when every partition ``df`` would write is still empty."""
     from .quality import partition_is_empty
     if table_exists(spark, path):
-        t = spark.read.parquet(path)
+        t = read_table(spark, path)
         for r in df.select(*partition_by).distinct().collect():
             if not partition_is_empty(t, r.asDict()):
                 return False

@@ -112,7 +112,7 @@ def run_aggregates(spark: SparkSession, specs, ds: str, sources: dict, base_path
             _write(spark, spec, out, path, bounds)
             res = RunResult(spec, path)
             if spec.min_rows:
-                Q.assert_min_rows(spark.read.parquet(path), spec.min_rows, spec.name)
+                Q.assert_min_rows(W.read_table(spark, path), spec.min_rows, spec.name)
                 res.checks["min_rows"] = True
             if spec.export and export_base:
                 res.exported = _export(spark, spec, path, ds, export_base)
@@ -154,9 +154,7 @@ def _requested_periods(spec: AggSpec, bounds: dict) -> list[dict]:
 
 
 def _export(spark, spec: AggSpec, path: str, ds: str, export_base: str) -> str:
-    df = spark.read.parquet(path)
-    if spec.partition_by:
-        df = df.select(*[c for c in df.columns])
+    df = W.read_table(spark, path)
     if spec.export_columns:
         df = df.select(*spec.export_columns)
     target = X.export_path(export_base, spec.name, ds, spec.export_layout)
@@ -172,6 +170,6 @@ def _export(spark, spec: AggSpec, path: str, ds: str, export_base: str) -> str:
 def run_summary(spark: SparkSession, results: list[RunResult]) -> DataFrame:
     """Spec name and row count of every written table (a lazy union of counts)."""
     from functools import reduce
-    parts = [spark.read.parquet(r.path).agg(F.count(F.lit(1)).alias("row_count"))
+    parts = [W.read_table(spark, r.path).agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(r.spec.name).alias("spec_name"), "row_count") for r in results]
     return reduce(DataFrame.unionByName, parts)
