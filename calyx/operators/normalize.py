@@ -77,14 +77,18 @@ def score_key_presence(params_json, inner, outer):
              .otherwise(F.nullif(outer.cast("decimal(10,2)"), F.lit(0).cast("decimal(10,2)"))))
 
 
-def stamp_periods(df: DataFrame, ts: str = "created_at", ds=None) -> DataFrame:
+def stamp_periods(df: DataFrame, ts: str = "created_at", ds=None,
+                  loaded_at: bool = False) -> DataFrame:
     """P5 / P6 / P8 — period stamps.
 
     With ``ds`` the stamps describe the run date (a load stamps every row
     with its run's periods); without, each row is stamped from its own
-    ``ts`` (a back-fill).  ``load_date`` = the run date (P6; tests avoid NOW()).
+    ``ts`` (a back-fill).  ``load_date`` = the run date (P6; tests avoid NOW());
+    ``loaded_at`` adds the load time ``current_timestamp()`` (NOW()).
     """
     d = cal.as_date(ds) if ds is not None else F.col(ts).cast("date")
+    if loaded_at:
+        df = df.withColumn("loaded_at", F.current_timestamp())
     return df.withColumns({
         "ds": d,
         "week_start": cal.week_start(d),
@@ -98,6 +102,11 @@ def stamp_periods(df: DataFrame, ts: str = "created_at", ds=None) -> DataFrame:
     })
 
 
+def order_by_first_column(df: DataFrame) -> DataFrame:
+    """S3 — ``ORDER BY 1``."""
+    return df.orderBy(df.columns[0])
+
+
 def export_projection(df: DataFrame, columns: dict | list, order_by=None) -> DataFrame:
     """P7 / S2 — rename, reorder and subset for export, optionally ordered."""
     if isinstance(columns, dict):

@@ -42,6 +42,8 @@ class AggSpec:
     export_format: str = "tsv"          # tsv | csv | json
     export_layout: str = "table/ds"
     on_empty_export: str = "write"      # write | skip | fail
+    export_prefix: str | None = None    # export folder name (default: the spec name)
+    on_empty_source: str = "run"        # run | skip (Q8) | fail (Q9) when the period has no rows
 
     @classmethod
     def from_dict(cls, d: dict) -> "AggSpec":
@@ -105,7 +107,15 @@ def run_aggregates(spark: SparkSession, specs, ds: str, sources: dict, base_path
     try:
         for spec in specs:
             bounds = resolve_period(spark, spec.period, ds)
+            if spec.on_empty_source != "run" and not _period_has_rows(shared, ts_cols, bounds,
+                                                                       spec.sql):
+                if spec.on_empty_source == "fail":
+                    raise Q.QualityError(f"{spec.name}: no source rows for {ds}")
+                results.append(RunResult(spec, "", checks={"skipped": "empty source"}))
+                continue
             args = {k: v for k, v in bounds.items() if f":{k}" in spec.sql}
+            if ":table_name" in spec.sql:  # C2: the target's name as a bound value
+                args["table_name"] = spec.name
             views = {k: v for k, v in shared.items() if "{" + k + "}" in spec.sql}
             out = spark.sql(spec.sql, args=args, **views)
             path = f"{base_path.rstrip('/')}/{spec.name}"
@@ -123,6 +133,18 @@ def run_aggregates(spark: SparkSession, specs, ds: str, sources: dict, base_path
     return results
 
 
+def _period_has_rows(shared: dict, ts_cols: dict, bounds: dict, sql: str) -> bool:
+    """Q8 / Q9 — any row of a source used by the spec inside its period (LIMIT 1 probe)."""
+    for name, df in shared.items():
+        c = ts_cols.get(name)
+        if "{" + name + "}" not in sql or not c:
+            continue
+        from ..operators.filters import in_range
+        if not in_range(df, c, bounds["period_start"], bounds["period_end"]).isEmpty():
+            return True
+    return False
+
+
 def _write(spark, spec: AggSpec, out: DataFrame, path: str, bounds: dict) -> None:
     parts = list(spec.partition_by)
     m = spec.write_mode
@@ -157,7 +179,7 @@ def _export(spark, spec: AggSpec, path: str, ds: str, export_base: str) -> str:
     df = W.read_table(spark, path)
     if spec.export_columns:
         df = df.select(*spec.export_columns)
-    target = X.export_path(export_base, spec.name, ds, spec.export_layout)
+    target = X.export_path(export_base, spec.export_prefix or spec.name, ds, spec.export_layout)
     if spec.export_format == "json":
         X.export_json(df, target, on_empty=spec.on_empty_export)
     elif spec.export_format == "csv":
@@ -171,5 +193,6 @@ def run_summary(spark: SparkSession, results: list[RunResult]) -> DataFrame:
     """Spec name and row count of every written table (a lazy union of counts)."""
     from functools import reduce
     parts = [W.read_table(spark, r.path).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(r.spec.name).alias("spec_name"), "row_count") for r in results]
+             .select(F.lit(r.spec.name).alias("spec_name"), "row_count")
+             for r in results if r.path]
     return reduce(DataFrame.unionByName, parts)

@@ -74,3 +74,18 @@ def test_read_attempts_period(spark, tmp_table):
     ev = T.read_table(spark, SF, "events")
     want = ev.filter("ts >= timestamp_ntz'2024-01-08' and ts < timestamp_ntz'2024-01-15'").count()
     assert got.count() == want
+
+
+def test_empty_source_gates(spark, tmp_table):
+    att = T.attempts(spark, SF)
+    spec = S.load_specs(SPECS)[0]
+    spec.min_rows, spec.export = 0, False
+    spec.on_empty_source = "skip"
+    res = S.run_aggregates(spark, [spec], "2031-01-01", {"attempts": att}, tmp_table("g"), None,
+                           {"attempts": "created_at"})
+    assert res[0].checks == {"skipped": "empty source"}
+    spec.on_empty_source = "fail"
+    from calyx.operators.quality import QualityError
+    with pytest.raises(QualityError):
+        S.run_aggregates(spark, [spec], "2031-01-01", {"attempts": att}, tmp_table("g"), None,
+                         {"attempts": "created_at"})
