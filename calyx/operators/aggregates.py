@@ -287,14 +287,18 @@ def _rate4(k: str, n: str):
 
 
 def daily_summary(att: DataFrame, ds) -> DataFrame:
-    """A20c — global row for a day; sums are NULL (not 0) when the day is empty."""
+    """A20c — global row for a day; sums are NULL (not 0) when the day is empty.
+
+    The period is stamped as [ds, ds + 1): ``period_end`` is exclusive.
+    """
     g = (flt.filter_day(att, ds)
          .agg(F.count(F.lit(1)).alias("total_attempts"),
               ok.correct_sum(OK).alias("correct_attempts"),
               ok.failed_sum_zero(OK).alias("incorrect_attempts"),
               F.countDistinct("lti_user_id").alias("unique_users"),
               ok.correct_count(OK).alias("_k")))
-    return g.select(cal.as_date(ds).alias("period_start"), cal.as_date(ds).alias("period_end"),
+    return g.select(cal.as_date(ds).alias("period_start"),
+                    cal.shift_days(ds, 1).alias("period_end"),
                     "total_attempts", "correct_attempts", "incorrect_attempts", "unique_users",
                     _rate4("_k", "total_attempts").alias("correct_rate"))
 

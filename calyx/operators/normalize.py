@@ -21,6 +21,20 @@ _CORRECT = {
 }
 
 
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores before CPU-heavy per-row work.
+
+    Only when the input has fewer partitions than the default parallelism
+    (unsplittable inputs: one small Parquet row group, gzip JSON landings);
+    a large input already has many more partitions and is left as is.
+    """
+    if df.isStreaming:
+        return df
+    par = df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(par) if n < par else df
+
+
 def normalize_attempts(records: DataFrame, strict: bool = True, correct: str = "null_as_false",
                        lesson: bool = False, keep=("event_id",)) -> DataFrame:
     """P1 — flatten API records to the canonical columns (P3c picks the keys).
@@ -28,7 +42,7 @@ def normalize_attempts(records: DataFrame, strict: bool = True, correct: str = "
     ``correct`` picks the P2 convention; ``lesson`` adds lesson_id,
     lesson_name and score (P4a) for the lesson variant.
     """
-    records = with_parsed_params(records, strict=strict, json_col=None)
+    records = with_parsed_params(spread_for_cpu(records), strict=strict, json_col=None)
     p = F.col("_params")
     cols = [F.col(c) for c in keep if c in records.columns]
     cols += [
@@ -49,7 +63,7 @@ def normalize_attempts(records: DataFrame, strict: bool = True, correct: str = "
 
 def parsed_params(records: DataFrame, strict: bool = True, keep=("event_id",)) -> DataFrame:
     """P3a / P3b — the parsed dict as typed columns."""
-    records = with_parsed_params(records, strict=strict, json_col=None)
+    records = with_parsed_params(spread_for_cpu(records), strict=strict, json_col=None)
     p = F.col("_params")
     return records.select(
         *[F.col(c) for c in keep if c in records.columns],

@@ -179,7 +179,7 @@ from attempts where {rng(DS, plus(DS, 1))} group by 1""")(
     lambda spark, sf: A.daily_by_user(att(spark, sf), DS))
 
 DAILY_SUMMARY_SQL = """
-select date '{d}' period_start, date '{d}' period_end, count(*) total_attempts,
+select date '{d}' period_start, date '{d}' + 1 period_end, count(*) total_attempts,
        {cs} correct_attempts,
        cast(sum(case when not is_correct then 1 else 0 end) as bigint) incorrect_attempts,
        count(distinct lti_user_id) unique_users, {rate} correct_rate

@@ -31,6 +31,7 @@ SPEED_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
