@@ -125,27 +125,29 @@ def ordinals_full_refresh(att: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def weekly_user_accuracy(att: DataFrame, ds) -> DataFrame:
-    """A7 — per user: total, correct, accuracy % = round(avg(ok ? 1 : 0) * 100, 2)."""
-    return (flt.filter_calendar_week(att, ds)
+    """A7 — per user over the seven days from ds (``week_start`` = ds):
+    total, correct, accuracy % = round(avg(ok ? 1 : 0) * 100, 2)."""
+    return (flt.filter_rolling_week(att, ds)
             .groupBy("lti_user_id")
             .agg(F.count(F.lit(1)).alias("total_attempts"),
                  ok.correct_sum(OK).alias("correct_attempts"))
-            .select(cal.week_start(ds).alias("week_start"), "lti_user_id", "total_attempts",
+            .select(cal.as_date(ds).alias("week_start"), "lti_user_id", "total_attempts",
                     "correct_attempts",
                     half_up_ratio("correct_attempts", "total_attempts", scale=2, times=100)
                     .alias("accuracy")))
 
 
 def weekly_global(att: DataFrame, ds) -> DataFrame:
-    """A8 — one row for the week (also when empty): totals, unrounded success %,
-    distinct users, attempts per user, first and last time."""
-    return (flt.filter_calendar_week(att, ds)
+    """A8 — one row for the week ds .. ds + 6 (also when empty): totals,
+    unrounded success %, distinct users, attempts per user, first and last time.
+    The reference runs it on Mondays, where this is the calendar week."""
+    return (flt.filter_rolling_week(att, ds)
             .agg(F.count(F.lit(1)).alias("total_attempts"),
                  ok.correct_sum(OK).alias("correct_attempts"),
                  F.countDistinct("lti_user_id").alias("unique_users"),
                  F.min("created_at").alias("min_created_at"),
                  F.max("created_at").alias("max_created_at"))
-            .select(cal.week_start(ds).alias("week_start"), cal.week_end(ds).alias("week_end"),
+            .select(cal.as_date(ds).alias("week_start"), cal.shift_days(ds, 6).alias("week_end"),
                     "total_attempts", "correct_attempts",
                     (plain_ratio("correct_attempts", "total_attempts") * F.lit(100.0))
                     .alias("success_rate"),
@@ -530,12 +532,13 @@ def sum_by_product(cafe: DataFrame, ds) -> DataFrame:
 def category_stock(products_df: DataFrame, categories_df: DataFrame) -> DataFrame:
     """J1 — products joined to categories, stock summed by category name.
 
-    The category side is broadcast only behind a row-count check
-    (``joins.broadcast_if_small``); otherwise Catalyst/AQE pick the join.
+    No hint: the category side is an aggregate, whose size Catalyst cannot
+    bound before it runs; AQE measures it after its shuffle stage and turns
+    the join into a broadcast join when it is small (it is: one row per
+    brand), else keeps the sort-merge join.  A pre-counting check would
+    compute the distinct twice.
     """
-    from .joins import broadcast_if_small
-    cats = broadcast_if_small(categories_df)
-    return (products_df.join(cats, "category_id")
+    return (products_df.join(categories_df, "category_id")
             .groupBy("category_name")
             .agg(F.sum("units_in_stock").cast("long").alias("units_in_stock"),
                  F.count(F.lit(1)).alias("products")))

@@ -170,28 +170,39 @@ def replace_periods(spark: SparkSession, df: DataFrame, path: str, partition_by,
     ``df`` is dropped from the table, so an empty re-run empties the period
     like DELETE + INSERT would.  Without ``periods`` only periods present in
     ``df`` are replaced.
+
+    ``df`` is computed once: the partition values it wrote are observed
+    during the write (a set bounded by the number of periods), not by a
+    second pass.
     """
+    from pyspark.sql import Observation
     partition_by = list(partition_by)
     if source_reads_target:
         df = stage(spark, df, "replace", partition_by)
-    # Distinct period values of the new data: one row per partition written,
-    # bounded by the number of periods, not by the data.
-    present = {tuple(r) for r in df.select(*partition_by).distinct().collect()}
+    obs = Observation(f"replace-{abs(hash(path))}")
+    watched = df.observe(obs, F.collect_set(F.struct(
+        *[F.col(c).cast("string").alias(c) for c in partition_by])).alias("parts"))
+    (watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by).parquet(path))
+    present = {tuple(r[c] for c in partition_by) for r in obs.get["parts"]}
     for spec in periods or []:
-        key = tuple(_norm(spec[c]) for c in partition_by)
-        if key not in {tuple(_norm(v) for v in p) for p in present}:
+        key = tuple(str(spec[c]) for c in partition_by)
+        if key not in present:
             pp = partition_path(path, {c: spec[c] for c in partition_by})
             if path_exists(spark, pp):
                 delete_path(spark, pp)
-    if present:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*partition_by).parquet(path))
-    if present or path_exists(spark, path):
-        _save_schema(spark, path, df.schema, partition_by)
+    _save_schema(spark, path, df.schema, partition_by)
 
 
-def _norm(v):
-    return str(v)
+def _partition_filter(df: DataFrame, partition_by, values) -> F.Column:
+    """``(p1 = v AND p2 = w) OR ...`` on partition columns: prunes folders at listing."""
+    cond = F.lit(False)
+    for vals in values:
+        one = F.lit(True)
+        for c, v in zip(partition_by, vals):
+            one = one & (F.col(c) == F.lit(v).cast(df.schema[c].dataType))
+        cond = cond | one
+    return cond
 
 
 # ------------------------------------------------------------------------- W4
@@ -200,9 +211,10 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys,
            partition_by=None) -> None:
     """W4 / J5 — insert or update by ``keys``.
 
-    Only partitions touched by ``source`` are read and rewritten (partition
-    pruning on the period columns); an unpartitioned table is rewritten whole.
-    The merged rows are staged before the overwrite.
+    The source is staged once (it is usually an aggregate, and later steps
+    read it twice).  Only partitions touched by the source are read —
+    literal filters on the partition columns, so other folders are never
+    listed — and rewritten; an unpartitioned table is rewritten whole.
     """
     keys = list(keys)
     partition_by = list(partition_by or [])
@@ -210,12 +222,14 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys,
         write_append(source, path, partition_by or None)
         return
     target = read_table(spark, path)
-    source = source.select(*target.columns)
+    src = stage(spark, source.select(*target.columns), "upsert_src")
     if partition_by:
-        touched = source.select(*partition_by).distinct()
-        target = target.join(F.broadcast(touched) if _small(touched) else touched,
-                             partition_by, "left_semi")
-    merged = stage(spark, upsert_frames(target, source, keys), "upsert", partition_by or None)
+        # distinct period values of the staged source: bounded by the periods
+        touched = [tuple(r) for r in src.select(*partition_by).distinct().collect()]
+        if not touched:
+            return
+        target = target.filter(_partition_filter(target, partition_by, touched))
+    merged = stage(spark, upsert_frames(target, src, keys), "upsert", partition_by or None)
     if partition_by:
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*partition_by).parquet(path))

@@ -94,14 +94,14 @@ from attempts group by 1, 2""")(
 # ------------------------------------------------------------- weekly rows
 
 register("agg_weekly_user_accuracy", WA + f"""
-select date '{WS}' week_start, lti_user_id, count(*) total_attempts,
+select date '{DS}' week_start, lti_user_id, count(*) total_attempts,
        {CORRECT_SUM} correct_attempts,
        {R(CORRECT_CNT, 'count(*)', scale=2, times=100)} accuracy
-from attempts where {rng(WS, WE)} group by lti_user_id""")(
+from attempts where {rng(DS, plus(DS, 7))} group by lti_user_id""")(
     lambda spark, sf: A.weekly_user_accuracy(att(spark, sf), DS))
 
 register("agg_weekly_global", WA + f"""
-select date '{WS}' week_start, date '{plus(WS, 6)}' week_end, count(*) total_attempts,
+select date '{DS}' week_start, date '{plus(DS, 6)}' week_end, count(*) total_attempts,
        {CORRECT_SUM} correct_attempts,
        cast(sum(case when is_correct then 1 else 0 end) as double)
          / nullif(cast(count(*) as double), 0) * 100.0 success_rate,
@@ -109,7 +109,7 @@ select date '{WS}' week_start, date '{plus(WS, 6)}' week_end, count(*) total_att
        cast(count(*) as double) / nullif(cast(count(distinct lti_user_id) as double), 0)
          attempts_per_user_avg,
        min(created_at) min_created_at, max(created_at) max_created_at
-from attempts where {rng(WS, WE)}""")(
+from attempts where {rng(DS, plus(DS, 7))}""")(
     lambda spark, sf: A.weekly_global(att(spark, sf), DS))
 
 register("agg_weekly_lesson_stddev", WA + f"""

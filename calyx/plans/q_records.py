@@ -133,8 +133,8 @@ select lti_user_id user_id, event_type "type", ts created_at,
          "is_correct": "correct"}, order_by=["user_id", "type"]))
 
 register("export_row_document", WA + f"""
-select strftime(date '{WS}', '%Y-%m-%d') week_start,
-       strftime(date '{plus(WS, 6)}', '%Y-%m-%d') week_end,
+select strftime(date '{DS}', '%Y-%m-%d') week_start,
+       strftime(date '{plus(DS, 6)}', '%Y-%m-%d') week_end,
        count(*) total_attempts,
        cast(sum(case when is_correct then 1 else 0 end) as bigint) correct_attempts,
        coalesce(cast(sum(case when is_correct then 1 else 0 end) as double)
@@ -145,7 +145,7 @@ select strftime(date '{WS}', '%Y-%m-%d') week_start,
        strftime(min(created_at), '%Y-%m-%d %H:%M:%S.%f') min_created_at,
        strftime(max(created_at), '%Y-%m-%d %H:%M:%S.%f') max_created_at,
        '{DS}' calculated_at
-from attempts where {rng(WS, WE)}""")(
+from attempts where {rng(DS, plus(DS, 7))}""")(
     lambda spark, sf: N.export_row_document(
         A.weekly_global(att(spark, sf), DS), DS,
         ratio_cols=("success_rate", "attempts_per_user_avg")))
