@@ -238,10 +238,6 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys,
         write_full_refresh(merged, path)
 
 
-def _small(df: DataFrame, max_rows: int = 10_000) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 # ---------------------------------------------------------------- W5, W6, W7
 
 def insert_ignore(spark: SparkSession, batch: DataFrame, path: str, keys, order_by,

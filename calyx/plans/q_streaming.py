@@ -18,19 +18,20 @@ WA = with_(ATTEMPTS)
 @register("stream_dedup", WA + "select event_id, lti_user_id, attempt_type, created_at, "
           "is_correct from attempts")
 def stream_dedup(spark, sf):
-    """ST1: all attempts land as one file, later copies of every 'click'
-    row (same key, later id, other payload) as a second; one file per
-    micro-batch.  The copies are dropped: the first arrival wins."""
+    """ST1: two incremental runs of one ingest stream (same checkpoint).  All
+    attempts arrive first; later copies of every 'click' row (same key, later
+    id, other payload) arrive for the second run and are dropped: the first
+    arrival wins."""
     landing = scratch_path(spark, "landing")
     a = T.attempts(spark, sf).select(*RAW)
-    a.coalesce(1).write.mode("append").parquet(landing)
     copies = (a.filter(F.col("attempt_type") == "click")
               .withColumn("event_id", F.col("event_id") + F.lit(1_000_000_000))
               .withColumn("attempt_type", F.lit("click_copy")))
-    copies.coalesce(1).write.mode("append").parquet(landing)
-    src = S.file_stream(spark, landing, a.schema, max_files_per_trigger=1)
     out, ck = scratch_path(spark, "dedup_out"), scratch_path(spark, "dedup_ck")
-    S.run_to_parquet(S.dedup_stream(src, KEYS, "40 days"), out, ck)
+    for arrival in (a, copies):
+        arrival.write.mode("append").parquet(landing)
+        src = S.file_stream(spark, landing, a.schema)
+        S.run_to_parquet(S.dedup_stream(src, KEYS, "40 days"), out, ck)
     return spark.read.parquet(out).select(*RAW)
 
 
@@ -55,17 +56,18 @@ def stream_weekly(spark, sf):
 
 @register("stream_upsert_weekly", WEEKLY_SQL.format(where=""))
 def stream_upsert_weekly(spark, sf):
-    """ST3: the same weeks in update mode, upserted per micro-batch; events
-    arrive as two files (low values, then high values) that touch the same
-    weeks, so the second batch updates rows written by the first."""
+    """ST3: the same weeks in update mode, upserted per micro-batch, over two
+    incremental runs: events before 2024-01-20 arrive first, the rest later,
+    so the week of 01-15 is written by the first run and updated by the second."""
     landing = scratch_path(spark, "landing_w")
     ev = T.read_table(spark, sf, "events")
-    ev.filter(F.col("value") < 100).coalesce(1).write.mode("append").parquet(landing)
-    ev.filter(~(F.col("value") < 100)).coalesce(1).write.mode("append").parquet(landing)
-    src = S.file_stream(spark, landing, ev.schema, max_files_per_trigger=1)
+    cut = F.lit("2024-01-20").cast("timestamp_ntz")
     table, ck = scratch_path(spark, "weekly_tbl"), scratch_path(spark, "weekly_ck2")
-    # rows up to two weeks late still update their week
-    S.run_upserting(spark, S.weekly_stream(T.attempts_from_events(src), "14 days"), table, ck,
-                    ["week_start", "lti_user_id", "attempt_type"])
+    for arrival in (ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)):
+        arrival.write.mode("append").parquet(landing)
+        src = S.file_stream(spark, landing, ev.schema)
+        # rows up to two weeks late still update their week
+        S.run_upserting(spark, S.weekly_stream(T.attempts_from_events(src), "14 days"), table,
+                        ck, ["week_start", "lti_user_id", "attempt_type"])
     return spark.read.parquet(table).select("week_start", "lti_user_id", "attempt_type",
                                             "attempt_count", "attempt_failed_count")

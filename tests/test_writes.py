@@ -111,3 +111,11 @@ def test_create_and_drop(spark, tmp_table):
     assert W.table_exists(spark, p) and spark.read.parquet(p).count() == 0
     assert W.drop_table(spark, p) and not W.table_exists(spark, p)
     assert not W.drop_table(spark, p)
+
+
+def test_broadcast_if_small_checks_size(spark):
+    small = J.broadcast_if_small(spark.range(10), max_rows=10)
+    big = J.broadcast_if_small(spark.range(11), max_rows=10)
+    j_small = spark.range(100).join(small, "id")._jdf.queryExecution().optimizedPlan().toString()
+    j_big = spark.range(100).join(big, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in j_small.lower() and "broadcast" not in j_big.lower()
