@@ -40,7 +40,9 @@ def dedup_first_wins(batch: DataFrame, keys, order_by) -> DataFrame:
     ``row_number`` window would sort the whole group in one task).  Rows with
     a NULL key never conflict (unique constraints ignore NULLs) and are kept.
     """
-    keys, order_by = list(keys), list(order_by)
+    keys = list(keys)
+    # key columns are constant inside a group: they cannot order it
+    order_by = [c for c in order_by if c not in keys]
     payload = [c for c in batch.columns if c not in keys and c not in order_by]
     cols = batch.columns
     with_key = batch.filter(~_null_key(keys))
