@@ -115,14 +115,14 @@ def read_all_strings(spark: SparkSession, path: str, period_start, period_end,
                      cal.as_date(period_end).alias("_period_end"))
 
 
-# Fixed values of the synthetic café (the reference's branch list and menu).
-CAFE_BRANCHES = ("Center", "North", "South")
+# The synthetic café's branches and menu (dish, category, price),
+# as the reference defines them.
+CAFE_BRANCHES = ("Центр", "Север")
 CAFE_MENU = (
-    ("Espresso", "Coffee", "2.50"),
-    ("Cappuccino", "Coffee", "3.50"),
-    ("Latte", "Coffee", "3.80"),
-    ("Croissant", "Bakery", "2.20"),
-    ("Cheesecake", "Dessert", "4.50"),
+    ("Пицца", "Основные блюда", "650.00"),
+    ("Паста", "Основные блюда", "480.00"),
+    ("Кофе", "Напитки", "220.00"),
+    ("Чизкейк", "Десерты", "390.00"),
 )
 
 
@@ -131,8 +131,9 @@ def synthetic_orders(days: DataFrame, date_col: str = "report_date",
     """SRC6 — one row per date × branch × dish, quantity seeded by the three values.
 
     Each date row is expanded by a generator over the fixed branch × menu
-    list (constant fan-out, no join); quantity = pmod(xxhash64(date, branch,
-    dish), 36) + 5, so a re-run gives the same rows.
+    list (constant fan-out, no join).  Quantity is 5..40 like the reference's
+    date-seeded draw, here pmod(xxhash64(date, branch, dish), 36) + 5: the
+    same date gives the same rows on every re-run.
     """
     combos = F.array(*[
         F.struct(F.lit(b).alias("branch"), F.lit(d).alias("dish"), F.lit(c).alias("category"),
