@@ -377,6 +377,7 @@ def dq_domain(spark, sf):
 PREV_WEEK_SPECS = [
     {"name": "by_attempt_type", "period": "prev_week", "write_mode": "replace_period",
      "partition_by": ["period_start", "period_end"], "export": True,
+     "max_null_pct": 10, "critical_columns": ["attempt_type", "period_start"],
      "sql": """select attempt_type, count(*) total_attempts,
                       count(case when is_correct then 1 end) correct_attempts,
                       count(case when not is_correct then 1 end) incorrect_attempts,

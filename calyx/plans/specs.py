@@ -37,6 +37,8 @@ class AggSpec:
     keys: tuple = ()
     order_by: tuple = ()
     min_rows: int = 0
+    max_null_pct: float | None = None   # Q6 limit for every critical column
+    critical_columns: tuple = ()
     export: bool = False
     export_columns: tuple | None = None
     export_format: str = "tsv"          # tsv | csv | json
@@ -124,6 +126,15 @@ def run_aggregates(spark: SparkSession, specs, ds: str, sources: dict, base_path
             if spec.min_rows:
                 Q.assert_min_rows(W.read_table(spark, path), spec.min_rows, spec.name)
                 res.checks["min_rows"] = True
+            if spec.max_null_pct is not None and spec.critical_columns:
+                limits = {c: spec.max_null_pct for c in spec.critical_columns}
+                failed = [r.column_name for r in
+                          Q.null_pct(W.read_table(spark, path), limits).collect()
+                          if not r.passed]  # one row per critical column
+                if failed:
+                    raise Q.QualityError(f"{spec.name}: NULL share above "
+                                         f"{spec.max_null_pct}% in {failed}")
+                res.checks["null_pct"] = True
             if spec.export and export_base:
                 res.exported = _export(spark, spec, path, ds, export_base)
             results.append(res)

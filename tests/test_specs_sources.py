@@ -89,3 +89,19 @@ def test_empty_source_gates(spark, tmp_table):
     with pytest.raises(QualityError):
         S.run_aggregates(spark, [spec], "2031-01-01", {"attempts": att}, tmp_table("g"), None,
                          {"attempts": "created_at"})
+
+
+def test_null_share_gate(spark, tmp_table):
+    att = T.attempts(spark, SF)
+    spec = S.load_specs(SPECS)[0]
+    spec.min_rows, spec.export = 0, False
+    spec.sql = ("select attempt_type, cast(null as string) note, :ds ds from {attempts} "
+                "where created_at >= :period_start and created_at < :period_end")
+    spec.max_null_pct, spec.critical_columns = 10, ("attempt_type", "note")
+    from calyx.operators.quality import QualityError
+    with pytest.raises(QualityError, match="note"):
+        S.run_aggregates(spark, [spec], "2024-01-10", {"attempts": att}, tmp_table("q"), None,
+                         {"attempts": "created_at"})
+    spec.critical_columns = ("attempt_type",)
+    S.run_aggregates(spark, [spec], "2024-01-10", {"attempts": att}, tmp_table("q"), None,
+                     {"attempts": "created_at"})
