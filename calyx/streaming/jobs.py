@@ -56,10 +56,39 @@ def weekly_stream(df: DataFrame, delay: str, col: str = "created_at") -> DataFra
                     "attempt_type", "attempt_count", "attempt_failed_count")
 
 
-def run_to_parquet(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
+class _conf:
+    """Temporarily set a SQL conf while a stream starts.
+
+    The number of state-store partitions is read from
+    ``spark.sql.shuffle.partitions`` when a query first starts and is then
+    fixed in its checkpoint; sizing it to the cluster's parallelism (instead
+    of whatever the session holds) keeps every micro-batch one wave wide.
+    """
+
+    def __init__(self, spark, key, value):
+        self.spark, self.key, self.value = spark, key, value
+
+    def __enter__(self):
+        self.old = self.spark.conf.get(self.key, None)
+        if self.value is not None:
+            self.spark.conf.set(self.key, str(self.value))
+
+    def __exit__(self, *exc):
+        if self.value is not None and self.old is not None:
+            self.spark.conf.set(self.key, self.old)
+
+
+def state_partitions(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def run_to_parquet(stream: DataFrame, out: str, checkpoint: str, mode: str = "append",
+                   partitions: int | None = None) -> None:
     """Process everything available, then stop (restartable via the checkpoint)."""
-    q = (stream.writeStream.outputMode(mode).format("parquet")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
+    spark = stream.sparkSession
+    with _conf(spark, "spark.sql.shuffle.partitions", partitions or state_partitions(spark)):
+        q = (stream.writeStream.outputMode(mode).format("parquet")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
     q.awaitTermination()
 
 
@@ -73,6 +102,7 @@ def run_upserting(spark: SparkSession, stream: DataFrame, table: str, checkpoint
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         W.upsert(spark, batch, table, keys, partition_by)
 
-    q = (stream.writeStream.outputMode("update").foreachBatch(upsert_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with _conf(spark, "spark.sql.shuffle.partitions", state_partitions(spark)):
+        q = (stream.writeStream.outputMode("update").foreachBatch(upsert_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
