@@ -426,6 +426,34 @@ def new_users(att: DataFrame, start, end) -> DataFrame:
                     "date_tag"))
 
 
+def new_users_from_dim(att: DataFrame, users: DataFrame, start, end) -> DataFrame:
+    """J2 against the users dimension (A26 maintained by insert-ignore).
+
+    Same result as ``new_users`` without rescanning history: the period's
+    rows are first reduced to one row per user (partial aggregation, so a
+    hot user costs one row per task), then left-joined to the users whose
+    first activity is before ``start``.  The join has one row per active
+    user on each side; AQE picks broadcast or sort-merge from the measured
+    sizes.
+    """
+    s_ts = cal.as_date(start).cast("timestamp_ntz")
+    per_user = (flt.in_range(att, "created_at", start, end).groupBy("lti_user_id")
+                .agg(F.count(F.lit(1)).alias("_n"),
+                     F.count(F.when(ok.correct_raw_int(OK) == 1, 1)).alias("_c")))
+    earlier = (users.filter(F.col("first_activity") < s_ts).select("lti_user_id")
+               .withColumn("_seen", F.lit(True)))
+    j = per_user.join(earlier, "lti_user_id", "left")
+    return (j.groupBy(cal.month_tag(start).alias("date_tag"))
+            .agg(F.sum("_n").cast("long").alias("attempts_total"),
+                 F.sum("_c").cast("long").alias("correct_attempts"),
+                 F.count(F.lit(1)).alias("unique_users"),
+                 F.count(F.when(F.col("_seen").isNull(), 1)).alias("new_users"))
+            .select(cal.as_date(start).alias("period_start"),
+                    F.date_sub(cal.as_date(end), 1).alias("period_end"),
+                    "attempts_total", "correct_attempts", "unique_users", "new_users",
+                    "date_tag"))
+
+
 # --------------------------------------------------------------------------
 # purchases, café, sales, series
 # --------------------------------------------------------------------------

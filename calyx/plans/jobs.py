@@ -67,7 +67,7 @@ def weekly_new_users(spark: SparkSession, landing: str, ds: str, warehouse: str,
     out = {"raw": raw_path, "users": users_path, "agg": agg_path, "ready": bool(ready.ready)}
     if not ready.ready:
         return out
-    row = A.new_users(raw, start, end)                                           # J2
+    row = A.new_users_from_dim(raw, W.read_table(spark, users_path), start, end)  # J2
     W.insert_if_period_absent(spark, row, agg_path, "period_start", start)       # ON CONFLICT
     if export_base:                                                              # X2
         target = X.export_path(export_base, "agg_new_users", start)

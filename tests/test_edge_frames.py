@@ -73,3 +73,14 @@ def test_empty_period_global_vs_grouped(spark):
     assert A.daily_by_type(att, empty_day).count() == 0
     assert A.monthly_summary(att, empty_day).count() == 0
     assert A.new_users(att, "2024-02-05", "2024-02-12").count() == 0
+
+
+def test_new_users_dimension_form_matches(spark):
+    from calyx.sources.tables import attempts
+    att = attempts(spark, "/root/testdata/sf0.001")
+    users = att.groupBy("lti_user_id").agg(F.min("created_at").alias("first_activity"))
+    for s, e in (("2024-01-08", "2024-01-15"), ("2024-01-01", "2024-01-08"),
+                 ("2024-01-29", "2024-02-05")):
+        a = sorted(map(tuple, A.new_users(att, s, e).collect()))
+        b = sorted(map(tuple, A.new_users_from_dim(att, users, s, e).collect()))
+        assert a == b and a
