@@ -85,3 +85,16 @@ def test_every_query_has_oracle_or_is_listed():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "attempt_failed_count" in df.columns
+
+
+def test_category_join_becomes_broadcast_at_run_time(spark):
+    df = E.queries()["join_category_stock"](spark, SF_SMALL)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in p and "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_dedup_and_new_users_aggregate_partially(spark):
+    for k in ("anti_new_rows", "agg_new_users"):
+        p = plan(E.queries()[k](spark, SF_SMALL))
+        assert "partial_min" in p and "Window" not in p, k
