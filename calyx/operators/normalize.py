@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import correctness as ok
-from ..functions.params import has_key, has_key_json, py_bool, with_parsed_params
+from ..functions.params import has_key_json, py_bool, with_parsed_params
 from ..sources.records import CREATED_AT_FORMAT
 
 CANONICAL = ("lti_user_id", "is_correct", "attempt_type", "created_at",

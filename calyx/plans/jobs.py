@@ -14,7 +14,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..operators import aggregates as A

@@ -24,9 +24,9 @@ from ..session import scratch_path
 from ..sources import records as REC
 from ..sources import tables as T
 from . import specs as S
-from .params import DS, DS_MONTH, DS_NEXT_WEEK, DS_ORDERS, month_start, next_month, plus, week_start
+from .params import DS, DS_MONTH, DS_NEXT_WEEK, DS_ORDERS, plus, week_start
 from .q_aggregates import WEEKLY_USER_TYPE_SQL, daily_summary_sql
-from .registry import ATTEMPTS, PURCHASES, RECORDS, register, with_
+from .registry import ATTEMPTS, RECORDS, register, with_
 
 WA = with_(ATTEMPTS)
 WS, WE = week_start(DS), plus(week_start(DS), 7)

@@ -92,3 +92,9 @@ def test_export_paths_and_period_rows(spark):
                                 "s string, v int").select(
         F.to_timestamp_ntz("s").alias("created_at"), "v")
     assert [r.v for r in X.period_rows_for_export(raw, "2024-01-10").collect()] == [1]
+
+
+def test_order_by_first_column(spark):
+    from calyx.operators.normalize import order_by_first_column
+    df = spark.createDataFrame([("b", 1), ("a", 2), ("c", 0)], "k string, v int")
+    assert [r.k for r in order_by_first_column(df).collect()] == ["a", "b", "c"]
