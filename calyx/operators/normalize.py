@@ -122,7 +122,12 @@ def order_by_first_column(df: DataFrame) -> DataFrame:
 
 
 def export_projection(df: DataFrame, columns: dict | list, order_by=None) -> DataFrame:
-    """P7 / S2 — rename, reorder and subset for export, optionally ordered."""
+    """P7 / S2 — rename, reorder and subset for export, optionally ordered.
+
+    A global sort range-partitions on its keys, and equal keys cannot be
+    split: give ``order_by`` a fine-grained last key (a timestamp) so one
+    user holding a third of the rows spreads over many range partitions.
+    """
     if isinstance(columns, dict):
         out = df.select(*[F.col(src).alias(dst) for src, dst in columns.items()])
     else:

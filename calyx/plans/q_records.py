@@ -130,7 +130,7 @@ select lti_user_id user_id, event_type "type", ts created_at,
     lambda spark, sf: N.export_projection(
         N.normalize_attempts(R.api_records(spark, sf)),
         {"lti_user_id": "user_id", "attempt_type": "type", "created_at": "created_at",
-         "is_correct": "correct"}, order_by=["user_id", "type"]))
+         "is_correct": "correct"}, order_by=["user_id", "type", "created_at"]))
 
 register("export_row_document", WA + f"""
 select strftime(date '{DS}', '%Y-%m-%d') week_start,

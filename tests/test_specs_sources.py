@@ -105,3 +105,17 @@ def test_null_share_gate(spark, tmp_table):
     spec.critical_columns = ("attempt_type",)
     S.run_aggregates(spark, [spec], "2024-01-10", {"attempts": att}, tmp_table("q"), None,
                      {"attempts": "created_at"})
+
+
+def test_table_name_parameter_and_load_time(spark, tmp_table):
+    from calyx.operators.normalize import stamp_periods
+    att = T.attempts(spark, SF)
+    spec = S.AggSpec(name="labelled", period="day", write_mode="overwrite",
+                     sql="select :table_name tbl, count(*) n from {attempts} "
+                         "where created_at >= :period_start and created_at < :period_end")
+    res = S.run_aggregates(spark, [spec], "2024-01-10", {"attempts": att}, tmp_table("n"))
+    assert S.run_summary(spark, res).first().row_count == 1
+    from calyx.operators.writes import read_table
+    assert read_table(spark, res[0].path).first().tbl == "labelled"
+    stamped = stamp_periods(att.limit(1), ds="2024-01-10", loaded_at=True).first()
+    assert stamped.loaded_at is not None and str(stamped.week_start) == "2024-01-08"
