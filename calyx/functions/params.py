@@ -10,7 +10,7 @@ order, any characters that cannot start the token and whole quoted strings
 (so ``'a: None, b'`` inside quotes is left alone), then the bare token is
 replaced.  Possessive quantifiers keep the match linear.
 
-Text that still is not JSON (truncated text, tuples, ``\\x`` escapes) is a
+Text that still is not JSON (truncated text, tuples, sets, bytes) is a
 corrupt record: the strict parser fails the query, the lenient parser
 returns an empty dict.  NULL and '' are an empty dict in both.
 """
@@ -45,9 +45,15 @@ PARAMS_JSON_OPTIONS = {
 }
 
 
+# \xNN escapes (Python's repr of control characters) -> JSON \u00NN, only
+# where the backslash is not itself escaped (an even run of backslashes before it).
+_HEX_ESCAPE = r"(?<!\\)((?:\\\\)*)\\x([0-9A-Fa-f]{2})"
+
+
 def dict_literal_to_json(text: Column) -> Column:
-    """Rewrite the Python literals None/True/False outside strings to JSON tokens."""
-    out = text
+    r"""Rewrite a Python dict literal into JSON text: the literals None / True /
+    False outside strings become JSON tokens, ``\xNN`` escapes become ``\u00NN``."""
+    out = F.regexp_replace(text, _HEX_ESCAPE, "$1\\\\u00$2")
     for py, js in _REWRITES:
         out = F.regexp_replace(out, _token_pattern(py), "$1" + js)
     return out
@@ -70,9 +76,7 @@ def parse_params(text: Column, keys=LTI_KEYS + LESSON_KEYS + ("graded",),
     blank = text.isNull() | (F.trim(text) == "")
     js = dict_literal_to_json(text)
     parsed = F.from_json(js, schema, PARAMS_JSON_OPTIONS)
-    # \x.. escapes have no JSON meaning; Jackson would read them as 'x..'
-    bad = (~blank) & (parsed.isNull() | parsed["_corrupt"].isNotNull()
-                      | text.rlike(r"\\x[0-9A-Fa-f]{2}"))
+    bad = (~blank) & (parsed.isNull() | parsed["_corrupt"].isNotNull())
     empty = F.struct(*[F.lit(None).cast("string").alias(k) for k in keys])
     good = F.struct(*[parsed[k].alias(k) for k in keys])
     if strict:
@@ -113,8 +117,7 @@ def with_parsed_params(df, text_col: str = "passback_params", out: str = "_param
     step = step.withColumn("_params_raw", F.from_json(F.col(js), params_schema(keys),
                                                       PARAMS_JSON_OPTIONS))
     raw = F.col("_params_raw")
-    bad = F.col(js).isNotNull() & (raw.isNull() | raw["_corrupt"].isNotNull()
-                                   | text.rlike(r"\\x[0-9A-Fa-f]{2}"))
+    bad = F.col(js).isNotNull() & (raw.isNull() | raw["_corrupt"].isNotNull())
     empty = F.struct(*[F.lit(None).cast("string").alias(k) for k in keys])
     good = F.struct(*[raw[k].alias(k) for k in keys])
     if strict:

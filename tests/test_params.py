@@ -15,8 +15,9 @@ CASES = [
     ("{'oauth_consumer_key': 'it\\'s \"q\"'}", {"oauth_consumer_key": "it's \"q\""}),
     ("{'oauth_consumer_key': 'NoneTrue', 'score': False}",
      {"oauth_consumer_key": "NoneTrue", "score": "false"}),
+    ("{'oauth_consumer_key': '\\x41\\\\x41'}", {"oauth_consumer_key": "A\\x41"}),
 ]
-BAD = ["bad{", "{'a': (1, 2)}", "{'oauth_consumer_key': '\\x41'}"]
+BAD = ["bad{", "{'a': (1, 2)}", "{'a': {1, 2}}", "{'a': b'x'}"]
 
 
 def frame(spark, texts):
@@ -55,3 +56,30 @@ def test_key_presence(spark):
     df = frame(spark, ["{'score': None}", "{'x': 1}", "{'a': 'score'}"])
     got = [r.k for r in df.orderBy("i").select(has_key(F.col("t"), "score").alias("k")).collect()]
     assert got == [True, False, False]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ALPHABET = st.sampled_from(list("ab '\"\\:,{}\n\t\x07éж") + ["None", "True", "False", ": None, "])
+TEXT = st.lists(ALPHABET, max_size=8).map("".join)
+VALUE = st.one_of(st.none(), st.booleans(), st.integers(-10**6, 10**6), TEXT)
+KEYS = ("oauth_consumer_key", "lis_result_sourcedid", "lis_outcome_service_url")
+
+
+def expected(v):
+    if v is None:
+        return None
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return str(v)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.fixed_dictionaries({k: VALUE for k in KEYS}), min_size=1, max_size=10))
+def test_repr_round_trip(spark, dicts):
+    texts = [repr(d) for d in dicts]
+    df = frame(spark, texts)
+    got = df.orderBy("i").select(parse_params(F.col("t"), keys=KEYS).alias("p")).collect()
+    for d, r in zip(dicts, got):
+        assert {k: getattr(r.p, k) for k in KEYS} == {k: expected(d[k]) for k in KEYS}, repr(d)
