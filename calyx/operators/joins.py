@@ -38,19 +38,20 @@ def dedup_first_wins(batch: DataFrame, keys, order_by) -> DataFrame:
     aggregate with map-side partial aggregation: a key holding a third of all
     rows is reduced inside each input task, never gathered into one task (a
     ``row_number`` window would sort the whole group in one task).  Rows with
-    a NULL key never conflict (unique constraints ignore NULLs) and are kept.
+    a NULL key never conflict (unique constraints ignore NULLs): they get a
+    row id as an extra grouping key so each stays its own group — one
+    aggregate over one scan, no union of two paths.
     """
     keys = list(keys)
     # key columns are constant inside a group: they cannot order it
     order_by = [c for c in order_by if c not in keys]
     payload = [c for c in batch.columns if c not in keys and c not in order_by]
     cols = batch.columns
-    with_key = batch.filter(~_null_key(keys))
-    firsts = (with_key.groupBy(*keys)
-              .agg(F.min(F.struct(*[F.col(c) for c in order_by + payload])).alias("_w"))
-              .select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order_by + payload])
-              .select(*cols))
-    return firsts.unionByName(batch.filter(_null_key(keys)))
+    tagged = batch.withColumn("_solo", F.when(_null_key(keys), F.monotonically_increasing_id()))
+    return (tagged.groupBy(*keys, "_solo")
+            .agg(F.min(F.struct(*[F.col(c) for c in order_by + payload])).alias("_w"))
+            .select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order_by + payload])
+            .select(*cols))
 
 
 def anti_new_rows(batch: DataFrame, target: DataFrame, keys, order_by) -> DataFrame:
