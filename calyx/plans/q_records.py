@@ -177,8 +177,9 @@ select {RAW_COLS} from attempts
 where created_at >= timestamp '{WS}' and created_at <= timestamp '{plus(WS, 6)} 23:59:59'""")(
     lambda spark, sf: raw(flt.filter_week_closed_second(att(spark, sf), DS)))
 
-# month end at midnight drops the last day (2024-01-31 has no events; use a
-# mid-month 'month' of the data: rows up to 2024-01-31 00:00 inclusive)
+# F13 keeps rows up to the month's last day at 00:00 and loses the rest of
+# that day; the events end on 01-30, so the loss shows in the boundary-instant
+# unit test (tests/test_calendar.py), not here.
 register("filter_month_closed_midnight", WA + f"""
 select {RAW_COLS} from attempts
 where created_at >= timestamp '{MS}' and created_at <= timestamp '{plus(ME, -1)}'""")(
