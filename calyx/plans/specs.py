@@ -57,6 +57,14 @@ class AggSpec:
         return cls(**kw)
 
 
+def example_specs(name: str) -> list[AggSpec]:
+    """Bundled spec sets: 'daily', 'monthly', 'prev_week' (plans/examples/*.json)."""
+    import os
+    path = os.path.join(os.path.dirname(__file__), "examples", f"{name}.json")
+    with open(path, encoding="utf-8") as fh:
+        return load_specs(fh.read())
+
+
 def load_specs(text_or_list) -> list[AggSpec]:
     """SRC7 — specs from a JSON document (text) or a list of dicts.
 
@@ -92,6 +100,8 @@ def run_aggregates(spark: SparkSession, specs, ds: str, sources: dict, base_path
     source's time column so the shared scan can be cut to the specs' periods
     before it is cached (specs sharing a source share one scan).
     """
+    from .sql_functions import register_sql_functions
+    register_sql_functions(spark)
     ts_cols = ts_cols or {}
     kinds = {s.period for s in specs}
     shared = {}
