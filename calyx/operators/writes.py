@@ -64,31 +64,52 @@ def _save_schema(spark: SparkSession, path: str, schema: T.StructType, partition
 
 
 def _data_files(spark: SparkSession, path: str) -> bool:
+    """True at the first data file under ``path`` (skipping ``_``/``.`` files and
+    folders such as ``_temporary`` or ``.spark-staging``)."""
     fs, p = _fs(spark, path)
+    base = fs.makeQualified(p).toUri().getPath().rstrip("/")
     it = fs.listFiles(p, True)
     while it.hasNext():
-        f = it.next().getPath()
-        name = f.getName()
-        if not name.startswith(("_", ".")) and "/_" not in f.toUri().getPath()[len(path):]:
+        rel = it.next().getPath().toUri().getPath()[len(base):]
+        if not any(part.startswith(("_", ".")) for part in rel.split("/") if part):
             return True
     return False
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written by these modes; an emptied table reads as 0 rows."""
+def _saved_schema(spark: SparkSession, path: str):
+    """The schema file of a table (partition columns last, as readers order
+    them), or None."""
     import json
-    if path_exists(spark, path) and _data_files(spark, path):
-        return spark.read.parquet(path)
     fs, _ = _fs(spark, path)
     meta_path = spark._jvm.org.apache.hadoop.fs.Path(path, SCHEMA_FILE)
     if not fs.exists(meta_path):
-        raise FileNotFoundError(f"no table at {path}")
+        return None
     stream = fs.open(meta_path)
-    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream))
+    reader = spark._jvm.java.io.BufferedReader(
+        spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
     text = "".join(iter(reader.readLine, None))
     reader.close()
     meta = json.loads(text)
     schema = T.StructType.fromJson(meta["schema"])
+    parts = meta.get("partition_by") or []
+    fields = [f for f in schema.fields if f.name not in parts] + \
+             [schema[c] for c in parts if c in schema.names]
+    return T.StructType(fields)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a table written by these modes.
+
+    With its schema file, partition values are read with the written types
+    (no re-inference), and a table whose partitions were all dropped reads as
+    0 rows with the same columns.
+    """
+    schema = _saved_schema(spark, path) if path_exists(spark, path) else None
+    has_data = path_exists(spark, path) and _data_files(spark, path)
+    if has_data:
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    if schema is None:
+        raise FileNotFoundError(f"no table at {path}")
     return spark.createDataFrame([], schema)
 
 

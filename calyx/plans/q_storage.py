@@ -74,7 +74,7 @@ def dedup_first_wins(spark, sf):
     W.write_append(flt.in_range(a, "created_at", WS, plus(WS, 3)), path)
     W.insert_ignore(spark, with_late_copies(flt.filter_calendar_week(a, DS)), path, KEYS,
                     ["event_id"])
-    return spark.read.parquet(path)
+    return W.read_table(spark, path)
 
 
 MONTH_SQL = """
@@ -109,7 +109,7 @@ def upsert_result(spark, sf):
     W.upsert(spark, snap, path, keys, ["year_month"])
     full = A.monthly_user_attempts(a, DS_MONTH).filter(F.col("attempt_type").isin("click", "view"))
     W.upsert(spark, full, path, keys, ["year_month"])
-    return spark.read.parquet(path).select(*snap.columns)
+    return W.read_table(spark, path).select(*snap.columns)
 
 
 DAYS4 = ["2024-01-08", "2024-01-09", "2024-01-10", "2024-01-11"]
@@ -128,7 +128,7 @@ def insert_if_period_absent(spark, sf):
     W.insert_if_period_absent(spark, A.daily_summary(clicks_only, DAYS4[1]), path,
                               "period_start", DAYS4[1])
     W.insert_if_period_absent(spark, A.daily_summary(a, DAYS4[3]), path, "period_start", DAYS4[3])
-    return spark.read.parquet(path)
+    return W.read_table(spark, path)
 
 
 # ------------------------------------------------------------- write modes
@@ -141,7 +141,7 @@ def write_append_twice(spark, sf):
     path = scratch_path(spark, "append")
     for _ in range(2):
         W.write_append(A.weekly_user_type(att(spark, sf), DS), path)
-    return spark.read.parquet(path)
+    return W.read_table(spark, path)
 
 
 @register("write_full_refresh", WA + f"""
@@ -155,7 +155,7 @@ def write_full_refresh(spark, sf):
     path = scratch_path(spark, "refresh")
     W.write_full_refresh(A.weekly_user_type(att(spark, sf), DS), path)
     W.write_full_refresh(A.weekly_user_type(att(spark, sf), DS_NEXT_WEEK), path)
-    return spark.read.parquet(path)
+    return W.read_table(spark, path)
 
 
 DAILY_RANGE_SQL = WA + """
@@ -185,7 +185,7 @@ def write_period_replace(spark, sf):
     partial = a.filter(F.col("created_at") < F.lit("2024-01-12 12:00:00").cast("timestamp_ntz"))
     _days_table(spark, partial, path, WS, WE)
     _days_table(spark, a, path, "2024-01-11", WE)
-    return spark.read.parquet(path).select("ds", "attempt_type", "attempts", "correct")
+    return W.read_table(spark, path).select("ds", "attempt_type", "attempts", "correct")
 
 
 @register("write_period_replace_empty", DAILY_RANGE_SQL.format(
@@ -198,7 +198,7 @@ def write_period_replace_empty(spark, sf):
     _days_table(spark, a, path, WS, WE)
     gone = a.filter(F.col("attempt_type") == "no-such-type")
     _days_table(spark, gone, path, "2024-01-13", "2024-01-14")
-    return spark.read.parquet(path).select("ds", "attempt_type", "attempts", "correct")
+    return W.read_table(spark, path).select("ds", "attempt_type", "attempts", "correct")
 
 
 # ------------------------------------------------------------------- sinks
