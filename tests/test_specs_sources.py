@@ -119,3 +119,17 @@ def test_table_name_parameter_and_load_time(spark, tmp_table):
     assert read_table(spark, res[0].path).first().tbl == "labelled"
     stamped = stamp_periods(att.limit(1), ds="2024-01-10", loaded_at=True).first()
     assert stamped.loaded_at is not None and str(stamped.week_start) == "2024-01-08"
+
+
+def test_min_rows_checks_the_written_period(spark, tmp_table):
+    att = T.attempts(spark, SF)
+    spec = S.load_specs(SPECS)[0]
+    spec.export = False
+    base = tmp_table("mr")
+    S.run_aggregates(spark, [spec], "2024-01-10", {"attempts": att}, base, None,
+                     {"attempts": "created_at"})
+    # another day with no rows: the table has rows, the period has none
+    from calyx.operators.quality import QualityError
+    with pytest.raises(QualityError):
+        S.run_aggregates(spark, [spec], "2031-01-01", {"attempts": att}, base, None,
+                         {"attempts": "created_at"})
