@@ -6,7 +6,11 @@ hands the text column over as one buffer, so there is no Python loop over words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +23,30 @@ from calyx.session import scratch_path
 CHUNK_BYTES = 1 << 21          # bytes of text hashed at once; a longer text makes its own chunk
 
 
+# ---------------------------------------------------------- code on executors
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="calyx-code-"), "calyx_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent).as_posix())
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 # ------------------------------------------------------------ written tables
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix, shingle_sets, write_table
+from .common import components, map_arrow, mix, shingle_sets, write_table
 
 BANDS, ROWS = 64, 8
 
@@ -85,8 +85,9 @@ def _signed(batches, k: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int,
                bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, n, print, keys) per row: set size, 128-bit fingerprint of the set, band keys."""
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        lambda it: _signed(it, k, bands, rows), "id long, n long, print binary, keys array<long>")
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return map_arrow(base, lambda it: _signed(it, k, bands, rows),
+                     "id long, n long, print binary, keys array<long>")
 
 
 def _confirmed(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -118,7 +119,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return rows.mapInArrow(lambda it: _confirmed(it, k, percent), "a long, b long")
+    return map_arrow(rows, lambda it: _confirmed(it, k, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash
+from . import decontam, langid, licenses, linededup, minhash, packing, warc
 from .common import load
 
 QUERIES: dict = {}
@@ -22,3 +22,54 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of ``documents`` on 4-word shingles at similarity 0.8."""
     found = minhash.near_duplicates(load(spark, sf_dir, "documents"), "doc_id", "text", k=4, percent=80)
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed into sequences of at most 4096 tokens."""
+    return packing.pack(load(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in all ``documents``."""
+    return licenses.scan_licenses(load(spark, sf_dir, "documents"), "doc_id", "text") \
+        .withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``pages`` written as WARC records, read back and indexed."""
+    return warc.capture_index(load(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op9_warc"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, strlen(html) as payload_bytes, sha1(html) as payload_digest from p),
+m as (select payload_digest, max(page_id) as last from d where payload_bytes >= 1000 group by 1)
+select page_id, payload_bytes, payload_digest,
+       case when last is not null and last <> page_id then 'revisit' else 'response' end as record_type,
+       case when last <> page_id then last end as refers_to
+from d left join m using (payload_digest)"""
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text of ``documents``."""
+    return langid.identify(load(spark, sf_dir, "documents"), "doc_id", "text", "lang") \
+        .withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of ``benchmark`` that stand in ``documents``, within a fifth of their words in edits."""
+    return decontam.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")) \
+        .withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates in ``documents``."""
+    return linededup.line_report(load(spark, sf_dir, "documents"), "doc_id", "text") \
+        .withColumnRenamed("id", "doc_id")
