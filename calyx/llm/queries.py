@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, licenses, linededup, minhash, packing, warc
+from . import ann, decontam, langid, licenses, linededup, minhash, packing, quality, secrets, warc
 from .common import load
 
 QUERIES: dict = {}
@@ -73,3 +73,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of recurring templates in ``documents``."""
     return linededup.line_report(load(spark, sf_dir, "documents"), "doc_id", "text") \
         .withColumnRenamed("id", "doc_id")
+
+
+@query
+def op2_multi_index_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest neighbours by cosine of every 50th vector of ``embeddings``."""
+    return ann.search(load(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0) \
+        .withColumnRenamed("id", "vec_id")
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and abuse scores of all ``documents``, from weak labels."""
+    return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")) \
+        .withColumnRenamed("id", "doc_id")
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all ``documents``: base patterns and Markov models."""
+    return secrets.secret_report(load(spark, sf_dir, "documents"), "doc_id", "text") \
+        .withColumnRenamed("id", "doc_id")
