@@ -3,11 +3,16 @@
 Plan: one pass hashes every text into its shingle set and 512-bin one-permutation
 signature (empty bins copy a filled bin chosen by a hash sequence of their own),
 folded to 64 band keys of 8 bins. Texts with equal sets are grouped first, one
-representative goes on. A band bucket emits a star (its smallest id with every
-member), so candidates are linear in the bucket. Candidates are confirmed on the
-full shingle sets, linked texts become components, and buckets whose members
-still lie in several components get their remaining cross-component pairs
-confirmed as well: no link between candidates is lost to the star.
+representative goes on. A band bucket emits a star: its best-connected member,
+the centre, with every other, so candidates are linear in the bucket. A star edge
+is decided on the full shingle sets, and yields the member's difference from the
+centre, the shingles that only one of the two has.
+
+Links between two members that are not both linked to their centre are found
+from these differences alone: |x ^ y| = |dx| + |dy| - 2 |dx & dy| for differences
+dx, dy from one centre, exactly. So members that fail their centre are joined
+with its other members on the centre, the join's condition is the exact test,
+and only links leave it: the star loses no link between candidates.
 
 At the threshold (0.8) a pair shares a band with probability
 1 - (1 - 0.8**8)**64, a miss in about 130,000; above it, misses vanish quickly.
@@ -36,26 +41,32 @@ class Densifier:
         self.fold = rng.integers(1, 2**63, rows, dtype=np.uint64) | np.uint64(1)
         self.salt = mix(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         self.seed = mix(np.arange(self.bins, dtype=np.uint64) + np.uint64(77))
-        self.step = 0xD6E8FEB86659FD93
+        self.step, self.tables = np.uint64(0xD6E8FEB86659FD93), []
 
-    def probe(self, empty: np.ndarray, attempt: int) -> np.ndarray:
-        return (mix(self.seed[empty] + np.uint64(attempt * self.step % 2**64)) % np.uint64(self.bins)).astype(np.int64)
+    def probes(self, block: int) -> np.ndarray:
+        """(16, bins): the bins that each empty bin tries, 16 attempts a block."""
+        while len(self.tables) <= block:
+            attempt = np.arange(16 * len(self.tables), 16 * len(self.tables) + 16, dtype=np.uint64) + np.uint64(1)
+            self.tables.append((mix(self.seed[None, :] + (attempt * self.step)[:, None])
+                                % np.uint64(self.bins)).astype(np.int64))
+        return self.tables[block]
 
     def signature(self, s: np.ndarray) -> np.ndarray:
         """``s``: sorted distinct 64-bit hashes, at least one."""
         bins = ((s >> np.uint64(32)) * np.uint64(self.bins) >> np.uint64(32)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], bins[1:] != bins[:-1])))
-        sig = np.zeros(self.bins, np.uint64)
-        full = np.zeros(self.bins, bool)
-        sig[bins[first]] = s[first]
+        out, full = np.zeros(self.bins, np.uint64), np.zeros(self.bins, bool)
+        out[bins[first]] = s[first]
         full[bins[first]] = True
-        out, empty, attempt = sig.copy(), np.flatnonzero(~full), 1
+        empty, block = np.flatnonzero(~full), 0
         while len(empty):
-            at = self.probe(empty, attempt)
+            at = self.probes(block)[:, empty]
             hit = full[at]
-            out[empty[hit]] = sig[at[hit]]
-            empty = empty[~hit]
-            attempt += 1
+            k = hit.argmax(0)
+            pick = np.arange(len(empty))
+            got = hit[k, pick]
+            out[empty[got]] = out[at[k, pick][got]]
+            empty, block = empty[~got], block + 1
         return out
 
     def keys(self, s: np.ndarray) -> np.ndarray:
@@ -90,36 +101,35 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int,
                      "id long, n long, print binary, keys array<long>")
 
 
-def _confirmed(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _decided(batches, k: int) -> Iterator[pa.RecordBatch]:
     last_id, last = None, None
     for batch in batches:
-        a, b = batch.column(0), batch.column(1)
-        right = shingle_sets(batch.column(3), k)
-        left_ids, keep = a.to_pylist(), []
-        for i, sb in enumerate(right):
-            if left_ids[i] != last_id:
-                last_id, last = left_ids[i], next(shingle_sets(batch.column(2).slice(i, 1), k))
-            same = _shared(last, sb)
-            keep.append(100 * same >= percent * (len(last) + len(sb) - same))
-        mask = pa.array(keep, pa.bool_())
-        yield pa.record_batch([a.filter(mask), b.filter(mask)], names=["a", "b"])
-
-
-def _shared(x: np.ndarray, y: np.ndarray) -> int:
-    """Common elements of two sorted distinct arrays."""
-    if len(x) == 0 or len(y) == 0:
-        return 0
-    at = np.searchsorted(x, y)
-    at[at == len(x)] = 0
-    return int((x[at] == y).sum())
-
-
-def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the similarity."""
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return map_arrow(rows, lambda it: _confirmed(it, k, percent), "a long, b long")
+        centre, n, m, delta, offsets = batch.column(0).to_pylist(), [], [], [], [0]
+        for i, y in enumerate(shingle_sets(batch.column(3), k)):
+            if centre[i] != last_id:
+                last_id, last = centre[i], next(shingle_sets(batch.column(2).slice(i, 1), k))
+            d = np.setxor1d(last, y, assume_unique=True)
+            n.append(len(last))
+            m.append(len(y))
+            delta.append(d)
+            offsets.append(offsets[-1] + len(d))
+        flat = np.concatenate(delta).view(np.int64) if delta else np.zeros(0, np.int64)
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(m, pa.int64()),
+                               pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
+                              names=["centre", "id", "centre_n", "n", "delta"])
+
+
+def _decide(stars: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(centre, id, centre_n, n, delta): sizes of both full shingle sets, and what only one of them has."""
+    one = texts.select(F.col("id").alias("centre"), F.col("text").alias("centre_text"))
+    rows = stars.join(texts, "id").join(one, "centre").select("centre", "id", "centre_text", "text")
+    return map_arrow(rows, lambda it: _decided(it, k),
+                     "centre long, id long, centre_n long, n long, delta array<long>")
+
+
+def _alike(x, y, apart, percent: int):
+    """Whether sets of ``x`` and ``y`` elements that differ in ``apart`` reach the similarity; no rounding."""
+    return 100 * (x + y - apart) >= percent * (x + y + apart)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -145,35 +155,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = write_table(copies, "copies")
 
     reps = known.join(copies.select("id"), "id", "left_anti")
-    band = reps.select("id", "n", F.explode("keys").alias("key"))
-    shared = band.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("far"),
-                                     F.min_by("n", "id").alias("centre_n")).filter("far > centre")
-    member = write_table(band.join(shared, "key").select("key", "id", "n", "centre", "centre_n"), "buckets")
-    alike = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
+    band = reps.select("id", F.explode("keys").alias("key"))
+    shared = band.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
+                                     F.count("*").alias("size")).filter("lo < hi")
+    member = write_table(band.join(shared, "key").select("key", "id", "size"), "buckets")
+    # the centre of a star is the member that meets most others over all bands: an original among its copies
+    degree = member.groupBy("id").agg(F.sum("size").alias("degree"))
+    ranked = member.join(degree, "id").withColumn("best", F.struct("degree", (-F.col("id")).alias("less")))
+    centre = ranked.groupBy("key").agg((-F.max("best")["less"]).alias("centre"))
+    stars = write_table(member.join(centre, "key").filter(F.col("id") != F.col("centre"))
+                        .select("centre", "id").distinct(), "stars")
     texts = base.filter("id is not null and text is not null")
-
-    stars = write_table(member.filter(F.col("id") != F.col("centre")).filter(alike(F.col("n"), F.col("centre_n")))
-                        .select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "stars")
-    links = write_table(_confirm(stars, texts, k, percent), "links")
+    decided = write_table(_decide(stars, texts, k).withColumn(
+        "linked", _alike(F.col("centre_n"), F.col("n"), F.size("delta"), percent)), "decided")
+
+    failed = decided.filter("not linked").select(
+        "centre", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("delta").alias("dx"))
+    other = decided.select("centre", F.col("id").alias("y"), F.col("n").alias("yn"), F.col("delta").alias("dy"),
+                           F.col("linked").alias("yl"))
+    dx, dy, xn, yn = F.size("dx"), F.size("dy"), F.col("xn"), F.col("yn")
+    pair = ((F.col("x") != F.col("y")) & (F.col("yl") | (F.col("x") < F.col("y")))
+            & _alike(xn, yn, F.abs(dx - dy), percent))                           # at best the smaller lies in the larger
+    exact = _alike(xn, yn, dx + dy - 2 * F.size(F.array_intersect("dx", "dy")), percent)
+    beside = failed.alias("f").join(other.alias("o"), (F.col("f.centre") == F.col("o.centre")) & pair & exact) \
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+    links = decided.filter("linked").select(F.col("centre").alias("a"), F.col("id").alias("b")).unionByName(beside)
     part = components(links)
 
-    placed = member.join(part.withColumnRenamed("node", "id"), "id", "left") \
-        .select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .filter("lo < hi").select("key")
-    placed = write_table(placed.join(open_keys, "key", "left_semi"), "open")
-    largest = placed.groupBy("key", "component").count().groupBy("key") \
-        .agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
-    few = placed.join(largest, "key").filter("component != largest").select(
-        "key", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-    rest = few.join(placed, "key").filter((F.col("xc") != F.col("component")) & alike(F.col("xn"), F.col("n"))) \
-        .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    rest = write_table(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        more = write_table(_confirm(rest, texts, k, percent), "links")
-        if not more.isEmpty():
-            part = components(links.unionByName(more))
-
     of_copy = copies.join(part, F.col("rep") == F.col("node"), "left") \
         .select("id", F.coalesce("component", "rep").alias("component"))
     placed = of_copy.unionByName(part.select(F.col("node").alias("id"), "component")) \
