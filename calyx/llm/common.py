@@ -208,30 +208,53 @@ def shingle_sets(column, k: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
+# -------------------------------------------------------------------- pruning
+MARK_BITS = 23
+
+
+def _mark(column: str):
+    return F.expr(f"xxhash64({column}) & {(1 << MARK_BITS) - 1}L") + 1
+
+
+def only_marked(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``column`` may be in the one column of ``keys``: all that are, and a few others.
+
+    ``keys`` becomes a bitmap over hashes of 2**MARK_BITS bits (1 MB), whatever
+    its size, that is broadcast; a join that follows sorts out the others. With
+    more keys than bits it prunes little, and only costs its pass.
+    """
+    key = keys.columns[0]
+    bits = keys.groupBy(F.bitmap_bucket_number(_mark(key)).alias("__bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(_mark(key))).alias("__bits"))
+    place = F.bitmap_bit_position(_mark(column))
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2)) == 1
+    return rows.join(F.broadcast(bits), (F.bitmap_bucket_number(_mark(column)) == F.col("__bucket")) & hit, "left_semi")
+
+
 # --------------------------------------------------------------- components
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node of ``edges`` (two long columns).
 
-    Alternating large-star and small-star rounds; each round is a grouped
-    minimum and a join, written to the shared folder. Ends when a round
-    changes nothing. Nothing of the graph comes to the driver but two sums.
+    Alternating large-star and small-star rounds; each is grouped minima and
+    joins, written to the shared folder, until every node hangs on one root
+    that hangs on nothing. Only the number of nodes that don't comes to the driver.
     """
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v").distinct()
-    e, state = write_table(e, "cc"), None
+    e = write_table(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v"), "edges")
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")) \
-            .select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-            .filter("u > v").distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").filter("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        e = write_table(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                        .unionByName(low.select("u", F.col("m").alias("v")))
-                        .filter("u > v").distinct(), "cc")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        small = large.join(low, "u").select(F.explode(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+            F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
+        e = write_table(small.filter("u > v").distinct(), "edges")
+        ends = e.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("x"))
+        loose = ends.groupBy("x.node").agg(F.sum("x.up").alias("up"), F.min("x.up").alias("root")) \
+            .filter("up > 1 or (up = 1 and root = 0)").count()
+        if not loose:
             break
-        state = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

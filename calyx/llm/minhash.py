@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, map_arrow, mix, shingle_sets, write_table
+from .common import components, map_arrow, mix, only_marked, shingle_sets, write_table
 
 BANDS, ROWS = 64, 8
 
@@ -165,7 +165,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centre = ranked.groupBy("key").agg((-F.max("best")["less"]).alias("centre"))
     stars = write_table(member.join(centre, "key").filter(F.col("id") != F.col("centre"))
                         .select("centre", "id").distinct(), "stars")
-    texts = base.filter("id is not null and text is not null")
+    ends = stars.select(F.explode(F.array("centre", "id")).alias("end")).distinct()
+    texts = only_marked(base.filter("id is not null and text is not null"), "id", ends)
     decided = write_table(_decide(stars, texts, k).withColumn(
         "linked", _alike(F.col("centre_n"), F.col("n"), F.size("delta"), percent)), "decided")
 

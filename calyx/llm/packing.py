@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from .common import map_arrow, write_table
 CAPACITY = 4096
 END_ID = 1
 SALTS = 64
-CACHE_WORDS = 400_000          # per Python worker; the cache starts anew beyond it
+CACHE_WORDS = 1_000_000         # per Python worker; the cache starts anew beyond it
 
 
 def tokenizer_path() -> str:
@@ -33,40 +35,98 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-_cache: dict[str, dict[bytes, bytes]] = {}
+#: words of ASCII letters and of the Latin-1 small letters need no normalising once A-Z is lower-cased
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+_caches: dict[str, dict[bytes, bytes]] = {}
 
 
-def _ids(texts: list[bytes], path: str, tok) -> Iterator[bytes]:
-    """Token ids of each text as little-endian 32-bit integers.
+def byte_letters() -> str:
+    """The character that byte-level vocabularies write for each byte: printable ones stand for themselves."""
+    plain = {b: chr(b) for b in range(256) if 33 <= b < 127 or 161 <= b and b != 173}
+    other = iter(range(256, 512))
+    return "".join(plain.get(b) or chr(next(other)) for b in range(256))
+
+
+class WordTokens:
+    """Token ids of texts through a cache of words.
 
     This vocabulary drops white space and never joins across it, so the ids of
     a text are those of its white-space-separated words, which repeat a lot.
+    New words of plain letters skip normalising and are merged many at a time;
+    others go through the whole tokenizer; a full stop or comma after plain
+    letters is a token of its own. Beyond ``size`` words the cache starts anew.
     """
-    cache = _cache.setdefault(path, {})
-    split = [t.split() for t in texts]
-    new = list(set().union(*split).difference(cache)) if split else []
-    if len(cache) + len(new) > CACHE_WORDS:
-        cache.clear()
-        new = list(set().union(*split))
-    for i in range(0, len(new), 10_000):
-        part = new[i:i + 10_000]
-        for w, e in zip(part, tok.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-            cache[w] = b"".join(n.to_bytes(4, "little") for n in e.ids)
-    for ws in split:
-        yield b"".join([cache[w] for w in ws])
+
+    def __init__(self, path: str, size: int = CACHE_WORDS):
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.tok, self.size = Tokenizer.from_file(path), size
+        self.letters = {b: c for b, c in enumerate(byte_letters()) if b != 32}
+        self.merge = Tokenizer(self.tok.model)
+        self.merge.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)       # a word's last token
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith("</w>")
+        self.cache = _caches.setdefault(path, {})
+
+    def learn(self, new: set[bytes]) -> None:
+        cache, plain, stopped, other = self.cache, set(), [], []
+        for w in new:
+            low = w.lower()
+            if _PLAIN(low):
+                plain.add(low)
+                if low != w:
+                    stopped.append((w, low, b""))
+            elif low[-1:] in (b".", b",") and _PLAIN(low[:-1]):
+                plain.add(low[:-1])
+                stopped.append((w, low[:-1], low[-1:]))
+            else:
+                other.append(w)
+        other += [b".", b","]
+        for w, e in zip(other, self.tok.encode_batch([w.decode() for w in other], add_special_tokens=False)):
+            cache[w] = b"".join([i.to_bytes(4, "little") for i in e.ids])
+        words = [w for w in plain if w not in cache]
+        for lo in range(0, len(words), 2000):
+            some = words[lo:lo + 2000]
+            text = b" ".join(some).decode("latin-1").translate(self.letters)
+            ids = np.array(self.merge.encode(text, add_special_tokens=False).ids, "<u4")
+            cut = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(cut) != len(some):
+                raise ValueError("the vocabulary doesn't mark the ends of words")
+            raw, at = ids.tobytes(), 0
+            for w, to in zip(some, cut):
+                cache[w] = raw[at:to]
+                at = to
+        for w, word, stop in stopped:
+            cache[w] = cache[word] + (cache[stop] if stop else b"")
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Token ids of each text as little-endian 32-bit integers."""
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]     # special tokens are told by their case
+        found = [list(map(self.cache.get, ws)) for ws in split]
+        new = {w for ws, parts in zip(split, found) if None in parts
+               for w, part in zip(ws, parts) if part is None}
+        if not new:
+            return [b"".join(parts) for parts in found]
+        if len(self.cache) + len(new) > self.size:
+            self.cache.clear()
+            new.update(*split)
+        self.learn(new)
+        get = self.cache.__getitem__
+        return [b"".join([get(w) if part is None else part for w, part in zip(ws, parts)] if None in parts else parts)
+                for ws, parts in zip(split, found)]
 
 
 def _pieces(batches, path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
+    tokens = WordTokens(path)
     tail, step = end_id.to_bytes(4, "little"), 4 * capacity
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
-        for lo in range(0, len(texts), 256):
+        for lo in range(0, len(texts), 1024):
             out = ([], [], [], [], [])
-            ids = batch.column(0).slice(lo, 256).to_pylist()
-            for doc, body in zip(ids, _ids([t or b"" for t in texts.slice(lo, 256).to_pylist()], path, tok)):
+            ids = batch.column(0).slice(lo, 1024).to_pylist()
+            for doc, body in zip(ids, tokens.ids([t or b"" for t in texts.slice(lo, 1024).to_pylist()])):
                 body += tail
                 for p, at in enumerate(range(0, len(body), step)):
                     piece = body[at:at + step]
