@@ -27,7 +27,7 @@ from .common import map_arrow, write_table
 CAPACITY = 4096
 END_ID = 1
 SALTS = 64
-CACHE_WORDS = 1_000_000         # per Python worker; the cache starts anew beyond it
+CACHE_WORDS = 1_200_000         # per Python worker; the cache starts anew beyond it
 
 
 def tokenizer_path() -> str:
