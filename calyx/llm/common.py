@@ -131,11 +131,11 @@ def chunks(data: np.ndarray, offsets: np.ndarray, size: int = CHUNK_BYTES) -> It
 
 
 def words(raw: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = NOT_SPACE,
-          lower: bool = True, stem: int = 0) -> tuple[np.ndarray, ...]:
+          lower: bool = True, stems: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """Word hashes, starts, ends (bytes) and, per document, the index of its first word.
 
     A word is a maximal run of bytes marked in ``word_bytes`` inside one
-    document. With ``stem``, also the hashes of the words' first bytes so many.
+    document. Then, for each of ``stems``, the hashes of the words' first bytes so many.
     """
     low = LOWER[raw] if lower else raw
     inside = word_bytes[low]
@@ -143,7 +143,7 @@ def words(raw: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = NOT_SPA
     if n == 0:
         z = np.zeros(0, np.int64)
         none = (np.zeros(0, np.uint64), z, z, np.zeros(len(offsets), np.int64))
-        return none + (none[0],) * bool(stem)
+        return none + (none[0],) * len(stems)
     edge = offsets[:-1][offsets[:-1] < n]
     before = np.empty(n, bool)
     before[0] = False
@@ -161,9 +161,8 @@ def words(raw: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = NOT_SPA
     shift = _power(_INVERSE, n)[starts]
     found = (mix((total[ends] - total[starts]) * shift), starts, ends,
              np.searchsorted(starts, offsets).astype(np.int64))
-    if stem:
-        found += (mix((total[np.minimum(ends, starts + stem)] - total[starts]) * shift + np.uint64(1)),)
-    return found
+    return found + tuple(mix((total[np.minimum(ends, starts + k)] - total[starts]) * shift + np.uint64(k))
+                         for k in stems)
 
 
 def word_hash(word: str, lower: bool = True) -> int:

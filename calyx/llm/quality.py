@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 
 from .common import ALNUM, NOT_SPACE, chunks, map_arrow, mix, text_buffers, words, write_table
 
-HASH_BITS = 20
-STEM = 4                       # bytes of a word's stem
-LABELLED = 1_500               # labelled documents per class that teach the lexicons
-TRAINING = 1_500               # documents per side and scorer that train it
+HASH_BITS = 24                 # tables of weights are mostly untouched zeros
+STEMS = (4, 5, 6, 7, 8)        # a word's first bytes so many are features: inflected words share them
+LABELLED = 1_200               # labelled documents per class that teach the lexicons
+EVIDENCE = 30.0                # log-likelihood ratio from which a feature counts, far beyond chance among millions
+PURITY = 200                   # times as common in abusive documents as in others, for a word of the lexicon
+TRAINING = 1_200               # documents per side and scorer that train it
 BAD, GOOD, SILENT = 1, 0, 2
 
 _UPPER = np.zeros(256, np.int32)
@@ -38,12 +40,14 @@ _ENDS_WELL[[ord(c) for c in ".,;:!?)\"'"]] = True
 _PLAIN = np.zeros(256, np.int32)
 _PLAIN[48:58] = _PLAIN[65:91] = _PLAIN[97:123] = _PLAIN[128:] = 1
 
-#: labeller: the statistic it looks at, votes good up to the first and bad from the second, least words to vote
+#: labeller: the statistic it looks at, fine up to the first and voted bad from the second, least words to vote.
+#: Each knows one kind of junk and is silent otherwise; two more vote good where a whole group of statistics is fine.
 FORM_LABELLERS = (
     ("symbols", 0.06, 0.13, 8), ("capitals", 0.12, 0.5, 8), ("commonest", 0.15, 0.3, 20), ("sameness", 0.45, 0.7, 20),
     ("stutter", 0.05, 0.2, 8), ("odd_ends", 0.04, 0.2, 8), ("marks", 0.03, 0.15, 8), ("long_words", 9.0, 15.0, 8),
 )
 STATS = tuple(x[0] for x in FORM_LABELLERS)
+FINE_GROUPS = (("symbols", "capitals", "odd_ends", "marks"), ("commonest", "sameness", "stutter", "long_words"))
 BINS = 12                      # form features per statistic
 
 
@@ -84,25 +88,31 @@ def form_stats(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def form_votes(n: np.ndarray, stats: np.ndarray) -> np.ndarray:
     """(document, labeller) votes on form."""
-    votes = np.full(stats.shape, SILENT, np.int8)
+    votes = np.full((len(n), len(STATS) + len(FINE_GROUPS)), SILENT, np.int8)
+    fine = np.zeros(stats.shape, bool)
     for k, (_, good, bad, least) in enumerate(FORM_LABELLERS):
-        votes[(stats[:, k] <= good) & (n >= least), k] = GOOD
+        fine[:, k] = stats[:, k] <= good
         votes[(stats[:, k] >= bad) & (n >= least), k] = BAD
+    for g, group in enumerate(FINE_GROUPS):
+        votes[fine[:, [STATS.index(x) for x in group]].all(1) & (n > 0), len(STATS) + g] = GOOD
     return votes
 
 
+def word_features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(1 + stems, words) hashed features of words and word stems, and each document's first word."""
+    h, _, _, first, *stems = words(raw, offsets, ALNUM, True, STEMS)
+    mask, base = np.uint64((1 << HASH_BITS) - 1), np.uint64(len(STATS) * BINS)
+    return (np.stack([h, *stems]) & mask) + base, first
+
+
 def features(raw: np.ndarray, offsets: np.ndarray, n: np.ndarray, stats: np.ndarray) -> Iterator[np.ndarray]:
     """Per document its distinct hashed features: words, word stems, form bins."""
-    h, _, _, first, stem = words(raw, offsets, ALNUM, True, STEM)
-    mask, base = np.uint64((1 << HASH_BITS) - 1), np.uint64(len(STATS) * BINS)
-    word = (h & mask) + base
-    stem = (mix(stem + np.uint64(7)) & mask) + base
+    found, first = word_features(raw, offsets)
     edges = np.array([[good + (bad - good) * (b - 2) / (BINS - 4) for b in range(1, BINS)]
                       for _, good, bad, _ in FORM_LABELLERS])
     for d in range(len(n)):
         bins = np.array([k * BINS + np.searchsorted(edges[k], stats[d, k]) for k in range(len(STATS))], np.uint64)
-        a, b = first[d], first[d + 1]
-        yield np.unique(np.concatenate([bins, word[a:b], stem[a:b]])).astype(np.int64)
+        yield np.unique(np.concatenate([bins, found[:, first[d]:first[d + 1]].ravel()])).astype(np.int32)
 
 
 def _documents(batch, id_at: int, text_at: int) -> Iterator[tuple]:
@@ -146,12 +156,22 @@ class LabelModel:
 
 
 # -------------------------------------------------------------------- scorer
-def fit_linear(rows: list[np.ndarray], y: np.ndarray, rounds: int = 200, rate: float = 0.5,
-               penalty: float = 1e-4, least_z: float = 4.0) -> tuple[np.ndarray, np.ndarray, float]:
+def evidence(c1: np.ndarray, c0: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Log-likelihood ratio that a feature's share differs between the classes (counts c of n documents)."""
+    def part(c, n, share):
+        share = np.clip(share, 1e-12, 1 - 1e-12)
+        return c * np.log(share) + (n - c) * np.log(1 - share)
+
+    both = (c1 + c0) / (n1 + n0)
+    return 2 * (part(c1, n1, c1 / n1) + part(c0, n0, c0 / n0) - part(c1, n1, both) - part(c0, n0, both))
+
+
+def fit_linear(rows: list[np.ndarray], y: np.ndarray, rounds: int = 300, rate: float = 0.5,
+               penalty: float = 1e-4, least: float = EVIDENCE) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, weights, bias) of a logistic regression over sets of hashed features.
 
-    Only features whose share differs between the classes by ``least_z``
-    standard errors take part, so chance words of long texts carry no weight.
+    Only features with ``least`` evidence that their share differs between the
+    classes take part, so chance words of long texts carry no weight.
     """
     if not len(rows) or y.min() == y.max():
         return np.zeros(0, np.int64), np.zeros(0), float(10 * (y.mean() - 0.5)) if len(rows) else 0.0
@@ -162,9 +182,7 @@ def fit_linear(rows: list[np.ndarray], y: np.ndarray, rounds: int = 200, rate: f
     n1, n0 = y.sum(), (1 - y).sum()
     c1 = np.bincount(col, weights=y[row], minlength=len(used))
     c0 = np.bincount(col, minlength=len(used)) - c1
-    share = (c1 + c0) / len(y)
-    z = (c1 / n1 - c0 / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
-    keep = np.abs(z) >= least_z
+    keep = evidence(c1, c0, n1, n0) >= least
     chosen = np.flatnonzero(keep)
     new = np.cumsum(keep) - 1
     at = keep[col]
@@ -194,8 +212,22 @@ def _featured(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [(i, f) for ids, raw, off, n, stats in _documents(batch, 0, 1)
                 for i, f in zip(ids.to_pylist(), features(raw, off, n, stats))]
-        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()),
-                               pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["id", "features"])
+        size = [len(f) for _, f in rows]
+        flat = np.concatenate([f for _, f in rows]) if rows else np.zeros(0, np.int32)
+        yield pa.record_batch([pa.array([i for i, _ in rows], pa.int64()),
+                               pa.ListArray.from_arrays(pa.array(np.cumsum([0, *size]), pa.int32()), pa.array(flat))],
+                              names=["id", "features"])
+
+
+def _feature_rows(docs: DataFrame) -> list[tuple[int, np.ndarray]]:
+    """(id, features) of a bounded sample of documents, by id."""
+    table = map_arrow(docs.select("id", "text"), _featured, "id long, features array<int>").toArrow()
+    out = []
+    for batch in table.to_batches():
+        ids, lists = batch.column(0).to_pylist(), batch.column(1)
+        flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+        out.extend((i, flat[a:b]) for i, a, b in zip(ids, at, at[1:]))
+    return sorted(out, key=lambda r: r[0])
 
 
 def _voted(batches, lexicons: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -204,11 +236,9 @@ def _voted(batches, lexicons: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         t = np.zeros((1 << HASH_BITS) + len(STATS) * BINS, bool)
         t[lexicon] = True
         tables.append(t)
-    mask, base = np.uint64((1 << HASH_BITS) - 1), np.uint64(len(STATS) * BINS)
     for batch in batches:
         for ids, raw, off, n, stats in _documents(batch, 0, 1):
-            h, _, _, first, stem = words(raw, off, ALNUM, True, STEM)
-            seen = np.stack([(h & mask) + base, (mix(stem + np.uint64(7)) & mask) + base])
+            seen, first = word_features(raw, off)
             doc = np.repeat(np.arange(len(n)), np.diff(first))
             abuse = np.full((len(n), len(tables)), GOOD, np.int8)
             for k, t in enumerate(tables):
@@ -241,17 +271,21 @@ def _lexicons(docs: DataFrame, labels: DataFrame, labelled: int) -> list[np.ndar
     # at most 2 * ``labelled`` ids
     picked = docs.join(F.broadcast(some), F.col("id") == F.col("lid")).select("id", "text", "toxic")
     toxic = {r[0]: r[1] for r in some.collect()}
-    rows = map_arrow(picked.select("id", "text"), _featured, "id long, features array<long>").collect()
+    rows = _feature_rows(picked)
     y = np.array([toxic[r[0]] for r in rows])
     half = np.array([r[0] % 2 for r in rows])
     out = []
     for part in (half == 0, half == 1, half >= 0):
-        n = [max(1, int((part & (y == c)).sum())) for c in (0, 1)]
-        count = [np.zeros((1 << HASH_BITS) + len(STATS) * BINS) for _ in range(2)]
-        for k in np.flatnonzero(part):
-            count[y[k]][np.array(rows[k][1], np.int64)] += 1
-        share = [c / m for c, m in zip(count, n)]
-        out.append(np.flatnonzero((count[1] >= 3) & (share[1] > 40 * (share[0] + 0.1 / n[0]))))
+        n1, n0 = int((part & (y == 1)).sum()), int((part & (y == 0)).sum())
+        if not n1 or not n0:
+            out.append(np.zeros(0, np.int64))
+            continue
+        counted = [np.unique(np.concatenate([rows[k][1] for k in np.flatnonzero(part & (y == c))]),
+                             return_counts=True) for c in (1, 0)]
+        used, c1 = counted[0]
+        at = np.minimum(np.searchsorted(counted[1][0], used), len(counted[1][0]) - 1)
+        c0 = np.where(counted[1][0][at] == used, counted[1][1][at], 0)
+        out.append(used[(c1 / n1 > PURITY * (c0 / n0)) & (evidence(c1, c0, n1, n0) >= EVIDENCE)])
     return out
 
 
@@ -301,8 +335,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= training).select("id", "side")
         models.append({r[0]: r[1] for r in some.collect()})
     wanted = spark.createDataFrame([(i,) for i in sorted(set().union(*models))], "id long")
-    rows = map_arrow(base.join(F.broadcast(wanted), "id"), _featured, "id long, features array<long>")
-    found = {r[0]: np.array(r[1], np.int64) for r in rows.collect()}
+    found = dict(_feature_rows(base.join(F.broadcast(wanted), "id")))
     fitted = []
     for of in models:
         ids = sorted(i for i in of if i in found)
