@@ -2,7 +2,9 @@
 
 A stage takes (spark, docs, sf_dir). It reads the columns of ``documents``,
 works on every row its predecessor kept, and, but for the last, returns those
-columns again.
+columns again, other columns of ``docs`` included. Rows that share a doc_id
+share a decision: one that is rejected takes the others along. Rows with a null
+doc_id can't be named by a decision, so filters leave them in.
 """
 
 from __future__ import annotations
@@ -10,23 +12,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calyx.llm import minhash
-from calyx.llm.common import write_table
+from calyx.llm import decontam, linededup, minhash, packing, quality
+from calyx.llm.common import load, write_table
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose doc_id is in the one column of ``gone``."""
+    key = gone.columns[0]
+    gone = gone.select(F.col(key).alias("__gone")).filter("__gone is not null").distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weak-label classifier rejects go: poor form, abusive words, or no words at all.
+
+    Null and empty texts hold no words and go. An empty table stays empty.
+    """
+    scores = quality.classify(docs, load(spark, sf_dir, "labels"), "doc_id", "text")
+    return _without(docs, scores.filter("not kept").select("id"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates are cut from all documents but the first that has them.
+
+    A document of which nothing is left goes; null and empty texts stay as they
+    are, as does the column n_chars, which tells the length as delivered.
+    """
+    return linededup.drop_recurring_lines(docs, "doc_id", "text")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: that with the smallest doc_id.
 
-    Five-word shingles, similarity 0.8. Documents without words and rows
-    without a doc_id stay.
+    Five-word shingles, similarity 0.8. Documents without words stay, and of
+    rows that repeat a doc_id and a text one stays.
     """
     found = minhash.near_duplicates(docs, "doc_id", "text", k=5, percent=80)
-    gone = found.filter("not kept").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rest = _without(docs, found.filter("not kept").select("id"))
+    named = rest.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(rest.filter("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark item stands, give or take a fifth of its words in edits, go."""
+    hits = decontam.contaminated(docs, load(spark, sf_dir, "benchmark"), "doc_id", "text")
+    return _without(docs, hits.select("id"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sequences: a row per piece of a document, with its sequence and place there."""
+    return packing.pack(docs, "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
+    ("quality_classifier", quality_filter),
+    ("line_dedup", line_dedup),
     ("minhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontaminate),
+    ("best_fit_packing", pack),
 ]
 
 #: Trained classifiers and approximate search have no SQL form; the tests compare with brute force.
@@ -35,7 +78,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = write_table(stage(spark, docs, sf_dir), name)
     return docs
