@@ -36,9 +36,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates are cut from all documents but the first that has them.
 
     A document of which nothing is left goes; null and empty texts stay as they
-    are, as does the column n_chars, which tells the length as delivered.
+    are. n_chars becomes the length of the text that is left.
     """
-    return linededup.drop_recurring_lines(docs, "doc_id", "text")
+    rest = linededup.drop_recurring_lines(docs, "doc_id", "text")
+    if "n_chars" in rest.columns:
+        rest = rest.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+    return rest
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
