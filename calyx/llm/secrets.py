@@ -4,10 +4,11 @@ Match places come from ``split`` (the text between matches) and
 ``regexp_extract_all`` (the matches): their lengths add up to code-point
 offsets. Long tokens outside base matches are scored by two first-order Markov
 models over characters, one of random strings, one of ordinary identifiers; the
-log-likelihood ratio decides. Both are counted from labelled tokens: those that
-base matches cover and generated random strings on one side, all others on the
-other, over all documents. Counts are bounded by the alphabet, so the model is a
-literal array in the plan.
+log-likelihood ratio decides. Both are counted from labelled tokens of all
+documents: those that base matches cover, and generated random strings, are
+random; of the others those made of words and numbers are ordinary, and the rest, the tokens
+in question, trains nothing. Counts are bounded by the alphabet, so the model is
+a literal array in the plan.
 """
 
 from __future__ import annotations
@@ -27,8 +28,11 @@ HEX = r"[0-9a-f]{24,}"                   # [0-9a-f]+ of 24 or more
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
+#: a token that is made of words, or a plain number, which labels it ordinary; possessive: a long token is read once
+WORDS = r"^(?:(?:[_/=+-]*+(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+)[0-9]{0,3}+)++[_/=+-]*+|[0-9/_=+-]++)$"
 SIZE = len(ALPHABET) + 1                 # place 0 stands before the first character
 MARGIN = 8.0                             # least log-likelihood ratio of a reported token
+BACKING = 5.0
 GENERATED = 20_000                       # random strings that train the random model besides the corpus
 
 _SPAN = "array<struct<s:int,e:int,v:string>>"
@@ -84,19 +88,28 @@ def generated(spark: SparkSession, n: int = GENERATED) -> DataFrame:
 
 
 def log_ratios(counts: list[tuple]) -> list[float]:
-    """log P(b | a, random) - log P(b | a, ordinary) at a * SIZE + b, from (side, a, b, n), add-one smoothed."""
-    n = {s: [[1.0] * SIZE for _ in range(SIZE)] for s in ("random", "ordinary")}
+    """log P(b | a, random) - log P(b | a, ordinary) at a * SIZE + b, from (side, a, b, n).
+
+    Transitions are smoothed towards how often b comes at all, as if each row
+    had BACKING more characters.
+    """
+    n = {s: [[0.0] * SIZE for _ in range(SIZE)] for s in ("random", "ordinary")}
     for side, a, b, k in counts:
         n[side][a][b] += k
-    return [math.log(n["random"][a][b] / sum(n["random"][a])) - math.log(n["ordinary"][a][b] / sum(n["ordinary"][a]))
-            for a in range(SIZE) for b in range(SIZE)]
+    chance = {}
+    for side, rows in n.items():
+        every = [sum(r[b] for r in rows) + 0.1 for b in range(SIZE)]
+        every = [x / sum(every) for x in every]
+        chance[side] = [[(r[b] + BACKING * every[b]) / (sum(r) + BACKING) for b in range(SIZE)] for r in rows]
+    return [math.log(x / y) for a in range(SIZE) for x, y in zip(chance["random"][a], chance["ordinary"][a])]
 
 
 def train(spans: DataFrame) -> list[float]:
     """The models' log ratios from all long tokens of ``base_spans``, labelled by base cover."""
     covered = "exists(concat(assign, access, hex), x -> x.s < t.e AND x.e > t.s)"
     tokens = spans.select("assign", "access", "hex", F.explode("tokens").alias("t")).select(
-        F.expr(f"CASE WHEN {covered} THEN 'random' ELSE 'ordinary' END").alias("side"), F.col("t.v").alias("token"))
+        F.when(F.expr(covered), "random").when(F.col("t.v").rlike(WORDS), "ordinary").alias("side"),
+        F.col("t.v").alias("token")).filter("side is not null")
     # a common token is one row before its characters are counted
     tokens = tokens.groupBy("side", "token").agg(F.count("*").alias("n"))
     # each distinct token counts once: a copied document isn't more evidence
