@@ -59,6 +59,23 @@ def dict_literal_to_json(text: Column) -> Column:
     return out
 
 
+def with_json_text(df, text_col: str, out: str):
+    """``dict_literal_to_json`` as column ``out``, NULL for blank text.
+
+    Each rewrite is a projection of its own that runs its pattern only on
+    texts that hold the token at all; most hold one or two of the four.
+    """
+    text = F.col(text_col)
+    blank = text.isNull() | (F.trim(text) == "")
+    passes = [("\\x", _HEX_ESCAPE, "$1\\\\u00$2")]
+    passes += [(py, _token_pattern(py), "$1" + js) for py, js in _REWRITES]
+    step = df.withColumn(out, F.when(~blank, text))
+    for mark, pattern, to in passes:
+        step = step.withColumn(out, F.when(F.col(out).contains(mark), F.regexp_replace(out, pattern, to))
+                               .otherwise(F.col(out)))
+    return step
+
+
 def params_schema(keys=LTI_KEYS + LESSON_KEYS + ("graded",)) -> T.StructType:
     """All picked keys as strings (numbers and booleans keep their JSON text)."""
     return T.StructType([T.StructField(k, T.StringType()) for k in keys]
@@ -111,9 +128,8 @@ def with_parsed_params(df, text_col: str = "passback_params", out: str = "_param
     """
     keys = tuple(keys)
     text = F.col(text_col)
-    blank = text.isNull() | (F.trim(text) == "")
     js = json_col or "_params_json"
-    step = df.withColumn(js, F.when(~blank, dict_literal_to_json(text)))
+    step = with_json_text(df, text_col, js)
     step = step.withColumn("_params_raw", F.from_json(F.col(js), params_schema(keys),
                                                       PARAMS_JSON_OPTIONS))
     raw = F.col("_params_raw")

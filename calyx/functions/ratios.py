@@ -24,16 +24,15 @@ def half_up_ratio(k, n, scale: int = 4, times: int = 1, precision: int = 10) ->
 
     Works for any sign of ``k`` (sign-aware), ``n`` > 0.
     """
-    k, n = _c(k).cast("long"), _c(n).cast("long")
+    whole = "decimal(38,0)"
+    k, n = _c(k).cast(whole), _c(n).cast(whole)
     mult = 2 * times * 10 ** scale
-    mag = F.abs(k) * F.lit(mult) + n
-    den = F.lit(2) * n
-    # integral division in DECIMAL so no double round trip can lose digits
-    q = ((mag - F.pmod(mag, den)).cast("decimal(38,0)") / den.cast("decimal(38,0)")).cast(
-        "decimal(38,0)")
-    q = F.signum(k).cast("decimal(1,0)") * q
-    out = (q / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
-    return F.when(n != 0, out)
+    # whole numbers of 38 digits throughout: no BIGINT to overflow, no double to lose digits
+    mag = (F.abs(k) * F.lit(mult).cast(whole) + n).cast(whole)
+    den = F.nullif((F.lit(2) * n).cast(whole), F.lit(0).cast(whole))
+    q = ((mag - F.pmod(mag, den)).cast(whole) / den).cast(whole)
+    q = F.when(k < 0, -q).otherwise(q)
+    return (q / F.lit(10 ** scale).cast(whole)).cast(f"decimal({precision},{scale})")
 
 
 def half_up_avg(total, n, scale: int = 2, total_scale: int = 2,
@@ -43,8 +42,8 @@ def half_up_avg(total, n, scale: int = 2, total_scale: int = 2,
     ``total * 10^total_scale`` is a whole number k, so the average is
     k / (n * 10^total_scale) and one exact half-up rounding applies.
     """
-    k = (_c(total) * F.lit(10 ** total_scale)).cast("long")
-    return half_up_ratio(k, _c(n).cast("long") * F.lit(10 ** total_scale), scale=scale,
+    k = (_c(total).cast(f"decimal(38,{total_scale})") * F.lit(10 ** total_scale)).cast("decimal(38,0)")
+    return half_up_ratio(k, _c(n).cast("decimal(38,0)") * F.lit(10 ** total_scale), scale=scale,
                          precision=precision)
 
 

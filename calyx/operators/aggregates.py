@@ -527,23 +527,25 @@ def sales_by_manager(sales_df: DataFrame, ds) -> DataFrame:
             .withColumn("load_date", cal.as_date(ds)))
 
 
+def _whole_sum(col: str) -> F.Column:
+    return F.sum(F.col(col).cast("decimal(28,0)")).cast("decimal(38,0)")
+
+
 def sum_by_category(series_df: DataFrame) -> DataFrame:
-    """A18a."""
-    return series_df.groupBy("category").agg(F.sum("amount").cast("long").alias("sum_amount"))
+    """A18a — summed in 38 digits: a BIGINT total of large ids overflows."""
+    return series_df.groupBy("category").agg(_whole_sum("amount").alias("sum_amount"))
 
 
 def integer_average(series_df: DataFrame) -> DataFrame:
     """A18b — ``sum(amount) / count(1)`` on integers truncates toward zero."""
-    g = series_df.groupBy("category").agg(F.sum("amount").alias("_s"),
+    g = series_df.groupBy("category").agg(_whole_sum("amount").alias("_s"),
                                           F.count(F.lit(1)).alias("_n"))
-    q = F.col("_s").cast("decimal(38,0)") / F.col("_n").cast("decimal(38,0)")
-    trunc = F.when(q >= 0, F.floor(q)).otherwise(F.ceil(q)).cast("long")
-    return g.select("category", trunc.alias("average_amount"))
+    return g.select("category", F.expr("_s div _n").alias("average_amount"))
 
 
 def rounded_average(series_df: DataFrame, ds) -> DataFrame:
     """A18c — ``avg(amount)`` assigned to an INT column: rounded half away from zero."""
-    g = series_df.groupBy("category").agg(F.sum("amount").alias("_s"),
+    g = series_df.groupBy("category").agg(_whole_sum("amount").alias("_s"),
                                           F.count(F.lit(1)).alias("_n"))
     return g.select("category",
                     half_up_ratio("_s", "_n", scale=0, precision=18).cast("long").alias("amount"),

@@ -1,63 +1,63 @@
 """Joins J1, J3–J7 as DataFrame joins.
 
 The reference probes row by row (N+1 queries) or relies on a unique index;
-here each is one shuffle join (or a broadcast when the small side has a
-checked size).  Left-anti joins are skew-split by AQE when one key is hot.
+here each is one shuffle join whose strategy Catalyst and AQE choose.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest number of rows a dimension may have to be broadcast by hint.
-BROADCAST_MAX_ROWS = 100_000
+from . import filters as flt
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
-
-    The check is a bounded job (``limit(max_rows + 1).count()``); above the
-    bound the frame is returned as is and Catalyst / AQE choose a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _null_key(keys) -> F.Column:
+def null_key(keys) -> F.Column:
     cond = F.lit(False)
     for k in keys:
         cond = cond | F.col(k).isNull()
     return cond
 
 
+def _first_per_key(batch: DataFrame, keys, order_by) -> DataFrame:
+    order = [c for c in order_by if c not in keys] or list(batch.columns)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return batch.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+
+
 def dedup_first_wins(batch: DataFrame, keys, order_by) -> DataFrame:
     """J4 — one row per key: the first by ``order_by`` (arrival order) wins.
 
-    Implemented as ``min(struct(order_by..., payload...))`` per key, a normal
-    aggregate with map-side partial aggregation: a key holding a third of all
-    rows is reduced inside each input task, never gathered into one task (a
-    ``row_number`` window would sort the whole group in one task).  Rows with
-    a NULL key never conflict (unique constraints ignore NULLs): they get a
-    row id as an extra grouping key so each stays its own group — one
-    aggregate over one scan, no union of two paths.
+    ``row_number() = 1`` is planned with a group limit before the shuffle: each
+    task keeps its first row of a key, so a key holding a third of all rows
+    travels as one row per task.  The result stays partitioned by the key, so
+    a join on it needs no other shuffle.  Rows with a NULL key never conflict
+    (unique constraints ignore NULLs) and are all kept.
     """
     keys = list(keys)
-    # key columns are constant inside a group: they cannot order it
-    order_by = [c for c in order_by if c not in keys]
-    payload = [c for c in batch.columns if c not in keys and c not in order_by]
-    cols = batch.columns
-    tagged = batch.withColumn("_solo", F.when(_null_key(keys), F.monotonically_increasing_id()))
-    return (tagged.groupBy(*keys, "_solo")
-            .agg(F.min(F.struct(*[F.col(c) for c in order_by + payload])).alias("_w"))
-            .select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order_by + payload])
-            .select(*cols))
-
-
-def anti_new_rows(batch: DataFrame, target: DataFrame, keys, order_by) -> DataFrame:
-    """J3 — rows of ``batch`` whose key is not yet in ``target`` (in-batch first wins)."""
+    first = _first_per_key(batch.filter(~null_key(keys)), keys, order_by)
+    if not any(batch.schema[k].nullable for k in keys):
+        return first
+    return first.unionByName(batch.filter(null_key(keys)))
+
+
+def anti_new_rows(batch: DataFrame, target: DataFrame, keys, order_by, within=None) -> DataFrame:
+    """J3 — rows of ``batch`` whose key is not yet in ``target`` (in-batch first wins).
+
+    ``within`` = (key column, start, end): the range of that key the batch lies
+    in, which prunes the scan of ``target``.  Dedup and anti join share one
+    shuffle of the batch.
+    """
     keys = list(keys)
-    return dedup_first_wins(batch, keys, order_by).join(target.select(*keys), keys, "left_anti")
+    if within:
+        if within[0] not in keys:
+            raise ValueError(f"{within[0]} is not a key: rows outside the range may hold one of the batch's keys")
+        target = flt.in_range(target, *within)
+    known = target.select(*keys)
+    first = _first_per_key(batch.filter(~null_key(keys)), keys, order_by).join(known, keys, "left_anti")
+    if any(batch.schema[k].nullable for k in keys):
+        first = first.unionByName(batch.filter(null_key(keys)))
+    return first.select(*batch.columns)
 
 
 def upsert_frames(target: DataFrame, source: DataFrame, keys) -> DataFrame:

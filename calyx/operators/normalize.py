@@ -21,20 +21,6 @@ _CORRECT = {
 }
 
 
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores before CPU-heavy per-row work.
-
-    Only when the input has fewer partitions than the default parallelism
-    (unsplittable inputs: one small Parquet row group, gzip JSON landings);
-    a large input already has many more partitions and is left as is.
-    """
-    if df.isStreaming:
-        return df
-    par = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    return df.repartition(par) if n < par else df
-
-
 def normalize_attempts(records: DataFrame, strict: bool = True, correct: str = "null_as_false",
                        lesson: bool = False, keep=("event_id",)) -> DataFrame:
     """P1 — flatten API records to the canonical columns (P3c picks the keys).
@@ -42,7 +28,7 @@ def normalize_attempts(records: DataFrame, strict: bool = True, correct: str = "
     ``correct`` picks the P2 convention; ``lesson`` adds lesson_id,
     lesson_name and score (P4a) for the lesson variant.
     """
-    records = with_parsed_params(spread_for_cpu(records), strict=strict, json_col=None)
+    records = with_parsed_params(records, strict=strict, json_col=None)
     p = F.col("_params")
     cols = [F.col(c) for c in keep if c in records.columns]
     cols += [
@@ -56,14 +42,14 @@ def normalize_attempts(records: DataFrame, strict: bool = True, correct: str = "
     ]
     if lesson:
         cols += [p["lesson_id"].alias("lesson_id"),
-                 F.concat(F.lit("lesson "), p["lesson_id"]).alias("lesson_name"),
+                 p["lesson_name"].alias("lesson_name"),
                  score_falsy_fallback(p["score"], F.col("score")).alias("score")]
     return records.select(*cols)
 
 
 def parsed_params(records: DataFrame, strict: bool = True, keep=("event_id",)) -> DataFrame:
     """P3a / P3b — the parsed dict as typed columns."""
-    records = with_parsed_params(spread_for_cpu(records), strict=strict, json_col=None)
+    records = with_parsed_params(records, strict=strict, json_col=None)
     p = F.col("_params")
     return records.select(
         *[F.col(c) for c in keep if c in records.columns],
@@ -71,13 +57,18 @@ def parsed_params(records: DataFrame, strict: bool = True, keep=("event_id",)) -
         p["lis_result_sourcedid"].alias("lis_result_sourcedid"),
         p["lis_outcome_service_url"].alias("lis_outcome_service_url"),
         p["lesson_id"].alias("lesson_id"),
-        p["score"].cast("decimal(10,2)").alias("score"),
+        _score(p["score"]).alias("score"),
         py_bool(p["graded"]).alias("graded"))
 
 
+def _score(text):
+    """A score as the dict holds it; an empty string is no score."""
+    return F.nullif(text.cast("string"), F.lit("")).cast("decimal(10,2)")
+
+
 def score_falsy_fallback(inner, outer):
-    """P4a — ``inner or outer``: the inner score unless it is NULL or 0."""
-    inner = inner.cast("decimal(10,2)")
+    """P4a — ``inner or outer``: the inner score unless it is NULL, '' or 0."""
+    inner = _score(inner)
     return F.coalesce(F.nullif(inner, F.lit(0).cast("decimal(10,2)")), outer.cast("decimal(10,2)"))
 
 
@@ -87,7 +78,7 @@ def score_key_presence(params_json, inner, outer):
     ``params_json`` is the rewritten JSON text (``with_parsed_params``'s
     ``json_col``), so the dict text is not rewritten a second time.
     """
-    return (F.when(has_key_json(params_json, "score"), inner.cast("decimal(10,2)"))
+    return (F.when(has_key_json(params_json, "score"), _score(inner))
              .otherwise(F.nullif(outer.cast("decimal(10,2)"), F.lit(0).cast("decimal(10,2)"))))
 
 
@@ -117,8 +108,10 @@ def stamp_periods(df: DataFrame, ts: str = "created_at", ds=None,
 
 
 def order_by_first_column(df: DataFrame) -> DataFrame:
-    """S3 — ``ORDER BY 1``."""
-    return df.orderBy(df.columns[0])
+    """S3 — ``ORDER BY 1``; the other columns break ties, so rows with one first
+    value don't all belong in one range partition, and the order is the same
+    on every run."""
+    return df.orderBy(*df.columns)
 
 
 def export_projection(df: DataFrame, columns: dict | list, order_by=None) -> DataFrame:

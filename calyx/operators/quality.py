@@ -76,29 +76,33 @@ def min_rows_check(df: DataFrame, min_rows: int, name: str = "table") -> DataFra
 
 def assert_min_rows(df: DataFrame, min_rows: int, name: str = "table") -> int:
     """Fail when ``df`` has fewer than ``min_rows`` rows; returns the count."""
-    n = df.count() if min_rows > 1 else (0 if df.isEmpty() else 1)
+    n = df.count()
     if n < min_rows:
         raise QualityError(f"{name}: {n} rows < required {min_rows}")
     return n
 
 
+def _named(column: str) -> F.Column:
+    """The column of just this name, whatever characters it holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 # Q6
 def null_pct(df: DataFrame, max_pct: dict) -> DataFrame:
     """NULL share in % (rounded half-up to 2) per column, checked against a maximum.
 
     One aggregation computes ``count(*)`` and ``count(c)`` for every column;
-    ``stack`` turns the single row into one row per column.  No rows gives a
-    NULL share, which passes.
+    an array of structs turns the single row into one row per column.  No rows
+    gives a NULL share, which passes.
     """
     from ..functions.ratios import half_up_ratio
     cols = list(max_pct)
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count(F.col(c)).alias(f"_c{i}")
-                                              for i, c in enumerate(cols)]
-    one = df.agg(*aggs)
-    stack_args = ", ".join(f"'{c}', _n - _c{i}, cast({float(max_pct[c])!r} as double)"
-                           for i, c in enumerate(cols))
-    long = one.select("_n", F.expr(f"stack({len(cols)}, {stack_args}) as "
-                                   f"(column_name, null_count, max_null_pct)"))
+    one = df.agg(F.count(F.lit(1)).alias("_n"),
+                 *[F.count(_named(c)).alias(f"_c{i}") for i, c in enumerate(cols)])
+    long = one.select("_n", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), (F.col("_n") - F.col(f"_c{i}")).alias("null_count"),
+                 F.lit(float(max_pct[c])).alias("max_null_pct"))
+        for i, c in enumerate(cols)])).alias("_x")).select("_n", "_x.*")
     pct = half_up_ratio("null_count", "_n", scale=2, times=100, precision=5)
     return (long.select("column_name", F.col("null_count").cast("long").alias("null_count"),
                         pct.alias("null_pct"), "max_null_pct")
@@ -115,11 +119,11 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 
 def domain_violations(df: DataFrame, domains: dict) -> DataFrame:
     """Rows outside the allowed values per column (CHECK constraint), NULL allowed."""
-    aggs = [F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(v))).alias(c)
-            for c, v in domains.items()]
-    one = df.agg(*aggs)
-    args = ", ".join(f"'{c}', `{c}`" for c in domains)
-    return one.select(F.expr(f"stack({len(domains)}, {args}) as (column_name, violations)"))
+    one = df.agg(*[F.count_if(_named(c).isNotNull() & ~_named(c).isin(list(v))).alias(f"_c{i}")
+                   for i, (c, v) in enumerate(domains.items())])
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"_c{i}").alias("violations"))
+        for i, c in enumerate(domains)])).alias("_x")).select("_x.*")
 
 
 # Q10 — affected-row count of a write, observed while writing (no second pass)

@@ -1,31 +1,33 @@
 """Write modes W1–W8 on Parquet tables addressed by path.
 
-Plain Parquet has no DELETE or MERGE, so the modes are built from
-partitioned writes:
-
-* append (W1) and full refresh (W2, static overwrite);
-* period replace (W3): dynamic partition overwrite of the periods present in
-  the new data, plus an explicit drop of requested periods that came out
-  empty (dynamic overwrite alone would leave them stale);
-* upsert (W4): rewrite only the touched partitions as
-  ``anti(target, source) ∪ source``;
-* insert-ignore (W5), insert-if-period-absent (W6), load-if-empty (W7);
+Plain Parquet has no DELETE, MERGE or transaction, so a mode first writes all
+its rows to a new folder beside the table and then switches by renaming:
+
+* append (W1) adds files to the table; full refresh (W2) switches the folder;
+* period replace (W3) switches the partitions it wrote and drops requested
+  periods that came out empty, as DELETE + INSERT would leave them;
+* upsert (W4) switches the partitions the source touches, or the folder;
+* insert-ignore (W5), insert-if-period-absent (W6), load-if-empty (W7) append;
 * create / drop (W8).
 
-Rewrites that read the table they overwrite are first staged in the shared
-work folder (``spark.checkpoint.dir``), so a lost executor can recompute its
-tasks from files that still exist.  One writer per table is assumed; a
-multi-partition rewrite is atomic per partition, not per statement.
+A query that fails while it writes leaves the table as it was: nothing is
+removed before all new rows are on storage. A crash between the two renames of
+a folder switch is mended by the next read or write (``recover``); a switch of
+several partitions is atomic per partition. One writer per table is assumed.
+Every write is matched by name with the table's saved schema; missing, extra or
+differently typed columns raise.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .joins import dedup_first_wins, upsert_frames
+from .joins import dedup_first_wins, null_key, upsert_frames
 
 
 # ----------------------------------------------------------------- file system
@@ -40,8 +42,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _beside(path: str, tag: str) -> str:
+    """A hidden sibling of the table folder (readers skip names with a dot)."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.{tag}"
+
+
+def _rename(spark: SparkSession, src: str, dst: str) -> None:
+    fs, p = _fs(spark, src)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(dst)):
+        raise OSError(f"could not rename {src} to {dst}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Mend a folder switch that a crash cut short: the old folder comes back if
+    the new one never took its place, else it is removed."""
+    old = _beside(path, "old")
+    if path_exists(spark, old):
+        if path_exists(spark, path):
+            delete_path(spark, old)
+        else:
+            _rename(spark, old, path)
+
+
+def _switch_folder(spark: SparkSession, new: str, path: str) -> None:
+    recover(spark, path)
+    old = _beside(path, "old")
+    if path_exists(spark, path):
+        _rename(spark, path, old)
+    _rename(spark, new, path)
+    if path_exists(spark, old):
+        delete_path(spark, old)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """J7 — a table exists when its folder holds data files or its schema file."""
+    recover(spark, path)
     if not path_exists(spark, path):
         return False
     fs, _ = _fs(spark, path)
@@ -104,6 +140,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     (no re-inference), and a table whose partitions were all dropped reads as
     0 rows with the same columns.
     """
+    recover(spark, path)
     schema = _saved_schema(spark, path) if path_exists(spark, path) else None
     has_data = path_exists(spark, path) and _data_files(spark, path)
     if has_data:
@@ -118,39 +155,105 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def _part_value(v) -> str:
-    s = str(v)
-    if any(ch in s for ch in '/\\:=%"#{}[]*?\n\t\r') or s == "":
-        raise ValueError(f"partition value {s!r} needs path escaping; not supported")
-    return s
+def partition_path(spark: SparkSession, spec: dict, schema: T.StructType) -> str:
+    """The folder of a period, ``c1=v1/c2=v2``: each value cast to its column's
+    type and written and escaped as Spark's partitioned writer does."""
+    values = spark.range(1).select(*[
+        F.lit(v).cast(schema[c].dataType).cast("string").alias(c) for c, v in spec.items()]).first()
+    part = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join(part(c, values[c]) for c in spec)
 
 
-def partition_path(path: str, spec: dict) -> str:
-    return path.rstrip("/") + "/" + "/".join(f"{k}={_part_value(v)}" for k, v in spec.items())
+def _partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Relative partition folders under ``path``: one entry per partition, no data."""
+    fs, _ = _fs(spark, path)
+    level = [""]
+    for _ in range(depth):
+        level = [f"{d}/{st.getPath().getName()}".lstrip("/") for d in level
+                 for st in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{d}".rstrip("/")))
+                 if st.isDirectory() and not st.getPath().getName().startswith(("_", "."))]
+    return level
 
 
-# ------------------------------------------------------------------- W1, W2, W8
+# ------------------------------------------------------------------- schema
 
-def write_append(df: DataFrame, path: str, partition_by=None) -> None:
-    """W1 — append; a re-run appends the rows again."""
-    w = df.write.mode("append")
+def aligned(df: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """``df`` with the table's columns in the table's order.
+
+    Raises when a column is missing, is not the table's, or has another type
+    (nullability aside): an append may not hide or reinterpret older rows.
+    """
+    if not table_exists(spark, path):
+        return df
+    schema = _saved_schema(spark, path) or read_table(spark, path).schema
+    want = {f.name: f.dataType.simpleString() for f in schema.fields}
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    wrong = {c: (want.get(c), have.get(c)) for c in {**want, **have} if want.get(c) != have.get(c)}
+    if wrong:
+        raise ValueError(f"{path}: columns differ from the table's (table, batch): {wrong}")
+    return df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+
+
+def clustered(df: DataFrame, partition_by) -> DataFrame:
+    """Rows of a partition together before a partitioned write, so that a period
+    is a few files, not one per task; AQE splits a period that is large."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def _write_files(df: DataFrame, path: str, partition_by, mode: str) -> None:
+    partition_by = list(partition_by or [])
+    w = clustered(df, partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    _save_schema(spark_of(df), path, df.schema, partition_by)
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def _write_beside(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> str:
+    """Write ``df`` to a new folder beside the table; remove it if that fails."""
+    new = _beside(path, f"new-{uuid.uuid4().hex[:12]}")
+    try:
+        _write_files(df, new, partition_by, "errorifexists")
+    except BaseException:
+        delete_path(spark, new)
+        raise
+    return new
+
+
+def _switch_partitions(spark: SparkSession, new: str, path: str, depth: int, also=()) -> None:
+    """Put the partition folders of ``new`` in the place of the table's, and drop those named in ``also``."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+    fresh = _partition_folders(spark, new, depth)
+    for rel in [*fresh, *[r for r in also if r not in fresh]]:
+        at = f"{path.rstrip('/')}/{rel}"
+        if path_exists(spark, at):
+            delete_path(spark, at)
+        if rel in fresh:
+            fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(at).getParent())
+            _rename(spark, f"{new}/{rel}", at)
+    delete_path(spark, new)
+
+
+# ------------------------------------------------------------------- W1, W2, W8
+
+def write_append(df: DataFrame, path: str, partition_by=None) -> None:
+    """W1 — append; a re-run appends the rows again."""
+    spark = df.sparkSession
+    df = aligned(df, spark, path)
+    _write_files(df, path, partition_by, "append")
+    _save_schema(spark, path, df.schema, partition_by)
 
 
 def write_full_refresh(df: DataFrame, path: str, partition_by=None) -> None:
-    """W2 — TRUNCATE + INSERT: the whole table is replaced."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    _save_schema(spark_of(df), path, df.schema, partition_by)
+    """W2 — TRUNCATE + INSERT: the whole table is replaced, once all new rows are written.
+
+    The table may get other columns; ``df`` may read the table it replaces.
+    """
+    spark = df.sparkSession
+    recover(spark, path)
+    new = _write_beside(spark, df, path, partition_by)
+    _save_schema(spark, new, df.schema, partition_by)
+    _switch_folder(spark, new, path)
 
 
 def create_if_missing(spark: SparkSession, path: str, schema: T.StructType,
@@ -164,66 +267,69 @@ def create_if_missing(spark: SparkSession, path: str, schema: T.StructType,
 
 def drop_table(spark: SparkSession, path: str) -> bool:
     """W8 — DROP TABLE IF EXISTS."""
+    recover(spark, path)
     return delete_path(spark, path) if path_exists(spark, path) else False
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str = "stage", partition_by=None) -> DataFrame:
-    """Write ``df`` to a fresh folder under the work folder and read it back.
+class Staged:
+    """``df`` written once to the work folder, for inputs that several steps read;
+    the folder goes at the end of the ``with`` block."""
 
-    Cuts the lineage to the target table before the target is rewritten.
-    """
-    p = scratch_path(spark, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(p)
-    return spark.read.parquet(p)
+    def __init__(self, df: DataFrame, name: str = "stage", partition_by=None):
+        self.df, self.partition_by = df, partition_by
+        self.path = scratch_path(df.sparkSession, name)
+
+    def __enter__(self) -> DataFrame:
+        _write_files(self.df, self.path, self.partition_by, "errorifexists")
+        return self.df.sparkSession.read.schema(self.df.schema).parquet(self.path)
+
+    def __exit__(self, *exc):
+        delete_path(self.df.sparkSession, self.path)
 
 
 # ------------------------------------------------------------------------- W3
 
 def replace_periods(spark: SparkSession, df: DataFrame, path: str, partition_by,
-                    periods=None, source_reads_target: bool = False) -> None:
+                    periods=None, source_reads_target: bool = True) -> None:
     """W3 — DELETE the periods, then INSERT ``df``.
 
     ``partition_by`` are the period stamp columns.  ``periods`` lists the
     periods being replaced as dicts ``{col: value}``; any of them absent from
     ``df`` is dropped from the table, so an empty re-run empties the period
     like DELETE + INSERT would.  Without ``periods`` only periods present in
-    ``df`` are replaced.
+    ``df`` are replaced.  Values are compared in the column's type: a DATE
+    given for a TIMESTAMP stamp means its midnight.
 
-    ``df`` is computed once: the partition values it wrote are observed
-    during the write (a set bounded by the number of periods), not by a
-    second pass.
+    ``df`` is computed once and may read the table, as nothing is removed
+    before it is written (so ``source_reads_target`` makes no difference); which
+    periods it holds is seen from the folders it wrote (one per period), not by a second pass.
     """
-    from pyspark.sql import Observation
     partition_by = list(partition_by)
-    if source_reads_target:
-        df = stage(spark, df, "replace", partition_by)
-    obs = Observation(f"replace-{abs(hash(path))}")
-    watched = df.observe(obs, F.collect_set(F.struct(
-        *[F.col(c).cast("string").alias(c) for c in partition_by])).alias("parts"))
-    (watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by).parquet(path))
-    present = {tuple(r[c] for c in partition_by) for r in obs.get["parts"]}
-    for spec in periods or []:
-        key = tuple(str(spec[c]) for c in partition_by)
-        if key not in present:
-            pp = partition_path(path, {c: spec[c] for c in partition_by})
-            if path_exists(spark, pp):
-                delete_path(spark, pp)
+    df = aligned(df, spark, path)
+    also = [partition_path(spark, {c: spec[c] for c in partition_by}, df.schema) for spec in periods or []]
+    new = _write_beside(spark, df, path, partition_by)
+    _switch_partitions(spark, new, path, len(partition_by), also)
     _save_schema(spark, path, df.schema, partition_by)
 
 
-def _partition_filter(df: DataFrame, partition_by, values) -> F.Column:
-    """``(p1 = v AND p2 = w) OR ...`` on partition columns: prunes folders at listing."""
-    cond = F.lit(False)
-    for vals in values:
-        one = F.lit(True)
-        for c, v in zip(partition_by, vals):
-            one = one & (F.col(c) == F.lit(v).cast(df.schema[c].dataType))
-        cond = cond | one
-    return cond
+def replace_periods_ignoring(spark: SparkSession, df: DataFrame, path: str, partition_by, periods,
+                             keys, order_by) -> None:
+    """W3 + W5 — DELETE the periods, then INSERT ... ON CONFLICT DO NOTHING.
+
+    Of rows with one key the first by ``order_by`` wins, and a key that the
+    table holds in a period that stays is not inserted again.
+    """
+    rows = dedup_first_wins(df, keys, order_by)
+    if table_exists(spark, path):
+        table = read_table(spark, path)
+        going = F.lit(False)
+        for spec in periods:
+            one = F.lit(True)
+            for c in partition_by:
+                one = one & F.col(c).eqNullSafe(F.lit(spec[c]).cast(table.schema[c].dataType))
+            going = going | one
+        rows = rows.join(table.filter(~going).select(*keys), list(keys), "left_anti")
+    replace_periods(spark, rows.select(*df.columns), path, partition_by, periods)
 
 
 # ------------------------------------------------------------------------- W4
@@ -232,45 +338,57 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys,
            partition_by=None) -> None:
     """W4 / J5 — insert or update by ``keys``.
 
-    The source is staged once (it is usually an aggregate, and later steps
-    read it twice).  Only partitions touched by the source are read —
-    literal filters on the partition columns, so other folders are never
-    listed — and rewritten; an unpartitioned table is rewritten whole.
+    Two source rows with one key raise, as ON CONFLICT DO UPDATE does (rows
+    with a NULL key never conflict).  When the partition columns belong to the
+    key, a row can't move between partitions: the source is staged in the
+    table's layout, only the partitions it touches are read, each of their
+    rows is written once, and they are switched.  Otherwise a key may move, so
+    the whole table is merged into a new folder and switched.
     """
-    keys = list(keys)
-    partition_by = list(partition_by or [])
-    if not table_exists(spark, path):
-        write_append(source, path, partition_by or None)
-        return
-    target = read_table(spark, path)
-    src = stage(spark, source.select(*target.columns), "upsert_src")
-    if partition_by:
-        # distinct period values of the staged source: bounded by the periods
-        touched = [tuple(r) for r in src.select(*partition_by).distinct().collect()]
-        if not touched:
+    keys, partition_by = list(keys), list(partition_by or [])
+    inside = bool(partition_by) and set(partition_by) <= set(keys)
+    source = aligned(source, spark, path)
+    staged = Staged(source, "upsert", partition_by if inside else None)
+    with staged as src:
+        src = src.select(*source.columns)
+        twice = src.filter(~null_key(keys)).groupBy(*keys).count().filter("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"{path}: two source rows for one key, {twice[0].asDict()}")
+        if not table_exists(spark, path):
+            write_append(src, path, partition_by or None)
             return
-        target = target.filter(_partition_filter(target, partition_by, touched))
-    merged = stage(spark, upsert_frames(target, src, keys), "upsert", partition_by or None)
-    if partition_by:
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(*partition_by).parquet(path))
-        _save_schema(spark, path, merged.schema, partition_by)
-    else:
-        write_full_refresh(merged, path)
+        if not inside:
+            target = read_table(spark, path)
+            write_full_refresh(upsert_frames(target, src, keys), path, partition_by or None)
+            return
+        touched = _partition_folders(spark, staged.path, len(partition_by))
+        there = [f"{path.rstrip('/')}/{rel}" for rel in touched
+                 if path_exists(spark, f"{path.rstrip('/')}/{rel}")]
+        merged = src
+        if there:
+            target = spark.read.schema(source.schema).option("basePath", path).parquet(*there)
+            merged = upsert_frames(target.select(*source.columns), src, keys)
+        new = _write_beside(spark, merged, path, partition_by)
+        _switch_partitions(spark, new, path, len(partition_by))
+        _save_schema(spark, path, source.schema, partition_by)
 
 
 # ---------------------------------------------------------------- W5, W6, W7
 
 def insert_ignore(spark: SparkSession, batch: DataFrame, path: str, keys, order_by,
-                  partition_by=None) -> None:
-    """W5 / J4 — ``ON CONFLICT DO NOTHING``: first row per key wins, existing keys are kept."""
-    new = dedup_first_wins(batch, keys, order_by)
+                  partition_by=None, within=None) -> None:
+    """W5 / J4 — ``ON CONFLICT DO NOTHING``: first row per key wins, existing keys are kept.
+
+    ``within`` = (key column, start, end) says that all rows of the batch lie in
+    that half-open range of a time key; only that part of the table is read.
+    """
+    from .joins import anti_new_rows
     if table_exists(spark, path):
         target = read_table(spark, path)
-        new = stage(spark, new.join(target.select(*keys), list(keys), "left_anti"),
-                    "insert_ignore")
-        new = new.select(*target.columns)
-    write_append(new, path, partition_by)
+        with Staged(anti_new_rows(batch, target, keys, order_by, within), "insert_ignore") as new:
+            write_append(new, path, partition_by)
+    else:
+        write_append(dedup_first_wins(batch, keys, order_by), path, partition_by)
 
 
 def insert_if_period_absent(spark: SparkSession, df: DataFrame, path: str, period_col: str,
@@ -288,11 +406,9 @@ def insert_if_period_absent(spark: SparkSession, df: DataFrame, path: str, perio
 def load_if_partition_empty(spark: SparkSession, df: DataFrame, path: str,
                             partition_by) -> bool:
     """W7 — append only when every partition ``df`` would write is still empty."""
-    from .quality import partition_is_empty
     if table_exists(spark, path):
-        t = read_table(spark, path)
-        for r in df.select(*partition_by).distinct().collect():
-            if not partition_is_empty(t, r.asDict()):
-                return False
+        periods = df.select(*partition_by).distinct()
+        if not read_table(spark, path).join(periods, list(partition_by), "left_semi").isEmpty():
+            return False
     write_append(df, path, partition_by)
     return True

@@ -53,7 +53,8 @@ SERIES = """series as (
 RECORDS = """records as (
   select event_id, user_id, event_type, value, ts,
          cast(user_id as varchar) lti_user_id,
-         case when value < 5 then null when value >= 30 then 1 else 0 end raw_correct,
+         case when value < 5 then null when value < 30 then 0
+              when user_id % 10 = 7 then 2 else 1 end raw_correct,
          'key-' || cast(user_id as varchar) oauth_consumer_key,
          case when value < 5 then null else 'src:' || cast(event_id as varchar) end
            lis_result_sourcedid,
@@ -63,8 +64,10 @@ RECORDS = """records as (
            when 'signup' then 'note: None, ok'
            else 'https://lms.example/' || event_type end lis_outcome_service_url,
          json_extract_string(props, '$.k') lesson_id,
+         case when user_id % 10 <> 4 then 'Lesson no. ' || json_extract_string(props, '$.k')
+              || ' by ' || event_type end lesson_name,
          case when event_type = 'click' then null when value < 10 then null
-              when value < 20 then cast(0 as decimal(10,2))
+              when value < 20 then cast(0 as decimal(10,2)) when user_id % 10 = 3 then null
               else cast(value as decimal(10,2)) end inner_score,
          case user_id % 10 when 1 then null when 0 then cast(0 as decimal(10,2))
               else cast(user_id as decimal(10,2)) end outer_score,

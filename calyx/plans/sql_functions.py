@@ -13,16 +13,17 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 _RATIO = """
-CREATE OR REPLACE TEMPORARY FUNCTION calyx_ratio(k BIGINT, n BIGINT, s INT, m INT)
+CREATE OR REPLACE TEMPORARY FUNCTION calyx_ratio(k DECIMAL(38, 0), n DECIMAL(38, 0), s INT, m INT)
 RETURNS DECIMAL(38, 6)
-RETURN CASE WHEN n = 0 THEN NULL ELSE
-  CAST((2 * k * m * CAST(power(10, s) AS BIGINT) + n) DIV (2 * n) AS DECIMAL(38, 0))
-    / CAST(power(10, s) AS BIGINT) END"""
+RETURN CAST(CAST(
+    (CAST(2 * k * m * CAST(power(10, s) AS DECIMAL(38, 0)) + n AS DECIMAL(38, 0))
+     - CAST(2 * k * m * CAST(power(10, s) AS DECIMAL(38, 0)) + n AS DECIMAL(38, 0)) % nullif(2 * n, 0))
+    / nullif(2 * n, 0) AS DECIMAL(38, 0)) / CAST(power(10, s) AS DECIMAL(38, 0)) AS DECIMAL(38, 6))"""
 
 _AVG = """
 CREATE OR REPLACE TEMPORARY FUNCTION calyx_avg(total DECIMAL(38, 2), n BIGINT, s INT)
 RETURNS DECIMAL(38, 6)
-RETURN calyx_ratio(CAST(total * 100 AS BIGINT), n * 100, s, 1)"""
+RETURN calyx_ratio(CAST(total * 100 AS DECIMAL(38, 0)), CAST(n AS DECIMAL(38, 0)) * 100, s, 1)"""
 
 
 def register_sql_functions(spark: SparkSession) -> None:

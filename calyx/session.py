@@ -64,13 +64,16 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables and exports.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local runs, tests) a fresh folder is created and registered.
+    on a local master (tests) a fresh folder is created and registered. On any
+    other master a folder of one machine would not be seen by the others.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = jdir.get() if jdir.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="calyx-ckpt-"))
         base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return base

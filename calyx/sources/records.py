@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from ..functions import calendar as cal
 from .tables import read_table
 
-# Format of created_at in the API records (Python '%Y-%m-%d %H:%M:%S.%f').
-CREATED_AT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+# Format of created_at in the API records: Python's str(datetime), which leaves
+# the fraction out when it is 0.
+CREATED_AT_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 RECORD_SCHEMA = T.StructType([
     T.StructField("lti_user_id", T.StringType()),
@@ -39,9 +40,10 @@ def render_params(ev: DataFrame, corrupt: bool = False) -> Column:
 
     Covers the literal forms seen in API data: None values, True/False, bare
     numbers, a double-quoted string holding an apostrophe, a single-quoted
-    string with an escaped ``\\'``, text containing ``: None,``, and (types
-    'click') a missing ``score`` key.  With ``corrupt`` the 'error' rows with
-    value < 1 carry truncated text.
+    string with an escaped ``\\'``, text containing ``: None,``, an empty
+    string as score (users ending in 3, from 20 on), a lesson name of its own
+    (users ending in 4 have none) and (types 'click') a missing ``score`` key.
+    With ``corrupt`` the 'error' rows with value < 1 carry truncated text.
     """
     v, et, eid = F.col("value"), F.col("event_type"), F.col("event_id").cast("string")
     sourcedid = F.when(v < 5, F.lit("None")).otherwise(_q(F.concat(F.lit("src:"), eid)))
@@ -49,7 +51,10 @@ def render_params(ev: DataFrame, corrupt: bool = False) -> Column:
             .when(et == "error", F.lit("'https://lms.example/error?msg=it\\'s \"bad\"'"))
             .when(et == "signup", F.lit("'note: None, ok'"))
             .otherwise(_q(F.concat(F.lit("https://lms.example/"), et))))
-    score = (F.when(v < 10, F.lit("None")).when(v < 20, F.lit("0"))
+    ending = F.pmod(F.col("user_id").cast("long"), F.lit(10))
+    name = F.when(ending == 4, F.lit("None")).otherwise(
+        F.concat(F.lit("'Lesson no. "), F.get_json_object("props", "$.k"), F.lit(" by "), et, F.lit("'")))
+    score = (F.when(v < 10, F.lit("None")).when(v < 20, F.lit("0")).when(ending == 3, F.lit("''"))
               .otherwise(v.cast("decimal(10,2)").cast("string")))
     score_part = F.when(et == "click", F.lit("")).otherwise(F.concat(F.lit(", 'score': "), score))
     text = F.concat(
@@ -57,6 +62,7 @@ def render_params(ev: DataFrame, corrupt: bool = False) -> Column:
         F.lit(", 'lis_result_sourcedid': "), sourcedid,
         F.lit(", 'lis_outcome_service_url': "), url,
         F.lit(", 'lesson_id': "), F.get_json_object("props", "$.k"),
+        F.lit(", 'lesson_name': "), name,
         score_part,
         F.lit(", 'graded': "), F.when(v >= 30, F.lit("True")).otherwise(F.lit("False")),
         F.lit("}"))
@@ -73,6 +79,11 @@ def outer_score(ev_user: Column) -> Column:
              .otherwise(u).cast("decimal(10,2)"))
 
 
+def _python_text(ts: Column) -> Column:
+    """str(datetime): the fraction only when it is not 0."""
+    return F.regexp_replace(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.000000$", "")
+
+
 def api_records(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
     """Events rendered as API attempt records (plus ``event_id`` for traceability)."""
     ev = read_table(spark, sf_dir, "events")
@@ -81,35 +92,60 @@ def api_records(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> Data
         F.col("event_id"),
         F.col("user_id").cast("string").alias("lti_user_id"),
         render_params(ev, corrupt).alias("passback_params"),
-        F.when(v < 5, F.lit(None)).when(v >= 30, 1).otherwise(0).cast("int").alias("is_correct"),
+        # a flag of 2 (users ending in 7) is truthy, but not 1
+        F.when(v < 5, F.lit(None)).when(v < 30, 0)
+         .when(F.pmod(F.col("user_id").cast("long"), F.lit(10)) == 7, 2).otherwise(1)
+         .cast("int").alias("is_correct"),
         F.col("event_type").alias("attempt_type"),
-        F.date_format("ts", CREATED_AT_FORMAT).alias("created_at"),
+        _python_text(F.col("ts")).alias("created_at"),
         outer_score(F.col("user_id")).alias("score"),
     )
 
 
-def read_attempts(spark: SparkSession, path: str, start, end) -> DataFrame:
+def landing(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """JSON attempt records as they landed, with ``_corrupt_record`` holding text that is none.
+
+    One record or array per line by default (splittable); ``multi_line`` reads
+    each file as one document, such as a pretty-printed response body.
+    """
+    schema = T.StructType(RECORD_SCHEMA.fields + [T.StructField("event_id", T.LongType()),
+                                                  T.StructField("_corrupt_record", T.StringType())])
+    return spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(path)
+
+
+def rejected_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The texts under ``path`` that are no attempt records."""
+    bad = landing(spark, path, multi_line).filter(F.col("_corrupt_record").isNotNull())
+    return bad.select("_corrupt_record", F.col("lti_user_id").alias("_lti_user_id"))
+
+
+def read_attempts(spark: SparkSession, path: str, start, end, multi_line: bool = False,
+                  on_bad: str = "fail") -> DataFrame:
     """SRC1 — JSON attempt records in ``path`` with ``start <= created_at < end``.
 
     The schema is given (no inference pass); ``created_at`` is parsed from
-    the API's text form before the period filter (F15).
+    the API's text form, with or without a fraction, before the period filter
+    (F15). Text that is no record fails the query; with ``on_bad="reject"`` it is
+    left to ``rejected_records``.
     """
-    schema = T.StructType(RECORD_SCHEMA.fields + [T.StructField("event_id", T.LongType())])
-    df = spark.read.schema(schema).json(path)
+    df = landing(spark, path, multi_line)
+    bad = F.col("_corrupt_record").isNotNull()
+    if on_bad == "fail":
+        text = F.raise_error(F.concat(F.lit("no attempt record: "), F.col("_corrupt_record"))).cast("string")
+        df = df.withColumn("created_at", F.when(bad, text).otherwise(F.col("created_at")))
+    elif on_bad == "reject":
+        df = df.filter(~bad)
+    else:
+        raise ValueError(f"on_bad is {on_bad!r}, not 'fail' or 'reject'")
     ts = F.to_timestamp_ntz(F.col("created_at"), F.lit(CREATED_AT_FORMAT))
     s = cal.as_date(start).cast("timestamp_ntz")
     e = cal.as_date(end).cast("timestamp_ntz")
-    return df.filter((ts >= s) & (ts < e))
+    return df.drop("_corrupt_record").filter((ts >= s) & (ts < e))
 
 
-def read_all_strings(spark: SparkSession, path: str, period_start, period_end,
-                     sampling_ratio: float = 1.0) -> DataFrame:
-    """SRC4 — schema from the record keys, every column a string, plus the period columns.
-
-    ``sampling_ratio`` < 1 bounds the inference pass on large inputs.
-    """
-    df = (spark.read.option("primitivesAsString", "true")
-          .option("samplingRatio", str(sampling_ratio)).json(path))
+def read_all_strings(spark: SparkSession, path: str, period_start, period_end) -> DataFrame:
+    """SRC4 — schema from the keys of all records, every column a string, plus the period columns."""
+    df = spark.read.option("primitivesAsString", "true").json(path)
     return df.select(*[F.col(c).cast("string") for c in df.columns],
                      cal.as_date(period_start).alias("_period_start"),
                      cal.as_date(period_end).alias("_period_end"))
@@ -132,8 +168,8 @@ def synthetic_orders(days: DataFrame, date_col: str = "report_date",
 
     Each date row is expanded by a generator over the fixed branch × menu
     list (constant fan-out, no join).  Quantity is 5..40 like the reference's
-    date-seeded draw, here pmod(xxhash64(date, branch, dish), 36) + 5: the
-    same date gives the same rows on every re-run.
+    date-seeded draw, here the first 8 hex digits of md5(date, branch, dish)
+    modulo 36, plus 5: the same date gives the same rows on every re-run.
     """
     combos = F.array(*[
         F.struct(F.lit(b).alias("branch"), F.lit(d).alias("dish"), F.lit(c).alias("category"),
@@ -141,7 +177,7 @@ def synthetic_orders(days: DataFrame, date_col: str = "report_date",
         for b in branches for (d, c, p) in menu])
     x = days.select(F.col(date_col).cast("date").alias("report_date"),
                     F.explode(combos).alias("_c")).select("report_date", "_c.*")
-    qty = (F.pmod(F.xxhash64(F.col("report_date").cast("string"), "branch", "dish"), F.lit(36))
-           + 5).cast("bigint")
+    seed = F.substring(F.md5(F.concat(F.col("report_date").cast("string"), "branch", "dish")), 1, 8)
+    qty = F.pmod(F.conv(seed, 16, 10).cast("bigint"), F.lit(36)) + 5
     return x.withColumn("qty", qty).withColumn(
         "amount", (F.col("qty") * F.col("price")).cast("decimal(12,2)"))

@@ -1,5 +1,7 @@
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from calyx.operators import joins as J
@@ -113,9 +115,103 @@ def test_create_and_drop(spark, tmp_table):
     assert not W.drop_table(spark, p)
 
 
-def test_broadcast_if_small_checks_size(spark):
-    small = J.broadcast_if_small(spark.range(10), max_rows=10)
-    big = J.broadcast_if_small(spark.range(11), max_rows=10)
-    j_small = spark.range(100).join(small, "id")._jdf.queryExecution().optimizedPlan().toString()
-    j_big = spark.range(100).join(big, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in j_small.lower() and "broadcast" not in j_big.lower()
+def boom(spark):
+    """Rows whose second half fails while it is written."""
+    return spark.range(100).select(
+        F.lit(D1).alias("ds"), F.col("id").cast("string").alias("k"),
+        F.when(F.col("id") < 50, F.col("id")).otherwise(F.raise_error(F.lit("boom")).cast("long")).alias("v"))
+
+
+def test_failed_writes_leave_the_table(spark, tmp_table):
+    p = tmp_table()
+    W.write_full_refresh(df(spark, [(D1, "a", 1), (D2, "b", 2)]), p, ["ds"])
+    for write in (lambda: W.write_full_refresh(boom(spark), p, ["ds"]),
+                  lambda: W.replace_periods(spark, boom(spark), p, ["ds"], [{"ds": D2}]),
+                  lambda: W.upsert(spark, boom(spark), p, ["ds", "k"], ["ds"]),
+                  lambda: W.upsert(spark, boom(spark), p, ["k"], ["ds"]),
+                  lambda: W.insert_ignore(spark, boom(spark), p, ["k"], ["v"], ["ds"])):
+        with pytest.raises(Exception, match="boom"):
+            write()
+        got = sorted(tuple(r) for r in W.read_table(spark, p).select("ds", "k", "v").collect())
+        assert got == [(D1, "a", 1), (D2, "b", 2)]
+    parent = p.rsplit("/", 1)[0].replace("file:", "")
+    assert not [f for f in os.listdir(parent) if f.startswith("." + p.rsplit("/", 1)[1])]
+
+
+def test_interrupted_switch_is_mended(spark, tmp_table):
+    p = tmp_table()
+    W.write_full_refresh(df(spark, [(D1, "a", 1)]), p)
+    W._rename(spark, p, W._beside(p, "old"))            # a crash between the two renames
+    assert W.table_exists(spark, p) and W.read_table(spark, p).count() == 1
+
+
+def test_append_is_aligned_with_the_table(spark, tmp_table):
+    p = tmp_table()
+    W.write_append(df(spark, [(D1, "a", 1)]), p)
+    W.write_append(df(spark, [(D2, "b", 2)]).select("v", "ds", "k"), p)
+    assert rows(spark, p) == [(D1, "a", 1), (D2, "b", 2)]
+    for other in (df(spark, [(D2, "b", 2)]).drop("v"), df(spark, [(D2, "b", 2)]).withColumn("x", F.lit(1)),
+                  df(spark, [(D2, "b", 2)]).withColumn("v", F.col("v").cast("int"))):
+        with pytest.raises(ValueError, match="columns differ"):
+            W.write_append(other, p)
+    assert W.read_table(spark, p).columns == ["ds", "k", "v"] and W.read_table(spark, p).count() == 2
+
+
+def test_upsert_checks_keys(spark, tmp_table):
+    p = tmp_table()
+    with pytest.raises(ValueError, match="two source rows"):
+        W.upsert(spark, df(spark, [(D1, "a", 1), (D2, "a", 2)]), p, ["k"])
+    W.upsert(spark, df(spark, [(D1, "a", 1), (D1, "b", 1)]), p, ["k"], ["ds"])
+    W.upsert(spark, df(spark, [(D2, "a", 2)]), p, ["k"], ["ds"])          # the key moves to another partition
+    assert rows(spark, p) == [(D1, "b", 1), (D2, "a", 2)]
+    W.upsert(spark, df(spark, [(D2, None, 3), (D2, None, 4)]), p, ["k"], ["ds"])
+    assert sorted(r.v for r in W.read_table(spark, p).filter("k is null").collect()) == [3, 4]
+
+
+def test_period_replace_on_timestamp_stamps(spark, tmp_table):
+    p = tmp_table()
+    data = spark.createDataFrame([("2024-01-08", 1), ("2024-01-15", 2)], "t string, v int").select(
+        F.to_timestamp_ntz("t", F.lit("yyyy-MM-dd")).alias("date"), "v")
+    W.replace_periods(spark, data, p, ["date"])
+    none = data.filter("v > 9")
+    W.replace_periods(spark, none, p, ["date"], [{"date": "2024-01-08"}])
+    assert [r.v for r in W.read_table(spark, p).collect()] == [2]
+    W.replace_periods(spark, none, p, ["date"], [{"date": "2024-01-15 00:00:00"}])
+    assert W.read_table(spark, p).count() == 0
+
+
+def test_replace_ignoring_keeps_other_periods(spark, tmp_table):
+    p = tmp_table()
+    W.write_append(df(spark, [(D1, "a", 1), (D2, "b", 2), (D2, "c", 3)]), p, ["ds"])
+    W.replace_periods_ignoring(spark, df(spark, [(D2, "a", 7), (D2, "b", 9), (D2, "b", 8), (D2, "d", 4)]), p, ["ds"],
+                               [{"ds": D2}], ["k"], ["v"])
+    assert rows(spark, p) == [(D1, "a", 1), (D2, "b", 8), (D2, "d", 4)]
+
+
+def test_partitioned_writes_are_clustered(spark, tmp_table):
+    p = tmp_table()
+    data = spark.range(0, 400, 1, 8).select(F.date_add(F.lit(D1), (F.col("id") % 5).cast("int")).alias("ds"), "id")
+    W.write_append(data, p, ["ds"])
+    files = W.read_table(spark, p).inputFiles()
+    assert len(files) == 5
+
+
+def test_first_per_key_shares_one_shuffle(spark, tmp_table):
+    """Broadcast off: the batch is shuffled once for dedup and anti join, and the
+    target's scan gets the batch's range."""
+    p = tmp_table()
+    schema = "event_id long not null, user string not null, at timestamp_ntz not null"
+    batch = spark.createDataFrame(spark.range(50).select(
+        "id", F.concat(F.lit("u"), F.col("id") % 5), F.lit("2024-01-09").cast("timestamp_ntz")).rdd, schema)
+    batch.write.parquet(p)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = J.anti_new_rows(batch, spark.read.parquet(p), ["user", "at"], ["event_id"],
+                              ("at", "2024-01-08", "2024-01-15"))
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2                    # batch and target, once each
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan       # before and after the shuffle
+    assert "GreaterThanOrEqual(at,2024-01-08T00:00)" in plan and "LessThan(at,2024-01-15T00:00)" in plan
+    assert new.count() == 0
