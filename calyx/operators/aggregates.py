@@ -391,6 +391,13 @@ def first_activity(att: DataFrame, start, end) -> DataFrame:
             .agg(F.min("created_at").alias("first_activity")))
 
 
+def last_seen(att: DataFrame) -> DataFrame:
+    """Latest attempt per user, with its day (a user dimension whose partition moves)."""
+    return (att.groupBy("lti_user_id")
+            .agg(F.max("created_at").alias("last_seen"), F.max_by("attempt_type", "created_at").alias("last_type"))
+            .withColumn("last_day", F.col("last_seen").cast("date")))
+
+
 # --------------------------------------------------------------------------
 # J2 — new users in a period
 # --------------------------------------------------------------------------

@@ -1,8 +1,9 @@
 """Export sinks X1–X9: delimited text, CSV with header, JSON lines, partitioned
 layouts, empty-result policy, replace-on-write, period selection.
 
-Files are written by the executors in parallel (one file per task); only
-small aggregates should be ``coalesce(1)``-ed, via ``single_file``.
+Files are written by the executors in parallel, one per task, and rows are
+never gathered for the sake of a file name: an export to a named file gives its
+name to the one file of a small result, and numbers the files of a larger one.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import os
 from pyspark.sql import DataFrame
 
 from . import filters as flt
+from . import writes as W
 
 # Timestamp text in exports: the reference's Python str(datetime) form.
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -39,17 +41,39 @@ def _on_empty(df: DataFrame, on_empty: str) -> bool:
 
 
 def export_delimited(df: DataFrame, path: str, sep: str = "\t", header: bool = False,
-                     on_empty: str = "write", partition_by=None, single_file: bool = False,
-                     mode: str = "overwrite") -> bool:
-    """X1 / X2 / X3 (``sep=','``) / X5 / X8.  Returns False when skipped as empty."""
+                     on_empty: str = "write", partition_by=None, mode: str = "overwrite") -> bool:
+    """X1 / X2 / X3 (``sep=','``) / X5 / X8.  Returns False when skipped as empty.
+
+    A path that ends in .csv, .tsv or .json names a file, any other a folder.
+    """
+    opts = dict(TSV_OPTIONS, sep=sep, header=str(header).lower())
+    return _export(df, path, on_empty, partition_by, mode, lambda w, to: w.options(**opts).csv(to))
+
+
+def _export(df: DataFrame, path: str, on_empty: str, partition_by, mode: str, save) -> bool:
     if not _on_empty(df, on_empty):
         return False
-    opts = dict(TSV_OPTIONS, sep=sep, header=str(header).lower())
-    out = df.coalesce(1) if single_file else df
-    w = out.write.mode(mode).options(**opts)
+    stem, ext = os.path.splitext(path)
+    named = ext in (".csv", ".tsv", ".json")
+    if named and partition_by:
+        raise ValueError(f"{path}: a partitioned export is a folder")
+    w = W.clustered(df, partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.csv(path)
+    if not named:
+        save(w, path)
+        return True
+    # written beside, then renamed: readers never see half a file
+    spark, folder = df.sparkSession, W._beside(path, "export")
+    save(w, folder)
+    fs, p = W._fs(spark, folder)
+    parts = sorted(st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName().startswith("part-"))
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path), False)
+    for k, part in enumerate(parts):
+        to = path if len(parts) == 1 else f"{stem}_part{k:05d}{ext}"
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(to), False)
+        W._rename(spark, part, to)
+    W.delete_path(spark, folder)
     return True
 
 
@@ -59,17 +83,11 @@ def export_csv(df: DataFrame, path: str, **kw) -> bool:
 
 
 def export_json(df: DataFrame, path: str, on_empty: str = "write", partition_by=None,
-                single_file: bool = False, mode: str = "overwrite") -> bool:
+                mode: str = "overwrite") -> bool:
     """X4 — JSON lines document of rows."""
-    if not _on_empty(df, on_empty):
-        return False
-    out = df.coalesce(1) if single_file else df
-    w = out.write.mode(mode).option("timestampNTZFormat", TS_FORMAT).option(
-        "timestampFormat", TS_FORMAT).option("ignoreNullFields", "false")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.json(path)
-    return True
+    return _export(df, path, on_empty, partition_by, mode,
+                   lambda w, to: w.option("timestampNTZFormat", TS_FORMAT)
+                   .option("timestampFormat", TS_FORMAT).option("ignoreNullFields", "false").json(to))
 
 
 def read_delimited(spark, path: str, schema, sep: str = "\t", header: bool = False) -> DataFrame:
@@ -83,18 +101,36 @@ def read_json(spark, path: str, schema) -> DataFrame:
             .option("timestampFormat", TS_FORMAT).json(path))
 
 
-def export_path(base: str, table: str, ds, layout: str = "table/ds") -> str:
-    """X5 / X6 — object layouts keyed by the run date."""
-    ds = str(ds)
+def export_path(base: str, table: str, ds, layout: str = "table/ds", start=None, end=None,
+                ext: str = "csv") -> str:
+    """X5 / X6 — object layouts keyed by the run date: folders, or named files
+    (``file`` layouts, for the period ``start`` .. ``end`` where they show it)."""
+    ds, ext = str(ds), ext if ext.startswith(".") else f".{ext}"
     layouts = {
         "table/ds": os.path.join(base, table, ds),
         "table/load_date": os.path.join(base, table, f"load_date={ds}"),
         "exports/table/ds": os.path.join(base, "exports", table, f"ds={ds}"),
         "prefix/ds/table_ds": os.path.join(base, ds, f"{table}_{ds}"),
+        "file/ds": os.path.join(base, ds, f"{table}_{ds}{ext}"),
+        "file/period": os.path.join(base, f"{table}_{start}_to_{end}_{ds}{ext}"),
+        "raw": os.path.join(base, "raw", f"{table}_{ds}{ext}"),
+        "agg": os.path.join(base, "agg", f"{table}_{ds}{ext}"),
     }
     return layouts[layout]
 
 
+def export_pair(raw: DataFrame, agg: DataFrame, base: str, table: str, ds, ext: str = "csv",
+                on_empty: str = "write") -> dict:
+    """X6 — the rows of a run and their aggregate side by side, ``raw/`` and ``agg/``."""
+    out = {}
+    for kind, df in (("raw", raw), ("agg", agg)):
+        path = export_path(base, table, ds, kind, ext=ext)
+        sep = "\t" if ext == "tsv" else ","
+        if export_delimited(df, path, sep=sep, header=True, on_empty=on_empty):
+            out[kind] = path
+    return out
+
+
 def period_rows_for_export(df: DataFrame, ds) -> DataFrame:
     """X9 — rows of run date ``ds``: by ``load_date`` if the table has it, else by ``created_at``."""
     if "load_date" in df.columns:

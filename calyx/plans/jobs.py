@@ -57,7 +57,7 @@ def weekly_new_users(spark: SparkSession, landing: str, ds: str, warehouse: str,
     agg_path = os.path.join(warehouse, "agg_new_users")
     keys = ["lti_user_id", "created_at"]
     batch = N.normalize_attempts(R.read_attempts(spark, landing, start, end))
-    W.insert_ignore(spark, batch, raw_path, keys, ["created_at", "event_id"])  # W5
+    W.insert_ignore(spark, batch, raw_path, keys, ["event_id"], within=("created_at", start, end))  # W5
     raw = W.read_table(spark, raw_path)
     firsts = A.first_activity(raw, start, end)                                   # A26
     W.insert_ignore(spark, firsts, users_path, ["lti_user_id"], ["first_activity"])

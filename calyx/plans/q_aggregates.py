@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..functions.ratios import duck_half_up as R
 from ..functions.ratios import duck_half_up_avg as AVG
 from ..operators import aggregates as A
+from ..operators import writes as W
+from ..session import scratch_path
 from ..operators.normalize import stamp_periods
 from ..sources import tables as T
 from .params import (DS, DS_CAFE, DS_MONTH, DS_NEXT_WEEK, DS_ORDERS, DS_SALES, month_start,
@@ -149,6 +153,17 @@ select lesson_id, max(lesson_name) lesson_name, count(*) total_attempts,
 from attempts where {rng(MS, ME)} and lesson_id is not null group by lesson_id""")(
     lambda spark, sf: A.monthly_lesson_stats(att(spark, sf), DS_MONTH))
 
+# F10 at work: the lesson of every seventh attempt is unknown
+register("agg_monthly_lesson_stats_nulls", WA + f"""
+select lesson_id, max(lesson_name) lesson_name, count(*) total_attempts,
+       count(distinct lti_user_id) unique_users,
+       {R(CORRECT_CNT, 'count(*)', scale=2, times=100, precision=5)} success_rate,
+       {AVG('sum(score)', 'count(score)')} avg_score, max(score) max_score, min(score) min_score,
+       {YM}
+from attempts where {rng(MS, ME)} and event_id % 7 <> 0 group by lesson_id""")(
+    lambda spark, sf: A.monthly_lesson_stats(att(spark, sf).withColumn(
+        "lesson_id", F.when(F.col("event_id") % 7 != 0, F.col("lesson_id"))), DS_MONTH))
+
 register("agg_monthly_daily_activity", WA + f"""
 select cast(created_at as date) activity_date, attempt_type, count(*) attempt_count,
        count(distinct lti_user_id) unique_users, {CORRECT_CNT} correct_count,
@@ -245,7 +260,7 @@ where {rng(WS, WE)} group by 1""")(
     lambda spark, sf: A.first_activity(att(spark, sf), str(WS), str(WE)))
 
 # J2 — the reference's left join to the distinct earlier users, as the oracle
-register("agg_new_users", WA + f"""
+NEW_USERS_SQL = WA + f"""
 select date '{WS}' period_start, date '{plus(WE, -1)}' period_end, count(*) attempts_total,
        count(case when d.is_correct then 1 end) correct_attempts,
        count(distinct d.lti_user_id) unique_users,
@@ -255,7 +270,18 @@ from attempts d
 left join (select distinct lti_user_id from attempts where created_at < timestamp '{WS}') u
   on d.lti_user_id = u.lti_user_id
 where d.created_at >= timestamp '{WS}' and d.created_at < timestamp '{WE}'
-group by date_tag""")(lambda spark, sf: A.new_users(att(spark, sf), str(WS), str(WE)))
+group by date_tag"""
+register("agg_new_users", NEW_USERS_SQL)(lambda spark, sf: A.new_users(att(spark, sf), str(WS), str(WE)))
+
+
+@register("agg_new_users_from_dim", NEW_USERS_SQL)
+def agg_new_users_from_dim(spark, sf):
+    """J2 as scheduled runs do it: the users dimension (first activity, kept by
+    insert-ignore) takes the place of all earlier attempts."""
+    a, path = att(spark, sf), scratch_path(spark, "users")
+    for start, end in (("1970-01-01", str(WS)), (str(WS), str(WE))):
+        W.insert_ignore(spark, A.first_activity(a, start, end), path, ["lti_user_id"], ["first_activity"])
+    return A.new_users_from_dim(a, W.read_table(spark, path), str(WS), str(WE))
 
 # ------------------------------------------------------------------ purchases
 
@@ -324,7 +350,7 @@ from cafe where report_date >= date '{DS_SALES}' group by 1""")(
 # ---------------------------------------------------------------------- series
 
 register("agg_sum_by_category", with_(SERIES) + """
-select category, cast(sum(amount) as bigint) sum_amount from series group by 1""")(
+select category, cast(sum(amount) as decimal(38,0)) sum_amount from series group by 1""")(
     lambda spark, sf: A.sum_by_category(T.series(spark, sf)))
 
 register("agg_integer_average", with_(SERIES) + """

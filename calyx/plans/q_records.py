@@ -9,6 +9,7 @@ from ..functions.params import with_parsed_params
 from ..operators import aggregates as A
 from ..operators import filters as flt
 from ..operators import normalize as N
+from ..operators import writes as W
 from ..sources import records as R
 from ..sources import tables as T
 from ..session import scratch_path
@@ -194,8 +195,8 @@ def filter_period_stamp(spark, sf):
     the stamp prunes to one partition folder."""
     path = scratch_path(spark, "stamped")
     stamped = raw(att(spark, sf)).withColumn("ds", F.col("created_at").cast("date"))
-    stamped.write.mode("overwrite").partitionBy("ds").parquet(path)
-    t = spark.read.parquet(path)
+    W.write_full_refresh(stamped, path, ["ds"])
+    t = W.read_table(spark, path)
     return flt.filter_stamp(t, ds=DS).select(*stamped.columns)
 
 
@@ -216,10 +217,77 @@ register("sort_export_raw", WA + f"select {RAW_COLS} from attempts where {rng(WS
                                                                                 "event_id"))
 
 
-@register("src_synthetic_orders")
+@register("src_synthetic_orders", """
+with days as (select distinct cast(l_shipdate as date) report_date from lineitem),
+     menu(dish, category, price) as (values {menu}),
+     branches(branch) as (values {branches}),
+     x as (select *, ('0x' || substr(md5(cast(report_date as varchar) || branch || dish), 1, 8))::bigint % 36 + 5 q
+           from days, branches, menu)
+select report_date, branch, dish, category, price, cast(q as bigint) qty,
+       cast(q * price as decimal(12,2)) amount from x""".format(
+    menu=", ".join(f"('{d}', '{c}', cast({p} as decimal(10,2)))" for d, c, p in R.CAFE_MENU),
+    branches=", ".join(f"('{b}')" for b in R.CAFE_BRANCHES)))
 def src_synthetic_orders(spark, sf):
-    """SRC6 (rows only: the seed hash has no DuckDB twin): the fixed branch ×
-    menu list expanded for every distinct ship date of lineitem."""
+    """SRC6: the fixed branch × menu list expanded for every distinct ship date of lineitem."""
     days = (T.read_table(spark, sf, "lineitem")
             .select(F.col("l_shipdate").cast("date").alias("report_date")).distinct())
     return R.synthetic_orders(days)
+
+
+@register("src_all_strings", WR + f"""
+select cast(event_id as varchar) event_id, lti_user_id, cast(raw_correct as varchar) is_correct,
+       event_type attempt_type, cast(outer_score as varchar) score,
+       date '{WS}' _period_start, date '{plus(WS, 6)}' _period_end from records""")
+def src_all_strings(spark, sf):
+    """SRC4: records landed as JSON, their columns inferred and read as text."""
+    path = scratch_path(spark, "strings")
+    R.api_records(spark, sf).write.option("ignoreNullFields", "false").json(path)
+    return R.read_all_strings(spark, path, WS, plus(WS, 6)).select(
+        "event_id", "lti_user_id", "is_correct", "attempt_type", "score", "_period_start", "_period_end")
+
+
+@register("normalize_lessons", WR + f"""
+select {CANON_SQL}, lesson_id, lesson_name, coalesce(nullif(inner_score, 0), outer_score) score from records""")
+def normalize_lessons(spark, sf):
+    """P1 + P3c + P4a: the lesson variant, with the lesson's own name and a score
+    that may be '', None, 0 or missing."""
+    return N.normalize_attempts(R.api_records(spark, sf), lesson=True)
+
+
+register("agg_count_by_user", WR + "select lti_user_id, count(*) total_rows from records group by 1")(
+    lambda spark, sf: A.count_by_attribute(N.normalize_attempts(R.api_records(spark, sf)), "lti_user_id"))
+
+register("agg_count_by_url", WR + """
+select lis_outcome_service_url, count(*) total_rows from records group by 1""")(
+    lambda spark, sf: A.count_by_attribute(
+        N.normalize_attempts(R.api_records(spark, sf)), "lis_outcome_service_url"))
+
+# ------------------------------------------------- rows on period boundaries
+# Every tenth attempt is moved to the last half second of its week, every
+# tenth to noon of its month's last day, so that the closed ranges F12 and F13
+# differ from the half-open F3 and F4.
+
+EDGE = with_(ATTEMPTS) + f""", edge as (select * replace (case event_id % 10
+    when 0 then date_trunc('week', created_at) + interval 7 day - interval 500 millisecond
+    when 1 then last_day(created_at) + interval 12 hour else created_at end as created_at) from attempts)
+select {RAW_COLS} from edge where """
+
+
+def edge_attempts(spark, sf):
+    a, t = att(spark, sf), F.col("created_at")
+    last = F.date_trunc("week", t).cast("timestamp_ntz") + F.expr("INTERVAL 7 DAYS") - F.expr("INTERVAL 0.5 SECOND")
+    noon = F.last_day(t).cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS")
+    e = F.pmod("event_id", F.lit(10))
+    return raw(a.withColumn("created_at", F.when(e == 0, last).when(e == 1, noon).otherwise(t)))
+
+
+register("edge_calendar_week", EDGE + rng(WS, WE))(
+    lambda spark, sf: flt.filter_calendar_week(edge_attempts(spark, sf), DS))
+register("edge_week_closed_second", EDGE + f"""
+created_at >= timestamp '{WS}' and created_at <= timestamp '{plus(WS, 6)} 23:59:59'""")(
+    lambda spark, sf: flt.filter_week_closed_second(edge_attempts(spark, sf), DS))
+register("edge_calendar_month", EDGE + rng(MS, ME))(
+    lambda spark, sf: flt.filter_calendar_month(edge_attempts(spark, sf), DS_MONTH))
+register("edge_month_closed_midnight", EDGE + f"""
+created_at >= timestamp '{MS}' and created_at <= timestamp '{plus(ME, -1)}'""")(
+    lambda spark, sf: flt.filter_month_closed_midnight(edge_attempts(spark, sf), DS_MONTH))

@@ -25,7 +25,7 @@ from ..sources import records as REC
 from ..sources import tables as T
 from . import specs as S
 from .params import DS, DS_MONTH, DS_NEXT_WEEK, DS_ORDERS, plus, week_start
-from .q_aggregates import WEEKLY_USER_TYPE_SQL, daily_summary_sql
+from .q_aggregates import WEEKLY_USER_TYPE_SQL
 from .registry import ATTEMPTS, RECORDS, register, with_
 
 WA = with_(ATTEMPTS)
@@ -56,24 +56,21 @@ KEYS = ["lti_user_id", "created_at"]
 # ------------------------------------------------------------------ joins
 
 
-@register("anti_new_rows", WA + f"select {RAW_SQL} from attempts where {rng('2024-01-12', WE)}")
+@register("anti_new_rows", WA + f"select {RAW_SQL} from attempts where created_at >= timestamp '2024-01-12'")
 def anti_new_rows(spark, sf):
-    """Batch [01-10, 01-15) with late copies vs a target holding rows before 01-12."""
+    """All attempts with late copies vs a target holding rows before 01-12."""
     a = T.attempts(spark, sf).select(*RAW)
-    target = flt.filter_before(a, "2024-01-12")
-    batch = with_late_copies(flt.in_range(a, "created_at", DS, WE))
-    return J.anti_new_rows(batch, target, KEYS, ["event_id"])
+    return J.anti_new_rows(with_late_copies(a), flt.filter_before(a, "2024-01-12"), KEYS, ["event_id"])
 
 
-@register("dedup_first_wins", WA + f"select {RAW_SQL} from attempts where {rng(WS, WE)}")
+@register("dedup_first_wins", WA + f"select {RAW_SQL} from attempts")
 def dedup_first_wins(spark, sf):
-    """Insert-ignore of a week with late copies into a table that
-    already holds the first three days; first arrival per key wins."""
+    """Insert-ignore of all attempts with late copies into a table that
+    already holds those before 01-11; first arrival per key wins."""
     a = T.attempts(spark, sf).select(*RAW)
     path = scratch_path(spark, "insert_ignore")
-    W.write_append(flt.in_range(a, "created_at", WS, plus(WS, 3)), path)
-    W.insert_ignore(spark, with_late_copies(flt.filter_calendar_week(a, DS)), path, KEYS,
-                    ["event_id"])
+    W.write_append(flt.filter_before(a, plus(WS, 3)), path)
+    W.insert_ignore(spark, with_late_copies(a), path, KEYS, ["event_id"])
     return W.read_table(spark, path)
 
 
@@ -112,49 +109,103 @@ def upsert_result(spark, sf):
     return W.read_table(spark, path).select(*snap.columns)
 
 
-DAYS4 = ["2024-01-08", "2024-01-09", "2024-01-10", "2024-01-11"]
+@register("upsert_moved_partition", WA + """
+select lti_user_id, max(created_at) last_seen, cast(max(created_at) as date) last_day,
+       arg_max(attempt_type, created_at) last_type
+from attempts group by 1""")
+def upsert_moved_partition(spark, sf):
+    """W4 where the key moves: one row per user in the partition of their last
+    day, first as of 01-12, then as of all events; no user stays twice."""
+    path = scratch_path(spark, "moved")
+    a = att(spark, sf)
+    for rows in (flt.filter_before(a, "2024-01-12"), a):
+        W.upsert(spark, A.last_seen(rows), path, ["lti_user_id"], ["last_day"])
+    return W.read_table(spark, path).select("lti_user_id", "last_seen", "last_day", "last_type")
+
+
+WEEKS5 = [str(plus("2024-01-01", 7 * k)) for k in range(5)]          # every week that has events
+WEEK_TOTALS_SQL = """
+select cast(date_trunc('week', created_at) as date) period_start, count(*) attempts,
+       count(distinct lti_user_id) unique_users from attempts group by 1"""
+
 
+def _week_totals(df, start):
+    return flt.in_range(df, "created_at", start, plus(start, 7)).groupBy(
+        cal.as_date(start).alias("period_start")).agg(
+        F.count(F.lit(1)).alias("attempts"), F.count_distinct("lti_user_id").alias("unique_users"))
 
-@register("insert_if_period_absent", WA + " union all ".join(
-    f"select * from ({daily_summary_sql(d)})" for d in DAYS4))
+
+@register("insert_if_period_absent", WA + WEEK_TOTALS_SQL)
 def insert_if_period_absent(spark, sf):
-    """Daily summaries inserted only for periods not loaded yet; a
-    second, different load of 01-09 is skipped."""
+    """Totals of every week inserted only for weeks not loaded yet; a
+    second, different load of the second week is skipped."""
     a = att(spark, sf)
     path = scratch_path(spark, "period_absent")
-    for d in DAYS4[:3]:
-        W.insert_if_period_absent(spark, A.daily_summary(a, d), path, "period_start", d)
     clicks_only = a.filter(F.col("attempt_type") == "click")
-    W.insert_if_period_absent(spark, A.daily_summary(clicks_only, DAYS4[1]), path,
-                              "period_start", DAYS4[1])
-    W.insert_if_period_absent(spark, A.daily_summary(a, DAYS4[3]), path, "period_start", DAYS4[3])
+    loads = [(a, w) for w in WEEKS5[:3]] + [(clicks_only, WEEKS5[1])] + [(a, w) for w in WEEKS5[3:]]
+    for rows, w in loads:
+        W.insert_if_period_absent(spark, _week_totals(rows, w), path, "period_start", w)
     return W.read_table(spark, path)
 
 
+@register("load_if_partition_empty", WA + """
+select cast(created_at as date) ds, attempt_type, count(*) attempts,
+       cast(sum(case when is_correct then 1 else 0 end) as bigint) correct
+from attempts group by 1, 2""")
+def load_if_partition_empty(spark, sf):
+    """A created table gets the days before 01-15, refuses a load that
+    overlaps them, and gets the rest."""
+    path = scratch_path(spark, "w7")
+    daily = A.daily_by_type_range(att(spark, sf), "1970-01-01", "9999-01-01")
+    W.create_if_missing(spark, path, daily.schema, ["ds"])
+    W.load_if_partition_empty(spark, flt.filter_before(daily, "2024-01-15", "ds"), path, ["ds"])
+    W.load_if_partition_empty(spark, flt.filter_since(daily, "2024-01-14", "ds"), path, ["ds"])
+    W.load_if_partition_empty(spark, flt.filter_since(daily, "2024-01-15", "ds"), path, ["ds"])
+    return W.read_table(spark, path).select(*daily.columns)
+
+
 # ------------------------------------------------------------- write modes
 
+ALL_DAYS_SQL = """
+select cast(created_at as date) ds, attempt_type, count(*) attempts,
+       cast(sum(case when is_correct then 1 else 0 end) as bigint) correct
+from attempts group by 1, 2"""
+
 
-@register("write_append_twice", f"select * from ({WEEKLY_USER_TYPE_SQL}) union all "
-          f"select * from ({WEEKLY_USER_TYPE_SQL})")
+def _all_days(spark, sf):
+    return A.daily_by_type_range(att(spark, sf), "1970-01-01", "9999-01-01")
+
+
+@register("write_append_twice", WA + f"select * from ({ALL_DAYS_SQL}) union all select * from ({ALL_DAYS_SQL})")
 def write_append_twice(spark, sf):
     """A re-run of an append load duplicates the rows."""
     path = scratch_path(spark, "append")
     for _ in range(2):
-        W.write_append(A.weekly_user_type(att(spark, sf), DS), path)
+        W.write_append(_all_days(spark, sf), path)
     return W.read_table(spark, path)
 
 
-@register("write_full_refresh", WA + f"""
-select lti_user_id, attempt_type, count(*) attempt_count,
-       count(case when is_correct then null else 1 end) attempt_failed_count,
-       timestamp '{week_start(DS_NEXT_WEEK)}' "date"
-from attempts where {rng(week_start(DS_NEXT_WEEK), plus(week_start(DS_NEXT_WEEK), 7))}
-group by 1, 2""")
+@register("write_append_aligned", WA + f"select * from ({ALL_DAYS_SQL}) union all select * from ({ALL_DAYS_SQL})")
+def write_append_aligned(spark, sf):
+    """A batch with the same columns in another order is matched by name,
+    and one that lacks a column is refused, so older rows keep theirs."""
+    path, days = scratch_path(spark, "aligned"), _all_days(spark, sf)
+    W.write_append(days, path)
+    W.write_append(days.select(*reversed(days.columns)), path)
+    try:
+        W.write_append(days.drop("correct"), path)
+    except ValueError:
+        return W.read_table(spark, path)
+    raise AssertionError("a narrower batch was appended")
+
+
+@register("write_full_refresh", WA + ALL_DAYS_SQL)
 def write_full_refresh(spark, sf):
-    """TRUNCATE + INSERT — only the second load remains."""
+    """TRUNCATE + INSERT — of a partial and a full load only the second remains."""
     path = scratch_path(spark, "refresh")
-    W.write_full_refresh(A.weekly_user_type(att(spark, sf), DS), path)
-    W.write_full_refresh(A.weekly_user_type(att(spark, sf), DS_NEXT_WEEK), path)
+    days = _all_days(spark, sf)
+    W.write_full_refresh(flt.filter_before(days, "2024-01-15", "ds"), path)
+    W.write_full_refresh(days, path)
     return W.read_table(spark, path)
 
 
@@ -201,6 +252,45 @@ def write_period_replace_empty(spark, sf):
     return W.read_table(spark, path).select("ds", "attempt_type", "attempts", "correct")
 
 
+@register("write_period_replace_timestamp", WA + """
+select lti_user_id, attempt_type, count(*) attempt_count,
+       count(case when is_correct then null else 1 end) attempt_failed_count,
+       cast(date_trunc('week', created_at) as timestamp) "date"
+from attempts where cast(date_trunc('week', created_at) as date) <> date '2024-01-15' group by 1, 2, 5""")
+def write_period_replace_timestamp(spark, sf):
+    """W3 on a TIMESTAMP stamp: every week is loaded; the week of 01-15, given
+    as a date, is re-run on no rows and empties."""
+    a, path = att(spark, sf), scratch_path(spark, "replace_ts")
+    for w in WEEKS5:
+        W.replace_periods(spark, A.weekly_user_type(a, w), path, ["date"], [{"date": w}])
+    none = A.weekly_user_type(a.filter(F.col("attempt_type") == "no-such-type"), "2024-01-15")
+    W.replace_periods(spark, none, path, ["date"], [{"date": "2024-01-15"}])
+    return W.read_table(spark, path).select(*none.columns)
+
+
+@register("write_replace_ignore", WA + f"""
+select {RAW_SQL}, cast(created_at as date) ds from attempts""")
+def write_replace_ignore(spark, sf):
+    """W3 + W5: days are loaded with late copies and re-run from 01-10 on; the
+    first arrival of a key stays, and keys of other days are not taken twice."""
+    path = scratch_path(spark, "replace_ignore")
+    a = T.attempts(spark, sf).select(*RAW)
+    days = [{"ds": str(plus("2024-01-01", i))} for i in range(31)]
+    for rows, periods in ((with_late_copies(a), days),
+                          (with_late_copies(flt.filter_since(a, DS, "created_at")), days[9:])):
+        W.replace_periods_ignoring(spark, rows.withColumn("ds", F.col("created_at").cast("date")), path,
+                                   ["ds"], periods, KEYS, ["event_id"])
+    return W.read_table(spark, path)
+
+
+@register("write_affected_rows", WA + "select count(*) affected from attempts")
+def write_affected_rows(spark, sf):
+    """Q10: the affected-row count of a write, observed while it runs."""
+    df, seen = Q.observed(att(spark, sf), "affected")
+    W.write_append(df, scratch_path(spark, "affected"))
+    return spark.createDataFrame([(seen.get["rows"],)], "affected long")
+
+
 # ------------------------------------------------------------------- sinks
 
 @register("sink_tsv_roundtrip", WEEKLY_USER_TYPE_SQL)
@@ -241,7 +331,7 @@ def sink_json_roundtrip(spark, sf):
     doc = N.export_row_document(A.weekly_global(att(spark, sf), DS), DS,
                                 ratio_cols=("success_rate", "attempts_per_user_avg"))
     path = scratch_path(spark, "json")
-    X.export_json(doc, path, single_file=True)
+    X.export_json(doc, path)
     return X.read_json(spark, path, doc.schema)
 
 
@@ -256,6 +346,60 @@ def sink_partitioned_roundtrip(spark, sf):
     return back.select(*df.columns)
 
 
+@register("sink_tsv_header_roundtrip", WA + ALL_DAYS_SQL)
+def sink_tsv_header_roundtrip(spark, sf):
+    """Tab-separated with header, written twice to the same place."""
+    df, path = _all_days(spark, sf), scratch_path(spark, "tsv_header")
+    for rows in (df.filter("attempts > 1"), df):
+        X.export_delimited(rows, path, header=True)
+    return X.read_delimited(spark, path, df.schema, header=True)
+
+
+@register("sink_named_files", WA + f"""
+select 'raw' kind, cast(count(*) as bigint) row_count from attempts
+union all select 'agg', count(*) from ({ALL_DAYS_SQL})""")
+def sink_named_files(spark, sf):
+    """Raw rows and aggregate as named files, read back."""
+    base = scratch_path(spark, "named")
+    raw, agg = att(spark, sf).select(*RAW), _all_days(spark, sf)
+    paths = X.export_pair(raw, agg, base, "attempts", DS)
+    out = [X.read_delimited(spark, p.replace(".csv", "*.csv"), df.schema, sep=",", header=True)
+           .agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("row_count"))
+           for (kind, p), df in zip(paths.items(), (raw, agg))]
+    return out[0].unionByName(out[1])
+
+
+@register("sink_empty_policies", """
+select * from (values ('write', true, 0), ('skip', false, null), ('fail', false, null))
+  t(policy, written, row_count) union all
+select 'rows', true, cast(count(*) as int) from events""")
+def sink_empty_policies(spark, sf):
+    """An export without rows is written empty, skipped or failed; one with
+    rows is written whatever the policy."""
+    ev = T.read_table(spark, sf, "events").select("event_id")
+    none, out = ev.filter("event_id < -1"), []
+    for policy, df in (("write", none), ("skip", none), ("fail", none), ("rows", ev)):
+        path = scratch_path(spark, f"empty_{policy}")
+        try:
+            done = X.export_csv(df, path, on_empty="fail" if policy == "rows" else policy)
+        except X.EmptyExportError:
+            done = False
+        n = spark.read.schema(ev.schema).option("header", "true").csv(path).count() if done else None
+        out.append((policy, done, n))
+    return spark.createDataFrame(out, "policy string, written boolean, row_count int")
+
+
+@register("sink_period_rows", WA + f"""
+select {RAW_SQL} from attempts where cast(created_at as date) = date '{DS}'""")
+def sink_period_rows(spark, sf):
+    """The rows of one run date out of a table of all, by created_at and,
+    once stamped, by load_date (both must give the same)."""
+    a = T.attempts(spark, sf).select(*RAW)
+    by_time = X.period_rows_for_export(a, DS)
+    stamped = a.withColumn("load_date", F.col("created_at").cast("date"))
+    return X.period_rows_for_export(stamped, DS).drop("load_date").intersectAll(by_time)
+
+
 # ----------------------------------------------------------------- quality
 
 READY_COLS = "ready, sources_checked, sources_ready"
@@ -320,11 +464,10 @@ def partition_empty(spark, sf):
     return Q.partition_emptiness(ev.withColumn("ds", F.col("ts").cast("date")), spine, "ds")
 
 
-register("dq_min_rows", f"""
-select 'agg_weekly_user_type' table_name, count(*) row_count, cast(700 as bigint) min_rows,
-       count(*) >= 700 passed from ({WEEKLY_USER_TYPE_SQL})""")(
-    lambda spark, sf: Q.min_rows_check(A.weekly_user_type(att(spark, sf), DS), 700,
-                                       "agg_weekly_user_type"))
+register("dq_min_rows", """
+select 'events' table_name, count(*) row_count, cast(1000 as bigint) min_rows,
+       count(*) >= 1000 passed from events""")(
+    lambda spark, sf: Q.min_rows_check(T.read_table(spark, sf, "events"), 1000, "events"))
 
 NULL_LIMITS = {"lis_result_sourcedid": 1.0, "is_correct": 5.0, "score": 50.0}
 
@@ -345,15 +488,15 @@ def dq_null_pct(spark, sf):
     return Q.null_pct(recs, NULL_LIMITS)
 
 
-@register("dq_unique_key", WA + f"""
+@register("dq_unique_key", WA + """
 select lti_user_id, created_at, count(*) occurrences from (
-  select lti_user_id, created_at from attempts where {rng(WS, WE)}
+  select lti_user_id, created_at from attempts
   union all
-  select lti_user_id, created_at from attempts where {rng(WS, WE)} and attempt_type = 'click')
+  select lti_user_id, created_at from attempts where attempt_type = 'click')
 group by 1, 2 having count(*) > 1""")
 def dq_unique_key(spark, sf):
     """Q7: (user, created_at) keys that occur more than once in a batch with late copies."""
-    batch = with_late_copies(flt.filter_calendar_week(att(spark, sf), DS).select(*RAW))
+    batch = with_late_copies(att(spark, sf).select(*RAW))
     return Q.duplicate_keys(batch, KEYS)
 
 
@@ -374,53 +517,107 @@ def dq_domain(spark, sf):
 
 # ------------------------------------------------------------ config runner
 
-PREV_WEEK_SPECS = [
-    {"name": "by_attempt_type", "period": "prev_week", "write_mode": "replace_period",
-     "partition_by": ["period_start", "period_end"], "export": True,
-     "max_null_pct": 10, "critical_columns": ["attempt_type", "period_start"],
-     "sql": """select attempt_type, count(*) total_attempts,
-                      count(case when is_correct then 1 end) correct_attempts,
-                      count(case when not is_correct then 1 end) incorrect_attempts,
-                      count(distinct lti_user_id) unique_users,
-                      min(created_at) min_created_at, max(created_at) max_created_at,
-                      :period_start period_start, date_sub(:period_end, 1) period_end
-               from {attempts}
-               where created_at >= :period_start and created_at < :period_end
-               group by attempt_type"""},
-    {"name": "by_user", "period": "prev_week", "write_mode": "upsert",
-     "keys": ["lti_user_id", "attempt_type", "period_start"],
-     "partition_by": ["period_start"],
-     "sql": """select lti_user_id, attempt_type, count(*) total_attempts,
-                      count(case when is_correct then 1 end) correct_attempts,
-                      :period_start period_start
-               from {attempts}
-               where created_at >= :period_start and created_at < :period_end
-               group by lti_user_id, attempt_type"""},
-    {"name": "weekly_summary", "period": "prev_week", "write_mode": "overwrite", "min_rows": 1,
-     "export": True, "export_format": "json",
-     "sql": """select count(*) total_attempts, count(distinct lti_user_id) unique_users,
-                      count(distinct attempt_type) unique_attempt_types,
-                      :period_start period_start
-               from {attempts}
+#: two weekly runs of these specs: a named aggregate, a user's own SQL with an
+#: exclusive period end, and a first-arrival table
+WEEKLY_SPECS = [
+    {"name": "kinds", "aggregate": "prev_week_by_type", "period": "prev_week",
+     "partition_by": ["period_start", "period_end"], "stamps": {"period_end": "period_last"},
+     "export": True, "max_null_pct": 0, "critical_columns": ["attempt_type"], "min_rows": 1,
+     "columns": ["lti_user_id", "attempt_type", "is_correct", "created_at"]},
+    {"name": "lessons", "period": "prev_week", "partition_by": ["period_start", "until"],
+     "stamps": {"until": "period_end"}, "export": True, "export_format": "csv", "min_rows": 1,
+     "columns": ["lesson_id", "created_at"],
+     "sql": """select lesson_id, count(*) n, :period_start period_start, :period_end until
+               from {attempts} where created_at >= :period_start and created_at < :period_end
+               group by lesson_id"""},
+    {"name": "first_seen", "period": "prev_week", "write_mode": "insert_ignore",
+     "keys": ["lti_user_id"], "order_by": ["created_at", "event_id"],
+     "columns": ["lti_user_id", "attempt_type", "created_at", "event_id"],
+     "sql": """select lti_user_id, attempt_type, created_at, event_id from {attempts}
                where created_at >= :period_start and created_at < :period_end"""},
 ]
+RUNS = (DS_NEXT_WEEK, str(plus(DS_NEXT_WEEK, 7)))       # weeks of 01-08 and 01-15
+_BOTH = rng("2024-01-08", "2024-01-22")
+
 
-_PW = f"created_at >= timestamp '{plus(week_start(DS_NEXT_WEEK), -7)}' and created_at < timestamp '{week_start(DS_NEXT_WEEK)}'"
+def _run_weekly(spark, sf):
+    """The specs run for two weeks, the second run re-done; results of the last run."""
+    base = scratch_path(spark, "config")
+    for ds in (*RUNS, RUNS[1]):
+        res = S.run_aggregates(spark, S.load_specs(WEEKLY_SPECS), ds, {"attempts": att(spark, sf)},
+                               base + "/tables", export_base=base + f"/exports-{ds}",
+                               ts_cols={"attempts": "created_at"})
+    return res
 
 
 @register("run_config_union", WA + f"""
-select 'by_attempt_type' spec_name, count(*) row_count from
-  (select attempt_type from attempts where {_PW} group by 1)
+select 'kinds' spec_name, count(*) row_count from
+  (select attempt_type, date_trunc('week', created_at) from attempts where {_BOTH} group by 1, 2)
 union all
-select 'by_user', count(*) from
-  (select lti_user_id, attempt_type from attempts where {_PW} group by 1, 2)
+select 'lessons', count(*) from
+  (select lesson_id, date_trunc('week', created_at) from attempts where {_BOTH} group by 1, 2)
 union all
-select 'weekly_summary', cast(1 as bigint)""")
+select 'first_seen', count(distinct lti_user_id) from attempts where {_BOTH}""")
 def run_config_union(spark, sf):
-    """Three declared aggregates over one shared, period-cut scan."""
-    specs = S.load_specs(PREV_WEEK_SPECS)
-    base = scratch_path(spark, "config")
-    res = S.run_aggregates(spark, specs, DS_NEXT_WEEK, {"attempts": att(spark, sf)},
-                           base + "/tables", export_base=base + "/exports",
-                           ts_cols={"attempts": "created_at"})
-    return S.run_summary(spark, res)
+    """Three declared aggregates over one shared, period-cut scan, two weekly runs."""
+    return S.run_summary(spark, _run_weekly(spark, sf))
+
+
+_LESSONS = f"""select lesson_id, count(*) n, cast(date_trunc('week', created_at) as date) period_start,
+       cast(date_trunc('week', created_at) as date) + 7 until from attempts where {{where}} group by 1, 3"""
+
+
+@register("run_config_rows", WA + _LESSONS.format(where=_BOTH))
+def run_config_rows(spark, sf):
+    """The rows of a spec's table after two weekly runs."""
+    return W.read_table(spark, _run_weekly(spark, sf)[1].path).select("lesson_id", "n", "period_start", "until")
+
+
+@register("run_config_kinds", WA + f"""
+select attempt_type, count(*) total_attempts, count(case when is_correct then 1 end) correct_attempts,
+       count(case when not is_correct then 1 end) incorrect_attempts, count(distinct lti_user_id) unique_users,
+       {R('count(case when is_correct then 1 end)', 'count(*)')} avg_correct_rate,
+       min(created_at) min_created_at, max(created_at) max_created_at,
+       cast(date_trunc('week', created_at) as date) period_start,
+       cast(date_trunc('week', created_at) as date) + 6 period_end
+from attempts where {_BOTH} group by 1, 9""")
+def run_config_kinds(spark, sf):
+    """C1 with a named aggregate: every value its table holds after two runs."""
+    return W.read_table(spark, _run_weekly(spark, sf)[0].path).select(
+        "attempt_type", "total_attempts", "correct_attempts", "incorrect_attempts", "unique_users",
+        "avg_correct_rate", "min_created_at", "max_created_at", "period_start", "period_end")
+
+
+@register("run_config_first_seen", WA + f"""
+select lti_user_id, attempt_type, created_at, event_id from (
+  select *, row_number() over (partition by lti_user_id order by created_at, event_id) r
+  from attempts where {_BOTH}) where r = 1""")
+def run_config_first_seen(spark, sf):
+    """C4 insert-ignore: the first arrival of each user over both runs."""
+    return W.read_table(spark, _run_weekly(spark, sf)[2].path)
+
+
+@register("run_config_export", WA + _LESSONS.format(where=rng("2024-01-15", "2024-01-22")))
+def run_config_export(spark, sf):
+    """The second run's export holds its own week only."""
+    res = _run_weekly(spark, sf)[1]
+    return X.read_delimited(spark, res.exported, W.read_table(spark, res.path).select(
+        "lesson_id", "n", "period_start", "until").schema, sep=",", header=True)
+
+
+@register("run_config_empty_source", WA + f"""
+select 'skip' policy, 'skipped' outcome union all select 'fail', 'failed' union all
+select 'rows', cast(count(distinct attempt_type) as varchar) from attempts where {rng('2024-01-08', '2024-01-15')}""")
+def run_config_empty_source(spark, sf):
+    """Q8 / Q9: a period without source rows is skipped or fails; one with rows runs."""
+    a, out = att(spark, sf), []
+    for policy, ds in (("skip", "2031-01-08"), ("fail", "2031-01-08"), ("rows", DS_NEXT_WEEK)):
+        spec = S.load_specs([{**WEEKLY_SPECS[0], "export": False,
+                              "on_empty_source": "fail" if policy == "rows" else policy}])
+        try:
+            res = S.run_aggregates(spark, spec, ds, {"attempts": a}, scratch_path(spark, "gate"), None,
+                                   {"attempts": "created_at"})[0]
+            out.append((policy, "skipped" if not res.path else str(W.read_table(spark, res.path).count())))
+        except Q.QualityError:
+            out.append((policy, "failed"))
+    return spark.createDataFrame(out, "policy string, outcome string")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import writes as W
 from ..session import scratch_path
 from ..sources import tables as T
 from ..streaming import jobs as S
@@ -27,12 +28,12 @@ def stream_dedup(spark, sf):
     copies = (a.filter(F.col("attempt_type") == "click")
               .withColumn("event_id", F.col("event_id") + F.lit(1_000_000_000))
               .withColumn("attempt_type", F.lit("click_copy")))
-    out, ck = scratch_path(spark, "dedup_out"), scratch_path(spark, "dedup_ck")
+    table, ck = scratch_path(spark, "dedup_tbl"), scratch_path(spark, "dedup_ck")
     for arrival in (a, copies):
         arrival.write.mode("append").parquet(landing)
         src = S.file_stream(spark, landing, a.schema)
-        S.run_to_parquet(S.dedup_stream(src, KEYS, "40 days"), out, ck)
-    return spark.read.parquet(out).select(*RAW)
+        S.run_inserting(spark, src, table, ck, KEYS, ["event_id"])
+    return W.read_table(spark, table).select(*RAW)
 
 
 WEEKLY_SQL = WA + """
@@ -68,6 +69,6 @@ def stream_upsert_weekly(spark, sf):
         src = S.file_stream(spark, landing, ev.schema)
         # rows up to two weeks late still update their week
         S.run_upserting(spark, S.weekly_stream(T.attempts_from_events(src), "14 days"), table,
-                        ck, ["week_start", "lti_user_id", "attempt_type"])
-    return spark.read.parquet(table).select("week_start", "lti_user_id", "attempt_type",
+                        ck, ["week_start", "lti_user_id", "attempt_type"], ["week_start"])
+    return W.read_table(spark, table).select("week_start", "lti_user_id", "attempt_type",
                                             "attempt_count", "attempt_failed_count")

@@ -1,11 +1,18 @@
 """Config-driven aggregates (SRC7, C1–C5).
 
-A spec declares one aggregate table: a Spark SQL SELECT over named source
-views, the period it covers, how it is written, its checks and export.
+A spec declares one aggregate table: a named aggregate of
+``operators.aggregates`` or a Spark SQL SELECT over named source views, the
+period it covers, how it is written, its checks and export.
 ``run_aggregates`` resolves the periods from the run date, filters each
-shared source once to the union of the specs' periods, caches that scan,
-and then per spec: builds the lazy DataFrame, writes it, checks it and
-optionally exports it.
+shared source once to the union of the specs' periods, caches that scan
+(only the columns its specs declare), and then per spec: builds the lazy
+DataFrame, writes it, checks and exports the period it wrote.
+
+A run owns one period of its table. Which one follows from the partition
+columns: ``ds``, ``load_date``, ``period_start``, ``week_start``,
+``month_start`` and ``year_month`` are known, any other stamp is declared in
+``stamps`` as the bound it holds (so ``period_end`` may be the last day or the
+exclusive end); a period that can't be derived raises.
 
 Spec SQL is bound with ``spark.sql(text, args=..., **views)``: parameters
 are named markers (``:ds``, ``:period_start``, ``:period_end``) and sources
@@ -22,17 +29,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from ..operators import aggregates as A
+from ..operators import filters as flt
 from ..operators import quality as Q
 from ..operators import sinks as X
 from ..operators import writes as W
+from ..operators.normalize import order_by_first_column
+
+
+#: aggregates a spec may name: (source rows, bounds of the run) -> rows
+AGGREGATES = {
+    "daily_by_type": lambda df, b: A.daily_by_type(df, b["ds"]),
+    "daily_by_user": lambda df, b: A.daily_by_user(df, b["ds"]),
+    "daily_user_type": lambda df, b: A.daily_user_type(df, b["ds"]),
+    "weekly_user_type": lambda df, b: A.weekly_user_type(df, b["ds"]),
+    "weekly_global": lambda df, b: A.weekly_global(df, b["ds"]),
+    "monthly_user_attempts": lambda df, b: A.monthly_user_attempts(df, b["ds"]),
+    "monthly_lesson_stats": lambda df, b: A.monthly_lesson_stats(df, b["ds"]),
+    "monthly_daily_activity": lambda df, b: A.monthly_daily_activity(df, b["ds"]),
+    "monthly_summary": lambda df, b: A.monthly_summary(df, b["ds"]),
+    "prev_week_by_type": lambda df, b: A.prev_week_by_type(df, b["ds"]),
+    "prev_week_by_user": lambda df, b: A.prev_week_by_user(df, b["ds"]),
+    "prev_week_summary": lambda df, b: A.prev_week_summary(df, b["ds"]),
+    "nonnull_by_type": lambda df, b: A.nonnull_by_type(
+        flt.in_range(df, "created_at", b["period_start"], b["period_end"])),
+}
+
+#: stamp columns whose meaning their name tells, and the bound they hold
+KNOWN_STAMPS = {"ds": "ds", "load_date": "ds", "period_start": "period_start", "week_start": "period_start",
+                "month_start": "period_start", "year_month": "year_month"}
 
 
 @dataclass
 class AggSpec:
     name: str
-    sql: str
+    sql: str = ""
+    aggregate: str = ""                 # a name in AGGREGATES, instead of sql
+    source: str = "attempts"            # the source a named aggregate reads
+    columns: tuple = ()                 # source columns the spec reads (prunes the shared cache)
+    stamps: dict = field(default_factory=dict)   # partition column -> period bound it holds
     period: str = "day"                 # day | rolling_week | week | prev_week | month
-    write_mode: str = "replace_period"  # append | overwrite | replace_period | upsert | insert_ignore
+    # append | overwrite | replace_period | replace_ignore (delete the period, then first key wins)
+    # | upsert | insert_ignore
+    write_mode: str = "replace_period"
     partition_by: tuple = ()
     keys: tuple = ()
     order_by: tuple = ()
@@ -54,7 +93,17 @@ class AggSpec:
         if unknown:
             raise ValueError(f"unknown spec fields {sorted(unknown)}")
         kw = {k: tuple(v) if isinstance(v, list) else v for k, v in d.items()}
-        return cls(**kw)
+        spec = cls(**kw)
+        if bool(spec.sql) == bool(spec.aggregate):
+            raise ValueError(f"{spec.name}: give either sql or aggregate")
+        if spec.aggregate and spec.aggregate not in AGGREGATES:
+            raise ValueError(f"{spec.name}: no aggregate {spec.aggregate!r}")
+        if spec.write_mode in ("insert_ignore", "replace_ignore") and not (spec.keys and spec.order_by):
+            raise ValueError(f"{spec.name}: {spec.write_mode} needs keys and order_by, the order rows arrived in")
+        return spec
+
+    def reads(self, source: str) -> bool:
+        return self.source == source if self.aggregate else "{" + source + "}" in self.sql
 
 
 def example_specs(name: str) -> list[AggSpec]:
@@ -89,7 +138,7 @@ def resolve_period(spark: SparkSession, kind: str, ds: str) -> dict:
     row = spark.range(1).select(cal.as_date(ds).alias("ds"), s.alias("period_start"),
                                 e.alias("period_end"),
                                 F.date_sub(e, 1).alias("period_last")).first()
-    return row.asDict()
+    return {**row.asDict(), "year_month": str(row.period_start)[:7]}
 
 
 def run_aggregates(spark: SparkSession, specs, ds: str, sources: dict, base_path: str,
@@ -111,27 +160,24 @@ def run_aggregates(spark: SparkSession, specs, ds: str, sources: dict, base_path
             cond = F.lit(False)
             for k in kinds:
                 s, e = cal.period_bounds(k, ds)
-                from ..operators.filters import _bound
-                cond = cond | ((F.col(c) >= _bound(df, c, s)) & (F.col(c) < _bound(df, c, e)))
+                cond = cond | ((F.col(c) >= flt._bound(df, c, s)) & (F.col(c) < flt._bound(df, c, e)))
             df = df.filter(cond)
-        readers = sum(1 for sp in specs if "{" + name + "}" in sp.sql)
+        readers = [sp for sp in specs if sp.reads(name)]
+        if readers and all(sp.columns for sp in readers):
+            wanted = {x for sp in readers for x in sp.columns} | ({c} if c else set())
+            df = df.select(*[x for x in df.columns if x in wanted])
         # cache only a scan that several specs read; a single reader streams it
-        shared[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if readers > 1 else df
+        shared[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if len(readers) > 1 else df
     results = []
     try:
         for spec in specs:
             bounds = resolve_period(spark, spec.period, ds)
-            if spec.on_empty_source != "run" and not _period_has_rows(shared, ts_cols, bounds,
-                                                                       spec.sql):
+            if spec.on_empty_source != "run" and not _period_has_rows(shared, ts_cols, bounds, spec):
                 if spec.on_empty_source == "fail":
                     raise Q.QualityError(f"{spec.name}: no source rows for {ds}")
                 results.append(RunResult(spec, "", checks={"skipped": "empty source"}))
                 continue
-            args = {k: v for k, v in bounds.items() if f":{k}" in spec.sql}
-            if ":table_name" in spec.sql:  # C2: the target's name as a bound value
-                args["table_name"] = spec.name
-            views = {k: v for k, v in shared.items() if "{" + k + "}" in spec.sql}
-            out = spark.sql(spec.sql, args=args, **views)
+            out = _rows_of(spark, spec, shared, bounds)
             path = f"{base_path.rstrip('/')}/{spec.name}"
             _write(spark, spec, out, path, bounds)
             res = RunResult(spec, path)
@@ -142,14 +188,14 @@ def run_aggregates(spark: SparkSession, specs, ds: str, sources: dict, base_path
             if spec.max_null_pct is not None and spec.critical_columns:
                 limits = {c: spec.max_null_pct for c in spec.critical_columns}
                 failed = [r.column_name for r in
-                          Q.null_pct(W.read_table(spark, path), limits).collect()
+                          Q.null_pct(_written_rows(spark, spec, path, bounds), limits).collect()
                           if not r.passed]  # one row per critical column
                 if failed:
                     raise Q.QualityError(f"{spec.name}: NULL share above "
                                          f"{spec.max_null_pct}% in {failed}")
                 res.checks["null_pct"] = True
             if spec.export and export_base:
-                res.exported = _export(spark, spec, path, ds, export_base)
+                res.exported = _export(spark, spec, path, bounds, export_base)
             results.append(res)
     finally:
         for df in shared.values():
@@ -157,25 +203,45 @@ def run_aggregates(spark: SparkSession, specs, ds: str, sources: dict, base_path
     return results
 
 
+def _rows_of(spark, spec: AggSpec, shared: dict, bounds: dict) -> DataFrame:
+    """The spec's rows, lazily, with the partition stamps its aggregate doesn't make itself."""
+    if spec.aggregate:
+        out = AGGREGATES[spec.aggregate](shared[spec.source], bounds)
+        missing = [c for c in spec.partition_by if c not in out.columns]
+        return out.withColumns({c: F.lit(_stamp(spec, c, bounds)) for c in missing}) if missing else out
+    args = {k: v for k, v in bounds.items() if f":{k}" in spec.sql}
+    if ":table_name" in spec.sql:  # C2: the target's name as a bound value
+        args["table_name"] = spec.name
+    views = {k: v for k, v in shared.items() if spec.reads(k)}
+    return spark.sql(spec.sql, args=args, **views)
+
+
+def _stamp(spec: AggSpec, column: str, bounds: dict):
+    """The value that this run's rows hold in a stamp column."""
+    bound = spec.stamps.get(column) or KNOWN_STAMPS.get(column)
+    if bound not in bounds:
+        raise ValueError(f"{spec.name}: which period a run owns can't be told from {column!r}; declare it in "
+                         f"stamps as one of {sorted(bounds)}")
+    return bounds[bound]
+
+
 def _written_rows(spark, spec: AggSpec, path: str, bounds: dict) -> DataFrame:
+    """The rows of the period this run owns; the whole table where it has no stamps."""
     table = W.read_table(spark, path)
-    periods = _requested_periods(spec, bounds)
-    if not periods:
-        return table
-    cond = F.lit(True)
-    for c, v in periods[0].items():
-        cond = cond & (F.col(c) == F.lit(v).cast(table.schema[c].dataType))
-    return table.filter(cond)
+    for c in spec.partition_by:
+        table = table.filter(F.col(c) == F.lit(_stamp(spec, c, bounds)).cast(table.schema[c].dataType))
+    if not spec.partition_by and "load_date" in table.columns and spec.write_mode != "overwrite":
+        table = X.period_rows_for_export(table, bounds["ds"])              # X9
+    return table
 
 
-def _period_has_rows(shared: dict, ts_cols: dict, bounds: dict, sql: str) -> bool:
+def _period_has_rows(shared: dict, ts_cols: dict, bounds: dict, spec: AggSpec) -> bool:
     """Q8 / Q9 — any row of a source used by the spec inside its period (LIMIT 1 probe)."""
     for name, df in shared.items():
         c = ts_cols.get(name)
-        if "{" + name + "}" not in sql or not c:
+        if not spec.reads(name) or not c:
             continue
-        from ..operators.filters import in_range
-        if not in_range(df, c, bounds["period_start"], bounds["period_end"]).isEmpty():
+        if not flt.in_range(df, c, bounds["period_start"], bounds["period_end"]).isEmpty():
             return True
     return False
 
@@ -187,41 +253,31 @@ def _write(spark, spec: AggSpec, out: DataFrame, path: str, bounds: dict) -> Non
         W.write_append(out, path, parts or None)
     elif m == "overwrite":
         W.write_full_refresh(out, path, parts or None)
-    elif m == "replace_period":
+    elif m in ("replace_period", "replace_ignore"):
         if not parts:
-            raise ValueError(f"{spec.name}: replace_period needs partition_by stamp columns")
-        periods = _requested_periods(spec, bounds)
-        W.replace_periods(spark, out, path, parts, periods)
+            raise ValueError(f"{spec.name}: {m} needs partition_by stamp columns")
+        periods = [{c: _stamp(spec, c, bounds) for c in parts}]
+        if m == "replace_period":
+            W.replace_periods(spark, out, path, parts, periods)
+        else:
+            W.replace_periods_ignoring(spark, out, path, parts, periods, spec.keys, spec.order_by)
     elif m == "upsert":
         W.upsert(spark, out, path, spec.keys, parts or None)
     elif m == "insert_ignore":
-        W.insert_ignore(spark, out, path, spec.keys, spec.order_by or spec.keys, parts or None)
+        W.insert_ignore(spark, out, path, spec.keys, spec.order_by, parts or None)
     else:
         raise ValueError(f"unknown write mode {m!r}")
 
 
-def _requested_periods(spec: AggSpec, bounds: dict) -> list[dict]:
-    """The stamp values this run owns (so an empty re-run clears them)."""
-    names = {"ds": bounds["ds"], "period_start": bounds["period_start"],
-             "period_end": bounds["period_last"], "week_start": bounds["period_start"],
-             "week_end": bounds["period_last"], "load_date": bounds["ds"],
-             "year_month": str(bounds["period_start"])[:7]}
-    if not all(c in names for c in spec.partition_by):
-        return []
-    return [{c: str(names[c]) for c in spec.partition_by}]
-
-
-def _export(spark, spec: AggSpec, path: str, ds: str, export_base: str) -> str:
-    df = W.read_table(spark, path)
+def _export(spark, spec: AggSpec, path: str, bounds: dict, export_base: str) -> str:
+    """The rows this run owns (X9), ordered by their first column (S3)."""
+    df = _written_rows(spark, spec, path, bounds)
     if spec.export_columns:
         df = df.select(*spec.export_columns)
-    target = X.export_path(export_base, spec.export_prefix or spec.name, ds, spec.export_layout)
-    if spec.export_format == "json":
-        X.export_json(df, target, on_empty=spec.on_empty_export)
-    elif spec.export_format == "csv":
-        X.export_csv(df, target, on_empty=spec.on_empty_export)
-    else:
-        X.export_delimited(df, target, on_empty=spec.on_empty_export)
+    target = X.export_path(export_base, spec.export_prefix or spec.name, bounds["ds"], spec.export_layout,
+                           bounds["period_start"], bounds["period_last"], spec.export_format)
+    write = {"json": X.export_json, "csv": X.export_csv, "tsv": X.export_delimited}[spec.export_format]
+    write(order_by_first_column(df), target, on_empty=spec.on_empty_export)
     return target
 
 

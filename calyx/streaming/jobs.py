@@ -1,8 +1,8 @@
 """Structured Streaming jobs ST1–ST3.
 
 * ST1 — incremental ingest where the first record per (user, created_at)
-  wins: ``dropDuplicatesWithinWatermark`` keeps each key in state until the
-  watermark passes it.
+  wins: each micro-batch is inserted with W5 (``foreachBatch``), so a new key
+  is kept however late it comes, and there is no state to outgrow a watermark.
 * ST2 — tumbling Monday-aligned weeks (the batch A2 weeks): a 7-day window
   with a 4-day start offset (1970-01-01 was a Thursday).  Append mode emits
   a week once the watermark passes its end; the open week stays in state.
@@ -40,12 +40,6 @@ def with_event_time(df: DataFrame, col: str = "created_at", out: str = "_event_t
     return df.withColumn(out, F.col(col).cast("timestamp"))
 
 
-def dedup_stream(df: DataFrame, keys, delay: str, col: str = "created_at") -> DataFrame:
-    """ST1 — drop later copies of a key seen within the watermark delay."""
-    return (with_event_time(df, col).withWatermark("_event_time", delay)
-            .dropDuplicatesWithinWatermark(list(keys)).drop("_event_time"))
-
-
 def weekly_stream(df: DataFrame, delay: str, col: str = "created_at") -> DataFrame:
     """ST2 — A1 per Monday week × user × type as a windowed streaming aggregate."""
     g = (with_event_time(df, col).withWatermark("_event_time", delay)
@@ -84,7 +78,11 @@ def state_partitions(spark: SparkSession) -> int:
 
 def run_to_parquet(stream: DataFrame, out: str, checkpoint: str, mode: str = "append",
                    partitions: int | None = None) -> None:
-    """Process everything available, then stop (restartable via the checkpoint)."""
+    """Process everything available, then stop (restartable via the checkpoint).
+
+    ``partitions``: state partitions, fixed when the query first starts; size
+    them for the cluster the stream will grow to (default: that of today).
+    """
     spark = stream.sparkSession
     with _conf(spark, "spark.sql.shuffle.partitions", partitions or state_partitions(spark)):
         q = (stream.writeStream.outputMode(mode).format("parquet")
@@ -92,17 +90,35 @@ def run_to_parquet(stream: DataFrame, out: str, checkpoint: str, mode: str = "ap
     q.awaitTermination()
 
 
+def _run_batches(spark: SparkSession, stream: DataFrame, mode: str, write, checkpoint: str,
+                 partitions: int | None) -> None:
+    with _conf(spark, "spark.sql.shuffle.partitions", partitions or state_partitions(spark)):
+        q = (stream.writeStream.outputMode(mode).foreachBatch(lambda batch, _: write(batch))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def run_inserting(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str, keys, order_by,
+                  partition_by=None, partitions: int | None = None) -> None:
+    """ST1 — insert-ignore (W5) per micro-batch.
+
+    A batch that foreachBatch replays after a failure finds its keys in the
+    table and adds nothing.
+    """
+    _run_batches(spark, stream, "append",
+                 lambda batch: W.insert_ignore(batch.sparkSession, batch, table, keys, order_by, partition_by),
+                 checkpoint, partitions)
+
+
 def run_upserting(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str, keys,
-                  partition_by=None) -> None:
+                  partition_by=None, partitions: int | None = None) -> None:
     """ST3 — update-mode aggregates upserted into ``table`` per micro-batch.
 
-    foreachBatch may replay a batch after a failure; the upsert is
-    idempotent, so a replay leaves the same table.
+    foreachBatch may replay a batch after a failure; the upsert leaves the
+    table as it was if it fails and is idempotent, so a replay gives the same
+    table.  With ``partition_by`` among the keys only the partitions a batch
+    touches are rewritten.
     """
-    def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        W.upsert(spark, batch, table, keys, partition_by)
-
-    with _conf(spark, "spark.sql.shuffle.partitions", state_partitions(spark)):
-        q = (stream.writeStream.outputMode("update").foreachBatch(upsert_batch)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    _run_batches(spark, stream, "update",
+                 lambda batch: W.upsert(batch.sparkSession, batch, table, keys, partition_by),
+                 checkpoint, partitions)

@@ -12,7 +12,7 @@ def test_cli_specs_daily_backfill(spark, tmp_table, capsys):
     assert main(["specs", "--specs", "daily", "--ds", "2024-01-10", "--events",
                  f"{SF}/events.parquet", "--warehouse", wh, "--exports", ex]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert [o["spec"] for o in out] == ["daily_by_type", "daily_by_user"]
+    assert [o["spec"] for o in out] == ["attempts_per_kind", "attempts_per_learner"]
     R.api_records(spark, SF).write.json(landing)
     assert main(["daily", "--landing", landing, "--ds", "2024-01-10", "--warehouse", wh]) == 0
     daily = json.loads(capsys.readouterr().out.strip().splitlines()[-1])

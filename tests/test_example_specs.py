@@ -10,14 +10,14 @@ from calyx.sources import tables as T
 SF = "/root/testdata/sf0.001"
 
 CASES = {
-    "daily": ("2024-01-10", {"daily_by_type": A.daily_by_type, "daily_by_user": A.daily_by_user}),
-    "monthly": ("2024-01-20", {"user_attempts_monthly": A.monthly_user_attempts,
-                               "lesson_stats_monthly": A.monthly_lesson_stats,
-                               "daily_activity_monthly": A.monthly_daily_activity,
-                               "monthly_summary": A.monthly_summary}),
-    "prev_week": ("2024-01-17", {"by_attempt_type": A.prev_week_by_type,
-                                 "by_user": A.prev_week_by_user,
-                                 "weekly_summary": A.prev_week_summary}),
+    "daily": ("2024-01-10", {"attempts_per_kind": A.daily_by_type, "attempts_per_learner": A.daily_by_user}),
+    "monthly": ("2024-01-20", {"learner_months": A.monthly_user_attempts,
+                               "lesson_months": A.monthly_lesson_stats,
+                               "activity_calendar": A.monthly_daily_activity,
+                               "month_totals": A.monthly_summary}),
+    "prev_week": ("2024-01-17", {"last_week_kinds": A.prev_week_by_type,
+                                 "last_week_learners": A.prev_week_by_user,
+                                 "last_week_totals": A.prev_week_summary}),
 }
 
 

@@ -133,3 +133,60 @@ def test_min_rows_checks_the_written_period(spark, tmp_table):
     with pytest.raises(QualityError):
         S.run_aggregates(spark, [spec], "2031-01-01", {"attempts": att}, base, None,
                          {"attempts": "created_at"})
+
+
+def test_landing_reads_documents_and_rejects_junk(spark, tmp_table):
+    p = tmp_table("body")
+    body = ('[\n  {"lti_user_id": "a", "created_at": "2024-01-08 10:00:00"},\n'
+            '  {"lti_user_id": "b", "created_at": "2024-01-08 10:00:00.250000"}\n]')
+    spark.createDataFrame([(body,)], "value string").coalesce(1).write.option("lineSep", "\x01").text(p)
+    got = R.read_attempts(spark, p, "2024-01-08", "2024-01-09", multi_line=True)
+    assert sorted(r.lti_user_id for r in got.collect()) == ["a", "b"]
+    with pytest.raises(Exception, match="no attempt record"):
+        R.read_attempts(spark, p, "2024-01-08", "2024-01-09").collect()
+    q = tmp_table("lines")
+    spark.createDataFrame([('{"lti_user_id": "a", "created_at": "2024-01-08 10:00:00"}',), ("{broken",)],
+                          "value string").write.text(q)
+    assert R.read_attempts(spark, q, "2024-01-08", "2024-01-09", on_bad="reject").count() == 1
+    assert [r._corrupt_record for r in R.rejected_records(spark, q).collect()] == ["{broken"]
+
+
+def test_lesson_variant_reads_its_own_name(spark):
+    from calyx.operators.normalize import normalize_attempts
+    recs = spark.createDataFrame(
+        [(1, "u", "{'lesson_id': 7, 'lesson_name': 'Algebra', 'score': ''}", 2, "run", "2024-01-08 10:00:00", 5)],
+        "event_id long, lti_user_id string, passback_params string, is_correct int, attempt_type string, "
+        "created_at string, score int")
+    r = normalize_attempts(recs, lesson=True).first()
+    assert (r.lesson_id, r.lesson_name, r.score) == ("7", "Algebra", 5) and str(r.created_at) == "2024-01-08 10:00:00"
+
+
+def test_specs_need_what_they_mean(spark, tmp_table):
+    with pytest.raises(ValueError, match="order_by"):
+        S.load_specs('[{"name": "x", "sql": "select 1", "write_mode": "insert_ignore", "keys": ["a"]}]')
+    with pytest.raises(ValueError, match="either sql or aggregate"):
+        S.load_specs('[{"name": "x"}]')
+    att = T.attempts(spark, SF)
+    spec = S.load_specs([{"name": "odd", "period": "week", "partition_by": ["wk"],
+                          "sql": "select count(*) n, :period_start wk from {attempts}"}])
+    with pytest.raises(ValueError, match="declare it in"):
+        S.run_aggregates(spark, spec, "2024-01-10", {"attempts": att}, tmp_table("odd"), None,
+                         {"attempts": "created_at"})
+
+
+def test_totals_beyond_bigint(spark):
+    import decimal
+    from calyx.functions.ratios import half_up_avg, half_up_ratio
+    from calyx.operators import aggregates as A
+    from calyx.plans.sql_functions import register_sql_functions
+    big = spark.createDataFrame([(decimal.Decimal("1000000000000000.00"), 3)], "t decimal(38,2), n long")
+    assert str(big.select(half_up_avg("t", "n", precision=38).alias("x")).first().x) == "333333333333333.33"
+    register_sql_functions(spark)
+    assert str(spark.sql("select cast(calyx_avg(1000000000000000.00, 3, 2) as decimal(38,2)) x").first().x) \
+        == "333333333333333.33"
+    assert spark.sql("select calyx_ratio(1, 0, 2, 100) x").first().x is None
+    k = spark.range(1).select(half_up_ratio(F.lit(-1), F.lit(8), scale=2).alias("x")).first().x
+    assert str(k) == "-0.13"
+    rows = spark.range(4).select(F.lit("c").alias("category"), F.lit(2 ** 62).cast("long").alias("amount"))
+    assert int(A.sum_by_category(rows).first().sum_amount) == 2 ** 64
+    assert A.integer_average(rows).first().average_amount == 2 ** 62
