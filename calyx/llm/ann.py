@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow, write_table
 
 SAMPLE = 20_000                # vectors that fit the codebooks, those with the smallest hashes
-CANDIDATES = 4_000             # entries a query's cells must hold before it stops
+CANDIDATES = 16_000            # entries a query's cells must hold before it stops
 TOP = 5
 
 
@@ -97,12 +97,14 @@ def _visits(batches, dim: int, book1, book2, counts: np.ndarray, enough: int) ->
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, vector, norm): rows that take part, equal rows once."""
-    base = vectors.select(F.col(id_col).cast("long").alias("id"),
-                          F.col(vector_col).cast("array<double>").alias("vector"))
+    # 4-byte components stay so: they are exact, and travel with every cell a query visits
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("vector"))
     good = base.filter(F.col("id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 1)) \
         .filter(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))) \
         .filter(F.exists("vector", lambda x: x != 0))
-    return good.distinct().withColumn("norm", F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)))
+    return good.distinct().withColumn("norm", F.sqrt(F.aggregate(
+        "vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))))
 
 
 def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", top: int = TOP,
@@ -116,8 +118,10 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     zero or hold null or non-finite components take no part, nor do vectors of
     another length than most have (of equally frequent lengths the larger);
     equal rows count once. An empty table gives no rows. Only the two named
-    columns are read. ``codewords`` per half: sqrt(rows) / 4 by default,
-    between 8 and 512, so cell counts are bounded.
+    columns are read. ``codewords`` per half: sqrt(rows) / 3 by default,
+    between 8 and 512, so cell counts are bounded. Recall rises with
+    ``candidates`` and with how clustered the vectors are; tables of up to
+    ``candidates`` distinct vectors are searched whole.
     """
     good = write_table(usable(vectors, id_col, vector_col), "vectors")
     sizes = good.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
@@ -125,15 +129,16 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
         return good.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
     dim, rows = sizes[0]
     good = good.filter(F.size("vector") == dim)
-    k = codewords or int(min(512, max(8, rows ** 0.5 / 4)))
+    k = codewords or int(min(512, max(8, rows ** 0.5 / 3)))
     some = np.array([r[0] for r in good.select("vector", F.xxhash64("vector").alias("h"))
                      .orderBy("h").limit(sample).select("vector").collect()])
     some = some / np.abs(some).max(1, keepdims=True)
     some /= np.sqrt((some * some).sum(1))[:, None]
     book1, book2 = codebook(some[:, :dim // 2], k), codebook(some[:, dim // 2:], k)
 
+    kind = good.schema["vector"].dataType.simpleString()
     index = map_arrow(good, lambda it: _assigned(it, dim, book1, book2),
-                      "id long, vector array<double>, norm double, cell long")
+                      f"id long, vector {kind}, norm double, cell long")
     # more than top + 1 rows with one vector can't appear in a result: the smallest ids win their ties
     same = Window.partitionBy("cell", F.xxhash64("vector"), F.xxhash64(F.reverse("vector"))).orderBy("id")
     index = write_table(index.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= top + 1)
@@ -142,8 +147,9 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     for cell, n in index.groupBy("cell").count().collect():          # at most codewords ** 2 rows
         counts[cell] = n
     visits = map_arrow(good.filter(is_query), lambda it: _visits(it, dim, book1, book2, counts, candidates),
-                       "query_id long, query array<double>, query_norm double, cell long")
-    dot = F.aggregate(F.zip_with("query", "vector", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+                       f"query_id long, query {kind}, query_norm double, cell long")
+    dot = F.aggregate(F.zip_with("query", "vector", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
+                      lambda s, x: s + x)
     scored = visits.join(index, "cell").filter("id <> query_id").select(
         "query_id", "id", (dot / (F.col("query_norm") * F.col("norm"))).alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")

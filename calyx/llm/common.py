@@ -20,7 +20,8 @@ from pyspark.sql.types import StructType
 
 from calyx.session import scratch_path
 
-CHUNK_BYTES = 1 << 21          # bytes of text hashed at once; a longer text makes its own chunk
+CHUNK_BYTES = 1 << 19          # bytes of text hashed at once; a longer text makes its own chunk
+BATCH_ROWS = 2048              # texts handed to Python at once
 
 
 # ---------------------------------------------------------- code on executors
@@ -42,8 +43,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand on the executors."""
-    ship(df.sparkSession)
+    """``df.mapInArrow`` with this package at hand on the executors.
+
+    Texts are long rows: unless the session says otherwise, batches are smaller
+    than Spark's 10,000 rows, which bounds a Python worker's memory.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    ship(spark)
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 
 

@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from .common import ALNUM, NOT_SPACE, chunks, map_arrow, mix, text_buffers, words, write_table
 
-HASH_BITS = 24                 # tables of weights are mostly untouched zeros
+HASH_BITS = 24
 STEMS = (4, 5, 6, 7, 8)        # a word's first bytes so many are features: inflected words share them
-LABELLED = 1_200               # labelled documents per class that teach the lexicons
+LABELLED = 1_000               # labelled documents per class that teach the lexicons
 EVIDENCE = 30.0                # log-likelihood ratio from which a feature counts, far beyond chance among millions
 PURITY = 200                   # times as common in abusive documents as in others, for a word of the lexicon
-TRAINING = 1_200               # documents per side and scorer that train it
+TRAINING = 1_000               # documents per side and scorer that train it
 BAD, GOOD, SILENT = 1, 0, 2
 
 _UPPER = np.zeros(256, np.int32)
@@ -166,12 +166,13 @@ def evidence(c1: np.ndarray, c0: np.ndarray, n1: float, n0: float) -> np.ndarray
     return 2 * (part(c1, n1, c1 / n1) + part(c0, n0, c0 / n0) - part(c1, n1, both) - part(c0, n0, both))
 
 
-def fit_linear(rows: list[np.ndarray], y: np.ndarray, rounds: int = 300, rate: float = 0.5,
-               penalty: float = 1e-4, least: float = EVIDENCE) -> tuple[np.ndarray, np.ndarray, float]:
+def fit_linear(rows: list[np.ndarray], y: np.ndarray, rounds: int = 2000, rate: float = 0.3,
+               penalty: float = 1e-5, least: float = EVIDENCE, purity: float = 0.0) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, weights, bias) of a logistic regression over sets of hashed features.
 
     Only features with ``least`` evidence that their share differs between the
-    classes take part, so chance words of long texts carry no weight.
+    classes take part, so chance words of long texts carry no weight; with
+    ``purity``, only those so many times as common in class 1.
     """
     if not len(rows) or y.min() == y.max():
         return np.zeros(0, np.int64), np.zeros(0), float(10 * (y.mean() - 0.5)) if len(rows) else 0.0
@@ -182,7 +183,7 @@ def fit_linear(rows: list[np.ndarray], y: np.ndarray, rounds: int = 300, rate: f
     n1, n0 = y.sum(), (1 - y).sum()
     c1 = np.bincount(col, weights=y[row], minlength=len(used))
     c0 = np.bincount(col, minlength=len(used)) - c1
-    keep = evidence(c1, c0, n1, n0) >= least
+    keep = (evidence(c1, c0, n1, n0) >= least) & (c1 / n1 > purity * (c0 / n0))
     chosen = np.flatnonzero(keep)
     new = np.cumsum(keep) - 1
     at = keep[col]
@@ -201,10 +202,22 @@ def fit_linear(rows: list[np.ndarray], y: np.ndarray, rounds: int = 300, rate: f
     return used[chosen], w, bias
 
 
-def _weights(model: tuple) -> np.ndarray:
-    table = np.zeros((1 << HASH_BITS) + len(STATS) * BINS, np.float32)
-    table[model[0]] = model[1]
-    return table
+class Lookup:
+    """Few of many hashed features: a small table of their low bits, then an exact search."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.sort(np.asarray(keys, np.int64))
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self.keys & 0xFFFFF] = True
+
+    def __call__(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``found`` that hold one of the keys, and where among the sorted keys."""
+        at = np.flatnonzero(self.maybe[found & np.array(0xFFFFF, found.dtype)])
+        if not len(at) or not len(self.keys):
+            return at[:0], at[:0]
+        where = np.minimum(np.searchsorted(self.keys, found[at].astype(np.int64)), len(self.keys) - 1)
+        same = self.keys[where] == found[at].astype(np.int64)
+        return at[same], where[same]
 
 
 # -------------------------------------------------------------------- passes
@@ -231,18 +244,15 @@ def _feature_rows(docs: DataFrame) -> list[tuple[int, np.ndarray]]:
 
 
 def _voted(batches, lexicons: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    tables = []
-    for lexicon in lexicons:
-        t = np.zeros((1 << HASH_BITS) + len(STATS) * BINS, bool)
-        t[lexicon] = True
-        tables.append(t)
+    tables = [Lookup(lexicon) for lexicon in lexicons]
     for batch in batches:
         for ids, raw, off, n, stats in _documents(batch, 0, 1):
             seen, first = word_features(raw, off)
             doc = np.repeat(np.arange(len(n)), np.diff(first))
             abuse = np.full((len(n), len(tables)), GOOD, np.int8)
-            for k, t in enumerate(tables):
-                abuse[doc[t[seen].any(0)], k] = BAD
+            for k, table in enumerate(tables):
+                for kind in seen:
+                    abuse[doc[table(kind)[0]], k] = BAD
             abuse[n == 0] = SILENT
             form = form_votes(n, stats)
             text = lambda v: pa.array(["".join(map(str, r)) for r in v.tolist()])
@@ -251,13 +261,13 @@ def _voted(batches, lexicons: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def _scored(batches, form_model: tuple, abuse_model: tuple) -> Iterator[pa.RecordBatch]:
-    tables = [(_weights(m), m[2]) for m in (form_model, abuse_model)]
+    tables = [(Lookup(used), weights, bias) for used, weights, bias in (form_model, abuse_model)]
     for batch in batches:
         for ids, raw, off, n, stats in _documents(batch, 0, 1):
             p = np.zeros((2, len(n)))
             for d, f in enumerate(features(raw, off, n, stats)):
-                for k, (t, bias) in enumerate(tables):
-                    p[k, d] = t[f].sum(dtype=np.float64) + bias
+                for k, (table, weights, bias) in enumerate(tables):
+                    p[k, d] = weights[table(f)[1]].sum() + bias
             p = 1 / (1 + np.exp(-np.clip(p, -30, 30)))
             yield pa.record_batch([ids, pa.array(n, pa.int64()), pa.array(1 - p[0]), pa.array(p[1])],
                                   names=["id", "n_words", "quality", "abuse"])
@@ -337,9 +347,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     wanted = spark.createDataFrame([(i,) for i in sorted(set().union(*models))], "id long")
     found = dict(_feature_rows(base.join(F.broadcast(wanted), "id")))
     fitted = []
-    for of in models:
+    for of, purity in zip(models, (0.0, PURITY)):
         ids = sorted(i for i in of if i in found)
-        fitted.append(fit_linear([found[i] for i in ids], np.array([of[i] for i in ids], float)))
+        fitted.append(fit_linear([found[i] for i in ids], np.array([of[i] for i in ids], float), purity=purity))
     scored = map_arrow(base, lambda it: _scored(it, *fitted), "id long, n_words long, quality double, abuse double")
     empty = F.col("n_words") == 0
     return scored.select(
