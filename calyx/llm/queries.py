@@ -24,6 +24,24 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLES["op1_minhash_near_dedup"] = f"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                    '[^\\x20\\x09-\\x0D]+') ws from documents),
+s as (select distinct doc_id, unnest(
+        case when len(ws) >= 4 then [array_to_string(ws[i:i+3], ' ') for i in range(1, len(ws) - 2)]
+             when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) g from w),
+n as (select doc_id, count(*) n from s group by 1),
+p as (select a.doc_id x, b.doc_id y, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+e as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * c >= 80 * (a.n + b.n - c)),
+u as (select x, y from e union all select y, x from e),
+r(d, m) as (select doc_id, doc_id from documents union select u.y, r.m from r join u on r.d = u.x),
+c as (select d doc_id, min(m) component_id from r group by 1)
+select doc_id, coalesce(n, 0) n_shingles, component_id, doc_id = component_id kept
+from documents left join n using (doc_id) join c using (doc_id)"""
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of at most 4096 tokens."""

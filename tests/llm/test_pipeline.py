@@ -90,11 +90,13 @@ def test_every_dealt_operator_has_its_query():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
-def test_warc_query_matches_its_sql(spark):
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_matches_its_sql(spark, name):
     import duckdb
     con = duckdb.connect()
-    con.execute(f"create view pages as select * from read_parquet('{SF}/pages.parquet')")
-    want = con.execute(queries.ORACLES["op9_warc"]).fetchall()
+    for table in ("pages", "documents"):
+        con.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
+    want = con.execute(queries.ORACLES[name]).fetchall()
     names = [d[0] for d in con.description]
-    got = [tuple(r) for r in queries.QUERIES["op9_warc"](spark, SF).select(*names).collect()]
+    got = [tuple(r) for r in queries.QUERIES[name](spark, SF).select(*names).collect()]
     assert sorted(got) == sorted(want)
