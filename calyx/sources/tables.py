@@ -58,8 +58,9 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempts_from_events(ev: DataFrame) -> DataFrame:
     """The attempts projection of an events frame (batch or streaming)."""
-    lesson = F.get_json_object("props", "$.k")
-    return ev.select(
+    # a projection of its own: the JSON path is evaluated once for both columns made of it
+    lesson = F.col("_lesson")
+    return ev.withColumn("_lesson", F.get_json_object("props", "$.k")).select(
         F.col("event_id"),
         F.col("user_id").cast("string").alias("lti_user_id"),
         F.col("event_type").alias("attempt_type"),
