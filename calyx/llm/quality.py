@@ -338,10 +338,14 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             side = LabelModel(pattern, weight).posterior(pattern) >= 0.5
         else:
             side = np.zeros(len(names), bool)
-        sides = spark.createDataFrame([(p, int(s)) for p, s in zip(names, side)], f"{column} string, side int")
+        # of a side of n documents, those among the smallest 3 * training / n of the hashes hold the sample
+        cut = {s: min(2**63 - 1, int(-2**63 + min(1.0, 3 * training / weight[side == s].sum()) * 2**64))
+               for s in set(side.tolist())}
+        sides = spark.createDataFrame([(p, int(s), cut[s]) for p, s in zip(names, side.tolist())],
+                                      f"{column} string, side int, cut long")
         order = Window.partitionBy("side").orderBy(F.xxhash64("id"), "id")
         some = votes.filter("n_words > 0 and id is not null").join(F.broadcast(sides), column) \
-            .groupBy("id").agg(F.max("side").alias("side")) \
+            .filter(F.xxhash64("id") <= F.col("cut")).groupBy("id").agg(F.max("side").alias("side")) \
             .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= training).select("id", "side")
         models.append({r[0]: r[1] for r in some.collect()})
     wanted = spark.createDataFrame([(i,) for i in sorted(set().union(*models))], "id long")
