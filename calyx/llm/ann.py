@@ -4,9 +4,10 @@ Unit vectors are cut in halves, each half quantised by a codebook of its own
 (k-means in numpy on a bounded sample); a cell is a pair of codewords. A query
 takes cells in order of summed half distances, popped from a heap, until the
 cells hold enough entries, and those entries are reranked by the exact cosine of
-the original vectors in double precision. Entries meet queries in a join on the
-cell, where Spark can split a crowded cell; of equal vectors only as many as can
-appear in a result are joined.
+the original vectors in double precision. Entries and the queries that visit their
+cell are dealt to tasks in blocks of bounded size, so a crowded or much visited
+cell is many blocks; a block is one product of two matrices. Of equal vectors only
+as many as can appear in a result take part.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from .common import map_arrow, write_table
 SAMPLE = 20_000                # vectors that fit the codebooks, those with the smallest hashes
 CANDIDATES = 16_000            # entries a query's cells must hold before it stops
 TOP = 5
+BLOCK = 2048                   # entries, and visiting queries, of a cell that meet at once
 
 
 def codebook(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
@@ -90,9 +92,41 @@ def _visits(batches, dim: int, book1, book2, counts: np.ndarray, enough: int) ->
                 got = nearest_cells(near1[i], near2[i], counts, enough)
                 query.extend([i] * len(got))
                 cell.extend(got)
-        at = pa.array(query, pa.int64())
-        yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at),
-                               pa.array(cell, pa.int64())], names=["query_id", "query", "query_norm", "cell"])
+        yield pa.record_batch([batch.column(0).take(pa.array(query, pa.int64())), pa.array(cell, pa.int64())],
+                              names=["id", "cell"])
+
+
+def _reranked(batches, dim: int, top: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block, a block's entries (kind 0) before its queries (1): each query's best of the block.
+
+    Entries that tie with the last of the best come along; the sum of products
+    runs alike for every pair, so equal vectors get equal scores.
+    """
+    held_key, held = None, []
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
+        kind, ids, norm = (batch.column(k).to_numpy() for k in (3, 4, 6))
+        x = batch.column(5).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+        cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0) | (kind[1:] != kind[:-1])) + 1
+        out = []
+        for a, b in zip([0, *cut], [*cut, len(batch)]):
+            key = tuple(keys[:, a])
+            if key != held_key:
+                held_key, held = key, []
+            if kind[a] == 0:
+                held.append((ids[a:b], x[a:b], norm[a:b]))
+            elif held:
+                eid, ex, en = held[0] if len(held) == 1 else (np.concatenate(c) for c in zip(*held))
+                held = [(eid, ex, en)]
+                score = np.einsum("qd,ed->qe", x[a:b], ex) / (norm[a:b, None] * en[None, :])
+                score[ids[a:b, None] == eid[None, :]] = -np.inf
+                least = np.partition(score, -top, axis=1)[:, -top] if len(eid) > top else np.full(b - a, -2.0)
+                q, e = np.nonzero((score >= least[:, None]) & (score > -np.inf))
+                out.append((ids[a:b][q], eid[e], score[q, e]))
+        if out:
+            yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "id", "score"])
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -146,12 +180,21 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     counts = np.zeros(len(book1) * len(book2), np.int64)
     for cell, n in index.groupBy("cell").count().collect():          # at most codewords ** 2 rows
         counts[cell] = n
-    visits = map_arrow(good.filter(is_query), lambda it: _visits(it, dim, book1, book2, counts, candidates),
-                       f"query_id long, query {kind}, query_norm double, cell long")
-    dot = F.aggregate(F.zip_with("query", "vector", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
-                      lambda s, x: s + x)
-    scored = visits.join(index, "cell").filter("id <> query_id").select(
-        "query_id", "id", (dot / (F.col("query_norm") * F.col("norm"))).alias("score"))
+    queries = good.filter(is_query)
+    visits = write_table(map_arrow(queries, lambda it: _visits(it, dim, book1, book2, counts, candidates),
+                                   "id long, cell long"), "visits")
+    blocks = lambda n: F.ceil(F.count("*") / BLOCK).cast("int").alias(n)
+    # a row per cell, at most codewords ** 2
+    sizes = F.broadcast(index.groupBy("cell").agg(blocks("entries"))
+                        .join(visits.groupBy("cell").agg(blocks("visitors")), "cell"))
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    here = index.join(sizes, "cell").select("cell", part("entries").alias("e"), every("visitors").alias("q"),
+                                            F.lit(0).alias("kind"), "id", "vector", "norm")
+    come = visits.join(queries, "id").join(sizes, "cell").select(
+        "cell", every("entries").alias("e"), part("visitors").alias("q"), F.lit(1).alias("kind"), "id", "vector", "norm")
+    met = here.unionByName(come).repartition("cell", "e", "q").sortWithinPartitions("cell", "e", "q", "kind")
+    scored = map_arrow(met, lambda it: _reranked(it, dim, top), "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top) \
         .select("query_id", "rank", "id", "score")
