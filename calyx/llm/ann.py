@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow, write_table
 
 SAMPLE = 20_000                # vectors that fit the codebooks, those with the smallest hashes
-CANDIDATES = 16_000            # entries a query's cells must hold before it stops
+CANDIDATES = 20_000            # entries a query's cells must hold before it stops
 TOP = 5
 BLOCK = 2048                   # entries, and visiting queries, of a cell that meet at once
 
