@@ -5,8 +5,9 @@ Overlapping heuristic labellers vote on every document: some on its form
 learned from a bounded sample of the labels table. Expectation-maximisation over
 the counts of vote patterns of the whole corpus estimates how accurate each
 labeller is, for form and abuse each. The posteriors label a bounded sample of
-documents that trains two hashed linear scorers (logistic regression over word,
-word-stem and form features), and the scorers decide on every document.
+documents that trains two hashed linear scorers (logistic regression, one over
+binned form statistics, one over words and word stems), and the scorers decide on
+every document.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ from pyspark.sql import functions as F
 
 from .common import ALNUM, NOT_SPACE, chunks, map_arrow, mix, text_buffers, words, write_table
 
-HASH_BITS = 24
+HASH_BITS = 44                 # wide enough that a long text meets no lexicon entry by chance
 STEMS = (4, 5, 6, 7, 8)        # a word's first bytes so many are features: inflected words share them
 LABELLED = 1_000               # labelled documents per class that teach the lexicons
 EVIDENCE = 30.0                # log-likelihood ratio from which a feature counts, far beyond chance among millions
+ABUSE_FROM = 0.1               # abuse score from which a text isn't kept: one pure word in a short text is enough
 PURITY = 200                   # times as common in abusive documents as in others, for a word of the lexicon
 TRAINING = 1_000               # documents per side and scorer that train it
 BAD, GOOD, SILENT = 1, 0, 2
@@ -112,7 +114,7 @@ def features(raw: np.ndarray, offsets: np.ndarray, n: np.ndarray, stats: np.ndar
                       for _, good, bad, _ in FORM_LABELLERS])
     for d in range(len(n)):
         bins = np.array([k * BINS + np.searchsorted(edges[k], stats[d, k]) for k in range(len(STATS))], np.uint64)
-        yield np.unique(np.concatenate([bins, found[:, first[d]:first[d + 1]].ravel()])).astype(np.int32)
+        yield np.unique(np.concatenate([bins, found[:, first[d]:first[d + 1]].ravel()])).astype(np.int64)
 
 
 def _documents(batch, id_at: int, text_at: int) -> Iterator[tuple]:
@@ -226,7 +228,7 @@ def _featured(batches) -> Iterator[pa.RecordBatch]:
         rows = [(i, f) for ids, raw, off, n, stats in _documents(batch, 0, 1)
                 for i, f in zip(ids.to_pylist(), features(raw, off, n, stats))]
         size = [len(f) for _, f in rows]
-        flat = np.concatenate([f for _, f in rows]) if rows else np.zeros(0, np.int32)
+        flat = np.concatenate([f for _, f in rows]) if rows else np.zeros(0, np.int64)
         yield pa.record_batch([pa.array([i for i, _ in rows], pa.int64()),
                                pa.ListArray.from_arrays(pa.array(np.cumsum([0, *size]), pa.int32()), pa.array(flat))],
                               names=["id", "features"])
@@ -234,7 +236,7 @@ def _featured(batches) -> Iterator[pa.RecordBatch]:
 
 def _feature_rows(docs: DataFrame) -> list[tuple[int, np.ndarray]]:
     """(id, features) of a bounded sample of documents, by id."""
-    table = map_arrow(docs.select("id", "text"), _featured, "id long, features array<int>").toArrow()
+    table = map_arrow(docs.select("id", "text"), _featured, "id long, features array<long>").toArrow()
     out = []
     for batch in table.to_batches():
         ids, lists = batch.column(0).to_pylist(), batch.column(1)
@@ -312,7 +314,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     ``labels`` needs doc_id and toxic (0 or 1); its quality column isn't used.
     quality is the scorer's probability of good form, abuse that of abusive
-    words; kept where quality >= 0.5 and abuse < 0.5. Texts without words, null
+    words; kept where quality >= 0.5 and abuse < ABUSE_FROM. Texts without words, null
     and empty ones included, have quality 0 and aren't kept. Repeated rows are
     scored one by one (only one of them may train); rows with a null id are
     scored but train nothing; an empty table gives no rows; without labels of
@@ -351,12 +353,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     wanted = spark.createDataFrame([(i,) for i in sorted(set().union(*models))], "id long")
     found = dict(_feature_rows(base.join(F.broadcast(wanted), "id")))
     fitted = []
-    for of, purity in zip(models, (0.0, PURITY)):
+    bins = len(STATS) * BINS                     # form is told by the bins, abuse by words and stems
+    for of, own, purity in zip(models, (lambda f: f[f < bins], lambda f: f[f >= bins]), (0.0, PURITY)):
         ids = sorted(i for i in of if i in found)
-        fitted.append(fit_linear([found[i] for i in ids], np.array([of[i] for i in ids], float), purity=purity))
+        fitted.append(fit_linear([own(found[i]) for i in ids], np.array([of[i] for i in ids], float), purity=purity))
     scored = map_arrow(base, lambda it: _scored(it, *fitted), "id long, n_words long, quality double, abuse double")
     empty = F.col("n_words") == 0
     return scored.select(
         "id", "n_words", F.when(empty, 0.0).otherwise(F.col("quality")).alias("quality"),
         F.when(empty, 0.0).otherwise(F.col("abuse")).alias("abuse"),
-        (~empty & (F.col("quality") >= 0.5) & (F.col("abuse") < 0.5)).alias("kept"))
+        (~empty & (F.col("quality") >= 0.5) & (F.col("abuse") < ABUSE_FROM)).alias("kept"))
