@@ -2,15 +2,15 @@
 
 A line's leaf is its token count and leading tokens; tokens with a digit are
 variable fields from the start. Inside a leaf, a token that stands at its place
-in at least ``least`` different contexts is fixed, any other is a variable
-field; the fixed tokens are the line's template. A context is the pair of leaves
-above and below the line, so whole copies of a document count once and are left
-to document dedup, while a line pasted into many documents counts each time.
-Templates with ``least`` contexts recur; their lines go from every document but
-the first that has them.
+in at least ``least`` different documents is fixed, any other is a variable
+field; the fixed tokens are the line's template. Documents that are copies or
+near-duplicates of each other (one component of op1) count once and are left to
+document dedup, while a line pasted into many documents counts each time,
+whatever stands around it. Templates with ``least`` documents recur; their lines
+go from every document but the first that has them.
 
 All of it is grouped counts and joins, so a leaf that a third of the corpus
-shares is counted by many tasks. Only leaves with enough contexts are looked at
+shares is counted by many tasks. Only leaves with enough documents are looked at
 token by token: their slots come to the driver as a bitmap of fixed size, and
 slots hit by chance are removed by an exact join.
 """
@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import _MULT, chunks, map_arrow, mix, text_buffers, words, write_table
+from .minhash import near_duplicates
 
-LEAST = 6                      # contexts that make a template recur
+LEAST = 6                      # documents that make a template recur
 DEPTH = 3                      # leading tokens of a leaf
 FIXED_SHARE = 0.6              # least share of fixed tokens in a template
 LEAST_TOKENS = 3               # shorter lines are left alone
@@ -39,8 +40,8 @@ _DIGIT[48:58] = 1
 def parse(raw: np.ndarray, offsets: np.ndarray, depth: int) -> tuple:
     """Lines of texts that hold tokens, in order.
 
-    (document, line number, first token, tokens, leaf, whole line, context) and
-    the token hashes with variable fields masked.
+    (document, line number, first token, tokens, leaf, whole line) and the token
+    hashes with variable fields masked.
     """
     h, starts, ends, _ = words(raw, offsets)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
@@ -53,7 +54,7 @@ def parse(raw: np.ndarray, offsets: np.ndarray, depth: int) -> tuple:
     first = np.flatnonzero(new)
     if not len(first):
         z = np.zeros(0, np.int64)
-        return z, z, z, z, h[:0], h[:0], h[:0], h
+        return z, z, z, z, h[:0], h[:0], h
     n = np.diff(np.append(first, len(h)))
     leaf = mix(n.astype(np.uint64))
     for i in range(depth):
@@ -61,25 +62,20 @@ def parse(raw: np.ndarray, offsets: np.ndarray, depth: int) -> tuple:
         leaf = mix(leaf + tok * _MULT[i])
     place = (np.arange(len(h)) - np.repeat(first, n)).astype(np.uint64)
     whole = mix(np.add.reduceat(mix(h + place * _MULT[9]), first) + leaf)
-    ld = doc[first]
-    above, below = np.zeros(len(leaf), np.uint64), np.zeros(len(leaf), np.uint64)
-    same = ld[1:] == ld[:-1]
-    above[1:][same] = leaf[:-1][same]
-    below[:-1][same] = leaf[1:][same]
-    return ld, line[first], first, n, leaf, whole, mix(above * _MULT[3] + below * _MULT[4]), h
+    return doc[first], line[first], first, n, leaf, whole, h
 
 
 def _lines(batches, depth: int, least_tokens: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_buffers(batch.column(2))
         for i, j, raw, off in chunks(data, offsets):
-            doc, line, _, n, leaf, whole, context, _ = parse(raw, off, depth)
+            doc, line, _, n, leaf, whole, _ = parse(raw, off, depth)
             keep = n >= least_tokens
             at = pa.array(i + doc[keep])
             yield pa.record_batch(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(line[keep], pa.int32()),
-                 *(pa.array(c[keep].view(np.int64)) for c in (leaf, whole, context))],
-                names=["id", "version", "line", "leaf", "whole", "context"])
+                 *(pa.array(c[keep].view(np.int64)) for c in (leaf, whole))],
+                names=["id", "version", "line", "leaf", "whole"])
 
 
 def _tokens(batches, depth: int, least_tokens: int, slots: bytes) -> Iterator[pa.RecordBatch]:
@@ -89,7 +85,7 @@ def _tokens(batches, depth: int, least_tokens: int, slots: bytes) -> Iterator[pa
     for batch in batches:
         data, offsets = text_buffers(batch.column(0))
         for _, _, raw, off in chunks(data, offsets):
-            _, _, first, n, leaf, whole, _, h = parse(raw, off, depth)
+            _, _, first, n, leaf, whole, h = parse(raw, off, depth)
             keep = np.flatnonzero((n >= least_tokens) & marked[leaf & mask])
             keep = keep[np.unique(whole[keep], return_index=True)[1]]
             n = n[keep]
@@ -131,8 +127,14 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 F.col(text_col).alias("text"))
     lines = write_table(map_arrow(
         base, lambda it: _lines(it, depth, least_tokens),
-        "id long, version long, line int, leaf long, whole long, context long"), "lines")
-    leaves = write_table(lines.groupBy("leaf").agg(F.count_distinct("context").alias("n"))
+        "id long, version long, line int, leaf long, whole long"), "lines")
+    # a leaf of one document can't recur; the others' lines get their document's component
+    shared = lines.groupBy("leaf").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
+    alike = near_duplicates(base, "id", "text").filter("component_id < id") \
+        .select("id", F.col("component_id").alias("group")).distinct()
+    lines = write_table(lines.join(shared, "leaf", "left_semi").join(alike, "id", "left")
+                        .withColumn("group", F.coalesce("group", "id")), "grouped")
+    leaves = write_table(lines.groupBy("leaf").agg(F.count_distinct("group").alias("n"))
                          .filter(F.col("n") >= least).select("leaf"), "leaves")
     slots = _slots(leaves)
     distinct = map_arrow(
@@ -141,14 +143,14 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(leaves, "leaf", "left_semi").groupBy("leaf", "whole").agg(F.first("tokens").alias("tokens"))
     distinct = write_table(distinct, "distinct")
 
-    # ``least`` contexts of a line are as many as any test below needs
-    some = Window.partitionBy("leaf", "whole").orderBy("context")
-    seen = lines.join(leaves, "leaf", "left_semi").select("leaf", "whole", "context").distinct() \
+    # ``least`` documents of a line are as many as any test below needs
+    some = Window.partitionBy("leaf", "whole").orderBy("group")
+    seen = lines.join(leaves, "leaf", "left_semi").select("leaf", "whole", "group").distinct() \
         .withColumn("r", F.row_number().over(some)).filter(F.col("r") <= least).drop("r")
-    seen = write_table(seen, "contexts")
+    seen = write_table(seen, "groups")
     token = distinct.select("leaf", "whole", F.posexplode("tokens").alias("i", "token"))
     fixed = token.filter("token is not null").join(seen, ["leaf", "whole"]) \
-        .groupBy("leaf", "i", "token").agg(F.count_distinct("context").alias("n")) \
+        .groupBy("leaf", "i", "token").agg(F.count_distinct("group").alias("n")) \
         .filter(F.col("n") >= least).select("leaf", "i", "token", F.lit(True).alias("fixed"))
     mark = F.when(F.col("fixed"), F.col("token"))
     template = token.join(fixed, ["leaf", "i", "token"], "left").groupBy("leaf", "whole").agg(
@@ -157,7 +159,7 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .filter(F.col("kept") >= fixed_share * F.col("n")).select("leaf", "whole", "template")
     template = write_table(template, "templates")
     again = template.join(seen, ["leaf", "whole"]).groupBy("template") \
-        .agg(F.count_distinct("context").alias("n")).filter(F.col("n") >= least).select("template")
+        .agg(F.count_distinct("group").alias("n")).filter(F.col("n") >= least).select("template")
     found = write_table(lines.join(template.join(again, "template"), ["leaf", "whole"])
                         .select("id", "version", "line", "template"), "recurring")
     first = found.groupBy("template").agg(F.min("id").alias("first"))

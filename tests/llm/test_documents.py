@@ -212,6 +212,25 @@ def test_line_dedup_edges(doc_frame, prose):
     assert linededup.line_report(doc_frame([])).count() == 0
 
 
+def test_blocks_of_lines_go_whole(doc_frame, prose):
+    docs, want = [], {}
+    for size in (2, 3, 4, 5):
+        for at in (0, 3, 6):                                            # start, middle and end of six lines
+            block = [prose(7, 70_000 + 100 * size + 10 * at + k) for k in range(size)]
+            for c in range(8):
+                i = len(docs)
+                lines = [prose(11, 100 * i + k) for k in range(6)]
+                docs.append((i, "\n".join(lines[:at] + block + lines[at:])))
+                if c:
+                    want[i] = set(range(at, at + size))
+    near = [prose(9, 80_000 + k) for k in range(12)]                    # near copies are left to document dedup
+    docs += [(1000 + i, "\n".join([*near, prose(3, 90_000 + i)])) for i in range(9)]
+    gone = {}
+    for x in linededup.recurring_lines(doc_frame(docs)).collect():
+        gone.setdefault(x["id"], set()).add(x["line"])
+    assert gone == want
+
+
 # ------------------------------------------------------------------- quality
 @pytest.fixture(scope="module")
 def corpus(prose):
