@@ -7,7 +7,9 @@ field; the fixed tokens are the line's template. Documents that are copies or
 near-duplicates of each other (one component of op1) count once and are left to
 document dedup, while a line pasted into many documents counts each time,
 whatever stands around it. Templates with ``least`` documents recur; their lines
-go from every document but the first that has them.
+go from every document but the first that has them. A line of many tokens can't
+coincide by chance: where no such template recurs, the same is done again with
+``least_long`` documents, for templates of at least ``long_tokens`` fixed tokens.
 
 All of it is grouped counts and joins, so a leaf that a third of the corpus
 shares is counted by many tasks. Only leaves with enough documents are looked at
@@ -29,6 +31,8 @@ from .minhash import near_duplicates
 
 LEAST = 6                      # documents that make a template recur
 DEPTH = 3                      # leading tokens of a leaf
+LEAST_LONG = 2                 # the same for a template of many fixed tokens
+LONG_TOKENS = 20               # so many fixed tokens are many
 FIXED_SHARE = 0.6              # least share of fixed tokens in a template
 LEAST_TOKENS = 3               # shorter lines are left alone
 SLOT_BITS = 23
@@ -74,8 +78,9 @@ def _lines(batches, depth: int, least_tokens: int) -> Iterator[pa.RecordBatch]:
             at = pa.array(i + doc[keep])
             yield pa.record_batch(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(line[keep], pa.int32()),
+                 pa.array(n[keep], pa.int32()),
                  *(pa.array(c[keep].view(np.int64)) for c in (leaf, whole))],
-                names=["id", "version", "line", "leaf", "whole"])
+                names=["id", "version", "line", "tokens", "leaf", "whole"])
 
 
 def _tokens(batches, depth: int, least_tokens: int, slots: bytes) -> Iterator[pa.RecordBatch]:
@@ -111,7 +116,8 @@ def _slots(leaves: DataFrame) -> bytes:
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
                     depth: int = DEPTH, fixed_share: float = FIXED_SHARE,
-                    least_tokens: int = LEAST_TOKENS) -> DataFrame:
+                    least_tokens: int = LEAST_TOKENS, least_long: int = LEAST_LONG,
+                    long_tokens: int = LONG_TOKENS) -> DataFrame:
     """(id, version, line, template): every line of a recurring template outside the first document with it.
 
     version is xxhash64 of the text, so rows that repeat an id are told apart
@@ -127,15 +133,16 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 F.col(text_col).alias("text"))
     lines = write_table(map_arrow(
         base, lambda it: _lines(it, depth, least_tokens),
-        "id long, version long, line int, leaf long, whole long"), "lines")
+        "id long, version long, line int, tokens int, leaf long, whole long"), "lines")
     # a leaf of one document can't recur; the others' lines get their document's component
     shared = lines.groupBy("leaf").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     alike = near_duplicates(base, "id", "text").filter("component_id < id") \
         .select("id", F.col("component_id").alias("group")).distinct()
     lines = write_table(lines.join(shared, "leaf", "left_semi").join(alike, "id", "left")
                         .withColumn("group", F.coalesce("group", "id")), "grouped")
-    leaves = write_table(lines.groupBy("leaf").agg(F.count_distinct("group").alias("n"))
-                         .filter(F.col("n") >= least).select("leaf"), "leaves")
+    enough = (F.col("n") >= least) | ((F.col("tokens") >= long_tokens) & (F.col("n") >= least_long))
+    leaves = write_table(lines.groupBy("leaf").agg(F.count_distinct("group").alias("n"), F.max("tokens").alias("tokens"))
+                         .filter(enough).select("leaf"), "leaves")
     slots = _slots(leaves)
     distinct = map_arrow(
         base.select("text"), lambda it: _tokens(it, depth, least_tokens, slots),
@@ -143,11 +150,24 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(leaves, "leaf", "left_semi").groupBy("leaf", "whole").agg(F.first("tokens").alias("tokens"))
     distinct = write_table(distinct, "distinct")
 
-    # ``least`` documents of a line are as many as any test below needs
+    # so many documents of a line are as many as any test below needs
+    most = max(least, least_long)
     some = Window.partitionBy("leaf", "whole").orderBy("group")
     seen = lines.join(leaves, "leaf", "left_semi").select("leaf", "whole", "group").distinct() \
-        .withColumn("r", F.row_number().over(some)).filter(F.col("r") <= least).drop("r")
+        .withColumn("r", F.row_number().over(some)).filter(F.col("r") <= most).drop("r")
     seen = write_table(seen, "groups")
+    often = write_table(_recurring(distinct, seen, least, fixed_share, 0), "often")
+    rest = distinct.filter(F.size("tokens") >= long_tokens).join(often, ["leaf", "whole"], "left_anti")
+    template = often.unionByName(_recurring(rest, seen, least_long, fixed_share, long_tokens))
+    found = write_table(lines.join(template, ["leaf", "whole"])
+                        .select("id", "version", "line", "template"), "recurring")
+    first = found.groupBy("template").agg(F.min("id").alias("first"))
+    return found.join(first, "template").filter(F.col("id") > F.col("first")) \
+        .select("id", "version", "line", "template")
+
+
+def _recurring(distinct: DataFrame, seen: DataFrame, least: int, fixed_share: float, least_fixed: int) -> DataFrame:
+    """(leaf, whole, template): lines whose template has ``least`` documents and ``least_fixed`` fixed tokens."""
     token = distinct.select("leaf", "whole", F.posexplode("tokens").alias("i", "token"))
     fixed = token.filter("token is not null").join(seen, ["leaf", "whole"]) \
         .groupBy("leaf", "i", "token").agg(F.count_distinct("group").alias("n")) \
@@ -156,15 +176,12 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     template = token.join(fixed, ["leaf", "i", "token"], "left").groupBy("leaf", "whole").agg(
         F.bit_xor(F.xxhash64("leaf", "i", mark, F.col("fixed").isNull())).alias("template"),
         F.count("fixed").alias("kept"), F.count("*").alias("n")) \
-        .filter(F.col("kept") >= fixed_share * F.col("n")).select("leaf", "whole", "template")
+        .filter((F.col("kept") >= fixed_share * F.col("n")) & (F.col("kept") >= least_fixed)) \
+        .select("leaf", "whole", "template")
     template = write_table(template, "templates")
     again = template.join(seen, ["leaf", "whole"]).groupBy("template") \
         .agg(F.count_distinct("group").alias("n")).filter(F.col("n") >= least).select("template")
-    found = write_table(lines.join(template.join(again, "template"), ["leaf", "whole"])
-                        .select("id", "version", "line", "template"), "recurring")
-    first = found.groupBy("template").agg(F.min("id").alias("first"))
-    return found.join(first, "template").filter(F.col("id") > F.col("first")) \
-        .select("id", "version", "line", "template")
+    return template.join(again, "template").select("leaf", "whole", "template")
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -231,6 +231,18 @@ def test_blocks_of_lines_go_whole(doc_frame, prose):
     assert gone == want
 
 
+def test_long_lines_go_from_two_documents(doc_frame, prose):
+    passage, short = prose(55, 1), prose(8, 2)
+    mixed = " ".join(w if k % 10 else "{}" for k, w in enumerate(prose(40, 3).split(), 1))
+    docs = [(i, "\n".join(prose(30, 100 * i + k) for k in range(5))) for i in range(10)]
+    for i, line in ((1, passage), (4, passage), (2, short), (3, short), (5, short), (6, short), (8, short),
+                    (7, mixed.format(*"abcd")), (9, mixed.format(*"efgh"))):
+        docs[i] = (i, docs[i][1] + "\n" + line)
+    docs += [(20, docs[0][1]), (21, docs[0][1] + " more")]             # copies are left to document dedup
+    got = {(x["id"], x["line"]) for x in linededup.recurring_lines(doc_frame(docs)).collect()}
+    assert got == {(4, 5), (9, 5)}
+
+
 # ------------------------------------------------------------------- quality
 @pytest.fixture(scope="module")
 def corpus(prose):
