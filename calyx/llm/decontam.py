@@ -6,8 +6,11 @@ most (1 - similarity) * n word edits away. Windows of an item's size at every
 word are looked at, less those that hold fewer of the benchmark's word triples
 than that many edits could leave (a lossless count filter). The others are
 embedded by CGK random walks, which turn edits into Hamming distance, and hashed
-by sampled coordinates, in as many tables as the target recall asks for.
-Windows that meet an item are merged and confirmed by exact edit distance.
+by sampled coordinates, in as many tables as the target recall asks for. The
+tables' recall falls with an item's length, so items that own as many triples of
+the windows as the edits must leave are taken too (again lossless): nothing
+within the allowed edits is missed. Windows are merged and confirmed by exact
+edit distance.
 """
 
 from __future__ import annotations
@@ -99,22 +102,49 @@ class Benchmark:
         self.reach = max((s.n + s.edits for s in self.sizes), default=0)
         grams = {q: [shingle_hashes(w, q) for w in self.words if min(3, len(w)) == q] for q in (1, 2, 3)}
         self.grams = {q: np.unique(np.concatenate(g)) for q, g in grams.items() if g}
+        self.owners, self.owned = {}, {}
+        for q, g in self.grams.items():
+            pairs = [(np.searchsorted(g, np.unique(shingle_hashes(w, q))), i)
+                     for i, w in enumerate(self.words) if min(3, len(w)) == q]
+            gram = np.concatenate([x for x, _ in pairs])
+            order = np.argsort(gram, kind="stable")
+            self.owners[q] = np.repeat([i for _, i in pairs], [len(x) for x, _ in pairs])[order]
+            self.owned[q] = np.searchsorted(gram[order], np.arange(len(g) + 1))
+        self.sizes_of = np.array([len(w) for w in self.words])
         self.seen = {}
         for q, g in self.grams.items():
             self.seen[q] = np.zeros(1 << 20, bool)
             self.seen[q][g & np.uint64((1 << 20) - 1)] = True
 
     def hits(self, h: np.ndarray, left: np.ndarray, q: int) -> np.ndarray:
-        """Per word, whether the ``q`` words from it stand so in an item (``left``: words to the text's end)."""
-        out = np.zeros(len(h), bool)
+        """Per word, which of the items' grams the ``q`` words from it are, or -1 (``left``: words to the text's end)."""
+        out = np.full(len(h), -1)
         g = shingle_hashes(h, q)
         maybe = np.flatnonzero(self.seen[q][g & np.uint64((1 << 20) - 1)])
         maybe = maybe[left[maybe] >= q]
         at = np.searchsorted(self.grams[q], g[maybe])
         at[at == len(self.grams[q])] = 0
-        out[maybe[self.grams[q][at] == g[maybe]]] = True
+        same = self.grams[q][at] == g[maybe]
+        out[maybe[same]] = at[same]
         return out
 
+    def owning(self, gram: np.ndarray, q: int, n: int, least: int) -> np.ndarray:
+        """Items of ``n`` words that own at least ``least`` of the grams at a stretch's words."""
+        gram = gram[gram >= 0]
+        lo = self.owned[q][gram]
+        many = self.owned[q][gram + 1] - lo
+        at = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        item, held = np.unique(self.owners[q][at], return_counts=True)
+        return item[(held >= least) & (self.sizes_of[item] == n)]
+
+    def places(self, grams: np.ndarray, item: int, q: int, a: int, b: int, reach: int, least: int) -> list[tuple]:
+        """Stretches of at most ``reach`` words in [a, b) that hold ``least`` of the item's grams, with what may lie around."""
+        w = self.words[item]
+        own = np.searchsorted(self.grams[q], np.unique(shingle_hashes(w, q)))
+        p = a + np.flatnonzero(np.isin(grams[a:b], own))
+        at = np.flatnonzero(p[least - 1:] - p[:len(p) - least + 1] + q <= reach)
+        return [(max(a, int(p[i + least - 1]) + q - reach), min(b, int(p[i]) + reach)) for i in at]
+
     def find(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
         """(document, item place, distance, start word, end word, places) for texts' word hashes."""
         n_words = len(h)
@@ -123,9 +153,10 @@ class Benchmark:
         doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
         end = first[1:][doc]
         left = end - np.arange(n_words)
-        sums, near = {}, {}
+        sums, near, grams = {}, {}, {}
         for q in self.grams:
-            hit = self.hits(h, left, q)
+            grams[q] = self.hits(h, left, q)
+            hit = grams[q] >= 0
             sums[q] = np.concatenate([[0], np.cumsum(hit)])
             p = np.flatnonzero(hit)
             mark = np.zeros(n_words + 1, np.int64)
@@ -140,7 +171,8 @@ class Benchmark:
             if not len(s):
                 continue
             last = np.minimum(s + size.n + size.edits - q + 1, np.maximum(s, end[s] - q + 1))
-            s = s[sums[q][last] - sums[q][s] >= max(1, size.n - q + 1 - q * size.edits)]
+            least = max(1, size.n - q + 1 - q * size.edits)
+            s = s[sums[q][last] - sums[q][s] >= least]
             for lo in range(0, len(s), 4096):
                 part = s[lo:lo + 4096]
                 place = part[:, None] + np.arange(size.n)
@@ -148,14 +180,16 @@ class Benchmark:
                 for win, item in size.meet(w):
                     at, d = int(part[win]), int(doc[part[win]])
                     a, b = max(int(first[d]), at - size.edits), min(int(first[d + 1]), at + size.n + size.edits)
-                    spans = regions.setdefault((d, int(item)), [])
-                    if spans and a <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], b)
-                    else:
-                        spans.append([a, b])
+                    regions.setdefault((d, int(item)), []).append((a, b))
+            reach = size.n + size.edits
+            for run in np.split(s, np.flatnonzero((np.diff(s) > reach) | (np.diff(doc[s]) > 0)) + 1) if len(s) else ():
+                d, a = int(doc[run[0]]), int(run[0])
+                b = min(int(first[d + 1]), int(run[-1]) + reach)
+                for item in self.owning(grams[q][a:b], q, size.n, least):
+                    regions.setdefault((d, int(item)), []).extend(self.places(grams[q], int(item), q, a, b, reach, least))
         for (d, item), spans in regions.items():
             got = []
-            for a, b in spans:
+            for a, b in _merged(spans):
                 distance, x, y = best_stretch(self.words[item], h[a:b])
                 if distance <= self.edits[item]:
                     got.append((distance, a + x - int(first[d]), a + y - int(first[d])))
@@ -163,6 +197,16 @@ class Benchmark:
                 yield d, item, *min(got), len(got)
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
 def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Least word edits between ``item`` and any stretch of ``text``, with that stretch (the earliest end)."""
     last = _distances(item, text, True)

@@ -153,6 +153,22 @@ def test_passages_match_brute_force(spark, doc_frame, prose):
         assert edit_distance_inside(item, stretch) == x["distance"]
 
 
+def test_long_items_are_found_at_all_allowed_edits(prose):
+    r, missed = random.Random(4), []
+    items = [(n, prose(n, 300 + n)) for n in (38, 59, 100, 200, 300, 600)]
+    bench = decontam.Benchmark(items, decontam.SIMILARITY, decontam.RECALL)
+    for n, item in items:
+        for c in range(8):
+            body = item.split()
+            for k in sorted(r.sample(range(n), decontam.allowed_edits(n)), reverse=True):
+                body[k:k + 1] = r.choice([[], ["zz"], [body[k], "qq"]])
+            raw = np.frombuffer(" ".join([prose(40, c), *body, prose(40, 50 + c)]).encode(), np.uint8)
+            h, _, _, first = decontam.words(raw, np.array([0, len(raw)]), decontam.ALNUM)
+            if n not in {bench.ids[x[1]] for x in bench.find(h, first)}:
+                missed.append((n, c))
+    assert not missed
+
+
 def test_decontamination_edges(spark, doc_frame, prose):
     passage = prose(20, 5)
     items = [(1, passage), (2, None), (3, ""), (4, "--- !!!"), (5, passage), (None, passage)]
