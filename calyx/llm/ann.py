@@ -3,7 +3,9 @@
 Unit vectors are cut in halves, each half quantised by a codebook of its own
 (k-means in numpy on a bounded sample); a cell is a pair of codewords. A query
 takes cells in order of summed half distances, popped from a heap, until the
-cells hold enough entries, and those entries are reranked by the exact cosine of
+cells hold enough entries. How many are enough is measured in each table: so many
+that a sample of its queries finds the wanted share of its exact neighbours. The
+entries are reranked by the exact cosine of
 the original vectors in double precision. Entries and the queries that visit their
 cell are dealt to tasks in blocks of bounded size, so a crowded or much visited
 cell is many blocks; a block is one product of two matrices. Of equal vectors only
@@ -23,7 +25,9 @@ from pyspark.sql import functions as F
 from .common import map_arrow, write_table
 
 SAMPLE = 20_000                # vectors that fit the codebooks, those with the smallest hashes
-CANDIDATES = 20_000            # entries a query's cells must hold before it stops
+CANDIDATES = 20_000            # entries a query's cells must hold at least before it stops
+RECALL = 0.95                  # share of the exact neighbours that the sampled queries must find
+PROBES = 200                   # sampled queries, those with the smallest hashes
 TOP = 5
 BLOCK = 2048                   # entries, and visiting queries, of a cell that meet at once
 
@@ -96,6 +100,51 @@ def _visits(batches, dim: int, book1, book2, counts: np.ndarray, enough: int) ->
                               names=["id", "cell"])
 
 
+def _exact(batches, dim: int, top: int, ids: np.ndarray, probes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Each probe's nearest entries of a task, with their cells."""
+    score, cell = np.full((len(ids), top), -np.inf), np.full((len(ids), top), -1)
+    for batch in batches:
+        if not len(batch):
+            continue
+        near = probes @ _unit(batch.column(1), dim).T
+        near[ids[:, None] == batch.column(0).to_numpy()[None, :]] = -np.inf
+        near = np.concatenate([score, near], 1)
+        cells = np.concatenate([cell, np.broadcast_to(batch.column(3).to_numpy(), (len(ids), len(batch)))], 1)
+        best = np.argsort(-near, axis=1, kind="stable")[:, :top]
+        score, cell = np.take_along_axis(near, best, 1), np.take_along_axis(cells, best, 1)
+    q, k = np.nonzero(score > -np.inf)
+    yield pa.record_batch([pa.array(q, pa.int64()), pa.array(score[q, k]), pa.array(cell[q, k], pa.int64())],
+                          names=["probe", "score", "cell"])
+
+
+def enough_for(index: DataFrame, queries: DataFrame, dim: int, book1: np.ndarray, book2: np.ndarray,
+               counts: np.ndarray, top: int, recall: float, probes: int = PROBES) -> int:
+    """Entries a query's cells must hold so that ``recall`` of the sampled queries' exact neighbours are among them.
+
+    The sampled queries are held against the whole index; ``probes`` times
+    ``top`` rows come to the driver.
+    """
+    some = queries.select("id", "vector", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(probes).collect()
+    if not some:
+        return 0
+    ids = np.array([r["id"] for r in some])
+    x = np.array([r["vector"] for r in some], np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    best = Window.partitionBy("probe").orderBy(F.desc("score"), "cell")
+    near = map_arrow(index, lambda it: _exact(it, dim, top, ids, x), "probe long, score double, cell long") \
+        .withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top).select("probe", "cell").collect()
+    near1, near2 = _distances(x[:, :dim // 2], book1), _distances(x[:, dim // 2:], book2)
+    cells: dict[int, list[int]] = {}
+    for probe, cell in near:
+        cells.setdefault(probe, []).append(cell)
+    held = []
+    for probe, own in cells.items():
+        far = (near1[probe][:, None] + near2[probe][None, :]).ravel()
+        held.extend(int(counts[far <= far[c]].sum()) for c in own)
+    return int(np.sort(held)[max(0, int(np.ceil(recall * len(held))) - 1)]) if held else 0
+
+
 def _reranked(batches, dim: int, top: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by block, a block's entries (kind 0) before its queries (1): each query's best of the block.
 
@@ -142,7 +191,8 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
 
 
 def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", top: int = TOP,
-           candidates: int = CANDIDATES, sample: int = SAMPLE, codewords: int | None = None) -> DataFrame:
+           candidates: int | None = None, sample: int = SAMPLE, codewords: int | None = None,
+           recall: float = RECALL) -> DataFrame:
     """(query_id, rank, id, score): each query's ``top`` nearest found, ranks from 1.
 
     Queries are the rows of ``vectors`` for which the condition ``is_query``
@@ -153,9 +203,10 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     another length than most have (of equally frequent lengths the larger);
     equal rows count once. An empty table gives no rows. Only the two named
     columns are read. ``codewords`` per half: sqrt(rows) / 3 by default,
-    between 8 and 512, so cell counts are bounded. Recall rises with
-    ``candidates`` and with how clustered the vectors are; tables of up to
-    ``candidates`` distinct vectors are searched whole.
+    between 8 and 512, so cell counts are bounded. ``candidates``, the entries a
+    query sees, are by default as many as a sample of the queries needs to find
+    ``recall`` of its exact neighbours, and at least CANDIDATES; tables of up to
+    so many distinct vectors are searched whole.
     """
     good = write_table(usable(vectors, id_col, vector_col), "vectors")
     sizes = good.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
@@ -181,6 +232,10 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     for cell, n in index.groupBy("cell").count().collect():          # at most codewords ** 2 rows
         counts[cell] = n
     queries = good.filter(is_query)
+    if candidates is None:
+        candidates = CANDIDATES
+        if counts.sum() > candidates:
+            candidates = max(candidates, enough_for(index, queries, dim, book1, book2, counts, top, recall))
     visits = write_table(map_arrow(queries, lambda it: _visits(it, dim, book1, book2, counts, candidates),
                                    "id long, cell long"), "visits")
     blocks = lambda n: F.ceil(F.count("*") / BLOCK).cast("int").alias(n)

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from calyx.llm import ann, licenses, secrets
@@ -32,6 +33,23 @@ def test_recall_against_brute_force(spark):
     assert all(abs(r["score"] - u[r["query_id"]] @ u[r["id"]]) < 1e-12 for r in got)
 
 
+def test_recall_holds_in_larger_tables(spark):
+    n, dim = 60_000, 128
+    x = np.random.default_rng(7).standard_normal((n, dim)).astype(np.float32)
+    table = pa.table({"vec_id": np.arange(n), "embedding": pa.ListArray.from_arrays(
+        pa.array(np.arange(0, dim * n + 1, dim), pa.int32()), pa.array(x.ravel()))})
+    got = ann.search(spark.createDataFrame(table), F.col("id") % 2000 == 0).collect()
+    u = x.astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, n, 2000):
+        s = u @ u[q]
+        s[q] = -2
+        near = set(np.argpartition(-s, 5)[:5].tolist())
+        hit += sum(r["id"] in near for r in got if r["query_id"] == q)
+    assert len(got) == 30 * 5 and hit >= 0.9 * 150
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1.0, 0.0], 0), (1, [2.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, [0.0, 0.0], 0), (4, None, 0),
             (5, [1.0, None], 0), (6, [1.0, float("nan")], 0), (7, [float("inf"), 1.0], 0), (8, [1.0, 2.0, 3.0], 0),
