@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, langid, licenses, linededup, minhash, packing, quality, secrets, warc
-from .common import load
+from . import (ann, convtrie, decontam, langid, licenses, linededup, minhash, packing, quality, secrets, slackpack, warc,
+               whitening)
+from .common import load, write_table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -112,3 +113,55 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all ``documents``: base patterns and Markov models."""
     return secrets.secret_report(load(spark, sf_dir, "documents"), "doc_id", "text") \
         .withColumnRenamed("id", "doc_id")
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of all ``embeddings``; deviations beyond a long are null."""
+    return whitening.whiten(load(spark, sf_dir, "embeddings"), "vec_id", "embedding") \
+        .withColumn("deviation", F.expr("try_cast(deviation as bigint)")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all ``conversations``, each begun with turns of every fifth one."""
+    turns = write_table(convtrie.ranked(convtrie.digests(load(spark, sf_dir, "conversations"))), "turns")
+    return convtrie.trie(*convtrie.regrafted(turns))
+
+
+# crc32, bit by bit: DuckDB has no function for it
+ORACLES["op12_conversation_trie"] = f"""
+with t as (
+  select conv_id c, coalesce(role, '') r, coalesce(text, '') x,
+         row_number() over (partition by conv_id order by turn nulls first,
+           sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 pos
+  from conversations where conv_id is not null),
+own as (select c, list({{'r': r, 'x': x}} order by pos) turns from t group by c),
+hashed as (select c, turns, c - c % 5 base, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, [ascii(ch)::bigint for ch in string_split(c::varchar, '')]),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+      lambda v, i: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end))) % 9 h from own),
+re as (select a.c, list_concat(coalesce(b.turns, [])[1:a.h], a.turns[a.h + 1:]) turns
+       from hashed a left join own b on b.c = a.base),
+m as (select c, d, sha256(turns[1:d]::varchar || d) node,
+             case when d > 0 then sha256(turns[1:d - 1]::varchar || (d - 1)) end parent,
+             case when d > 0 then strlen(turns[d].x) else 0 end nbytes, d = len(turns) ends
+      from (select c, turns, unnest(range(0, len(turns) + 1)) d from re)),
+n as (select node, any_value(d) depth, any_value(parent) parent, min(c) conv_id, count(*) n_convs,
+             (count(*) - 1) * any_value(nbytes) own_saved,
+             sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) ends_sha256
+      from m group by node),
+k as (select parent node, count(*) n_children from n where parent is not null group by parent),
+a as (select n.node, n.conv_id, n.depth, n.own_saved, coalesce(k.n_children, 0) = 0 leaf
+      from n left join k using (node)),
+s as (select up.node, sum(a.own_saved) saved, count(*) filter (a.leaf) leaves
+      from a join m up on up.c = a.conv_id and up.d <= a.depth group by up.node)
+select n.conv_id, n.depth, p.conv_id parent_conv_id, n.n_convs, coalesce(k.n_children, 0) n_children,
+       s.leaves n_leaves, s.saved::bigint saved_tokens, n.ends_sha256
+from n left join n p on p.node = n.parent left join k on k.node = n.node join s on s.node = n.node"""
+
+
+@query
+def op13_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed into sequences of 2048 tokens, unpadded ones of smaller powers of two at the end."""
+    return slackpack.pack(load(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
