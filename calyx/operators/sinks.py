@@ -63,16 +63,19 @@ def _export(df: DataFrame, path: str, on_empty: str, partition_by, mode: str, sa
     if not named:
         save(w, path)
         return True
-    # written beside, then renamed: readers never see half a file
-    spark, folder = df.sparkSession, W._beside(path, "export")
+    # written beside in a hidden folder, then renamed: readers never see half a file
+    spark, (parent, _, name) = df.sparkSession, path.rpartition("/")
+    folder = f"{parent}/.{name}.export"
     save(w, folder)
     fs, p = W._fs(spark, folder)
     parts = sorted(st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName().startswith("part-"))
     fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path), False)
     for k, part in enumerate(parts):
         to = path if len(parts) == 1 else f"{stem}_part{k:05d}{ext}"
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(to), False)
-        W._rename(spark, part, to)
+        target = spark._jvm.org.apache.hadoop.fs.Path(to)
+        fs.delete(target, False)
+        if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(part), target):
+            raise OSError(f"could not rename {part} to {to}")
     W.delete_path(spark, folder)
     return True
 

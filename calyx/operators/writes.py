@@ -1,197 +1,158 @@
-"""Write modes W1–W8 on Parquet tables addressed by path.
-
-Plain Parquet has no DELETE, MERGE or transaction, so a mode first writes all
-its rows to a new folder beside the table and then switches by renaming:
-
-* append (W1) adds files to the table; full refresh (W2) switches the folder;
-* period replace (W3) switches the partitions it wrote and drops requested
-  periods that came out empty, as DELETE + INSERT would leave them;
-* upsert (W4) switches the partitions the source touches, or the folder;
+"""Write modes W1–W8 on tables of the session catalogue, written by Spark's own committers.
+
+A table is named by its catalogue name, or by its folder (anything with a
+slash). A folder is registered as an external Parquet table on first use, its
+partitions recovered, so ``read_table``, SQL by name and partition DDL see the
+same table. What a table is (columns, types, partitions, buckets) is what the
+catalogue says; with a persistent catalogue it also outlives the application,
+else a folder's columns are taken from its files and its batch.
+
+* append (W1) is ``INSERT INTO``;
+* period replace (W3) is ``INSERT OVERWRITE`` with dynamic partitions; requested
+  periods that came out empty are emptied and dropped with ``ALTER TABLE … DROP
+  IF EXISTS PARTITION``, as DELETE + INSERT would leave them;
+* range replace (W3b) and upsert (W4) do the same with the rows that stay in
+  the partitions they touch;
+* full refresh (W2) overwrites all partitions and drops the others; a table
+  without partitions is overwritten from a staged copy, as Spark removes its
+  files before it writes;
 * insert-ignore (W5), insert-if-period-absent (W6), load-if-empty (W7) append;
 * create / drop (W8).
 
-A query that fails while it writes leaves the table as it was: nothing is
-removed before all new rows are on storage. A crash between the two renames of
-a folder switch is mended by the next read or write (``recover``); a switch of
-several partitions is atomic per partition. One writer per table is assumed.
-Every write is matched by name with the table's saved schema; missing, extra or
-differently typed columns raise.
+A query that fails while it writes leaves the table as it was: Spark's dynamic
+overwrite moves files into place when all tasks have succeeded. One writer per
+table is assumed. Batches are matched by name with the table's columns;
+missing, extra or differently typed columns raise. Which partitions a write
+holds is observed while it runs: one value per partition reaches the driver.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
+import re
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
 from .joins import dedup_first_wins, null_key, upsert_frames
 
+TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
-# ----------------------------------------------------------------- file system
+# ------------------------------------------------------------------ catalogue
 
 def _fs(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def delete_path(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _beside(path: str, tag: str) -> str:
-    """A hidden sibling of the table folder (readers skip names with a dot)."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/.{name}.{tag}"
-
+    return bool(fs.delete(p, True))
 
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, p = _fs(spark, src)
-    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(dst)):
-        raise OSError(f"could not rename {src} to {dst}")
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Mend a folder switch that a crash cut short: the old folder comes back if
-    the new one never took its place, else it is removed."""
-    old = _beside(path, "old")
-    if path_exists(spark, old):
-        if path_exists(spark, path):
-            delete_path(spark, old)
-        else:
-            _rename(spark, old, path)
 
+def _literal(value: str | None) -> str:
+    return "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _switch_folder(spark: SparkSession, new: str, path: str) -> None:
-    recover(spark, path)
-    old = _beside(path, "old")
-    if path_exists(spark, path):
-        _rename(spark, path, old)
-    _rename(spark, new, path)
-    if path_exists(spark, old):
-        delete_path(spark, old)
 
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """J7 — a table exists when its folder holds data files or its schema file."""
-    recover(spark, path)
-    if not path_exists(spark, path):
-        return False
-    fs, _ = _fs(spark, path)
-    return bool(fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, SCHEMA_FILE))) or \
-        _data_files(spark, path)
+def table_name(ref: str) -> str:
+    """The catalogue name of a table: ``ref`` itself, or one made from a folder."""
+    if "/" not in ref:
+        return ref
+    path = ref.rstrip("/")
+    slug = re.sub(r"\W+", "_", path.rpartition("/")[2]).lower()
+    return f"{slug}_{hashlib.md5(path.encode()).hexdigest()[:12]}"
 
 
-SCHEMA_FILE = "_calyx_schema.json"
-
+def _create(spark: SparkSession, ref: str, schema: T.StructType | None, partition_by=None, bucket_by=None) -> None:
+    """CREATE TABLE; without ``schema`` Spark takes columns and partitions from the files."""
+    text = f"CREATE TABLE {table_name(ref)}"
+    if schema is not None:
+        text += f" ({', '.join(f'{_quoted(f.name)} {f.dataType.simpleString()}' for f in schema.fields)})"
+    text += " USING parquet"
+    if partition_by:
+        text += f" PARTITIONED BY ({', '.join(map(_quoted, partition_by))})"
+    if bucket_by:
+        n, keys = bucket_by
+        cols = ", ".join(map(_quoted, keys))
+        text += f" CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {n} BUCKETS"
+    if "/" in ref:
+        text += f" LOCATION {_literal(ref.rstrip('/'))}"
+    spark.sql(text)
 
-def _save_schema(spark: SparkSession, path: str, schema: T.StructType, partition_by=None) -> None:
-    """Keep the table schema next to the data (``_``-files are skipped by readers),
-    so a table whose partitions were all dropped still reads as empty."""
-    import json
-    fs, _ = _fs(spark, path)
-    meta = {"schema": json.loads(schema.json()), "partition_by": list(partition_by or [])}
-    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(path, SCHEMA_FILE), True)
-    out.write(bytearray(json.dumps(meta).encode("utf-8")))
-    out.close()
 
+def table_exists(spark: SparkSession, ref: str, like: T.StructType | None = None, partition_by=None) -> bool:
+    """J7 — the catalogue knows the table, or its folder holds Parquet data (which is then registered).
 
-def _data_files(spark: SparkSession, path: str) -> bool:
-    """True at the first data file under ``path`` (skipping ``_``/``.`` files and
-    folders such as ``_temporary`` or ``.spark-staging``)."""
-    fs, p = _fs(spark, path)
-    base = fs.makeQualified(p).toUri().getPath().rstrip("/")
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        rel = it.next().getPath().toUri().getPath()[len(base):]
-        if not any(part.startswith(("_", ".")) for part in rel.split("/") if part):
-            return True
-    return False
-
-
-def _saved_schema(spark: SparkSession, path: str):
-    """The schema file of a table (partition columns last, as readers order
-    them), or None."""
-    import json
-    fs, _ = _fs(spark, path)
-    meta_path = spark._jvm.org.apache.hadoop.fs.Path(path, SCHEMA_FILE)
-    if not fs.exists(meta_path):
-        return None
-    stream = fs.open(meta_path)
-    reader = spark._jvm.java.io.BufferedReader(
-        spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    text = "".join(iter(reader.readLine, None))
-    reader.close()
-    meta = json.loads(text)
-    schema = T.StructType.fromJson(meta["schema"])
-    parts = meta.get("partition_by") or []
-    fields = [f for f in schema.fields if f.name not in parts] + \
-             [schema[c] for c in parts if c in schema.names]
-    return T.StructType(fields)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written by these modes.
-
-    With its schema file, partition values are read with the written types
-    (no re-inference), and a table whose partitions were all dropped reads as
-    0 rows with the same columns.
+    ``like`` and ``partition_by`` give a folder's partition columns the types of
+    the batch at hand, where their names in the folder leave them open.
     """
-    recover(spark, path)
-    schema = _saved_schema(spark, path) if path_exists(spark, path) else None
-    has_data = path_exists(spark, path) and _data_files(spark, path)
-    if has_data:
-        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
-    if schema is None:
-        raise FileNotFoundError(f"no table at {path}")
-    return spark.createDataFrame([], schema)
+    name = table_name(ref)
+    if spark.catalog.tableExists(name):
+        return True
+    if "/" not in ref:
+        return False
+    try:
+        found = spark.read.parquet(ref).schema
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    parts = [c for c in partition_by or [] if like is not None and c in like.names and c in found.names]
+    if parts:
+        fields = [T.StructField(f.name, like[f.name].dataType) if f.name in parts else f for f in found.fields]
+        _create(spark, ref, T.StructType(fields), parts)
+    else:
+        _create(spark, ref, None)
+    if partition_columns(spark, ref):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return True
 
 
-def delete_path(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.delete(p, True))
+def _ensure(spark: SparkSession, ref: str, schema: T.StructType, partition_by=None, bucket_by=None) -> bool:
+    """Create the table unless it exists. True if created."""
+    if table_exists(spark, ref, schema, partition_by):
+        return False
+    _create(spark, ref, schema, list(partition_by or []), bucket_by)
+    return True
 
 
-def partition_path(spark: SparkSession, spec: dict, schema: T.StructType) -> str:
-    """The folder of a period, ``c1=v1/c2=v2``: each value cast to its column's
-    type and written and escaped as Spark's partitioned writer does."""
-    values = spark.range(1).select(*[
-        F.lit(v).cast(schema[c].dataType).cast("string").alias(c) for c, v in spec.items()]).first()
-    part = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    return "/".join(part(c, values[c]) for c in spec)
+def partition_columns(spark: SparkSession, ref: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table_name(ref)) if c.isPartition]
 
 
-def _partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
-    """Relative partition folders under ``path``: one entry per partition, no data."""
-    fs, _ = _fs(spark, path)
-    level = [""]
-    for _ in range(depth):
-        level = [f"{d}/{st.getPath().getName()}".lstrip("/") for d in level
-                 for st in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{d}".rstrip("/")))
-                 if st.isDirectory() and not st.getPath().getName().startswith(("_", "."))]
-    return level
+def read_table(spark: SparkSession, ref: str) -> DataFrame:
+    """The table's rows, partition columns last; a table whose partitions were all dropped has none."""
+    if not table_exists(spark, ref):
+        raise FileNotFoundError(f"no table at {ref}")
+    return spark.table(table_name(ref))
 
 
-# ------------------------------------------------------------------- schema
+# ------------------------------------------------------------------- writing
 
-def aligned(df: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+def aligned(df: DataFrame, spark: SparkSession, ref: str, partition_by=None) -> DataFrame:
     """``df`` with the table's columns in the table's order.
 
     Raises when a column is missing, is not the table's, or has another type
     (nullability aside): an append may not hide or reinterpret older rows.
     """
-    if not table_exists(spark, path):
+    if not table_exists(spark, ref, df.schema, partition_by):
         return df
-    schema = _saved_schema(spark, path) or read_table(spark, path).schema
+    schema = spark.table(table_name(ref)).schema
     want = {f.name: f.dataType.simpleString() for f in schema.fields}
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     wrong = {c: (want.get(c), have.get(c)) for c in {**want, **have} if want.get(c) != have.get(c)}
     if wrong:
-        raise ValueError(f"{path}: columns differ from the table's (table, batch): {wrong}")
-    return df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+        raise ValueError(f"{ref}: columns differ from the table's (table, batch): {wrong}")
+    return df.select(*[F.col(_quoted(f.name)) for f in schema.fields])
 
 
 def clustered(df: DataFrame, partition_by) -> DataFrame:
@@ -200,96 +161,177 @@ def clustered(df: DataFrame, partition_by) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def _write_files(df: DataFrame, path: str, partition_by, mode: str) -> None:
-    partition_by = list(partition_by or [])
-    w = clustered(df, partition_by).write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def _write_beside(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> str:
-    """Write ``df`` to a new folder beside the table; remove it if that fails."""
-    new = _beside(path, f"new-{uuid.uuid4().hex[:12]}")
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
-        _write_files(df, new, partition_by, "errorifexists")
-    except BaseException:
-        delete_path(spark, new)
-        raise
-    return new
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
+def _insert(df: DataFrame, ref: str, overwrite: bool = False) -> set:
+    """INSERT INTO / INSERT OVERWRITE with dynamic partitions; the partitions written, as tuples."""
+    spark, name = df.sparkSession, table_name(ref)
+    parts = partition_columns(spark, ref)
+    buckets = [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+    if buckets:
+        count = int(next(r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()
+                         if r["col_name"] == "Num Buckets"))
+        df = df.repartition(count, *buckets)            # a file for each bucket
+    else:
+        df = clustered(df, parts)
+    seen = Observation()
+    if parts:
+        df = df.observe(seen, F.collect_set(F.struct(*map(_quoted, parts))).alias("parts"))
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        df.write.insertInto(name, overwrite=overwrite)
+    return {tuple(r) for r in seen.get["parts"]} if parts else set()
+
+
+def _partition_values(spark: SparkSession, specs: list[dict], schema: T.StructType, parts) -> dict[tuple, tuple]:
+    """Typed values -> the strings that name the partition, for periods given as ``{column: value}``."""
+    out = {}
+    for spec in specs:                                   # a row for each period asked for
+        typed = [F.lit(spec[c]).cast(schema[c].dataType) for c in parts]
+        row = spark.range(1).select(F.struct(*typed).alias("v"), F.struct(*[v.cast("string") for v in typed]).alias("s")) \
+            .first()
+        out[tuple(row["v"])] = tuple(row["s"])
+    return out
+
+
+def drop_partitions(spark: SparkSession, ref: str, values: list[tuple]) -> None:
+    """Empties the partitions (strings as in their names) through the writer, then drops them from the catalogue.
+
+    DROP PARTITION alone leaves an external table's files behind.
+    """
+    name, parts = table_name(ref), partition_columns(spark, ref)
+    schema = spark.table(name).schema
+    nothing = ", ".join(f"cast(null as {f.dataType.simpleString()})" for f in schema.fields if f.name not in parts)
+    for value in values:
+        spec = ", ".join(f"{_quoted(c)} = {_literal(v)}" for c, v in zip(parts, value))
+        if not spark.sql(f"SHOW PARTITIONS {name} PARTITION ({spec})").isEmpty():
+            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {nothing} WHERE false")
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
 
 
-def _switch_partitions(spark: SparkSession, new: str, path: str, depth: int, also=()) -> None:
-    """Put the partition folders of ``new`` in the place of the table's, and drop those named in ``also``."""
-    fs, p = _fs(spark, path)
-    fs.mkdirs(p)
-    fresh = _partition_folders(spark, new, depth)
-    for rel in [*fresh, *[r for r in also if r not in fresh]]:
-        at = f"{path.rstrip('/')}/{rel}"
-        if path_exists(spark, at):
-            delete_path(spark, at)
-        if rel in fresh:
-            fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(at).getParent())
-            _rename(spark, f"{new}/{rel}", at)
-    delete_path(spark, new)
+def _in_partitions(parts, values) -> Column:
+    """Rows of the given partitions (typed tuples), as a predicate that prunes the scan."""
+    cond = F.lit(False)
+    for value in values:
+        one = F.lit(True)
+        for c, v in zip(parts, value):
+            one = one & (F.col(_quoted(c)).isNull() if v is None else F.col(_quoted(c)) == F.lit(v))
+        cond = cond | one
+    return cond
 
 
-# ------------------------------------------------------------------- W1, W2, W8
+def _distinct(df: DataFrame, parts) -> set:
+    return {tuple(r) for r in df.select(*map(_quoted, parts)).distinct().collect()}     # a row per partition
 
-def write_append(df: DataFrame, path: str, partition_by=None) -> None:
-    """W1 — append; a re-run appends the rows again."""
-    spark = df.sparkSession
-    df = aligned(df, spark, path)
-    _write_files(df, path, partition_by, "append")
-    _save_schema(spark, path, df.schema, partition_by)
 
+def _replace(spark: SparkSession, df: DataFrame, ref: str, touched: set) -> None:
+    """Overwrite the partitions of ``df``; those of ``touched`` that it doesn't hold are dropped."""
+    parts = partition_columns(spark, ref)
+    gone = touched - _insert(df, ref, overwrite=True)
+    if gone:
+        specs = [dict(zip(parts, value)) for value in gone]
+        schema = spark.table(table_name(ref)).schema
+        drop_partitions(spark, ref, list(_partition_values(spark, specs, schema, parts).values()))
 
-def write_full_refresh(df: DataFrame, path: str, partition_by=None) -> None:
-    """W2 — TRUNCATE + INSERT: the whole table is replaced, once all new rows are written.
 
-    The table may get other columns; ``df`` may read the table it replaces.
+class Staged:
+    """``df`` written once to the work folder, for inputs that several steps read;
+    the folder goes at the end of the ``with`` block.
+
+    ``observe`` (aggregates by alias) are computed while it is written and
+    found in ``seen``.
     """
-    spark = df.sparkSession
-    recover(spark, path)
-    new = _write_beside(spark, df, path, partition_by)
-    _save_schema(spark, new, df.schema, partition_by)
-    _switch_folder(spark, new, path)
 
+    def __init__(self, df: DataFrame, name: str = "stage", partition_by=None, observe=()):
+        self.df, self.partition_by, self.observe = df, list(partition_by or []), list(observe)
+        self.path, self.seen = scratch_path(df.sparkSession, name), {}
 
-def create_if_missing(spark: SparkSession, path: str, schema: T.StructType,
-                      partition_by=None) -> bool:
-    """W8 — create an empty table with ``schema`` unless one exists. True if created."""
-    if table_exists(spark, path):
-        return False
-    write_append(spark.createDataFrame([], schema), path, partition_by)
-    return True
+    def __enter__(self) -> DataFrame:
+        df, seen = clustered(self.df, self.partition_by), Observation()
+        if self.observe:
+            df = df.observe(seen, *self.observe)
+        w = df.write.mode("errorifexists")
+        (w.partitionBy(*self.partition_by) if self.partition_by else w).parquet(self.path)
+        if self.observe:
+            self.seen = seen.get
+        return self.df.sparkSession.read.schema(self.df.schema).parquet(self.path).select(
+            *[_quoted(c) for c in self.df.columns])
 
+    def __exit__(self, *exc):
+        delete_path(self.df.sparkSession, self.path)
 
-def drop_table(spark: SparkSession, path: str) -> bool:
-    """W8 — DROP TABLE IF EXISTS."""
-    recover(spark, path)
-    return delete_path(spark, path) if path_exists(spark, path) else False
 
+# ------------------------------------------------------------------- W1, W2, W8
 
-class Staged:
-    """``df`` written once to the work folder, for inputs that several steps read;
-    the folder goes at the end of the ``with`` block."""
+def write_append(df: DataFrame, ref: str, partition_by=None, bucket_by=None) -> None:
+    """W1 — append; a re-run appends the rows again.
 
-    def __init__(self, df: DataFrame, name: str = "stage", partition_by=None):
-        self.df, self.partition_by = df, partition_by
-        self.path = scratch_path(df.sparkSession, name)
+    ``bucket_by`` = (number, keys) is used when the table is created: its rows
+    are clustered by the keys, so a join on them doesn't shuffle the table.
+    """
+    spark = df.sparkSession
+    df = aligned(df, spark, ref, partition_by)
+    created = _ensure(spark, ref, df.schema, partition_by, bucket_by)
+    try:
+        _insert(aligned(df, spark, ref), ref)
+    except BaseException:
+        if created:
+            drop_table(spark, ref)
+        raise
 
-    def __enter__(self) -> DataFrame:
-        _write_files(self.df, self.path, self.partition_by, "errorifexists")
-        return self.df.sparkSession.read.schema(self.df.schema).parquet(self.path)
 
-    def __exit__(self, *exc):
-        delete_path(self.df.sparkSession, self.path)
+def write_full_refresh(df: DataFrame, ref: str, partition_by=None) -> None:
+    """W2 — TRUNCATE + INSERT: the whole table is replaced, once all new rows are written.
+
+    The table may get other columns; ``df`` may read the table it replaces.
+    With the same partition columns as before the rows are written once, by a
+    dynamic overwrite; otherwise they are staged first.
+    """
+    spark, partition_by = df.sparkSession, list(partition_by or [])
+    if not table_exists(spark, ref, df.schema, partition_by):
+        write_append(df, ref, partition_by)
+        return
+    kinds = lambda s: {f.name: f.dataType.simpleString() for f in s.fields}
+    same = kinds(spark.table(table_name(ref)).schema) == kinds(df.schema) and \
+        partition_columns(spark, ref) == partition_by
+    if same and partition_by:
+        _replace(spark, aligned(df, spark, ref), ref, _distinct(read_table(spark, ref), partition_by))
+        return
+    with Staged(df, "refresh") as rows:
+        if not same:
+            drop_table(spark, ref)
+            write_append(rows, ref, partition_by)
+        else:
+            _insert(aligned(rows, spark, ref), ref, overwrite=True)
+
+
+def create_if_missing(spark: SparkSession, ref: str, schema: T.StructType, partition_by=None, bucket_by=None) -> bool:
+    """W8 — CREATE TABLE IF NOT EXISTS. True if created."""
+    return _ensure(spark, ref, schema, partition_by, bucket_by)
+
+
+def drop_table(spark: SparkSession, ref: str) -> bool:
+    """W8 — DROP TABLE IF EXISTS, with the rows. True if there was one."""
+    found = table_exists(spark, ref)
+    spark.sql(f"DROP TABLE IF EXISTS {table_name(ref)}")
+    if "/" in ref:
+        delete_path(spark, ref)
+    return found
 
 
 # ------------------------------------------------------------------------- W3
 
-def replace_periods(spark: SparkSession, df: DataFrame, path: str, partition_by,
+def replace_periods(spark: SparkSession, df: DataFrame, ref: str, partition_by,
                     periods=None, source_reads_target: bool = True) -> None:
     """W3 — DELETE the periods, then INSERT ``df``.
 
@@ -301,18 +343,17 @@ def replace_periods(spark: SparkSession, df: DataFrame, path: str, partition_by,
     given for a TIMESTAMP stamp means its midnight.
 
     ``df`` is computed once and may read the table, as nothing is removed
-    before it is written (so ``source_reads_target`` makes no difference); which
-    periods it holds is seen from the folders it wrote (one per period), not by a second pass.
+    before it is written (so ``source_reads_target`` makes no difference).
     """
     partition_by = list(partition_by)
-    df = aligned(df, spark, path)
-    also = [partition_path(spark, {c: spec[c] for c in partition_by}, df.schema) for spec in periods or []]
-    new = _write_beside(spark, df, path, partition_by)
-    _switch_partitions(spark, new, path, len(partition_by), also)
-    _save_schema(spark, path, df.schema, partition_by)
+    _ensure(spark, ref, df.schema, partition_by)
+    df = aligned(df, spark, ref)
+    parts = partition_columns(spark, ref)
+    asked = set(_partition_values(spark, list(periods or []), df.schema, parts))
+    _replace(spark, df, ref, asked)
 
 
-def replace_periods_ignoring(spark: SparkSession, df: DataFrame, path: str, partition_by, periods,
+def replace_periods_ignoring(spark: SparkSession, df: DataFrame, ref: str, partition_by, periods,
                              keys, order_by) -> None:
     """W3 + W5 — DELETE the periods, then INSERT ... ON CONFLICT DO NOTHING.
 
@@ -320,95 +361,172 @@ def replace_periods_ignoring(spark: SparkSession, df: DataFrame, path: str, part
     table holds in a period that stays is not inserted again.
     """
     rows = dedup_first_wins(df, keys, order_by)
-    if table_exists(spark, path):
-        table = read_table(spark, path)
-        going = F.lit(False)
-        for spec in periods:
-            one = F.lit(True)
-            for c in partition_by:
-                one = one & F.col(c).eqNullSafe(F.lit(spec[c]).cast(table.schema[c].dataType))
-            going = going | one
-        rows = rows.join(table.filter(~going).select(*keys), list(keys), "left_anti")
-    replace_periods(spark, rows.select(*df.columns), path, partition_by, periods)
+    if table_exists(spark, ref, df.schema, partition_by):
+        table = read_table(spark, ref)
+        going = _in_partitions(partition_by, _partition_values(spark, periods, table.schema, partition_by))
+        rows = rows.join(table.filter(~F.coalesce(going, F.lit(False))).select(*keys), list(keys), "left_anti")
+    replace_periods(spark, rows.select(*df.columns), ref, partition_by, periods)
+
+
+def write_range_replace(spark: SparkSession, df: DataFrame, ref: str, time_col: str, start, end,
+                        partition_by=None) -> None:
+    """W3b — DELETE rows with ``start`` <= ``time_col`` < ``end``, then INSERT ``df``.
+
+    The range may cut through partitions. Only partitions that hold rows of the
+    range (found by a scan with the range pushed down) or of ``df`` are read
+    and rewritten: their rows outside the range, also those without a time,
+    plus ``df``. A partition with nothing left is dropped. Rows of ``df``
+    outside the range raise, as a re-run would not remove them.
+    """
+    partition_by = list(partition_by or [])
+    _ensure(spark, ref, df.schema, partition_by)
+    df = aligned(df, spark, ref)
+    table, parts = read_table(spark, ref), partition_columns(spark, ref)
+    kind = table.schema[time_col].dataType
+    inside = (F.col(time_col) >= F.lit(start).cast(kind)) & (F.col(time_col) < F.lit(end).cast(kind))
+    outside = F.count_if(~F.coalesce(inside, F.lit(False))).alias("outside")
+    holds = [F.collect_set(F.struct(*map(_quoted, parts))).alias("parts")] if parts else []
+    stage = Staged(df, "range", observe=[outside, *holds])
+    with stage as rows:
+        if stage.seen["outside"]:
+            raise ValueError(f"{ref}: {stage.seen['outside']} rows outside {start} .. {end}")
+        kept = table.filter(~F.coalesce(inside, F.lit(False)))
+        if not parts:
+            with Staged(kept.unionByName(rows), "range_rows") as merged:
+                _insert(aligned(merged, spark, ref), ref, overwrite=True)
+            return
+        touched = _distinct(table.filter(inside), parts) | {tuple(r) for r in stage.seen["parts"]}
+        kept = kept.filter(_in_partitions(parts, touched))
+        _replace(spark, aligned(kept.unionByName(rows), spark, ref), ref, touched)
 
 
 # ------------------------------------------------------------------------- W4
 
-def upsert(spark: SparkSession, source: DataFrame, path: str, keys,
-           partition_by=None) -> None:
+def upsert(spark: SparkSession, source: DataFrame, ref: str, keys, partition_by=None) -> None:
     """W4 / J5 — insert or update by ``keys``.
 
     Two source rows with one key raise, as ON CONFLICT DO UPDATE does (rows
-    with a NULL key never conflict).  When the partition columns belong to the
-    key, a row can't move between partitions: the source is staged in the
-    table's layout, only the partitions it touches are read, each of their
-    rows is written once, and they are switched.  Otherwise a key may move, so
-    the whole table is merged into a new folder and switched.
+    with a NULL key never conflict).  Only the partitions that the source
+    touches are read whole and rewritten.  When the partition columns belong
+    to the key these are the source's own; otherwise a key may move, and those
+    that hold one of the source's keys are found first by a semi join of key
+    and partition columns. A table without partitions is merged whole.
     """
-    keys, partition_by = list(keys), list(partition_by or [])
-    inside = bool(partition_by) and set(partition_by) <= set(keys)
-    source = aligned(source, spark, path)
-    staged = Staged(source, "upsert", partition_by if inside else None)
-    with staged as src:
-        src = src.select(*source.columns)
+    keys = list(keys)
+    source = aligned(source, spark, ref, partition_by)
+    exists = table_exists(spark, ref)
+    parts = partition_columns(spark, ref) if exists else list(partition_by or [])
+    holds = [F.collect_set(F.struct(*map(_quoted, parts))).alias("parts")] if parts else []
+    stage = Staged(source, "upsert", observe=holds)
+    with stage as src:
         twice = src.filter(~null_key(keys)).groupBy(*keys).count().filter("count > 1").limit(1).collect()
         if twice:
-            raise ValueError(f"{path}: two source rows for one key, {twice[0].asDict()}")
-        if not table_exists(spark, path):
-            write_append(src, path, partition_by or None)
+            raise ValueError(f"{ref}: two source rows for one key, {twice[0].asDict()}")
+        if not exists:
+            write_append(src, ref, parts)
             return
-        if not inside:
-            target = read_table(spark, path)
-            write_full_refresh(upsert_frames(target, src, keys), path, partition_by or None)
+        target = read_table(spark, ref)
+        if not parts:
+            with Staged(upsert_frames(target, src, keys), "upsert_rows") as merged:
+                _insert(aligned(merged, spark, ref), ref, overwrite=True)
             return
-        touched = _partition_folders(spark, staged.path, len(partition_by))
-        there = [f"{path.rstrip('/')}/{rel}" for rel in touched
-                 if path_exists(spark, f"{path.rstrip('/')}/{rel}")]
-        merged = src
-        if there:
-            target = spark.read.schema(source.schema).option("basePath", path).parquet(*there)
-            merged = upsert_frames(target.select(*source.columns), src, keys)
-        new = _write_beside(spark, merged, path, partition_by)
-        _switch_partitions(spark, new, path, len(partition_by))
-        _save_schema(spark, path, source.schema, partition_by)
+        touched = {tuple(r) for r in stage.seen["parts"]}
+        if not set(parts) <= set(keys):
+            held = target.select(*dict.fromkeys([*keys, *parts])).join(src.select(*keys), keys, "left_semi")
+            touched |= _distinct(held, parts)
+        merged = upsert_frames(target.filter(_in_partitions(parts, touched)), src, keys)
+        _replace(spark, aligned(merged, spark, ref), ref, touched)
 
 
 # ---------------------------------------------------------------- W5, W6, W7
 
-def insert_ignore(spark: SparkSession, batch: DataFrame, path: str, keys, order_by,
-                  partition_by=None, within=None) -> None:
-    """W5 / J4 — ``ON CONFLICT DO NOTHING``: first row per key wins, existing keys are kept.
+def range_metrics(schema: T.StructType, keys) -> list[Column]:
+    """Least and largest of each time key, to be observed while rows are staged."""
+    times = [k for k in keys if isinstance(schema[k].dataType, TIMES)]
+    return [x for k in times for x in (F.min(k).alias(f"{k}__least"), F.max(k).alias(f"{k}__most"))]
+
 
-    ``within`` = (key column, start, end) says that all rows of the batch lie in
-    that half-open range of a time key; only that part of the table is read.
+def in_observed_range(target: DataFrame, keys, seen: dict) -> DataFrame:
+    """The rows of ``target`` whose time keys lie in the observed ranges; without times seen, none do."""
+    for k in keys:
+        if f"{k}__least" in seen:
+            least, most = seen[f"{k}__least"], seen[f"{k}__most"]
+            target = target.filter(F.lit(False) if least is None else F.col(k).between(F.lit(least), F.lit(most)))
+    return target
+
+
+def new_rows(batch: DataFrame, target: DataFrame, keys, order_by, derived_partitions=()) -> Staged:
+    """J3 — rows of ``batch`` whose key is not in ``target`` (in-batch first wins), the target read only where needed.
+
+    Spark prunes no scan at run time for an anti join. The batch's first rows
+    are staged, which they must be anyway before they are appended to the table
+    they are compared with; the range of each time key is observed on the way
+    and pushed to the target's scan. ``derived_partitions`` are columns of both
+    sides that follow from the key (the day of its time): then only the
+    batch's partitions are read. Rows with a NULL key are always new.
+
+    Use as ``with new_rows(...) as rows``.
     """
-    from .joins import anti_new_rows
-    if table_exists(spark, path):
-        target = read_table(spark, path)
-        with Staged(anti_new_rows(batch, target, keys, order_by, within), "insert_ignore") as new:
-            write_append(new, path, partition_by)
-    else:
-        write_append(dedup_first_wins(batch, keys, order_by), path, partition_by)
+    keys = list(keys)
+    first = dedup_first_wins(batch, keys, order_by)
+    observe = range_metrics(batch.schema, keys)
+    if derived_partitions:
+        observe.append(F.collect_set(F.struct(*map(_quoted, derived_partitions))).alias("parts"))
 
+    class New(Staged):
+        def __enter__(self) -> DataFrame:
+            rows = super().__enter__()
+            known = in_observed_range(target, keys, self.seen)
+            if derived_partitions:
+                known = known.filter(_in_partitions(derived_partitions, [tuple(r) for r in self.seen["parts"]]))
+            return rows.join(known.select(*keys), keys, "left_anti").select(*rows.columns)
 
-def insert_if_period_absent(spark: SparkSession, df: DataFrame, path: str, period_col: str,
+    return New(first, "first_rows", observe=observe)
+
+
+def insert_ignore(spark: SparkSession, batch: DataFrame, ref: str, keys, order_by,
+                  partition_by=None, within=None, partitions_follow_key: bool = False) -> None:
+    """W5 / J4 — ``ON CONFLICT DO NOTHING``: first row per key wins, existing keys are kept.
+
+    Only the part of the table in the batch's own time range is read (see
+    ``new_rows``). ``partitions_follow_key`` says that equal keys lie in equal
+    partitions, as with the day of a key's time: then only the batch's
+    partitions are read, as is the case when the partition columns are keys.
+    ``within`` = (key column, start, end) cuts the table besides.
+    """
+    from . import filters as flt
+    if not table_exists(spark, ref, batch.schema, partition_by):
+        write_append(dedup_first_wins(batch, keys, order_by), ref, partition_by)
+        return
+    batch = aligned(batch, spark, ref)
+    target, parts = read_table(spark, ref), partition_columns(spark, ref)
+    if within:
+        if within[0] not in keys:
+            raise ValueError(f"{within[0]} is not a key: rows outside the range may hold one of the batch's keys")
+        target = flt.in_range(target, *within)
+    follow = parts if partitions_follow_key or set(parts) <= set(keys) else ()
+    with new_rows(batch, target, keys, order_by, follow) as rows:
+        _insert(aligned(rows, spark, ref), ref)
+
+
+def insert_if_period_absent(spark: SparkSession, df: DataFrame, ref: str, period_col: str,
                             period_value, partition_by=None) -> bool:
     """W6 / J6 — append the period only if the table has no row for it. True if written."""
-    if table_exists(spark, path):
-        t = read_table(spark, path)
+    if table_exists(spark, ref, df.schema, partition_by):
+        t = read_table(spark, ref)
         if not t.filter(F.col(period_col) == F.lit(period_value).cast(
                 t.schema[period_col].dataType)).isEmpty():
             return False
-    write_append(df, path, partition_by)
+    write_append(df, ref, partition_by)
     return True
 
 
-def load_if_partition_empty(spark: SparkSession, df: DataFrame, path: str,
+def load_if_partition_empty(spark: SparkSession, df: DataFrame, ref: str,
                             partition_by) -> bool:
     """W7 — append only when every partition ``df`` would write is still empty."""
-    if table_exists(spark, path):
+    if table_exists(spark, ref, df.schema, partition_by):
         periods = df.select(*partition_by).distinct()
-        if not read_table(spark, path).join(periods, list(partition_by), "left_semi").isEmpty():
+        if not read_table(spark, ref).join(periods, list(partition_by), "left_semi").isEmpty():
             return False
-    write_append(df, path, partition_by)
+    write_append(df, ref, partition_by)
     return True
