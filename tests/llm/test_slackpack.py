@@ -56,7 +56,7 @@ def test_plan_places_all_and_pads_nothing():
 def test_many_lengths_are_rarely_cut():
     r, counts = random.Random(2), {}
     for _ in range(100_000):
-        k = min(2047, int(r.lognormvariate(6, 1.2)) or 1)
+        k = int(r.lognormvariate(6, 1.2)) % 2047 or 1
         counts[k] = counts.get(k, 0) + 1
     plan = slackpack.Plan(counts, 2048)
     assert sum(row[2] for row in plan.rows if row[9]) < 2000 and len(plan.rows) < 30_000
