@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from calyx.session import scratch_path
 
 CHUNK_BYTES = 1 << 19          # bytes of text hashed at once; a longer text makes its own chunk
-BATCH_ROWS = 2048              # texts handed to Python at once
+BATCH_BYTES = 4 << 20          # rows handed to Python at once; a longer row makes its own batch
 
 
 # ---------------------------------------------------------- code on executors
@@ -45,13 +45,14 @@ def ship(spark: SparkSession) -> None:
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on the executors.
 
-    Texts are long rows: unless the session says otherwise, batches are smaller
-    than Spark's 10,000 rows, which bounds a Python worker's memory.
+    Texts are long rows of any length: batches are bounded in bytes, which bounds
+    a Python worker's memory. Spark reads the bound when the plan runs, so it is
+    a setting of the session; one given when the application started stays.
     """
-    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
     ship(spark)
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, str(BATCH_ROWS))
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 
@@ -92,13 +93,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**n mod 2**64, kept and lengthened when a longer text comes."""
+    """base**0 .. base**n mod 2**64; kept for the next text up to a chunk's length, and not beyond."""
     have = _powers.get(base)
     if have is None or len(have) <= n:
-        size = 1 << max(16, int(n).bit_length())
-        run = np.full(size, base, np.uint64)
+        run = np.full(max(n, CHUNK_BYTES) + 1, base, np.uint64)
         run[0] = 1
-        _powers[base] = have = np.cumprod(run, dtype=np.uint64)
+        have = np.cumprod(run, dtype=np.uint64)
+        if n <= CHUNK_BYTES:
+            _powers[base] = have
     return have
 
 
