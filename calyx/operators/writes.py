@@ -100,10 +100,13 @@ def table_exists(spark: SparkSession, ref: str, like: T.StructType | None = None
         return True
     if "/" not in ref:
         return False
+    fs, folder = _fs(spark, ref)
+    if not fs.exists(folder):
+        return False
     try:
         found = spark.read.parquet(ref).schema
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":          # no data files
             return False
         raise
     parts = [c for c in partition_by or [] if like is not None and c in like.names and c in found.names]

@@ -22,7 +22,8 @@ def stream_dedup(spark, sf):
     """ST1: two incremental runs of one ingest stream (same checkpoint).  All
     attempts arrive first; later copies of every 'click' row (same key, later
     id, other payload) arrive for the second run and are dropped: the first
-    arrival wins."""
+    arrival wins.  The table is partitioned by the key's day, so each batch
+    reads its own days only."""
     landing = scratch_path(spark, "landing")
     a = T.attempts(spark, sf).select(*RAW)
     copies = (a.filter(F.col("attempt_type") == "click")
@@ -31,11 +32,52 @@ def stream_dedup(spark, sf):
     table, ck = scratch_path(spark, "dedup_tbl"), scratch_path(spark, "dedup_ck")
     for arrival in (a, copies):
         arrival.write.mode("append").parquet(landing)
-        src = S.file_stream(spark, landing, a.schema)
-        S.run_inserting(spark, src, table, ck, KEYS, ["event_id"])
+        src = S.file_stream(spark, landing, a.schema).withColumn("day", F.col("created_at").cast("date"))
+        S.run_inserting(spark, src, table, ck, KEYS, ["event_id"], ["day"], partitions_follow_key=True)
     return W.read_table(spark, table).select(*RAW)
 
 
+@register("stream_dedup_state", WA + "select event_id, lti_user_id, attempt_type, created_at, "
+          "is_correct from attempts")
+def stream_dedup_state(spark, sf):
+    """ST1 with state, three runs from one checkpoint: rows from 01-12 on with
+    all but the views; then the views, of which those older than the two days'
+    delay are beyond the watermark, and copies of the clicks of the last days,
+    inside it; then all rows before 01-12, far beyond it, with copies of all
+    clicks.  No row is lost and no copy kept."""
+    landing = scratch_path(spark, "landing_state")
+    a = T.attempts(spark, sf).select(*RAW)
+    cut = F.lit("2024-01-12").cast("timestamp_ntz")
+    copies = (a.filter(F.col("attempt_type") == "click")
+              .withColumn("event_id", F.col("event_id") + F.lit(1_000_000_000))
+              .withColumn("attempt_type", F.lit("click_copy")))
+    late, views = a.filter(F.col("created_at") < cut), F.col("attempt_type") == "view"
+    last = a.agg(F.max("created_at")).first()[0]
+    out, ck = scratch_path(spark, "state_tbl"), scratch_path(spark, "state_ck")
+    for arrival in (a.filter((F.col("created_at") >= cut) & ~views),
+                    a.filter((F.col("created_at") >= cut) & views).unionByName(
+                        copies.filter(F.col("created_at") > F.lit(last) - F.expr("interval 1 day"))),
+                    late.unionByName(copies)):
+        arrival.write.mode("append").parquet(landing)
+        S.run_deduplicated(spark, S.file_stream(spark, landing, a.schema), out, ck, KEYS, ["event_id"], "2 days")
+    return S.deduplicated(spark, out).select(*RAW)
+
+
+@register("stream_day_week", WA + """
+select level, date_trunc(level, created_at)::timestamp "start", lti_user_id, attempt_type,
+       count(*) attempt_count, count(case when is_correct then null else 1 end) attempt_failed_count
+from attempts, (values ('day'), ('week')) l(level)
+where date_trunc('week', created_at) + interval 7 day <= (select max(ts) - interval 1 day from events)
+group by 1, 2, 3, 4""")
+def stream_day_week(spark, sf):
+    """ST2: days and Monday weeks of one stream, by chained windows over one scan."""
+    ev = spark.read.parquet(T.table_path(sf, "events"))
+    src = S.file_stream(spark, sf, ev.schema, glob="events.parquet")
+    out, ck = scratch_path(spark, "day_week_out"), scratch_path(spark, "day_week_ck")
+    S.run_day_week(spark, T.attempts_from_events(src), out, ck, "1 day")
+    return S.by_level(spark.read.parquet(out))
+
+
 WEEKLY_SQL = WA + """
 select cast(date_trunc('week', created_at) as timestamp) week_start, lti_user_id, attempt_type,
        count(*) attempt_count, count(case when is_correct then null else 1 end) attempt_failed_count
