@@ -22,7 +22,7 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="calyx")
     sub = p.add_subparsers(dest="cmd", required=True)
     s = sub.add_parser("specs", help="run a declared set of aggregates for one run date")
-    s.add_argument("--specs", required=True, help="bundled set name or a JSON file")
+    s.add_argument("--specs", required=True, help="bundled set name, or a JSON file on any storage Spark reads")
     s.add_argument("--events", required=True, help="events Parquet path (attempts source)")
     for name in ("daily", "new-users"):
         j = sub.add_parser(name)
@@ -47,8 +47,7 @@ def main(argv=None) -> int:
     if args.cmd == "specs":
         from .plans import specs as S
         from .sources.tables import attempts_from_events
-        specs = (S.load_specs(open(args.specs, encoding="utf-8").read())
-                 if os.path.exists(args.specs) else S.example_specs(args.specs))
+        specs = S.read_specs(spark, args.specs)
         att = attempts_from_events(spark.read.parquet(args.events))
         res = S.run_aggregates(spark, specs, args.ds, {"attempts": att}, args.warehouse,
                                args.exports, {"attempts": "created_at"})

@@ -425,8 +425,8 @@ def new_users(att: DataFrame, start, end) -> DataFrame:
     return (per_user.groupBy(tag.alias("date_tag"))
             .agg(F.sum("_n").cast("long").alias("attempts_total"),
                  F.sum("_c").cast("long").alias("correct_attempts"),
-                 F.count(F.lit(1)).alias("unique_users"),
-                 F.count(F.when(F.col("_first") >= s_ts, 1)).alias("new_users"))
+                 F.count("lti_user_id").alias("unique_users"),               # rows without a user are no user
+                 F.count(F.when(F.col("_first") >= s_ts, F.col("lti_user_id"))).alias("new_users"))
             .select(cal.as_date(start).alias("period_start"),
                     F.date_sub(cal.as_date(end), 1).alias("period_end"),
                     "attempts_total", "correct_attempts", "unique_users", "new_users",
@@ -453,8 +453,8 @@ def new_users_from_dim(att: DataFrame, users: DataFrame, start, end) -> DataFram
     return (j.groupBy(cal.month_tag(start).alias("date_tag"))
             .agg(F.sum("_n").cast("long").alias("attempts_total"),
                  F.sum("_c").cast("long").alias("correct_attempts"),
-                 F.count(F.lit(1)).alias("unique_users"),
-                 F.count(F.when(F.col("_seen").isNull(), 1)).alias("new_users"))
+                 F.count("lti_user_id").alias("unique_users"),
+                 F.count(F.when(F.col("_seen").isNull(), F.col("lti_user_id"))).alias("new_users"))
             .select(cal.as_date(start).alias("period_start"),
                     F.date_sub(cal.as_date(end), 1).alias("period_end"),
                     "attempts_total", "correct_attempts", "unique_users", "new_users",

@@ -51,6 +51,30 @@ def ready(spark: SparkSession, sources: dict, min_rows: int = 1, mode: str = "al
                  F.count_if("ready").alias("sources_ready"))
 
 
+def ready_in_order(spark: SparkSession, sources: dict, min_rows: int = 1, mode: str = "all") -> DataFrame:
+    """Q2 / Q3 with short-circuit: one row (ready, sources_checked, last_source).
+
+    Sources are probed in order; ``all`` stops at the first that is not ready,
+    ``any`` at the first that is, and the sources after it are not read. A
+    source is a DataFrame, None for a missing table, or a function that gives
+    either (so that a source not probed is not even looked up). A probe ends
+    after ``min_rows`` rows of each partition.
+    """
+    ready, checked, name = mode == "all", 0, None
+    for name, source in sources.items():
+        df = source() if callable(source) else source
+        checked += 1
+        if df is None:
+            ready = False
+        elif min_rows <= 1:
+            ready = min_rows < 1 or not df.isEmpty()
+        else:
+            ready = df.select(F.lit(1)).limit(min_rows).count() >= min_rows
+        if ready != (mode == "all"):
+            break
+    return spark.createDataFrame([(ready, checked, name)], "ready boolean, sources_checked long, last_source string")
+
+
 # Q4
 def partition_is_empty(df: DataFrame, spec: dict) -> bool:
     cond = reduce(lambda a, b: a & b,
@@ -95,14 +119,25 @@ def null_pct(df: DataFrame, max_pct: dict) -> DataFrame:
     an array of structs turns the single row into one row per column.  No rows
     gives a NULL share, which passes.
     """
-    from ..functions.ratios import half_up_ratio
     cols = list(max_pct)
     one = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.count(_named(c)).alias(f"_c{i}") for i, c in enumerate(cols)])
+    return _shares(one, max_pct)
+
+
+def null_shares(spark: SparkSession, rows: int, filled: dict, max_pct: dict) -> DataFrame:
+    """Q6 from counts at hand (all rows, and rows with a value per column), as observed while rows were written."""
+    one = spark.createDataFrame([(rows, *(filled[c] for c in max_pct))],
+                                ", ".join(["_n long", *(f"_c{i} long" for i in range(len(max_pct)))]))
+    return _shares(one, max_pct)
+
+
+def _shares(one: DataFrame, max_pct: dict) -> DataFrame:
+    from ..functions.ratios import half_up_ratio
     long = one.select("_n", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), (F.col("_n") - F.col(f"_c{i}")).alias("null_count"),
                  F.lit(float(max_pct[c])).alias("max_null_pct"))
-        for i, c in enumerate(cols)])).alias("_x")).select("_n", "_x.*")
+        for i, c in enumerate(max_pct)])).alias("_x")).select("_n", "_x.*")
     pct = half_up_ratio("null_count", "_n", scale=2, times=100, precision=5)
     return (long.select("column_name", F.col("null_count").cast("long").alias("null_count"),
                         pct.alias("null_pct"), "max_null_pct")

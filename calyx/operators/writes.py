@@ -136,6 +136,8 @@ def read_table(spark: SparkSession, ref: str) -> DataFrame:
     """The table's rows, partition columns last; a table whose partitions were all dropped has none."""
     if not table_exists(spark, ref):
         raise FileNotFoundError(f"no table at {ref}")
+    # a stream's batches write in a session of their own, which leaves this one's list of files as it was
+    spark.catalog.refreshTable(table_name(ref))
     return spark.table(table_name(ref))
 
 

@@ -274,6 +274,18 @@ group by date_tag"""
 register("agg_new_users", NEW_USERS_SQL)(lambda spark, sf: A.new_users(att(spark, sf), str(WS), str(WE)))
 
 
+def _some_without_user(df):
+    """Every fifth attempt without its user."""
+    return df.withColumn("lti_user_id", F.when(F.col("event_id") % 5 != 0, F.col("lti_user_id")))
+
+
+@register("agg_new_users_nulls", NEW_USERS_SQL.replace("from attempts ", "from partly ").replace(WA, WA + """,
+partly as (select * exclude (lti_user_id), case when event_id % 5 <> 0 then lti_user_id end lti_user_id from attempts)"""))
+def agg_new_users_nulls(spark, sf):
+    """J2 where user ids are missing: such rows count as attempts, not as a user."""
+    return A.new_users(_some_without_user(att(spark, sf)), str(WS), str(WE))
+
+
 @register("agg_new_users_from_dim", NEW_USERS_SQL)
 def agg_new_users_from_dim(spark, sf):
     """J2 as scheduled runs do it: the users dimension (first activity, kept by

@@ -246,6 +246,17 @@ def src_all_strings(spark, sf):
         "event_id", "lti_user_id", "is_correct", "attempt_type", "score", "_period_start", "_period_end")
 
 
+@register("src_rare_keys", """
+select cast(event_id as varchar) event_id,
+       case when event_id = (select max(event_id) from events) then 'seen once' end rare from events""")
+def src_rare_keys(spark, sf):
+    """SRC4: a key that occurs in one record only becomes a column of all."""
+    path, ev = scratch_path(spark, "rare"), T.read_table(spark, sf, "events")
+    last = ev.agg(F.max("event_id")).first()[0]
+    ev.select("event_id", F.when(F.col("event_id") == last, "seen once").alias("rare")).write.json(path)
+    return R.read_all_strings(spark, path, WS, plus(WS, 6)).select("event_id", "rare")
+
+
 @register("normalize_lessons", WR + f"""
 select {CANON_SQL}, lesson_id, lesson_name, coalesce(nullif(inner_score, 0), outer_score) score from records""")
 def normalize_lessons(spark, sf):

@@ -52,6 +52,7 @@ def with_late_copies(df):
 
 
 KEYS = ["lti_user_id", "created_at"]
+WEEKS5 = [str(plus("2024-01-01", 7 * k)) for k in range(5)]          # every week that has events
 
 # ------------------------------------------------------------------ joins
 
@@ -63,6 +64,27 @@ def anti_new_rows(spark, sf):
     return J.anti_new_rows(with_late_copies(a), flt.filter_before(a, "2024-01-12"), KEYS, ["event_id"])
 
 
+@register("anti_new_rows_bucketed", WA + f"""
+select {RAW_SQL} from attempts where created_at >= timestamp '2024-01-12'""")
+def anti_new_rows_bucketed(spark, sf):
+    """J3 against a table bucketed by the key: the table is not shuffled."""
+    a, path = T.attempts(spark, sf).select(*RAW), scratch_path(spark, "bucketed")
+    W.write_append(flt.filter_before(a, "2024-01-12"), path, bucket_by=(8, KEYS))
+    return J.anti_new_rows(with_late_copies(a), W.read_table(spark, path), KEYS, ["event_id"])
+
+
+@register("insert_ignore_own_days", WA + f"select {RAW_SQL}, cast(created_at as date) ds from attempts")
+def insert_ignore_own_days(spark, sf):
+    """W5 with the table's partitions taken from the batch: of a table by day,
+    each week's batch, sent twice with late copies, reads that week only."""
+    a, path = T.attempts(spark, sf).select(*RAW), scratch_path(spark, "own_days")
+    for w in WEEKS5:
+        week = flt.in_range(a, "created_at", w, plus(w, 7)).withColumn("ds", F.col("created_at").cast("date"))
+        for batch in (week, with_late_copies(week)):
+            W.insert_ignore(spark, batch, path, KEYS, ["event_id"], ["ds"], partitions_follow_key=True)
+    return W.read_table(spark, path)
+
+
 @register("dedup_first_wins", WA + f"select {RAW_SQL} from attempts")
 def dedup_first_wins(spark, sf):
     """Insert-ignore of all attempts with late copies into a table that
@@ -123,7 +145,6 @@ def upsert_moved_partition(spark, sf):
     return W.read_table(spark, path).select("lti_user_id", "last_seen", "last_day", "last_type")
 
 
-WEEKS5 = [str(plus("2024-01-01", 7 * k)) for k in range(5)]          # every week that has events
 WEEK_TOTALS_SQL = """
 select cast(date_trunc('week', created_at) as date) period_start, count(*) attempts,
        count(distinct lti_user_id) unique_users from attempts group by 1"""
@@ -268,6 +289,52 @@ def write_period_replace_timestamp(spark, sf):
     return W.read_table(spark, path).select(*none.columns)
 
 
+@register("write_range_replace", WA + f"""
+select {RAW_SQL}, cast(created_at as date) ds from attempts
+where created_at < timestamp '2024-01-10 06:00:00' or created_at >= timestamp '2024-01-12 18:00:00'
+   or attempt_type = 'click'""")
+def write_range_replace(spark, sf):
+    """Of all attempts by day, those from 01-10 06:00 to 01-12 18:00 are
+    replaced by their clicks; what is left of the first and last day stays."""
+    a = T.attempts(spark, sf).select(*RAW).withColumn("ds", F.col("created_at").cast("date"))
+    path, start, end = scratch_path(spark, "range"), "2024-01-10 06:00:00", "2024-01-12 18:00:00"
+    W.write_append(a, path, ["ds"])
+    clicks = a.filter(F.col("created_at").between(F.lit(start).cast("timestamp_ntz"),
+                                                  F.lit(end).cast("timestamp_ntz") - F.expr("interval 1 microsecond"))
+                      & (F.col("attempt_type") == "click"))
+    W.write_range_replace(spark, clicks, path, "created_at", start, end, ["ds"])
+    return W.read_table(spark, path)
+
+
+@register("catalogue_tables", WA + """
+select * from (values ('created', true, 0), ('dropped', false, null)) t(step, is_table, row_count)
+union all select 'filled', true, count(*) from attempts
+union all select 'without ' || cast(min(created_at) as date), true,
+  count(*) filter (where cast(created_at as date) <> (select cast(min(created_at) as date) from attempts))
+from attempts""")
+def catalogue_tables(spark, sf):
+    """A table is created, filled, loses its first day as a partition
+    and is dropped, each step as the catalogue sees it."""
+    a = T.attempts(spark, sf).select(*RAW).withColumn("ds", F.col("created_at").cast("date"))
+    path, out = scratch_path(spark, "catalogue"), []
+    name = W.table_name(path)
+
+    def step(text):
+        there = spark.catalog.tableExists(name)
+        out.append((text, there, spark.table(name).count() if there else None))
+
+    W.create_if_missing(spark, path, a.schema, ["ds"])
+    step("created")
+    W.write_append(a, path, ["ds"])
+    step("filled")
+    first = a.agg(F.min("ds")).first()[0]
+    W.drop_partitions(spark, path, [(str(first),)])
+    step(f"without {first}")
+    W.drop_table(spark, path)
+    step("dropped")
+    return spark.createDataFrame(out, "step string, is_table boolean, row_count long")
+
+
 @register("write_replace_ignore", WA + f"""
 select {RAW_SQL}, cast(created_at as date) ds from attempts""")
 def write_replace_ignore(spark, sf):
@@ -448,6 +515,30 @@ def ready_any_table(spark, sf):
     return Q.ready(spark, srcs, mode="any")
 
 
+def _probe_sql(parts: list[tuple[str, str]], stop: str) -> str:
+    """The sources in order up to the first whose readiness is ``stop``."""
+    rows = " union all ".join(f"select {i} i, '{name}' s, ({e}) r" for i, (name, e) in enumerate(parts))
+    return f"""with p as ({rows}), seen as (select * from p where not exists
+  (select 1 from p q where q.i < p.i and q.r = {stop}))
+select arg_max(r, i) ready, count(*) sources_checked, arg_max(s, i) last_source from seen"""
+
+
+@register("ready_in_order", "select * from (" + _probe_sql([
+    ("events", "select count(*) >= 1000 from events"), ("none", "select count(*) >= 1000 from events where ts < timestamp '2000-01-01'"),
+    ("lineitem", "select count(*) >= 1000 from lineitem")], "false") + ") union all select * from (" + _probe_sql([
+        ("none", "select count(*) >= 1 from events where ts < timestamp '2000-01-01'"),
+        ("orders", "select count(*) >= 1 from orders"), ("lineitem", "select false")], "true") + ")")
+def ready_in_order(spark, sf):
+    """Q2 / Q3 short-circuit: all of three sources with 1000 rows, and any of three with one; the last is not read."""
+    ev = T.read_table(spark, sf, "events")
+    none = ev.filter(F.col("ts") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    every = Q.ready_in_order(spark, {"events": ev, "none": none,
+                                     "lineitem": lambda: T.read_table(spark, sf, "lineitem")}, 1000)
+    any_of = Q.ready_in_order(spark, {"none": none, "orders": T.read_table(spark, sf, "orders"),
+                                      "lineitem": lambda: T.read_table(spark, sf, "lineitem")}, mode="any")
+    return every.unionByName(any_of)
+
+
 @register("partition_empty", """
 with b as (select cast(min(ts) as date) - 2 s, cast(max(ts) as date) + 2 e from events),
      spine as (select cast(unnest(generate_series(s, e, interval 1 day)) as date) ds from b),
@@ -621,3 +712,85 @@ def run_config_empty_source(spark, sf):
         except Q.QualityError:
             out.append((policy, "failed"))
     return spark.createDataFrame(out, "policy string, outcome string")
+
+
+#: three groupings of one week, computed together
+GROUPED_SPECS = [
+    {"name": "kinds", "group_by": ["attempt_type"], "partition_by": ["week_start"], "min_rows": 1,
+     "max_null_pct": 0, "critical_columns": ["attempt_type"],
+     "measures": {"n": "count(*)", "users": "count(distinct lti_user_id)"}},
+    {"name": "days", "group_by": ["cast(created_at as date) as day", "attempt_type"], "partition_by": ["week_start"],
+     "measures": {"n": "count(*)", "first_id": "min(event_id)"}},
+    {"name": "all", "partition_by": ["week_start"], "measures": {"n": "count(*)", "users": "count(distinct lti_user_id)"}},
+]
+
+
+@register("run_config_fused", WA + f""",
+w as (select *, cast(date_trunc('week', created_at) as date) week_start from attempts where {_BOTH})
+select 'kinds' spec, week_start, attempt_type, cast(null as date) "day", count(*) n,
+       count(distinct lti_user_id) users, cast(null as bigint) first_id from w group by 2, 3
+union all
+select 'days', week_start, attempt_type, cast(created_at as date), count(*), null, min(event_id) from w group by 2, 3, 4
+union all
+select 'all', week_start, null, null, count(*), count(distinct lti_user_id), null from w group by 2""")
+def run_config_fused(spark, sf):
+    """Three groupings of a week by GROUPING SETS, two weeks, the second run twice."""
+    base = scratch_path(spark, "fused")
+    specs = S.load_specs([{**sp, "period": "prev_week", "columns": ["lti_user_id", "attempt_type", "created_at", "event_id"]}
+                          for sp in GROUPED_SPECS])
+    for ds in (*RUNS, RUNS[1]):
+        res = S.run_aggregates(spark, specs, ds, {"attempts": att(spark, sf)}, base, None, {"attempts": "created_at"})
+    out = None
+    for r in res:
+        rows = W.read_table(spark, r.path).withColumn("spec", F.lit(r.spec.name))
+        for c, kind in (("attempt_type", "string"), ("day", "date"), ("users", "long"), ("first_id", "long")):
+            if c not in rows.columns:
+                rows = rows.withColumn(c, F.lit(None).cast(kind))
+        rows = rows.select("spec", "week_start", "attempt_type", "day", "n", "users", "first_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+#: the running total of a spec that reads its own table, as it was before the run
+TOTAL_SPEC = {
+    "name": "running_total", "period": "prev_week", "partition_by": ["week_start"],
+    "schema": "attempts bigint, total bigint, week_start date",
+    "sql": """select a.n attempts, a.n + coalesce(b.total, 0) total, :period_start week_start
+              from (select count(*) n from {attempts}
+                    where created_at >= :period_start and created_at < :period_end) a
+              left join (select max(total) total from IDENTIFIER(:table_name) where week_start < :period_start) b on true"""}
+
+
+@register("run_config_own_table", WA + f"""
+select count(*) attempts, cast(sum(count(*)) over (order by cast(date_trunc('week', created_at) as date)) as bigint) total,
+       cast(date_trunc('week', created_at) as date) week_start
+from attempts where {_BOTH} group by 3""")
+def run_config_own_table(spark, sf):
+    """A spec names its own table by IDENTIFIER(:table_name) and adds to what earlier weeks left; re-runs agree."""
+    base = scratch_path(spark, "own_table")
+    for ds in (*RUNS, RUNS[1]):
+        res = S.run_aggregates(spark, S.load_specs([TOTAL_SPEC]), ds, {"attempts": att(spark, sf)}, base, None,
+                               {"attempts": "created_at"})
+    return W.read_table(spark, res[0].path)
+
+
+@register("run_config_all_or_nothing", WA + f"""
+select 'kinds' spec_name, count(distinct attempt_type) row_count, false export_written from attempts
+where {rng('2024-01-08', '2024-01-15')}
+union all select 'lessons', count(distinct lesson_id), false from attempts where {rng('2024-01-08', '2024-01-15')}""")
+def run_config_all_or_nothing(spark, sf):
+    """In the second week the second of two specs fails its check; both
+    tables stay as the first week left them and nothing is exported."""
+    base, out = scratch_path(spark, "atomic"), []
+    specs = [{**sp, "min_rows": 1} for sp in WEEKLY_SPECS[:2]]
+    a = att(spark, sf)
+    res = S.run_aggregates(spark, S.load_specs(specs), RUNS[0], {"attempts": a}, base + "/tables", None,
+                           {"attempts": "created_at"})
+    try:
+        S.run_aggregates(spark, S.load_specs([specs[0], {**specs[1], "min_rows": 1_000_000_000}]), RUNS[1],
+                         {"attempts": a}, base + "/tables", base + "/exports", {"attempts": "created_at"})
+    except Q.QualityError:
+        fs, folder = W._fs(spark, base + "/exports")
+        for r in res:
+            out.append((r.spec.name, W.read_table(spark, r.path).count(), bool(fs.exists(folder))))
+    return spark.createDataFrame(out, "spec_name string, row_count long, export_written boolean")
