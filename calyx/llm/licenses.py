@@ -1,11 +1,12 @@
 """Licence scan with a positional rare-token index.
 
 A first pass counts, over all documents, in how many each licence word occurs.
-Every template is then posted under its rarest words: word -> (template,
-position). A file looks up its own words in these postings; places where
-postings of one template agree on the relative position are candidates, kept
-when the template's mandatory phrase stands there. Base phrases are found by
-position in the same pass.
+All words of all templates are posted: word -> (template, position). A file
+looks up the highest-IDF ones among the licence words that it holds: so many
+that whatever share of a template stands there, one of them belongs to it (the
+others can't make up for them). Postings of a template that agree on the
+relative position are intersected around these, and kept where the template's
+mandatory phrase stands. Base phrases are found by position in the same pass.
 """
 
 from __future__ import annotations
@@ -22,34 +23,100 @@ from .common import ALNUM, chunks, map_arrow, text_buffers, word_hash, words
 #: fixed values: base phrase, label
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: fixed values: label, mandatory phrase, notice text as the licences publish it
-TEMPLATES = (
-    ("mit", "mit license", "released under the mit license"),
-    ("mit", "mit license", "licensed under the mit license"),
+#: fixed values: label, mandatory phrase, text as the licences and their notices publish it
+TEXTS = (
+    ("mit", "mit license", "mit license"),
     ("mit", "to any person obtaining a copy",
-     "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-     "associated documentation files the software to deal in the software without restriction"),
-    ("apache-2.0", "apache license version 2 0", "licensed under the apache license version 2 0"),
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction including without limitation the "
+     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+     "persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+     "notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "to any person obtaining a copy",
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction"),
+    ("apache-2.0", "apache license version 2 0", "apache license version 2 0"),
+    ("apache-2.0", "apache software license version 2 0", "apache software license version 2 0"),
+    ("apache-2.0", "you may not use this file except in compliance with the license",
+     "you may not use this file except in compliance with the license you may obtain a copy of the license at http www "
+     "apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed "
+     "under the license is distributed on an as is basis without warranties or conditions of any kind either express "
+     "or implied"),
+    ("bsd", "bsd license", "bsd license"),
+    ("bsd", "redistribution and use in source and binary forms",
+     "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+     "following conditions are met redistributions of source code must retain the above copyright notice this list of "
+     "conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice "
+     "this list of conditions and the following disclaimer in the documentation and or other materials provided with "
+     "the distribution"),
     ("bsd", "redistribution and use in source and binary forms",
-     "redistribution and use in source and binary forms with or without modification are permitted "
-     "provided that the following conditions are met"),
-    ("gpl-3.0", "general public license version 3", "licensed under the gnu general public license version 3"),
-    ("gpl-2.0", "general public license version 2", "licensed under the gnu general public license version 2"),
+     "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+     "following conditions are met"),
+    ("bsd-3-clause", "endorse or promote products derived from this software",
+     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+     "products derived from this software without specific prior written permission"),
+    ("gpl-3.0", "general public license version 3", "gnu general public license version 3"),
+    ("gpl-2.0", "general public license version 2", "gnu general public license version 2"),
     ("gpl", "general public license",
-     "you can redistribute it and or modify it under the terms of the gnu general public license as "
-     "published by the free software foundation"),
-    ("lgpl", "lesser general public license", "licensed under the gnu lesser general public license"),
-    ("mpl-2.0", "mozilla public license", "subject to the terms of the mozilla public license v 2 0"),
+     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+     "free software foundation either version of the license or at your option any later version"),
+    ("gpl", "general public license",
+     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+     "free software foundation"),
+    ("lgpl", "lesser general public license", "gnu lesser general public license"),
+    ("agpl", "affero general public license", "gnu affero general public license"),
+    ("mpl-2.0", "mozilla public license", "mozilla public license v 2 0"),
+    ("mpl-2.0", "mozilla public license", "mozilla public license version 2 0"),
+    ("mpl-2.0", "subject to the terms of the mozilla public license",
+     "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+     "distributed with this file you can obtain one at"),
+    ("epl", "eclipse public license",
+     "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("epl", "eclipse public license", "eclipse public license"),
+    ("cddl", "common development and distribution license", "common development and distribution license"),
+    ("isc", "isc license", "isc license"),
+    ("isc", "permission to use copy modify and or distribute this software",
+     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+     "granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("isc", "permission to use copy modify and or distribute this software",
-     "permission to use copy modify and or distribute this software for any purpose with or without fee "
-     "is hereby granted"),
-    ("cc-by-4.0", "cc by 4 0", "licensed under cc by 4 0"),
-    ("cc-by-sa-4.0", "cc by sa 4 0", "licensed under cc by sa 4 0"),
-    ("cc-by-nc-4.0", "cc by nc 4 0", "licensed under cc by nc 4 0"),
+     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("zlib", "in no event will the authors be held liable",
+     "this software is provided as is without any express or implied warranty in no event will the authors be held "
+     "liable for any damages arising from the use of this software permission is granted to anyone to use this software "
+     "for any purpose including commercial applications and to alter it and redistribute it freely"),
+    ("bsl-1.0", "boost software license", "boost software license version 1 0"),
+    ("artistic", "artistic license", "the artistic license"),
+    ("psf", "python software foundation license", "python software foundation license"),
+    ("ofl", "sil open font license", "sil open font license version 1 1"),
+    ("eupl", "european union public licence", "european union public licence"),
+    ("ms-pl", "microsoft public license", "microsoft public license"),
+    ("cc0", "cc0 1 0", "cc0 1 0 universal"),
+    ("cc0", "public domain dedication", "creative commons public domain dedication"),
+    ("cc-by-4.0", "cc by 4 0", "cc by 4 0"),
+    ("cc-by-4.0", "creative commons attribution 4 0", "creative commons attribution 4 0 international"),
+    ("cc-by-sa-4.0", "cc by sa 4 0", "cc by sa 4 0"),
+    ("cc-by-sa-4.0", "attribution sharealike 4 0", "creative commons attribution sharealike 4 0 international"),
+    ("cc-by-nc-4.0", "cc by nc 4 0", "cc by nc 4 0"),
+    ("cc-by-nc-4.0", "attribution noncommercial 4 0", "creative commons attribution noncommercial 4 0 international"),
+    ("cc-by-nd-4.0", "cc by nd 4 0", "cc by nd 4 0"),
+    ("unlicense", "released into the public domain",
+     "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+     "compile sell or distribute this software either in source code form or as a compiled binary for any purpose"),
     ("unlicense", "released into the public domain",
      "this is free and unencumbered software released into the public domain"),
 )
-RARE = 4                       # words a template is posted under
+#: fixed values: identifier on a SPDX line, label
+IDENTIFIERS = (
+    ("mit", "mit"), ("apache 2 0", "apache-2.0"), ("bsd 2 clause", "bsd"), ("bsd 3 clause", "bsd-3-clause"),
+    ("gpl 2 0", "gpl-2.0"), ("gpl 3 0", "gpl-3.0"), ("lgpl 2 1", "lgpl"), ("lgpl 3 0", "lgpl"), ("agpl 3 0", "agpl"),
+    ("mpl 2 0", "mpl-2.0"), ("epl 2 0", "epl"), ("isc", "isc"), ("zlib", "zlib"), ("bsl 1 0", "bsl-1.0"),
+    ("unlicense", "unlicense"), ("cc0 1 0", "cc0"), ("cc by 4 0", "cc-by-4.0"), ("cc by sa 4 0", "cc-by-sa-4.0"),
+)
+TEMPLATES = TEXTS + tuple((label, f"spdx license identifier {name}", f"spdx license identifier {name}")
+                          for name, label in IDENTIFIERS)
+SHARE = 0.6                    # of a template's different words that must stand in place; of up to SHORT words all
+SHORT = 6
+SLACK = 8                      # words that places may shift by
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -93,17 +160,70 @@ def document_counts(docs: DataFrame, text_col: str, templates=TEMPLATES) -> dict
     return {r[0]: r[1] for r in got.collect()}
 
 
-def build_index(counts: dict[int, int], templates=TEMPLATES, rare: int = RARE) -> tuple[np.ndarray, list]:
-    """Sorted rare words, and for each its postings (template, position)."""
-    table = _vocabulary(templates)
-    postings: dict[int, list[tuple[int, int]]] = {}
-    for t, (_, _, text) in enumerate(templates):
-        h = _hashes(text)
-        n = {int(w): counts.get(int(np.searchsorted(table, w)), 0) for w in h}
-        for w in sorted(n, key=lambda w: (n[w], w))[:rare]:
-            postings.setdefault(w, []).extend((t, int(p)) for p in np.flatnonzero(h == np.uint64(w)))
-    keys = sorted(postings)
-    return np.array(keys, np.uint64), [postings[k] for k in keys]
+class Index:
+    """Postings of all template words: word -> (template, position); and how rare each word is in the corpus."""
+
+    def __init__(self, counts: dict[int, int], templates=TEMPLATES):
+        self.words = _vocabulary(templates)
+        self.labels = [t[0] for t in templates]
+        self.phrases = [_hashes(t[1]) for t in templates]
+        self.texts = [np.searchsorted(self.words, _hashes(t[2])) for t in templates]
+        self.own = [np.unique(t) for t in self.texts]                         # a template's different words
+        size = np.array([len(o) for o in self.own])
+        self.need = np.where(size <= SHORT, size, np.ceil(SHARE * size)).astype(int)
+        #: place in the order of falling IDF: words in few documents first
+        seen = np.array([counts.get(w, 0) for w in range(len(self.words))])
+        self.rarity = np.empty(len(self.words), np.int64)
+        self.rarity[np.lexsort((np.arange(len(self.words)), seen))] = np.arange(len(self.words))
+        self.holders = [np.array([t for t, o in enumerate(self.own) if w in o], np.int64) for w in range(len(self.words))]
+
+    def likely(self, doc: np.ndarray, word: np.ndarray, docs: int) -> np.ndarray:
+        """Pairs (document, template) of which the document holds as many different words as must agree."""
+        pair = np.unique(doc * len(self.words) + word)
+        doc, word = pair // len(self.words), pair % len(self.words)
+        n = np.array([len(self.holders[w]) for w in word], np.int64)
+        template = np.concatenate([self.holders[w] for w in word]) if len(word) else np.zeros(0, np.int64)
+        key, held = np.unique(np.repeat(doc, n) * len(self.texts) + template, return_counts=True)
+        key = key[held >= self.need[key % len(self.texts)]]
+        return np.stack([key // len(self.texts), key % len(self.texts)], 1)
+
+    def places(self, t: int, place: np.ndarray, word: np.ndarray) -> list[tuple[int, int]]:
+        """(start, words that agree) of the stretches where the words at ``place`` agree on where template ``t`` begins.
+
+        Of the words that the file holds, so many of the highest IDF are looked
+        up that one of them must be among any ``need`` that agree; the others
+        are counted only near the starts that these propose. Starts agree that
+        fall in one bin of SLACK words or the next.
+        """
+        mine = np.isin(word, self.own[t])
+        place, word, need = place[mine], word[mine], self.need[t]
+        held = np.unique(word)
+        rare = held[np.argsort(self.rarity[held])][:len(held) - need + 1]
+
+        def starts(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Start proposed by each pair of a place and a position of the same word."""
+            position = np.flatnonzero(np.isin(self.texts[t], words))
+            position = position[np.argsort(self.texts[t][position], kind="stable")]
+            owner = self.texts[t][position]
+            here = np.isin(word, words)
+            p, w = place[here], word[here]
+            lo, hi = np.searchsorted(owner, w, "left"), np.searchsorted(owner, w, "right")
+            n = hi - lo
+            at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            return np.repeat(p, n) - position[at], np.repeat(w, n)
+
+        first, _ = starts(rare)
+        bins = np.unique(np.floor_divide(first, SLACK))
+        near = np.unique(np.concatenate([bins - 1, bins]))                   # a bin and the next
+        start, who = starts(held)
+        bin_of = np.floor_divide(start, SLACK)
+        out = []
+        for b in near:
+            here = (bin_of == b) | (bin_of == b + 1)
+            n = len(np.unique(who[here]))
+            if n >= need:
+                out.append((int(start[here].min()), int(n)))
+        return out
 
 
 def _phrase_at(h: np.ndarray, doc: np.ndarray, phrase: np.ndarray) -> np.ndarray:
@@ -115,15 +235,7 @@ def _phrase_at(h: np.ndarray, doc: np.ndarray, phrase: np.ndarray) -> np.ndarray
     return at
 
 
-def _scan(batches, index, templates, base, slack: int) -> Iterator[pa.RecordBatch]:
-    rare, postings = index
-    sizes = np.array([len(p) for p in postings], np.int64)
-    start = np.cumsum(sizes) - sizes
-    flat = np.array([x for p in postings for x in p], np.int64).reshape(-1, 2)
-    texts = [_hashes(t[2]) for t in templates]
-    phrases = [_hashes(t[1]) for t in templates]
-    need = np.array([min(3, len({w for w, p in enumerate(postings) for t2, _ in p if t2 == t}))
-                     for t in range(len(templates))], np.int64)
+def _scan(batches, index: Index, base) -> Iterator[pa.RecordBatch]:
     base_words = [_hashes(p) for p, _ in base]
     for batch in batches:
         ids = batch.column(0)
@@ -139,22 +251,17 @@ def _scan(batches, index, templates, base, slack: int) -> Iterator[pa.RecordBatc
                     labels.setdefault(int(doc[p]), set()).add(label)
             base_labels = {d: ",".join(sorted(x)) for d, x in labels.items()}
             score[list(labels)] = 1.0
-            if len(rare) and len(h):
-                places, which = _lookup(h, rare)
-                n = sizes[which]
-                rep = np.repeat(np.arange(len(places)), n)
-                post = flat[np.repeat(start[which], n) + np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)]
-                votes = np.stack([doc[places[rep]], post[:, 0], places[rep] - post[:, 1], which[rep]], 1)
-                votes = np.unique(votes, axis=0)
-                found, agree = np.unique(votes[:, :3], axis=0, return_counts=True) if len(votes) else (votes[:, :3], np.zeros(0, np.int64))
-                for d, t, at in found[agree >= need[found[:, 1]]]:
-                    lo, hi = max(first[d], at - slack), min(first[d + 1], at + len(texts[t]) + slack)
-                    if not len(_phrase_at(h[lo:hi], doc[lo:hi], phrases[t])):
-                        continue
-                    a, b = max(first[d], at), min(first[d + 1], at + len(texts[t]))
-                    share = float((h[a:b] == texts[t][a - at:b - at]).sum()) / len(texts[t])
-                    labels.setdefault(int(d), set()).add(templates[t][0])
-                    score[d] = max(score[d], share)
+            places, which = _lookup(h, index.words)
+            for d, t in index.likely(doc[places], which, j - i):
+                lo, hi = np.searchsorted(places, [first[d], first[d + 1]])
+                length, agree = len(index.texts[t]), 0
+                for start, n in index.places(t, places[lo:hi], which[lo:hi]):
+                    a, b = max(first[d], start - SLACK), min(first[d + 1], start + length + 3 * SLACK)
+                    if n > agree and len(_phrase_at(h[a:b], doc[a:b], index.phrases[t])):
+                        agree = n
+                if agree:
+                    labels.setdefault(int(d), set()).add(index.labels[t])
+                    score[d] = max(score[d], agree / len(index.own[t]))
             rows = range(j - i)
             yield pa.record_batch([
                 ids.slice(i, j - i), pa.array(n_words, pa.int64()),
@@ -167,21 +274,21 @@ def _scan(batches, index, templates, base, slack: int) -> Iterator[pa.RecordBatc
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
-                  base=BASE, rare: int = RARE, slack: int = 8) -> DataFrame:
+                  base=BASE) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row.
 
     Words are runs of ASCII letters and digits and of all other non-ASCII
-    characters, lower-cased A-Z. A template is labelled where three of its
-    ``rare`` rarest words agree on their relative position and its mandatory
-    phrase stands within ``slack`` words of it; score is the largest share of a
-    template's words in place, 1 with a base phrase, 0 without any label. Null
-    and empty texts have no words and empty labels; repeated rows and null ids
-    are answered row by row; an empty table gives no rows. Only the two named
-    columns are read.
+    characters, lower-cased A-Z. A template is labelled where SHARE of its
+    different words (of a short one all) propose starts of the template that
+    lie in neighbouring bins of SLACK words, and its mandatory phrase stands
+    there word by word. score is the largest share of a template's words that
+    agree, 1 with a base phrase, 0 without any label. Null and empty texts have
+    no words and empty labels; repeated rows and null ids are answered row by
+    row; an empty table gives no rows. Only the two named columns are read.
     """
-    index = build_index(document_counts(docs, text_col, templates), templates, rare)
+    index = Index(document_counts(docs, text_col, templates), templates)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return map_arrow(
-        texts, lambda it: _scan(it, index, templates, base, slack),
+        texts, lambda it: _scan(it, index, base),
         "id long, n_words long, n_base long, first_word long, last_word long, "
         "base_labels string, labels string, score double")
