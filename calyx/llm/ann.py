@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow, write_table
 
 SAMPLE = 20_000                # vectors that fit the codebooks, those with the smallest hashes
-CANDIDATES = 20_000            # entries a query's cells must hold at least before it stops
-RECALL = 0.95                  # share of the exact neighbours that the sampled queries must find
+RECALL = 0.97                  # share of the exact neighbours that the sampled queries must find
 PROBES = 200                   # sampled queries, those with the smallest hashes
 TOP = 5
 BLOCK = 2048                   # entries, and visiting queries, of a cell that meet at once
@@ -51,6 +50,11 @@ def _distances(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return (x * x).sum(1)[:, None] - 2 * (x @ centre.T) + (centre * centre).sum(1)[None, :]
 
 
+def _halves(x: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of vectors; a single component is both."""
+    return x[:, :max(1, dim // 2)], x[:, dim // 2:]
+
+
 def nearest_cells(near1: np.ndarray, near2: np.ndarray, counts: np.ndarray, enough: int) -> list[int]:
     """Cells of one query by summed distance, each of the two given per codeword, until they hold ``enough``."""
     order1, order2 = near1.argsort(kind="stable"), near2.argsort(kind="stable")
@@ -80,9 +84,8 @@ def _assigned(batches, dim: int, book1: np.ndarray, book2: np.ndarray) -> Iterat
     for batch in batches:
         cells = np.zeros(0, np.int64)
         if len(batch):
-            x = _unit(batch.column(1), dim)
-            cells = (_distances(x[:, :dim // 2], book1).argmin(1) * len(book2)
-                     + _distances(x[:, dim // 2:], book2).argmin(1))
+            one, two = _halves(_unit(batch.column(1), dim), dim)
+            cells = _distances(one, book1).argmin(1) * len(book2) + _distances(two, book2).argmin(1)
         yield pa.record_batch([*batch.columns, pa.array(cells, pa.int64())], names=["id", "vector", "norm", "cell"])
 
 
@@ -90,8 +93,8 @@ def _visits(batches, dim: int, book1, book2, counts: np.ndarray, enough: int) ->
     for batch in batches:
         query, cell = [], []
         if len(batch):
-            x = _unit(batch.column(1), dim)
-            near1, near2 = _distances(x[:, :dim // 2], book1), _distances(x[:, dim // 2:], book2)
+            one, two = _halves(_unit(batch.column(1), dim), dim)
+            near1, near2 = _distances(one, book1), _distances(two, book2)
             for i in range(len(batch)):
                 got = nearest_cells(near1[i], near2[i], counts, enough)
                 query.extend([i] * len(got))
@@ -134,7 +137,8 @@ def enough_for(index: DataFrame, queries: DataFrame, dim: int, book1: np.ndarray
     best = Window.partitionBy("probe").orderBy(F.desc("score"), "cell")
     near = map_arrow(index, lambda it: _exact(it, dim, top, ids, x), "probe long, score double, cell long") \
         .withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top).select("probe", "cell").collect()
-    near1, near2 = _distances(x[:, :dim // 2], book1), _distances(x[:, dim // 2:], book2)
+    one, two = _halves(x, dim)
+    near1, near2 = _distances(one, book1), _distances(two, book2)
     cells: dict[int, list[int]] = {}
     for probe, cell in near:
         cells.setdefault(probe, []).append(cell)
@@ -183,7 +187,7 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     # 4-byte components stay so: they are exact, and travel with every cell a query visits
     kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
     base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("vector"))
-    good = base.filter(F.col("id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 1)) \
+    good = base.filter(F.col("id").isNotNull() & F.col("vector").isNotNull()) \
         .filter(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))) \
         .filter(F.exists("vector", lambda x: x != 0))
     return good.distinct().withColumn("norm", F.sqrt(F.aggregate(
@@ -196,30 +200,35 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     """(query_id, rank, id, score): each query's ``top`` nearest found, ranks from 1.
 
     Queries are the rows of ``vectors`` for which the condition ``is_query``
-    (over ``id``) holds; candidates all rows with another id. score is the
-    cosine of the original vectors, ties go to the smaller id; with fewer
-    candidates all are returned. Rows with a null id and vectors that are null,
-    zero or hold null or non-finite components take no part, nor do vectors of
-    another length than most have (of equally frequent lengths the larger);
-    equal rows count once. An empty table gives no rows. Only the two named
-    columns are read. ``codewords`` per half: sqrt(rows) / 3 by default,
-    between 8 and 512, so cell counts are bounded. ``candidates``, the entries a
-    query sees, are by default as many as a sample of the queries needs to find
-    ``recall`` of its exact neighbours, and at least CANDIDATES; tables of up to
-    so many distinct vectors are searched whole.
+    (over ``id``) holds; candidates all rows with another id and a vector of
+    the same length, as a cosine needs (each length has an index of its own).
+    score is the cosine of the original vectors, ties go to the smaller id; with
+    fewer candidates all are returned. Rows with a null id and vectors that are
+    null, zero or hold null or non-finite components take no part; equal rows
+    count once. An empty table gives no rows. Only the two named columns are
+    read. ``codewords`` per half: sqrt(rows) / 3 by default, between 8 and 512,
+    so cell counts are bounded. ``candidates``, the entries a query sees, are by
+    default as many as a sample of the queries needs to find ``recall`` of its
+    exact neighbours, measured in every table.
     """
     good = write_table(usable(vectors, id_col, vector_col), "vectors")
-    sizes = good.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    if not sizes:
-        return good.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
-    dim, rows = sizes[0]
-    good = good.filter(F.size("vector") == dim)
+    out = good.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
+    for dim, rows in good.groupBy(F.size("vector").alias("d")).count().orderBy("d").collect():   # a row per length
+        out = out.unionByName(_search(good.filter(F.size("vector") == dim), is_query, dim, rows, top, candidates,
+                                      sample, codewords, recall))
+    return out
+
+
+def _search(good: DataFrame, is_query, dim: int, rows: int, top: int, candidates: int | None, sample: int,
+            codewords: int | None, recall: float) -> DataFrame:
+    """``search`` among usable vectors of one length."""
     k = codewords or int(min(512, max(8, rows ** 0.5 / 3)))
     some = np.array([r[0] for r in good.select("vector", F.xxhash64("vector").alias("h"))
                      .orderBy("h").limit(sample).select("vector").collect()])
     some = some / np.abs(some).max(1, keepdims=True)
     some /= np.sqrt((some * some).sum(1))[:, None]
-    book1, book2 = codebook(some[:, :dim // 2], k), codebook(some[:, dim // 2:], k)
+    one, two = _halves(some, dim)
+    book1, book2 = codebook(one, k), codebook(two, k)
 
     kind = good.schema["vector"].dataType.simpleString()
     index = map_arrow(good, lambda it: _assigned(it, dim, book1, book2),
@@ -233,9 +242,8 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
         counts[cell] = n
     queries = good.filter(is_query)
     if candidates is None:
-        candidates = CANDIDATES
-        if counts.sum() > candidates:
-            candidates = max(candidates, enough_for(index, queries, dim, book1, book2, counts, top, recall))
+        candidates = enough_for(index, queries, dim, book1, book2, counts, top, recall)
+    candidates = max(candidates, top + 1)                             # the query itself may be one of them
     visits = write_table(map_arrow(queries, lambda it: _visits(it, dim, book1, book2, counts, candidates),
                                    "id long, cell long"), "visits")
     blocks = lambda n: F.ceil(F.count("*") / BLOCK).cast("int").alias(n)

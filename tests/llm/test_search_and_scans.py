@@ -63,6 +63,25 @@ def test_vectors_that_take_no_part(spark):
     assert [(r["id"], r["score"]) for r in few] == [(1, 1.0), (9, -1.0)]
 
 
+def test_each_length_is_searched_on_its_own(spark):
+    r = np.random.default_rng(11)
+    rows = [(i, r.standard_normal(6).tolist(), 0) for i in range(120)]
+    rows += [(200 + i, r.standard_normal(3).tolist(), 0) for i in range(40)]
+    rows += [(400 + i, [float(i - 10.5)], 0) for i in range(21)] + [(500, [1.0, 2.0, 3.0, 4.0], 0)]
+    got = {}
+    for x in ann.search(vectors(spark, rows), F.col("id") % 50 == 0, candidates=1000).collect():
+        got.setdefault(x["query_id"], []).append((x["rank"], x["id"], x["score"]))
+    want = {}
+    for q, v, _ in rows:
+        if q % 50 == 0:
+            v = np.array(v, np.float32).astype(float)
+            near = [(-(v @ w) / np.sqrt((v @ v) * (w @ w)), i) for i, w in
+                    ((i, np.array(w, np.float32).astype(float)) for i, w, _ in rows if len(w) == len(v)) if i != q]
+            want[q] = [i for _, i in sorted((round(s, 12), i) for s, i in near)[:5]]
+    assert {q: [i for _, i, _ in sorted(x)] for q, x in got.items()} == {q: x for q, x in want.items() if x}
+    assert 500 not in got and len(got[400]) == 5 and all(abs(x[2]) == 1 for x in got[400])
+
+
 def test_cells_come_in_order_of_distance():
     rng = np.random.default_rng(3)
     a, b, counts = rng.random(7), rng.random(5), rng.integers(0, 3, 35)
@@ -159,3 +178,64 @@ def test_templates_are_found_in_their_notices(doc_frame, prose):
     got = {x["id"]: x for x in licenses.scan_licenses(doc_frame(docs)).collect()}
     assert {i: got[i]["labels"] for i in notices} == {i: label for i, (_, label) in notices.items()}
     assert all(got[i]["labels"] == "" and got[i]["score"] == 0 for i in range(100, 150))
+
+
+def test_notices_in_other_words(doc_frame, prose):
+    """Headings, SPDX lines, inserted and missing words, whole bodies."""
+    body = dict((t[0], t[2]) for t in licenses.TEXTS if len(t[2].split()) > 30)
+    r = random.Random(1)
+
+    def worn(text):
+        w = text.split()
+        for _ in range(len(w) // 25):                         # a word in 25 is lost or doubled
+            k = r.randrange(8, len(w))
+            w[k:k + 1] = r.choice([[], [w[k], "really"]])
+        return " ".join(w)
+
+    notices = ["MIT License", "Licensed under MIT License", "apache software license version 2.0",
+               "SPDX-License-Identifier: MIT", "SPDX-License-Identifier: GPL-3.0-or-later", worn(body["unlicense"]),
+               worn(body["bsd"]), body["mit"], body["zlib"], "The MIT licence", "license: see the MIT group"]
+    want = ["mit", "mit", "apache-2.0", "mit", "gpl-3.0", "unlicense", "bsd", "mit", "zlib", "", ""]
+    docs = [(i, f"{prose(60, i)} {n} {prose(60, 90 + i)}") for i, n in enumerate(notices)]
+    docs += [(50, prose(20_000, 7) + " " + body["mit"] + " " + prose(20_000, 8)), (51, " ".join(body["mit"].split()[::-1]))]
+    got = {x["id"]: x["labels"] for x in licenses.scan_licenses(doc_frame(docs)).collect()}
+    assert [got[i] for i in range(len(notices))] == want
+    assert got[50] == "mit" and got[51] == ""
+
+
+def test_templates_match_brute_force(doc_frame, prose):
+    """Every template against every start in every text."""
+    r = random.Random(5)
+    docs = []
+    for i in range(60):
+        w = prose(r.randint(5, 80), i).split()
+        for _ in range(r.randint(0, 2)):
+            t = r.choice(licenses.TEMPLATES)[2].split()
+            for _ in range(r.choice([0, 1, len(t) // 8, len(t) // 4])):
+                k = r.randrange(len(t))
+                t[k:k + 1] = r.choice([[], ["zz"], [t[k], "qq"]]) or []
+                t = t or ["license"]
+            at = r.randint(0, len(w))
+            w[at:at] = t
+        docs.append((i, " ".join(w)))
+    want = {}
+    for i, text in docs:
+        w, found = text.split(), set()
+        for label, phrase, body in licenses.TEMPLATES:
+            body, phrase = body.split(), phrase.split()
+            own = set(body)
+            need = len(own) if len(own) <= licenses.SHORT else -(-len(own) * 6 // 10)
+            starts = [(k - p, x) for k, x in enumerate(w) for p, y in enumerate(body) if x == y]
+            for b in {s // licenses.SLACK for s, _ in starts}:
+                here = [(s, x) for s, x in starts if s // licenses.SLACK in (b, b + 1)]
+                lo = max(0, min(s for s, _ in here) - licenses.SLACK)
+                part = w[lo:min(s for s, _ in here) + len(body) + 3 * licenses.SLACK]
+                if len({x for _, x in here}) >= need and \
+                        any(part[k:k + len(phrase)] == phrase for k in range(len(part))):
+                    found.add(label)
+        for phrase, label in licenses.BASE:
+            if f" {phrase} " in f" {text} ":
+                found.add(label)
+        want[i] = ",".join(sorted(found))
+    got = {x["id"]: x["labels"] for x in licenses.scan_licenses(doc_frame(docs)).collect()}
+    assert got == want and sum(bool(v) for v in want.values()) > 20
