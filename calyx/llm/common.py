@@ -6,6 +6,7 @@ hands the text column over as one buffer, so there is no Python loop over words.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -53,7 +54,17 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     ship(spark)
     if not spark.sparkContext.getConf().contains(key):
         spark.conf.set(key, str(BATCH_BYTES))
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(lambda batches: _released(fn, batches), schema)
+
+
+def _released(fn: Callable, batches) -> Iterator:
+    """``fn`` over a task's batches; then memory that it has freed goes back to the system, as workers live on."""
+    yield from fn(batches)
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):             # a C library without it
+        pass
 
 
 # ------------------------------------------------------------ written tables
@@ -225,12 +236,13 @@ def _mark(column: str):
     return F.expr(f"xxhash64({column}) & {(1 << MARK_BITS) - 1}L") + 1
 
 
-def only_marked(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+def only_marked(rows: DataFrame, column: str, keys: DataFrame, how: str = "left_semi") -> DataFrame:
     """The ``rows`` whose ``column`` may be in the one column of ``keys``: all that are, and a few others.
 
     ``keys`` becomes a bitmap over hashes of 2**MARK_BITS bits (1 MB), whatever
     its size, that is broadcast; a join that follows sorts out the others. With
-    more keys than bits it prunes little, and only costs its pass.
+    more keys than bits it prunes little, and only costs its pass. With
+    ``how="left_anti"``, the other rows: those that are certainly not in ``keys``.
     """
     key = keys.columns[0]
     bits = keys.groupBy(F.bitmap_bucket_number(_mark(key)).alias("__bucket")) \
@@ -238,7 +250,30 @@ def only_marked(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     place = F.bitmap_bit_position(_mark(column))
     byte = F.conv(F.hex(F.substring("__bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     hit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2)) == 1
-    return rows.join(F.broadcast(bits), (F.bitmap_bucket_number(_mark(column)) == F.col("__bucket")) & hit, "left_semi")
+    return rows.join(F.broadcast(bits), (F.bitmap_bucket_number(_mark(column)) == F.col("__bucket")) & hit, how)
+
+
+def without(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``rows`` less those whose ``column`` is in the one column of ``keys``; null ones stay.
+
+    Only rows that a bitmap of the keys marks are shuffled for the exact join;
+    long rows that stay, mostly, are not.
+    """
+    gone = keys.select(F.col(keys.columns[0]).alias("__gone")).filter("__gone is not null").distinct()
+    named = rows.filter(F.col(column).isNotNull())
+    maybe = only_marked(named, column, gone)
+    left = maybe.join(gone, F.col(column) == F.col("__gone"), "left_anti")
+    return only_marked(named, column, gone, "left_anti").unionByName(left) \
+        .unionByName(rows.filter(F.col(column).isNull()))
+
+
+def distinct_by(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``rows.dropDuplicates(columns)``, with ``key`` among them, where only rows of repeated keys are shuffled; null keys all stay."""
+    named = rows.filter(F.col(key).isNotNull())
+    twice = named.groupBy(key).count().filter("count > 1").select(key)
+    return only_marked(named, key, twice, "left_anti") \
+        .unionByName(only_marked(named, key, twice).dropDuplicates(columns)) \
+        .unionByName(rows.filter(F.col(key).isNull()))
 
 
 # --------------------------------------------------------------- components

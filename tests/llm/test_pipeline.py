@@ -86,7 +86,7 @@ def test_empty_corpus(spark, folder, doc_frame):
 
 def test_every_dealt_operator_has_its_query():
     numbers = sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
