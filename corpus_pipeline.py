@@ -13,14 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calyx.llm import decontam, linededup, minhash, packing, quality
-from calyx.llm.common import load, write_table
+from calyx.llm.common import distinct_by, load, without, write_table
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose doc_id is in the one column of ``gone``."""
-    key = gone.columns[0]
-    gone = gone.select(F.col(key).alias("__gone")).filter("__gone is not null").distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """``docs`` less the rows whose doc_id is in the one column of ``gone``, which is computed once."""
+    return without(docs, "doc_id", write_table(gone, "gone"))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +49,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows that repeat a doc_id and a text one stays.
     """
     found = minhash.near_duplicates(docs, "doc_id", "text", k=5, percent=80)
-    rest = _without(docs, found.filter("not kept").select("id"))
-    named = rest.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(rest.filter("doc_id is null"))
+    return distinct_by(_without(docs, found.filter("not kept").select("id")), "doc_id", ["doc_id", "text"])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
