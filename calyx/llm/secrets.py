@@ -35,7 +35,17 @@ MARGIN = 8.0                             # least log-likelihood ratio of a repor
 BACKING = 5.0
 GENERATED = 20_000                       # random strings that train the random model besides the corpus
 
+BLOCK = 128                              # matches whose places are summed up together
+
 _SPAN = "array<struct<s:int,e:int,v:string>>"
+#: whether a base span touches the token t: of each kind, whose spans follow one another, the last one that
+#: begins before the token's end is found by bisection
+_COVERED = " OR ".join(f"""(size({kind}) > 0 AND aggregate(
+        sequence(1, cast(ceil(log2(size({kind}) + 1)) AS int)), named_struct('lo', 0, 'hi', size({kind})),
+        (r, i) -> CASE WHEN r.lo >= r.hi THEN r
+                       WHEN {kind}[(r.lo + r.hi) div 2].s < t.e THEN named_struct('lo', cast((r.lo + r.hi) div 2 AS int) + 1, 'hi', r.hi)
+                       ELSE named_struct('lo', r.lo, 'hi', cast((r.lo + r.hi) div 2 AS int)) END,
+        r -> r.lo > 0 AND element_at({kind}, greatest(r.lo, 1)).e > t.s))""" for kind in ("assign", "access", "hex"))
 
 
 def _spans(text: str, pattern: str, group: int, gate: Column, prefix: str) -> tuple[dict, Column]:
@@ -44,17 +54,26 @@ def _spans(text: str, pattern: str, group: int, gate: Column, prefix: str) -> tu
             f"{prefix}_hits": F.when(gate, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))),
             f"{prefix}_vals": F.when(gate, F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))}
     g, h, v = need
-    spans = F.expr(f"""
-        CASE WHEN size({h}) > 0 THEN aggregate(
-            sequence(0, size({h}) - 1),
-            named_struct('at', 0, 'spans', cast(array() AS {_SPAN})),
-            (acc, i) -> named_struct(
-                'at', acc.at + length({g}[i]) + length({h}[i]),
-                'spans', concat(acc.spans, array(named_struct(
-                    's', acc.at + length({g}[i]), 'e', acc.at + length({g}[i]) + length({h}[i]), 'v', {v}[i])))),
-            acc -> acc.spans)
-        ELSE cast(array() AS {_SPAN}) END""")
-    return need, spans
+    # Places are running sums of lengths, which SQL gathers by appending: in blocks of BLOCK matches, each of
+    # which begins where the blocks before it end, so that no long array is copied match by match. A transform of
+    # a one-element array names what lambdas use: the optimiser would otherwise put its expression into them.
+    begins = """aggregate(
+        transform(sequence(0, (size(x.h) - 1) div {B}), b -> aggregate(slice(y.n, b * {B} + 1, {B}), 0, (a, n) -> a + n)),
+        named_struct('at', 0, 'all', cast(array() AS array<int>)),
+        (acc, n) -> named_struct('at', acc.at + n, 'all', concat(acc.all, array(acc.at))), acc -> acc.all)"""
+    block = """aggregate(
+        sequence(b * {B}, least(size(x.h), (b + 1) * {B}) - 1), named_struct('at', z.o[b], 'spans', cast(array() AS {SPAN})),
+        (acc, i) -> named_struct('at', acc.at + y.n[i], 'spans', concat(acc.spans, array(named_struct(
+            's', acc.at + y.g[i], 'e', acc.at + y.n[i], 'v', x.v[i])))),
+        acc -> acc.spans)"""
+    spans = f"""CASE WHEN size({h}) > 0 THEN
+        transform(array(named_struct('g', slice({g}, 1, size({h})), 'h', {h}, 'v', {v})), x ->
+        transform(array(named_struct('g', transform(x.g, a -> length(a)),
+                                     'n', zip_with(x.g, x.h, (a, b) -> length(a) + length(b)))), y ->
+        transform(array(named_struct('o', {begins})), z ->
+        flatten(transform(sequence(0, (size(x.h) - 1) div {{B}}), b -> {block})))[0])[0])[0]
+        ELSE cast(array() AS {{SPAN}}) END"""
+    return need, F.expr(spans.replace("{B}", str(BLOCK)).replace("{SPAN}", _SPAN))
 
 
 def base_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -106,10 +125,10 @@ def log_ratios(counts: list[tuple]) -> list[float]:
 
 def train(spans: DataFrame) -> list[float]:
     """The models' log ratios from all long tokens of ``base_spans``, labelled by base cover."""
-    covered = "exists(concat(assign, access, hex), x -> x.s < t.e AND x.e > t.s)"
-    tokens = spans.select("assign", "access", "hex", F.explode("tokens").alias("t")).select(
-        F.when(F.expr(covered), "random").when(F.col("t.v").rlike(WORDS), "ordinary").alias("side"),
-        F.col("t.v").alias("token")).filter("side is not null")
+    told = f"transform(tokens, t -> named_struct('token', t.v, 'covered', {_COVERED}))"
+    tokens = spans.select(F.explode(F.expr(told)).alias("t")).select(
+        F.when(F.col("t.covered"), "random").when(F.col("t.token").rlike(WORDS), "ordinary").alias("side"),
+        F.col("t.token").alias("token")).filter("side is not null")
     # a common token is one row before its characters are counted
     tokens = tokens.groupBy("side", "token").agg(F.count("*").alias("n"))
     # each distinct token counts once: a copied document isn't more evidence
@@ -135,7 +154,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     (score; null for base kinds). Null and empty texts have no spans; repeated
     rows and null ids are answered row by row; an empty table gives no rows.
     Only the two named columns are read. The spans of one text are gathered in
-    one row.
+    one row, in time that grows with their number times its logarithm.
     """
     spans = write_table(base_spans(docs, id_col, text_col), "spans")
     table = train(spans)
@@ -144,7 +163,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         named_struct('a', 0, 'sum', 0D),
         (acc, b) -> named_struct('a', b, 'sum', acc.sum + element_at(ratios, acc.a * {SIZE} + b + 1)),
         acc -> acc.sum)"""
-    free = "filter(tokens, t -> NOT exists(concat(assign, access, hex), x -> x.s < t.e AND x.e > t.s))"
+    free = f"filter(tokens, t -> NOT ({_COVERED}))"
     own = f"transform({free}, t -> named_struct('s', t.s, 'k', 3, 'e', t.e, 'score', {ratio}))"
     kinds = [f"transform({c}, x -> named_struct('s', x.s, 'k', {k}, 'e', x.e, 'score', cast(null AS double)))"
              for k, c in enumerate(KINDS[:3])]

@@ -239,3 +239,31 @@ def test_templates_match_brute_force(doc_frame, prose):
         want[i] = ",".join(sorted(found))
     got = {x["id"]: x["labels"] for x in licenses.scan_licenses(doc_frame(docs)).collect()}
     assert got == want and sum(bool(v) for v in want.values()) > 20
+
+
+def test_long_texts_with_many_secrets(doc_frame):
+    """Places stay right over many blocks of matches, and the work stays in proportion."""
+    r = random.Random(3)
+    parts = []
+    for i in range(4000):
+        parts.append(r.choice([f"token = {r.getrandbits(64):016x}zZ", f"{r.getrandbits(128):032x}", "AKIA" + "Q7" * 9,
+                               "ordinary_words_and_names_here", "é plain words", "x" * r.randint(1, 30)]))
+    text = " ".join(parts)
+    docs = [(1, text), (2, " ".join(f"{i:024x}" for i in range(150_000)))]       # the second: 3.7 MB
+    import time
+    began = time.time()
+    got = {x["id"]: x for x in secrets.secret_report(doc_frame(docs)).collect()}
+    assert time.time() - began < 60
+    spans = []
+    for k, (pattern, group) in enumerate(((secrets.ASSIGN, 2), (secrets.ACCESS, 0), (secrets.HEX, 0))):
+        for m in re.finditer(pattern.replace("(?i:", "(?:") if k else pattern, text):
+            if len(m.group(group)) >= (6 if not k else 0):
+                spans.append((m.start(), k, m.end()))
+    joined = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
+    assert got[1]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+    assert (got[1]["n_assign"], got[1]["n_access"], got[1]["n_hex"]) == tuple(sum(k == j for _, k, _ in spans) for j in range(3))
+    covered = [(s, e) for s, _, e in spans]
+    for span in got[1]["spans"].split(","):
+        kind, s, e = span.split(":")
+        assert kind != "markov" or not any(a < int(e) and b > int(s) for a, b in covered)
+    assert got[2]["n_hex"] == 150_000 and got[2]["n_markov"] == 0
