@@ -15,7 +15,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -276,6 +276,22 @@ def distinct_by(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
         .unionByName(rows.filter(F.col(key).isNull()))
 
 
+def smallest_hashes(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """(group, key): of each value of ``group`` the ``n`` keys with the smallest hashes, a sample that repeats.
+
+    A group of m rows is first cut to the hashes below about 3n / m of them, so
+    that no task ranks a whole group. A row for each group comes to the driver.
+    """
+    pairs = rows.select(group, key)
+    cuts = [(g, min(2**63 - 1, int(-2**63 + min(1.0, (3 * n + 30) / m) * 2**64)))
+            for g, m in pairs.groupBy(group).count().collect()]
+    kind = StructType([pairs.schema[group]]).add("__cut", "long")
+    near = pairs.join(F.broadcast(rows.sparkSession.createDataFrame(cuts, kind)), group) \
+        .filter(F.xxhash64(key) <= F.col("__cut"))
+    order = Window.partitionBy(group).orderBy(F.xxhash64(key), key)
+    return near.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= n).select(group, key)
+
+
 # --------------------------------------------------------------- components
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node of ``edges`` (two long columns).

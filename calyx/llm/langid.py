@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, map_arrow, text_buffers
+from .common import chunks, map_arrow, smallest_hashes, text_buffers
 
 SEGMENT = 64
 HIDDEN = 8
@@ -173,8 +173,10 @@ def _sampled(batches, segments: int, size: int) -> Iterator[pa.RecordBatch]:
 def sample(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, segments: int = SAMPLE_SEGMENTS,
            size: int = SEGMENT) -> list[tuple[str, bytes]]:
     """Segments of at most ``sample_docs`` documents per language (smallest hash of the id), all over their texts."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    some = labelled.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= sample_docs)
+    # ids are picked before texts are touched: at most ``sample_docs`` for each language
+    picked = smallest_hashes(labelled, "lang", "id", sample_docs).distinct() \
+        .select(F.col("lang").alias("picked_lang"), F.col("id").alias("picked"))
+    some = labelled.join(F.broadcast(picked), (F.col("id") == F.col("picked")) & (F.col("lang") == F.col("picked_lang")))
     cuts = map_arrow(some.select("lang", "text"), lambda it: _sampled(it, segments, size),
                      "lang string, segment binary")
     return sorted((r[0], bytes(r[1])) for r in cuts.collect())
