@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM, NOT_SPACE, chunks, map_arrow, mix, text_buffers, words, write_table
+from .common import ALNUM, NOT_SPACE, chunks, map_arrow, mix, smallest_hashes, text_buffers, words, write_table
 
 HASH_BITS = 44                 # wide enough that a long text meets no lexicon entry by chance
 STEMS = (4, 5, 6, 7, 8)        # a word's first bytes so many are features: inflected words share them
@@ -277,9 +277,8 @@ def _scored(batches, form_model: tuple, abuse_model: tuple) -> Iterator[pa.Recor
 
 def _lexicons(docs: DataFrame, labels: DataFrame, labelled: int) -> list[np.ndarray]:
     """Abusive words and stems by hashed feature: from even ids, from odd ids, from all labelled documents."""
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("lid"), "lid")
-    some = labels.filter("lid is not null and toxic in (0, 1)").groupBy("lid").agg(F.max("toxic").alias("toxic")) \
-        .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= labelled).select("lid", "toxic")
+    some = smallest_hashes(labels.filter("lid is not null and toxic in (0, 1)").groupBy("lid")
+                           .agg(F.max("toxic").alias("toxic")), "toxic", "lid", labelled).select("lid", "toxic")
     # at most 2 * ``labelled`` ids
     picked = docs.join(F.broadcast(some), F.col("id") == F.col("lid")).select("id", "text", "toxic")
     toxic = {r[0]: r[1] for r in some.collect()}
