@@ -26,6 +26,7 @@ from calyx.session import scratch_path
 from .common import map_arrow, write_table
 
 LEAST_BYTES = 1000
+RANGE_ROWS = 200_000           # rows of the index that one task merges
 RECORDS_PER_FILE = 8192
 EPOCH = "2024-01-01 00:00:00"
 INDEX = ("urlkey string, ts string, page_id long, run string, offset long, length long, "
@@ -232,12 +233,13 @@ def capture_index(pages: DataFrame, path: str | None = None, least_bytes: int =
     rows with a null page_id revisit it as well and are responses where no
     other has their payload. Pages carry no time: ts is a fixed epoch plus
     page_id seconds. An empty table gives an empty index. Other columns are not
-    read. A range of the index must fit one task; records_per_file bounds what
-    a reading task holds.
+    read. Ranges of the index hold about RANGE_ROWS rows, which bounds what a
+    merging task holds; records_per_file bounds a reading task.
     """
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
     write_archives(captures(pages, least_bytes), path, records_per_file)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
     runs = write_table(map_arrow(files, _runs, INDEX), "runs")
-    return map_arrow(runs.repartitionByRange("urlkey", "ts", "page_id", "run", "offset"), _merged, INDEX)
+    ranges = max(spark.sparkContext.defaultParallelism, -(-runs.count() // RANGE_ROWS))
+    return map_arrow(runs.repartitionByRange(ranges, "urlkey", "ts", "page_id", "run", "offset"), _merged, INDEX)
