@@ -373,6 +373,12 @@ def replace_periods_ignoring(spark: SparkSession, df: DataFrame, ref: str, parti
     replace_periods(spark, rows.select(*df.columns), ref, partition_by, periods)
 
 
+def in_time_range(table: DataFrame, time_col: str, start, end) -> Column:
+    """``start`` <= ``time_col`` < ``end`` in the column's type, as a predicate that reaches the scan."""
+    kind = table.schema[time_col].dataType
+    return (F.col(time_col) >= F.lit(start).cast(kind)) & (F.col(time_col) < F.lit(end).cast(kind))
+
+
 def write_range_replace(spark: SparkSession, df: DataFrame, ref: str, time_col: str, start, end,
                         partition_by=None) -> None:
     """W3b — DELETE rows with ``start`` <= ``time_col`` < ``end``, then INSERT ``df``.
@@ -387,8 +393,7 @@ def write_range_replace(spark: SparkSession, df: DataFrame, ref: str, time_col:
     _ensure(spark, ref, df.schema, partition_by)
     df = aligned(df, spark, ref)
     table, parts = read_table(spark, ref), partition_columns(spark, ref)
-    kind = table.schema[time_col].dataType
-    inside = (F.col(time_col) >= F.lit(start).cast(kind)) & (F.col(time_col) < F.lit(end).cast(kind))
+    inside = in_time_range(table, time_col, start, end)
     outside = F.count_if(~F.coalesce(inside, F.lit(False))).alias("outside")
     holds = [F.collect_set(F.struct(*map(_quoted, parts))).alias("parts")] if parts else []
     stage = Staged(df, "range", observe=[outside, *holds])

@@ -336,6 +336,13 @@ select report_date, dish, cast(sum(qty) as bigint) total_qty,
 from cafe where report_date = date '{DS_CAFE}' group by 1, 2 order by total_revenue desc""")(
     lambda spark, sf: A.top_dishes(cafe_day(spark, sf)))
 
+# S4 — the three best-selling of the ranking; ties by name
+register("agg_top_dishes_limit", WC + f"""
+select report_date, dish, cast(sum(qty) as bigint) total_qty,
+       cast(sum(amount) as decimal(14,2)) total_revenue
+from cafe where report_date = date '{DS_CAFE}' group by 1, 2 order by total_revenue desc, dish limit 3""")(
+    lambda spark, sf: A.top_dishes(cafe_day(spark, sf), 3))
+
 register("agg_stats_by_category", WC + f"""
 select report_date, category, cast(sum(qty) as bigint) total_qty,
        cast(sum(amount) as decimal(14,2)) total_revenue,

@@ -7,7 +7,9 @@ parameters so a cluster submit can size them for its data.
 
 from __future__ import annotations
 
+import atexit
 import os
+import sys
 import tempfile
 import uuid
 
@@ -79,6 +81,25 @@ def work_dir(spark: SparkSession) -> str:
     return base
 
 
+_removed_at_exit: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique location under the shared work folder."""
-    return os.path.join(work_dir(spark), "calyx", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, unique location under the shared work folder, in a folder of this application.
+
+    Staged tables are read lazily, so they can't go when the function that
+    wrote them ends; the application's folder goes when its driver ends.
+    """
+    folder = os.path.join(work_dir(spark), "calyx", spark.sparkContext.applicationId)
+    if folder not in _removed_at_exit:
+        _removed_at_exit.add(folder)
+        atexit.register(_remove, spark._jvm, spark._jsc.hadoopConfiguration(), folder)
+    return os.path.join(folder, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _remove(jvm, conf, folder: str) -> None:
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    try:
+        path.getFileSystem(conf).delete(path, True)
+    except Exception as gone:      # the driver's JVM has ended before, by a signal say: nothing can be removed then
+        print(f"calyx: {folder} was not removed ({type(gone).__name__})", file=sys.stderr)
