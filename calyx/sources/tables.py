@@ -165,6 +165,7 @@ def series_rows(ids: DataFrame, id_col: str = "id") -> DataFrame:
     The reference assigns 10.5·id to an INT column, which rounds half away
     from zero; BIGINT keeps large ids from overflowing.
     """
+    # The rule's five categories and its factor of 10.5.
     i = F.col(id_col).cast("long")
     return ids.select(
         i.alias("id"),
