@@ -35,6 +35,7 @@ LONG_TOKENS = 20               # so many fixed tokens are many
 FIXED_SHARE = 0.6              # least share of fixed tokens in a template
 LEAST_TOKENS = 3               # shorter lines are left alone
 SLOT_BITS = 23
+SALTS = 16
 BINS = 64                      # of a document's sketch, 16 bits each
 BAND = 4                       # bins that two documents must share to be compared
 ALIKE = 0.8                    # least share of equal bins in a family
@@ -215,14 +216,16 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     most = max(least, least_long)
     some = Window.partitionBy("leaf", "whole").orderBy("group")
     seen = only_marked(lines, "leaf", leaves).select("leaf", "whole", "group").distinct() \
-        .withColumn("r", F.row_number().over(some)).filter(F.col("r") <= most).drop("r")
-    seen = write_table(seen, "groups")
+        .withColumn("r", F.row_number().over(some)).filter(F.col("r") <= most)
+    seen = write_table(seen.groupBy("leaf", "whole").agg(F.collect_list("group").alias("groups")), "groups")
     template = _recurring(distinct, seen, least, least_long, fixed_share, long_tokens)
     found = write_table(only_marked(lines, "leaf", leaves).join(template, ["leaf", "whole"])
                         .select("id", "version", "line", "template"), "recurring")
-    first = found.groupBy("template").agg(F.min("id").alias("first"))
-    return found.join(first, "template").filter(F.col("id") > F.col("first")) \
-        .select("id", "version", "line", "template")
+    # a template's lines meet its first document in SALTS places, as a common one has many lines
+    first = found.groupBy("template").agg(F.min("id").alias("first")) \
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return found.withColumn("salt", F.pmod(F.col("id"), F.lit(SALTS)).cast("int")).join(first, ["template", "salt"]) \
+        .filter(F.col("id") > F.col("first")).select("id", "version", "line", "template")
 
 
 def _recurring(distinct: DataFrame, seen: DataFrame, least: int, least_long: int, fixed_share: float,
@@ -234,7 +237,9 @@ def _recurring(distinct: DataFrame, seen: DataFrame, least: int, least_long: int
     the first counts where it recurs.
     """
     token = distinct.select("leaf", "whole", F.posexplode("tokens").alias("i", "token"))
-    held = token.filter("token is not null").join(seen, ["leaf", "whole"]) \
+    # lines meet their documents before they are taken apart, so tokens are shuffled once
+    held = distinct.join(seen, ["leaf", "whole"]).select("leaf", "groups", F.posexplode("tokens").alias("i", "token")) \
+        .filter("token is not null").select("leaf", "i", "token", F.explode("groups").alias("group")) \
         .groupBy("leaf", "i", "token").agg(F.count_distinct("group").alias("n")) \
         .filter(F.col("n") >= min(least, least_long))
 
@@ -252,7 +257,8 @@ def _recurring(distinct: DataFrame, seen: DataFrame, least: int, least_long: int
     lines = write_table(lines.filter("often is not null or long is not null"), "templates")
 
     def recurring(name: str, k: int) -> DataFrame:
-        return lines.filter(F.col(name).isNotNull()).join(seen, ["leaf", "whole"]).groupBy(name) \
+        return lines.filter(F.col(name).isNotNull()).join(seen, ["leaf", "whole"]) \
+            .select(name, F.explode("groups").alias("group")).groupBy(name) \
             .agg(F.count_distinct("group").alias("n")).filter(F.col("n") >= k) \
             .select(name, F.lit(True).alias(f"is_{name}"))
 
