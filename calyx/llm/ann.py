@@ -6,10 +6,11 @@ takes cells in order of summed half distances, popped from a heap, until the
 cells hold enough entries. How many are enough is measured in each table: so many
 that a sample of its queries finds the wanted share of its exact neighbours. The
 entries are reranked by the exact cosine of
-the original vectors in double precision. Entries and the queries that visit their
-cell are dealt to tasks in blocks of bounded size, so a crowded or much visited
-cell is many blocks; a block is one product of two matrices. Of equal vectors only
-as many as can appear in a result take part.
+the original vectors in double precision. A query's cells with one first codeword are
+one row, with the second codewords as bits. Entries of a first codeword and the
+queries that visit it are dealt to tasks in blocks of bounded size, so a crowded
+or much visited one is many blocks; a block is one product of two matrices. Of
+equal vectors only as many as can appear in a result take part.
 """
 
 from __future__ import annotations
@@ -90,17 +91,21 @@ def _assigned(batches, dim: int, book1: np.ndarray, book2: np.ndarray) -> Iterat
 
 
 def _visits(batches, dim: int, book1, book2, counts: np.ndarray, enough: int) -> Iterator[pa.RecordBatch]:
+    """(id, first, seconds): per query and first codeword, the second codewords of the cells to visit, as bits."""
     for batch in batches:
-        query, cell = [], []
+        query, first, seconds = [], [], []
         if len(batch):
             one, two = _halves(_unit(batch.column(1), dim), dim)
             near1, near2 = _distances(one, book1), _distances(two, book2)
             for i in range(len(batch)):
-                got = nearest_cells(near1[i], near2[i], counts, enough)
-                query.extend([i] * len(got))
-                cell.extend(got)
-        yield pa.record_batch([batch.column(0).take(pa.array(query, pa.int64())), pa.array(cell, pa.int64())],
-                              names=["id", "cell"])
+                wanted = np.zeros((len(book1), len(book2)), bool)
+                wanted.ravel()[nearest_cells(near1[i], near2[i], counts, enough)] = True
+                for k in np.flatnonzero(wanted.any(1)):
+                    query.append(i)
+                    first.append(int(k))
+                    seconds.append(np.packbits(wanted[k]).tobytes())
+        yield pa.record_batch([batch.column(0).take(pa.array(query, pa.int64())), pa.array(first, pa.int32()),
+                               pa.array(seconds, pa.binary())], names=["id", "first", "seconds"])
 
 
 def _exact(batches, dim: int, top: int, ids: np.ndarray, probes: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -152,15 +157,17 @@ def enough_for(index: DataFrame, queries: DataFrame, dim: int, book1: np.ndarray
 def _reranked(batches, dim: int, top: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by block, a block's entries (kind 0) before its queries (1): each query's best of the block.
 
-    Entries that tie with the last of the best come along; the sum of products
-    runs alike for every pair, so equal vectors get equal scores.
+    A block holds entries of one first codeword; of these a query sees those in
+    the cells that it visits. Entries that tie with the last of the best come
+    along; the sum of products runs alike for every pair, so equal vectors get
+    equal scores.
     """
     held_key, held = None, []
     for batch in batches:
         if not len(batch):
             continue
         keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
-        kind, ids, norm = (batch.column(k).to_numpy() for k in (3, 4, 6))
+        kind, ids, norm, second = (batch.column(k).to_numpy() for k in (3, 4, 6, 7))
         x = batch.column(5).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
         cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0) | (kind[1:] != kind[:-1])) + 1
         out = []
@@ -169,12 +176,13 @@ def _reranked(batches, dim: int, top: int) -> Iterator[pa.RecordBatch]:
             if key != held_key:
                 held_key, held = key, []
             if kind[a] == 0:
-                held.append((ids[a:b], x[a:b], norm[a:b]))
+                held.append((ids[a:b], x[a:b], norm[a:b], second[a:b]))
             elif held:
-                eid, ex, en = held[0] if len(held) == 1 else (np.concatenate(c) for c in zip(*held))
-                held = [(eid, ex, en)]
+                eid, ex, en, es = held[0] if len(held) == 1 else (np.concatenate(c) for c in zip(*held))
+                held = [(eid, ex, en, es)]
+                bits = np.frombuffer(b"".join(batch.column(8).slice(a, b - a).to_pylist()), np.uint8).reshape(b - a, -1)
                 score = np.einsum("qd,ed->qe", x[a:b], ex) / (norm[a:b, None] * en[None, :])
-                score[ids[a:b, None] == eid[None, :]] = -np.inf
+                score[(np.unpackbits(bits, axis=1)[:, es] == 0) | (ids[a:b, None] == eid[None, :])] = -np.inf
                 least = np.partition(score, -top, axis=1)[:, -top] if len(eid) > top else np.full(b - a, -2.0)
                 q, e = np.nonzero((score >= least[:, None]) & (score > -np.inf))
                 out.append((ids[a:b][q], eid[e], score[q, e]))
@@ -245,18 +253,22 @@ def _search(good: DataFrame, is_query, dim: int, rows: int, top: int, candidates
         candidates = enough_for(index, queries, dim, book1, book2, counts, top, recall)
     candidates = max(candidates, top + 1)                             # the query itself may be one of them
     visits = write_table(map_arrow(queries, lambda it: _visits(it, dim, book1, book2, counts, candidates),
-                                   "id long, cell long"), "visits")
+                                   "id long, first int, seconds binary"), "visits")
+    index = index.withColumn("first", F.expr(f"cast(cell div {len(book2)} as int)")) \
+        .withColumn("second", F.expr(f"cast(cell % {len(book2)} as int)"))
     blocks = lambda n: F.ceil(F.count("*") / BLOCK).cast("int").alias(n)
-    # a row per cell, at most codewords ** 2
-    sizes = F.broadcast(index.groupBy("cell").agg(blocks("entries"))
-                        .join(visits.groupBy("cell").agg(blocks("visitors")), "cell"))
+    # a row per first codeword
+    sizes = F.broadcast(index.groupBy("first").agg(blocks("entries"))
+                        .join(visits.groupBy("first").agg(blocks("visitors")), "first"))
     part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    here = index.join(sizes, "cell").select("cell", part("entries").alias("e"), every("visitors").alias("q"),
-                                            F.lit(0).alias("kind"), "id", "vector", "norm")
-    come = visits.join(queries, "id").join(sizes, "cell").select(
-        "cell", every("entries").alias("e"), part("visitors").alias("q"), F.lit(1).alias("kind"), "id", "vector", "norm")
-    met = here.unionByName(come).repartition("cell", "e", "q").sortWithinPartitions("cell", "e", "q", "kind")
+    here = index.join(sizes, "first").select(
+        "first", part("entries").alias("e"), every("visitors").alias("q"), F.lit(0).alias("kind"), "id", "vector", "norm",
+        "second", F.lit(None).cast("binary").alias("seconds"))
+    come = visits.join(queries, "id").join(sizes, "first").select(
+        "first", every("entries").alias("e"), part("visitors").alias("q"), F.lit(1).alias("kind"), "id", "vector", "norm",
+        F.lit(-1).alias("second"), "seconds")
+    met = here.unionByName(come).repartition("first", "e", "q").sortWithinPartitions("first", "e", "q", "kind")
     scored = map_arrow(met, lambda it: _reranked(it, dim, top), "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top) \
