@@ -135,6 +135,14 @@ def _slots(leaves: DataFrame) -> bytes:
     return bytes(out)
 
 
+def _grouped(lines: DataFrame, family: DataFrame) -> DataFrame:
+    """``lines`` with their document's group: its family's, or itself; only lines of families are shuffled."""
+    member = family.select("id")
+    alone = only_marked(lines, "id", member, "left_anti").withColumn("group", F.col("id"))
+    return alone.unionByName(only_marked(lines, "id", member).join(family, "id", "left")
+                             .withColumn("group", F.coalesce("group", "id")))
+
+
 def _alike(batches) -> Iterator[pa.RecordBatch]:
     """(id, centre) of the pairs whose sketches agree in ALIKE of the bins that either fills."""
     for batch in batches:
@@ -197,11 +205,10 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id long, version long, line int, tokens int, leaf long, whole long, sketch binary"), "lines")
     family = write_table(families(lines.filter("sketch is not null").select("id", "sketch")), "families")
     # a leaf of one family can't recur, and most leaves are such: a bitmap prunes their lines
-    grouped = lines.drop("sketch").join(family, "id", "left").withColumn("group", F.coalesce("group", "id"))
+    grouped = _grouped(lines.drop("sketch"), family)
     shared = write_table(grouped.groupBy("leaf").agg(F.min("group").alias("lo"), F.max("group").alias("hi"))
                          .filter("lo < hi").select("leaf"), "shared")
-    lines = write_table(only_marked(lines.drop("sketch"), "leaf", shared).join(family, "id", "left")
-                        .withColumn("group", F.coalesce("group", "id")), "grouped")
+    lines = write_table(_grouped(only_marked(lines.drop("sketch"), "leaf", shared), family), "grouped")
     enough = (F.col("n") >= least) | ((F.col("tokens") >= long_tokens) & (F.col("n") >= least_long))
     leaves = write_table(lines.groupBy("leaf").agg(F.count_distinct("group").alias("n"), F.max("tokens").alias("tokens"))
                          .filter(enough).select("leaf"), "leaves")
