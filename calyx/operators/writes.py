@@ -182,8 +182,8 @@ def _setting(spark: SparkSession, key: str, value: str):
 def _insert(df: DataFrame, ref: str, overwrite: bool = False) -> set:
     """INSERT INTO / INSERT OVERWRITE with dynamic partitions; the partitions written, as tuples."""
     spark, name = df.sparkSession, table_name(ref)
-    parts = partition_columns(spark, ref)
-    buckets = [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+    columns = spark.catalog.listColumns(name)
+    parts, buckets = [c.name for c in columns if c.isPartition], [c.name for c in columns if c.isBucket]
     if buckets:
         count = int(next(r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()
                          if r["col_name"] == "Num Buckets"))
@@ -200,13 +200,15 @@ def _insert(df: DataFrame, ref: str, overwrite: bool = False) -> set:
 
 def _partition_values(spark: SparkSession, specs: list[dict], schema: T.StructType, parts) -> dict[tuple, tuple]:
     """Typed values -> the strings that name the partition, for periods given as ``{column: value}``."""
-    out = {}
-    for spec in specs:                                   # a row for each period asked for
+    if not specs:
+        return {}
+    asked = []
+    for spec in specs:
         typed = [F.lit(spec[c]).cast(schema[c].dataType) for c in parts]
-        row = spark.range(1).select(F.struct(*typed).alias("v"), F.struct(*[v.cast("string") for v in typed]).alias("s")) \
-            .first()
-        out[tuple(row["v"])] = tuple(row["s"])
-    return out
+        asked.append(F.struct(F.struct(*[v.alias(c) for v, c in zip(typed, parts)]).alias("v"),
+                              F.struct(*[v.cast("string").alias(c) for v, c in zip(typed, parts)]).alias("s")))
+    row = spark.range(1).select(F.array(*asked)).first()[0]                 # an entry for each period asked for
+    return {tuple(x["v"]): tuple(x["s"]) for x in row}
 
 
 def drop_partitions(spark: SparkSession, ref: str, values: list[tuple]) -> None:
